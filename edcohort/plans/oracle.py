@@ -293,3 +293,214 @@ ORACLE["match_audit"] = _build("""
 SELECT v.visit_id, CAST(count(h.visit_id) AS BIGINT) AS hits FROM visits v
 LEFT JOIN hits h ON h.visit_id = v.visit_id GROUP BY v.visit_id""",
     extra={"wide": _WIDE_SQL, "hits": _HITS}, views=("lab", "visits"))
+
+
+# ---------------------------------------------------------- derive (cases)
+_DAYS = "floor((epoch(CAST(Datum_overlijden AS TIMESTAMP)) - epoch(Datum_SEH)) / 86400)"
+_Y31 = f"CASE WHEN Datum_overlijden IS NULL THEN 0 WHEN {_DAYS} BETWEEN -1 AND 31 THEN 1 ELSE 0 END"
+_AGE = "CAST(floor(date_diff('day', Geboortedatum, DATE '2002-01-01') / 365.2425) AS BIGINT)"
+_O2 = guarded_double("replace(split_part(zuurstoftherapie, ' ', 1), 'L', '')")
+_AGED = f"SELECT * REPLACE ({_AGE} AS Geboortedatum) FROM cases"
+
+
+def _truthy(c):
+    return f"COALESCE({c}, 0) <> 0"
+
+
+_CURB = """(CASE WHEN Comorb_dementie_Psychiatrisch > 0 THEN 1 ELSE 0 END
+ + CASE WHEN URESE > 7 THEN 1 ELSE 0 END + CASE WHEN AF_berekend > 30 THEN 1 ELSE 0 END
+ + CASE WHEN Geboortedatum >= 65 THEN 1 ELSE 0 END
+ + CASE WHEN RR_diast < 60 AND RR_diast > 0 THEN 1 WHEN RR_syst < 90 AND RR_syst > 0 THEN 1 ELSE 0 END)"""
+_MEDS = f"""(3 + CASE WHEN Geboortedatum >= 65 THEN 3 ELSE 0 END
+ + CASE WHEN Woonsituatie IN (2, 3) THEN 2 ELSE 0 END
+ + CASE WHEN {_truthy('Comorb_dementie_Psychiatrisch')} THEN 2 ELSE 0 END
+ + CASE WHEN TRC < 150 THEN 3 ELSE 0 END + CASE WHEN septischeshock = 1 THEN 3 ELSE 0 END
+ + CASE WHEN AF_berekend > 30 THEN 3 ELSE 0 END
+ + CASE WHEN metastase_of_chronische_ziekte_met_hoge_mortaliteit = 1 THEN 6 ELSE 0 END)"""
+_ABBMEDS = f"""(CASE WHEN metastase_of_chronische_ziekte_met_hoge_mortaliteit = 1 THEN 6 ELSE 0 END
+ + CASE WHEN AF_berekend > 20 THEN 3 ELSE 0 END + CASE WHEN septischeshock = 1 THEN 3 ELSE 0 END
+ + CASE WHEN TRC < 150 THEN 3 ELSE 0 END + CASE WHEN Geboortedatum >= 65 THEN 3 ELSE 0 END
+ + CASE WHEN WD = 2 THEN 2 ELSE 0 END + CASE WHEN Woonsituatie IN (2, 3) THEN 2 ELSE 0 END
+ + CASE WHEN {_truthy('Comorb_dementie_Psychiatrisch')} THEN 2 ELSE 0 END)"""
+_MAP = "((RR_syst + 2 * RR_diast) / 3)"
+_MREMS = f"""(
+ CASE WHEN Geboortedatum < 45 THEN 0 WHEN Geboortedatum < 54 THEN 2 WHEN Geboortedatum < 64 THEN 3
+      WHEN Geboortedatum < 74 THEN 5 ELSE 6 END
+ + CASE WHEN Pols < 39 THEN 4 WHEN Pols < 55 THEN 3 WHEN Pols < 70 THEN 2 WHEN Pols < 110 THEN 0
+        WHEN Pols < 139 THEN 2 WHEN Pols < 179 THEN 3 ELSE 4 END
+ + CASE WHEN AF_berekend < 5 THEN 4 WHEN AF_berekend < 9 THEN 3 WHEN AF_berekend < 12 THEN 1
+        WHEN AF_berekend < 25 THEN 0 WHEN AF_berekend < 35 THEN 1 WHEN AF_berekend < 50 THEN 3 ELSE 4 END
+ + CASE WHEN {_MAP} < 49 THEN 4 WHEN {_MAP} < 70 THEN 2 WHEN {_MAP} < 110 THEN 0
+        WHEN {_MAP} < 130 THEN 2 WHEN {_MAP} < 160 THEN 3 ELSE 4 END
+ + CASE WHEN Saturatie = 0 THEN 0 WHEN Saturatie < 75 THEN 4 WHEN Saturatie < 85 THEN 3
+        WHEN Saturatie < 90 THEN 1 ELSE 0 END
+ + CASE WHEN GCS_afgeleid > 13 THEN 1 WHEN GCS_afgeleid > 11 THEN 1 WHEN GCS_afgeleid > 8 THEN 2
+        WHEN GCS_afgeleid > 5 THEN 3 ELSE 4 END
+ + CASE WHEN {_truthy('Comorb_dementie_Psychiatrisch')} THEN 1 ELSE 0 END)"""
+
+
+def _risk(score, ranges):
+    whens = " ".join(f"WHEN {score} BETWEEN {lo} AND {hi} THEN {r}" for lo, hi, r in ranges)
+    return f"CASE {whens} ELSE CAST({score} AS DOUBLE) END" if whens else f"CAST({score} AS DOUBLE)"
+
+
+ORACLE["outcome_31d"] = with_ctes(["cases"], {}, f"SELECT case_id, {_Y31} AS y FROM cases")
+ORACLE["days_to_death"] = with_ctes(["cases"], {}, f"""
+SELECT case_id, CAST(CASE WHEN Datum_overlijden IS NULL THEN 1000
+  WHEN {_DAYS} >= -1 AND {_DAYS} < 31 THEN {_DAYS} ELSE 1000 END AS INTEGER) AS days FROM cases""")
+ORACLE["age_years"] = with_ctes(["cases"], {}, f"SELECT case_id, {_AGE} AS age FROM cases")
+ORACLE["hour_fraction"] = with_ctes(["cases"], {}, """
+SELECT case_id, round((hour(Datum_SEH) + minute(Datum_SEH)) / 60, 6) AS tijd FROM cases""")
+ORACLE["outcome_select"] = with_ctes(["cases"], {}, f"""
+SELECT case_id, septischeshock AS y1, Sterfte_in_ziekenhuis AS y2, {_Y31} AS y3 FROM cases""")
+ORACLE["o2_parse"] = with_ctes(["cases"], {}, f"SELECT case_id, round({_O2}, 6) AS o2 FROM cases")
+ORACLE["curb"] = with_ctes(["cases"], {"aged": _AGED}, f"SELECT case_id, {_CURB} AS curb FROM aged")
+ORACLE["meds"] = with_ctes(["cases"], {"aged": _AGED}, f"SELECT case_id, {_MEDS} AS meds FROM aged")
+ORACLE["abbmeds"] = with_ctes(["cases"], {"aged": _AGED},
+                              f"SELECT case_id, {_ABBMEDS} AS abbmeds FROM aged")
+ORACLE["mrems"] = with_ctes(["cases"], {"aged": _AGED}, f"SELECT case_id, {_MREMS} AS mrems FROM aged")
+ORACLE["score_risk"] = with_ctes(["cases"], {"aged": _AGED}, f"""
+SELECT case_id,
+  round({_risk(_CURB, ((0, 1, 0.015), (2, 2, 0.092), (3, 5, 0.22)))}, 6) AS curb_risk,
+  round({_risk(_MEDS, ((0, 4, 0.01), (5, 7, 0.032), (8, 11, 0.08), (12, 15, 0.18), (16, 26, 0.42)))}, 6) AS meds_risk,
+  round(CAST(0 AS DOUBLE), 6) AS rems_risk,
+  round(CASE WHEN {_ABBMEDS} < 5 THEN 0.016 WHEN {_ABBMEDS} < 13 THEN 0.234 ELSE 0.59 END, 6) AS abbmeds_risk,
+  round({_MAP}, 6) AS map
+FROM aged""")
+
+_FS1 = ["nummer", "Geboortedatum", "Geslacht", "Datum_SEH", "Uur_Binnenkomst_SEH", "TRC", "URESE"]
+_FS2 = ["Comorb_infarct", "Comorb_Hartfalen", "Comorb_dementie_Psychiatrisch",
+        "metastase_of_chronische_ziekte_met_hoge_mortaliteit", "Woonsituatie", "Thuismedicatie_aantal"]
+_FS3 = ["Pols", "RR_syst", "RR_diast", "AF_berekend", "Saturatie", "Temperatuur", "GCS_afgeleid",
+        "zuurstoftherapie", "WD"]
+_DERIVED = f"""
+SELECT case_id, {_Y31} AS y_var, nummer, {_AGE} AS Geboortedatum, Geslacht, Datum_SEH,
+  (hour(Datum_SEH) + minute(Datum_SEH)) / 60 AS Uur_Binnenkomst_SEH, TRC, URESE,
+  {", ".join(_FS2)}, Pols, RR_syst, RR_diast, AF_berekend, Saturatie, Temperatuur, GCS_afgeleid,
+  {_O2} AS zuurstoftherapie, WD
+FROM cases"""
+_DOUBLES = {"Uur_Binnenkomst_SEH", "TRC", "URESE", "Thuismedicatie_aantal", "Pols", "RR_syst",
+            "RR_diast", "AF_berekend", "Saturatie", "Temperatuur", "GCS_afgeleid",
+            "zuurstoftherapie", "WD"}
+
+
+def _fs_select(cols):
+    out = ["case_id", "y_var"]
+    for c in cols:
+        if c == "Datum_SEH":
+            out.append(f"{ts_text('Datum_SEH')} AS Datum_SEH")
+        elif c in _DOUBLES:
+            out.append(f"round(COALESCE({c}, 0), 6) AS {c}")
+        else:
+            out.append(f"COALESCE({c}, 0) AS {c}")
+    return ", ".join(out)
+
+
+ORACLE["feature_set_1"] = with_ctes(["cases"], {"d": _DERIVED}, f"SELECT {_fs_select(_FS1)} FROM d")
+ORACLE["feature_set_2"] = with_ctes(["cases"], {"d": _DERIVED},
+                                    f"SELECT {_fs_select(_FS1 + _FS2)} FROM d")
+ORACLE["feature_set_3"] = with_ctes(["cases"], {"d": _DERIVED},
+                                    f"SELECT {_fs_select(_FS1 + _FS2 + _FS3)} FROM d")
+ORACLE["split_main"] = with_ctes(["cases", "cohort"], {"d": _DERIVED}, """
+SELECT case_id, y_var FROM d WHERE NOT EXISTS (
+  SELECT 1 FROM cohort c WHERE c.nummer IS NOT DISTINCT FROM d.nummer
+    AND c.Datum_SEH IS NOT DISTINCT FROM CAST(d.Datum_SEH AS DATE))""")
+ORACLE["split_validation"] = with_ctes(["cases", "cohort"], {"d": _DERIVED}, """
+SELECT case_id, nummer, CAST(CAST(Datum_SEH AS DATE) AS VARCHAR) AS Datum_SEH, y_var FROM d
+WHERE (nummer, CAST(Datum_SEH AS DATE)) IN (SELECT (nummer, Datum_SEH) FROM cohort)""")
+
+# ------------------------------------------------------- evaluate (scored)
+_CUM = {
+    "c": "SELECT model, fold, p, CAST(sum(y) AS BIGINT) AS tp, CAST(sum(1 - y) AS BIGINT) AS fp "
+         "FROM scored GROUP BY model, fold, p",
+    "cum": """
+SELECT *, sum(tp) OVER w AS ctp, sum(fp) OVER w AS cfp,
+  sum(tp) OVER (PARTITION BY model, fold) AS npos, sum(fp) OVER (PARTITION BY model, fold) AS nneg
+FROM c WINDOW w AS (PARTITION BY model, fold ORDER BY p DESC ROWS UNBOUNDED PRECEDING)""",
+    "pts": """
+SELECT model, fold, p AS threshold, cfp / nneg AS fpr, ctp / npos AS tpr FROM cum
+UNION ALL SELECT model, fold, max(p) + 1, 0.0, 0.0 FROM c GROUP BY model, fold""",
+    "fold_auc": """
+SELECT model, fold, sum(fp * (2 * ctp - tp)) / (2 * any_value(npos) * any_value(nneg)) AS auc,
+  CAST(any_value(npos) AS BIGINT) AS n_pos, CAST(any_value(nneg) AS BIGINT) AS n_neg FROM cum GROUP BY model, fold""",
+    "grid": """
+SELECT g.model, g.fold, CAST(r.j AS INTEGER) AS j,
+  CASE WHEN r.j = 99 THEN CAST(1 AS DOUBLE) ELSE CAST(r.j AS DOUBLE) * (CAST(1 AS DOUBLE) / 99) END AS x
+FROM (SELECT DISTINCT model, fold FROM pts) g CROSS JOIN range(100) r(j)""",
+    "gi": """
+SELECT g.model, g.fold, g.j, g.x,
+  max(p.fpr) FILTER (WHERE p.fpr <= g.x) AS lf, max(p.tpr) FILTER (WHERE p.fpr <= g.x) AS lt,
+  min(p.fpr) FILTER (WHERE p.fpr > g.x) AS rf, min(p.tpr) FILTER (WHERE p.fpr > g.x) AS rt
+FROM grid g JOIN pts p ON p.model = g.model AND p.fold = g.fold
+GROUP BY g.model, g.fold, g.j, g.x""",
+    "rg": """
+SELECT model, fold, j, x AS fpr,
+  CASE WHEN j = 0 THEN CAST(0 AS DOUBLE) WHEN rf IS NULL THEN lt
+       ELSE ((rt - lt) / (rf - lf)) * (x - lf) + lt END AS tpr
+FROM gi""",
+    "band0": """
+SELECT model, j, any_value(fpr) AS fpr,
+  CASE WHEN j = 99 THEN CAST(1 AS DOUBLE) ELSE avg(tpr) END AS mean_tpr, stddev_pop(tpr) AS std_tpr
+FROM rg GROUP BY model, j""",
+    "band": """
+SELECT *, least(mean_tpr + 1.96 * std_tpr / sqrt(4), 1.0) AS upper,
+  greatest(mean_tpr - 1.96 * std_tpr / sqrt(4), 0.0) AS lower FROM band0""",
+    "summary": """
+SELECT a.model, a.mean_auc, s.std_auc, a.mean_auc - 1.96 * s.std_auc / sqrt(5) AS ci_low,
+  a.mean_auc + 1.96 * s.std_auc / sqrt(5) AS ci_high
+FROM (SELECT model, sum(seg) AS mean_auc FROM (
+        SELECT model, (fpr - lag(fpr) OVER w) * (mean_tpr + lag(mean_tpr) OVER w) / 2 AS seg
+        FROM band WINDOW w AS (PARTITION BY model ORDER BY j)) GROUP BY model) a
+JOIN (SELECT model, stddev_pop(auc) AS std_auc FROM fold_auc GROUP BY model) s ON a.model = s.model""",
+}
+
+
+def _scored(body, *names):
+    return with_ctes(["scored"], {k: _CUM[k] for k in names}, body)
+
+
+_R6 = lambda cols: ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+ORACLE["roc_points"] = _scored(f"SELECT model, fold, {_R6(['threshold', 'fpr', 'tpr'])} FROM pts",
+                               "c", "cum", "pts")
+ORACLE["auc_by_fold"] = _scored(f"SELECT model, fold, {_R6(['auc'])}, n_pos, n_neg FROM fold_auc",
+                                "c", "cum", "fold_auc")
+ORACLE["roc_grid"] = _scored(f"SELECT model, fold, j, {_R6(['fpr', 'tpr'])} FROM rg",
+                             "c", "cum", "pts", "grid", "gi", "rg")
+ORACLE["roc_mean_band"] = _scored(
+    f"SELECT model, j, {_R6(['fpr', 'mean_tpr', 'std_tpr', 'upper', 'lower'])} FROM band",
+    "c", "cum", "pts", "grid", "gi", "rg", "band0", "band")
+ORACLE["compare_models"] = _scored(
+    f"SELECT model, {_R6(['mean_auc', 'std_auc', 'ci_low', 'ci_high'])} FROM summary",
+    "c", "cum", "pts", "fold_auc", "grid", "gi", "rg", "band0", "band", "summary")
+
+
+def _fold_summary(value, expr):
+    return with_ctes(["scored"], {"per": f"SELECT model, fold, avg({expr}) AS v FROM scored GROUP BY model, fold"},
+                     f"""
+SELECT model, round(avg(v), 6) AS mean_{value}, round(stddev_pop(v), 6) AS std_{value},
+  round(avg(v) - 1.96 * stddev_pop(v) / sqrt(5), 6) AS ci_low_{value},
+  round(avg(v) + 1.96 * stddev_pop(v) / sqrt(5), 6) AS ci_high_{value}
+FROM per GROUP BY model""")
+
+
+ORACLE["accuracy_cv"] = _fold_summary("accuracy", "CAST(y = CAST(p > 0.5 AS INTEGER) AS DOUBLE)")
+ORACLE["brier_cv"] = _fold_summary("brier", "pow(p - y, 2)")
+_STEP3 = "((1.0 + 1e-8) / 3)"
+ORACLE["calibration"] = with_ctes(["scored"], {"per": f"""
+SELECT model, fold, CAST(p >= 1 * {_STEP3} AS INTEGER) + CAST(p >= 2 * {_STEP3} AS INTEGER) AS bin,
+  avg(p) AS mean_pred, avg(CAST(y AS DOUBLE)) AS frac_pos
+FROM scored GROUP BY ALL"""}, """
+SELECT model, bin, round(avg(mean_pred), 6) AS mean_pred, round(avg(frac_pos), 6) AS frac_pos,
+  count(*) AS n_folds FROM per GROUP BY model, bin""")
+ORACLE["threshold_auc"] = with_ctes(["scored"], {"x": """
+SELECT model, y, 'p_plus_0.1_gt_0.5' AS rule, CAST(p + 0.1 > 0.5 AS INTEGER) AS pred FROM scored
+UNION ALL SELECT model, y, 'p_gt_0.25', CAST(p > 0.25 AS INTEGER) FROM scored
+UNION ALL SELECT model, y, 'p_gt_0.5', CAST(p > 0.5 AS INTEGER) FROM scored""", "cf": """
+SELECT model, rule,
+  CAST(sum(CAST(y = 1 AND pred = 1 AS INTEGER)) AS BIGINT) AS tp,
+  CAST(sum(CAST(y = 0 AND pred = 1 AS INTEGER)) AS BIGINT) AS fp,
+  CAST(sum(CAST(y = 0 AND pred = 0 AS INTEGER)) AS BIGINT) AS tn,
+  CAST(sum(CAST(y = 1 AND pred = 0 AS INTEGER)) AS BIGINT) AS fn
+FROM x GROUP BY model, rule"""}, """
+SELECT model, rule, tp, fp, tn, fn, round(tp / (tp + fn), 6) AS sens, round(tn / (tn + fp), 6) AS spec,
+  round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS auc FROM cf""")

@@ -142,3 +142,169 @@ def q_visit_lab_match(spark, sf):
 def q_match_audit(spark, sf):
     audit = co.match_audit(V.visits(spark, sf), _wide(spark, sf))
     return comparable(audit.select("visit_id", "hits"))
+
+
+# ------------------------------------------------------------ derive (Entry 2)
+from ..functions import clinical as cl  # noqa: E402
+from ..functions import scores as sc  # noqa: E402
+from ..functions.parsing import leading_token_number  # noqa: E402
+from ..operators import metrics as me  # noqa: E402
+from .derive import data_model, export_splits  # noqa: E402
+
+AS_OF = "2002-01-01"
+CASE_LABS = ["TRC", "URESE"]
+# The stand-in registry: the visit-table columns the `cases` view carries.
+CASE_FEATURES = (
+    ("nummer", "Geboortedatum", "Geslacht", "Datum_SEH", "Uur_Binnenkomst_SEH"),
+    ("Comorb_infarct", "Comorb_Hartfalen", "Comorb_dementie_Psychiatrisch",
+     "metastase_of_chronische_ziekte_met_hoge_mortaliteit", "Woonsituatie", "Thuismedicatie_aantal"),
+    ("Pols", "RR_syst", "RR_diast", "AF_berekend", "Saturatie", "Temperatuur", "GCS_afgeleid",
+     "zuurstoftherapie", "WD"),
+)
+
+
+def _cases_aged(spark, sf):
+    c = V.cases(spark, sf)
+    return c.withColumn("Geboortedatum", cl.age_years("Geboortedatum", AS_OF))
+
+
+def _model(spark, sf, m, out=3):
+    return data_model(V.cases(spark, sf), m, out, as_of=AS_OF, lab_columns=CASE_LABS,
+                      features=CASE_FEATURES)
+
+
+@query("outcome_31d")
+def q_outcome_31d(spark, sf):
+    c = V.cases(spark, sf)
+    return c.select("case_id", cl.outcome_within("Datum_overlijden", "Datum_SEH", 31).alias("y"))
+
+
+@query("days_to_death")
+def q_days_to_death(spark, sf):
+    c = V.cases(spark, sf)
+    return c.select("case_id", cl.days_to_death("Datum_overlijden", "Datum_SEH").alias("days"))
+
+
+@query("age_years")
+def q_age_years(spark, sf):
+    c = V.cases(spark, sf)
+    return c.select("case_id", cl.age_years("Geboortedatum", AS_OF).alias("age"))
+
+
+@query("hour_fraction")
+def q_hour_fraction(spark, sf):
+    c = V.cases(spark, sf)
+    return comparable(c.select("case_id", cl.hour_fraction("Datum_SEH").alias("tijd")))
+
+
+@query("outcome_select")
+def q_outcome_select(spark, sf):
+    c = V.cases(spark, sf)
+    parts = [cl.select_outcome(c, o).select("case_id", F.col("y_var").alias(f"y{o}"))
+             for o in (1, 2, 3)]
+    return parts[0].join(parts[1], "case_id").join(parts[2], "case_id")
+
+
+@query("o2_parse")
+def q_o2_parse(spark, sf):
+    c = V.cases(spark, sf)
+    return comparable(c.select("case_id", leading_token_number("zuurstoftherapie").alias("o2")))
+
+
+@query("curb")
+def q_curb(spark, sf):
+    return _cases_aged(spark, sf).select("case_id", sc.curb().alias("curb"))
+
+
+@query("meds")
+def q_meds(spark, sf):
+    return _cases_aged(spark, sf).select("case_id", sc.meds().alias("meds"))
+
+
+@query("abbmeds")
+def q_abbmeds(spark, sf):
+    return _cases_aged(spark, sf).select("case_id", sc.abbmeds().alias("abbmeds"))
+
+
+@query("mrems")
+def q_mrems(spark, sf):
+    return _cases_aged(spark, sf).select("case_id", sc.mrems().alias("mrems"))
+
+
+@query("score_risk")
+def q_score_risk(spark, sf):
+    d = _cases_aged(spark, sf)
+    return comparable(d.select(
+        "case_id",
+        sc.risk_score("CURB").alias("curb_risk"),
+        sc.risk_score("MEDS").alias("meds_risk"),
+        sc.risk_score("REMS").alias("rems_risk"),
+        cl.abbmeds_risk(sc.abbmeds()).alias("abbmeds_risk"),
+        cl.mean_arterial_pressure().alias("map")))
+
+
+for _m in (1, 2, 3):
+    def _fs(spark, sf, _m=_m):
+        return comparable(_model(spark, sf, _m))
+    QUERIES[f"feature_set_{_m}"] = _fs
+
+
+@query("split_main")
+def q_split_main(spark, sf):
+    s = export_splits(_model(spark, sf, 1), V.cohort(spark, sf))
+    return s["main"].select("case_id", "y_var")
+
+
+@query("split_validation")
+def q_split_validation(spark, sf):
+    s = export_splits(_model(spark, sf, 1), V.cohort(spark, sf))
+    return s["validation"].select("case_id", "nummer", F.col("Datum_SEH").cast("string").alias("Datum_SEH"),
+                                  "y_var")
+
+
+# ------------------------------------------------------- evaluate (Entry 3)
+@query("roc_points")
+def q_roc_points(spark, sf):
+    return comparable(me.roc_points(V.scored(spark, sf)))
+
+
+@query("auc_by_fold")
+def q_auc_by_fold(spark, sf):
+    return comparable(me.auc(V.scored(spark, sf)))
+
+
+@query("roc_grid")
+def q_roc_grid(spark, sf):
+    return comparable(me.roc_grid(me.roc_points(V.scored(spark, sf))))
+
+
+@query("roc_mean_band")
+def q_roc_mean_band(spark, sf):
+    _, band, _ = me.cross_validated_roc(V.scored(spark, sf))
+    return comparable(band)
+
+
+@query("compare_models")
+def q_compare_models(spark, sf):
+    _, _, summary = me.cross_validated_roc(V.scored(spark, sf))
+    return comparable(summary)
+
+
+@query("accuracy_cv")
+def q_accuracy_cv(spark, sf):
+    return comparable(me.accuracy_cv(V.scored(spark, sf)))
+
+
+@query("brier_cv")
+def q_brier_cv(spark, sf):
+    return comparable(me.brier_cv(V.scored(spark, sf)))
+
+
+@query("calibration")
+def q_calibration(spark, sf):
+    return comparable(me.calibration(V.scored(spark, sf)))
+
+
+@query("threshold_auc")
+def q_threshold_auc(spark, sf):
+    return comparable(me.threshold_auc(V.scored(spark, sf)))
