@@ -504,3 +504,137 @@ SELECT model, rule,
 FROM x GROUP BY model, rule"""}, """
 SELECT model, rule, tp, fp, tn, fn, round(tp / (tp + fn), 6) AS sens, round(tn / (tn + fp), 6) AS spec,
   round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS auc FROM cf""")
+
+
+# ------------------------------------------------- statistics and splits
+def kfold_sql(src: str, key: str, label: str, k: int) -> dict[str, str]:
+    alloc = ", ".join(f"floor((o + n - 1 - {i} + {k}) / {k}) - floor((o - 1 - {i} + {k}) / {k}) AS a{i}"
+                      for i in range(k))
+    bounds = ", ".join(f"{' + '.join(f'a{j}' for j in range(i + 1))} AS b{i + 1}" for i in range(k - 1))
+    fold = " + ".join(f"CAST(r >= b{i + 1} AS INTEGER)" for i in range(k - 1)) or "0"
+    return {
+        "kc": f"SELECT {label}, min({key}) AS first, count(*) AS n FROM {src} GROUP BY {label}",
+        "kc2": f"""SELECT {label}, n, COALESCE(sum(n) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING
+                   AND 1 PRECEDING), 0) AS o FROM kc""",
+        "ka": f"SELECT {label}, {alloc} FROM kc2",
+        "kb": f"SELECT {label}, {bounds} FROM ka" if k > 1 else f"SELECT {label} FROM ka",
+        "kr": f"SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {key}) - 1 AS r FROM {src}",
+        "folded": f"SELECT kr.* EXCLUDE (r), CAST({fold} AS INTEGER) AS fold FROM kr JOIN kb USING ({label})",
+    }
+
+
+ORACLE["kfold"] = with_ctes([], {"d": "SELECT doc_id, quality FROM labels",
+                                 **kfold_sql("d", "doc_id", "quality", 5)},
+                            "SELECT doc_id, quality, fold FROM folded")
+ORACLE["holdout_sizes"] = """
+SELECT 'test' AS split, CAST(ceil(0.3 * count(*)) AS BIGINT) AS n FROM orders
+UNION ALL SELECT 'train', CAST(count(*) - ceil(0.3 * count(*)) AS BIGINT) FROM orders"""
+ORACLE["presentation_id"] = _build(f"""
+SELECT patient, {ts_text('anchor')} AS anchor,
+  CAST(dense_rank() OVER (ORDER BY anchor, patient) - 1 AS BIGINT) AS id
+FROM (SELECT DISTINCT patient, anchor FROM anchored)""", upto="anchored")
+ORACLE["scale_pop"] = with_ctes(["cases"], {}, """
+SELECT case_id,
+  round((Pols - avg(Pols) OVER ()) / COALESCE(NULLIF(stddev_pop(Pols) OVER (), 0), 1), 6) AS Pols,
+  round((TRC - avg(TRC) OVER ()) / COALESCE(NULLIF(stddev_pop(TRC) OVER (), 0), 1), 6) AS TRC,
+  round((URESE - avg(URESE) OVER ()) / COALESCE(NULLIF(stddev_pop(URESE) OVER (), 0), 1), 6) AS URESE
+FROM cases""")
+_RISKD = f"""SELECT case_id, {_Y31} AS y,
+  {_risk(_CURB, ((0, 1, 0.015), (2, 2, 0.092), (3, 5, 0.22)))} AS p FROM aged"""
+ORACLE["cv_risk_roc"] = with_ctes(["cases"], {
+    "aged": _AGED, "d": _RISKD, **kfold_sql("d", "case_id", "y", 3),
+    "tr": "SELECT f.y, f.p, e.i AS fold FROM folded f JOIN range(3) e(i) ON f.fold <> e.i",
+    "c": "SELECT fold, p, sum(y) AS tp, sum(1 - y) AS fp FROM tr GROUP BY fold, p",
+    "cum": """SELECT *, sum(tp) OVER w AS ctp, sum(fp) OVER (PARTITION BY fold) AS nneg,
+      sum(tp) OVER (PARTITION BY fold) AS npos FROM c
+      WINDOW w AS (PARTITION BY fold ORDER BY p DESC ROWS UNBOUNDED PRECEDING)"""}, """
+SELECT CAST(fold AS INTEGER) AS fold,
+  round(sum(fp * (2 * ctp - tp)) / (2 * any_value(npos) * any_value(nneg)), 6) AS auc,
+  CAST(any_value(npos) AS BIGINT) AS n_pos, CAST(any_value(nneg) AS BIGINT) AS n_neg
+FROM cum GROUP BY fold""")
+
+_RT = {"Shock": "Shock", "Mortality": "Death"}
+_RATER_UNION = " UNION ALL ".join(
+    f"SELECT '{t}' AS target, '{t}_Int_{i}' AS rater, {truth} AS y, {t}_Int_{i} AS c FROM raters"
+    for t, truth in _RT.items() for i in ("1", "2", "3", "4"))
+ORACLE["rater_points"] = with_ctes(["raters"], {"u": _RATER_UNION, "cf": """
+SELECT target, rater, CAST(sum(CAST(y = 1 AND c = 1 AS INTEGER)) AS BIGINT) AS tp,
+  CAST(sum(CAST(y = 0 AND c = 1 AS INTEGER)) AS BIGINT) AS fp,
+  CAST(sum(CAST(y = 0 AND c = 0 AS INTEGER)) AS BIGINT) AS tn,
+  CAST(sum(CAST(y = 1 AND c = 0 AS INTEGER)) AS BIGINT) AS fn FROM u GROUP BY target, rater""",
+    "pt": """SELECT *, CASE WHEN tp + fp = 0 THEN 1.0 ELSE fp / (fp + tn) END AS fpr,
+      CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fn) END AS tpr FROM cf"""}, """
+SELECT target, rater, tp, fp, tn, fn, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr,
+  round((1.0 + tpr - fpr) / 2, 6) AS auc FROM pt""")
+_PAIRS = " UNION ALL ".join(
+    f"SELECT '{t}' AS target, '{t}_Int_{a}' AS rater_a, '{t}_Int_{b}' AS rater_b, "
+    f"{t}_Int_{a} AS a, {t}_Int_{b} AS b FROM raters"
+    for t in _RT for a in "1234" for b in "1234")
+ORACLE["kappa_pairs"] = with_ctes(["raters"], {"u": _PAIRS, "cn": """
+SELECT target, rater_a, rater_b,
+  sum(CAST(a = 1 AND b = 1 AS BIGINT)) AS n11, sum(CAST(a = 1 AND b = 0 AS BIGINT)) AS n10,
+  sum(CAST(a = 0 AND b = 1 AS BIGINT)) AS n01, sum(CAST(a = 0 AND b = 0 AS BIGINT)) AS n00
+FROM u GROUP BY ALL"""}, """
+SELECT target, rater_a, rater_b, CAST(n11 + n10 + n01 + n00 AS BIGINT) AS n,
+  round(CASE WHEN ((n11 + n10) * (n10 + n00) + (n01 + n00) * (n11 + n01)) = 0 THEN NULL
+    ELSE 1.0 - (n10 + n01) / (((n11 + n10) * (n10 + n00) + (n01 + n00) * (n11 + n01)) / (n11 + n10 + n01 + n00)) END, 6) AS kappa
+FROM cn""")
+
+_COHORTED = {
+    "aged": _AGED,
+    "sc": f"""SELECT a.*, {_ABBMEDS} AS abbMEDS, {_MREMS} AS mREMS, septischeshock AS y_shock,
+      {_Y31.replace('Datum_SEH', 'a.Datum_SEH')} AS y_death,
+      CASE WHEN (nummer, CAST(a.Datum_SEH AS DATE)) IN (SELECT (nummer, Datum_SEH) FROM cohort)
+           THEN 'validation' ELSE 'main' END AS cohort FROM aged a""",
+    "sl": """SELECT cohort, 'abbMEDS' AS score, abbMEDS AS value FROM sc
+             UNION ALL SELECT cohort, 'mREMS', mREMS FROM sc""",
+    "ol": """SELECT cohort, 'shock' AS outcome, y_shock AS y FROM sc
+             UNION ALL SELECT cohort, 'death31', y_death FROM sc""",
+}
+
+
+def _coh(body, extra=None):
+    return with_ctes(["cases", "cohort"], {**_COHORTED, **(extra or {})}, body)
+
+
+ORACLE["describe_scores"] = _coh("""
+SELECT cohort, score, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+  round(CAST(min(value) AS DOUBLE), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25,
+  round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75,
+  round(CAST(max(value) AS DOUBLE), 6) AS max
+FROM (SELECT * FROM sl UNION ALL SELECT 'total', score, value FROM sl) GROUP BY cohort, score""")
+ORACLE["mann_whitney"] = _coh("""
+SELECT score, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, round(least(u_x, n1 * n2 - u_x), 6) AS u,
+  round(u_x, 6) AS u_x, round(tie, 6) AS tie_correction,
+  round((greatest(u_x, n1 * n2 - u_x) - (n1 * n2 / 2.0 + 0.5)) / sqrt(tie * n1 * n2 * (n1 + n2 + 1) / 12.0), 6) AS z
+FROM (SELECT score, n1, n2, n1 * n2 + n1 * (n1 + 1) / 2.0 - r1 AS u_x,
+        1.0 - ties / ((n1 + n2) * (n1 + n2) * (n1 + n2) - (n1 + n2)) AS tie
+      FROM (SELECT score, sum(c1) AS n1, sum(c2) AS n2, sum(c1 * mid) AS r1, sum(t * t * t - t) AS ties
+            FROM (SELECT *, (cum - t) + (t + 1) / 2.0 AS mid FROM (
+                    SELECT *, c1 + c2 AS t, sum(c1 + c2) OVER (PARTITION BY score ORDER BY value) AS cum
+                    FROM (SELECT score, value, sum(CAST(cohort = 'main' AS BIGINT)) AS c1,
+                                 sum(CAST(cohort = 'validation' AS BIGINT)) AS c2
+                          FROM sl GROUP BY score, value)))
+            GROUP BY score))""")
+ORACLE["chi_square"] = _coh("""
+SELECT outcome, round(sum(power(adj - e, 2) / e), 6) AS chi2, CAST(any_value(dof) AS INTEGER) AS dof,
+  CAST(any_value(n) AS BIGINT) AS n
+FROM (SELECT *, CASE WHEN dof = 1 THEN o + 0.5 * sign(e - o) ELSE o END AS adj FROM (
+  SELECT *, CAST(rt AS DOUBLE) * ct / n AS e, (nr - 1) * (nc - 1) AS dof FROM (
+    SELECT g.outcome, g.y, g.cohort, COALESCE(x.o, 0) AS o,
+      sum(COALESCE(x.o, 0)) OVER (PARTITION BY g.outcome, g.y) AS rt,
+      sum(COALESCE(x.o, 0)) OVER (PARTITION BY g.outcome, g.cohort) AS ct,
+      sum(COALESCE(x.o, 0)) OVER (PARTITION BY g.outcome) AS n,
+      count(DISTINCT g.y) OVER (PARTITION BY g.outcome) AS nr, 2 AS nc
+    FROM (SELECT DISTINCT outcome, y, c.cohort FROM ol, (VALUES ('main'), ('validation')) c(cohort)
+          WHERE y IS NOT NULL) g
+    LEFT JOIN (SELECT outcome, y, cohort, count(*) AS o FROM ol GROUP BY ALL) x
+      ON g.outcome = x.outcome AND g.y = x.y AND g.cohort = x.cohort)))
+GROUP BY outcome""")
+ORACLE["outcome_freq"] = _coh("""
+SELECT cohort, outcome, y, count(*) AS n FROM (SELECT * FROM ol UNION ALL SELECT 'total', outcome, y FROM ol)
+GROUP BY ALL""")
+ORACLE["crosstab"] = _coh("""
+SELECT y, count(*) FILTER (WHERE cohort = 'main') AS main,
+  count(*) FILTER (WHERE cohort = 'validation') AS validation
+FROM ol WHERE outcome = 'death31' GROUP BY y""")

@@ -308,3 +308,140 @@ def q_calibration(spark, sf):
 @query("threshold_auc")
 def q_threshold_auc(spark, sf):
     return comparable(me.threshold_auc(V.scored(spark, sf)))
+
+
+# ------------------------------------------------- statistics and splits
+from ..operators import ordinal as od  # noqa: E402
+from ..operators import stats as st  # noqa: E402
+
+RATER_TARGETS = {"Shock": "Shock", "Mortality": "Death"}
+RATER_COLUMNS = {t: [f"{t}_Int_{i}" for i in V.RATERS] for t in V.TARGETS}
+
+
+def _cohorted(spark, sf):
+    """Cases with scores, both outcomes and a main/validation label."""
+    d = _cases_aged(spark, sf).withColumns({
+        "abbMEDS": sc.abbmeds(), "mREMS": sc.mrems(),
+        "y_shock": F.col("septischeshock"),
+        "y_death": cl.outcome_within("Datum_overlijden", "Datum_SEH", 31)})
+    main, valid = co.validation_split(d, V.cohort(spark, sf))
+    return co.union_cohorts({"main": main, "validation": valid})
+
+
+def _scores_long(df):
+    rows = F.explode(F.array(F.struct(F.lit("abbMEDS").alias("score"), F.col("abbMEDS").alias("value")),
+                             F.struct(F.lit("mREMS").alias("score"), F.col("mREMS").alias("value"))))
+    return df.select("cohort", rows.alias("_s")).select("cohort", "_s.score", "_s.value")
+
+
+def _with_total(df):
+    return df.unionByName(df.withColumn("cohort", F.lit("total")))
+
+
+@query("kfold")
+def q_kfold(spark, sf):
+    lab = V.read(spark, sf, "labels").select("doc_id", "quality")
+    return od.stratified_kfold(lab, label="quality", order_by=["doc_id"], k=5)
+
+
+@query("holdout_sizes")
+def q_holdout_sizes(spark, sf):
+    o = V.read(spark, sf, "orders").select("o_orderkey")
+    s = od.holdout_split(o, key="o_orderkey", test_fraction=0.3, seed=42)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("presentation_id")
+def q_presentation_id(spark, sf):
+    pres = _anchored(spark, sf).select("patient", "anchor").distinct()
+    return comparable(od.dense_ordinal(pres, keys=["anchor", "patient"], name="id"))
+
+
+@query("scale_pop")
+def q_scale_pop(spark, sf):
+    c = V.cases(spark, sf).select("case_id", "Pols", "TRC", "URESE")
+    return comparable(st.standard_scale(c, ["Pols", "TRC", "URESE"]))
+
+
+@query("cv_risk_roc")
+def q_cv_risk_roc(spark, sf):
+    d = _cases_aged(spark, sf).select(
+        "case_id", cl.outcome_within("Datum_overlijden", "Datum_SEH", 31).alias("y"),
+        sc.risk_score("CURB").alias("p"))
+    k = 3
+    f = od.stratified_kfold(d, label="y", order_by=["case_id"], k=k)
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col("fold"))
+    train = f.withColumn("eval_fold", F.explode(others))
+    out = me.auc(train, group=["eval_fold"], y="y", p="p")
+    return comparable(out.withColumnRenamed("eval_fold", "fold"))
+
+
+@query("rater_points")
+def q_rater_points(spark, sf):
+    return comparable(st.rater_points(V.raters(spark, sf), RATER_TARGETS, RATER_COLUMNS))
+
+
+@query("kappa_pairs")
+def q_kappa_pairs(spark, sf):
+    k = st.kappa_pairs(V.raters(spark, sf), RATER_COLUMNS)
+    return comparable(k.select("target", "rater_a", "rater_b", "n", "kappa"))
+
+
+@query("describe_scores")
+def q_describe_scores(spark, sf):
+    long = _with_total(_scores_long(_cohorted(spark, sf)))
+    return comparable(st.describe(long, group=["cohort", "score"], value="value"))
+
+
+def _mw(spark, sf):
+    long = _scores_long(_cohorted(spark, sf))
+    parts = [st.mann_whitney(long.where(F.col("score") == s), value="value", cohort="cohort",
+                             first="main", second="validation").withColumn("score", F.lit(s))
+             for s in ("abbMEDS", "mREMS")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("mann_whitney")
+def q_mann_whitney(spark, sf):
+    return comparable(_mw(spark, sf))
+
+
+@query("mann_whitney_p")
+def q_mann_whitney_p(spark, sf):
+    return comparable(st.with_normal_p(_mw(spark, sf)))
+
+
+def _outcomes_long(df):
+    rows = F.explode(F.array(F.struct(F.lit("shock").alias("outcome"), F.col("y_shock").alias("y")),
+                             F.struct(F.lit("death31").alias("outcome"), F.col("y_death").alias("y"))))
+    return df.select("cohort", rows.alias("_o")).select("cohort", "_o.outcome", "_o.y")
+
+
+def _chi(spark, sf):
+    long = _outcomes_long(_cohorted(spark, sf))
+    parts = [st.chi_square(long.where(F.col("outcome") == o), value="y", cohort="cohort",
+                           cohorts=["main", "validation"]).withColumn("outcome", F.lit(o))
+             for o in ("shock", "death31")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("chi_square")
+def q_chi_square(spark, sf):
+    return comparable(_chi(spark, sf))
+
+
+@query("chi_square_p")
+def q_chi_square_p(spark, sf):
+    return comparable(st.with_chi2_p(_chi(spark, sf)))
+
+
+@query("outcome_freq")
+def q_outcome_freq(spark, sf):
+    long = _with_total(_outcomes_long(_cohorted(spark, sf)))
+    return st.value_frequencies(long, group=["cohort", "outcome"], value="y")
+
+
+@query("crosstab")
+def q_crosstab(spark, sf):
+    long = _outcomes_long(_cohorted(spark, sf)).where(F.col("outcome") == "death31")
+    return st.crosstab(long, value="y", cohort="cohort", cohorts=["main", "validation"])
