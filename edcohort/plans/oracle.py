@@ -638,3 +638,24 @@ ORACLE["crosstab"] = _coh("""
 SELECT y, count(*) FILTER (WHERE cohort = 'main') AS main,
   count(*) FILTER (WHERE cohort = 'validation') AS validation
 FROM ol WHERE outcome = 'death31' GROUP BY y""")
+
+
+# ------------------------------------------------------------- imputation
+_NUM = [c for c in _CATALOGUE if c not in CATEGORICAL_CODES]
+_RAW = ("SELECT patient, anchor, " + ", ".join(
+    f"max(CASE WHEN code = '{c}' THEN num END) AS lab_{c}" for c in _NUM)
+    + " FROM kept GROUP BY patient, anchor")
+_A = f"patient, {ts_text('anchor')} AS anchor"
+ORACLE["impute_zero"] = _build(
+    f"SELECT {_A}, " + ", ".join(f"round(COALESCE(lab_{c}, 0), 6) AS lab_{c}" for c in _NUM) + " FROM raw",
+    extra={"raw": _RAW})
+ORACLE["impute_median"] = _build(
+    f"SELECT {_A}, " + ", ".join(f"round(COALESCE(lab_{c}, m_{c}), 6) AS lab_{c}" for c in _NUM)
+    + " FROM raw, (SELECT " + ", ".join(f"quantile_cont(lab_{c}, 0.5) AS m_{c}" for c in _NUM)
+    + " FROM raw) med", extra={"raw": _RAW})
+ORACLE["impute_indicator"] = _build(
+    f"SELECT {_A}, " + ", ".join(f"CAST(lab_{c} IS NOT NULL AS INTEGER) AS lab_{c}binary" for c in _NUM)
+    + " FROM raw", extra={"raw": _RAW})
+ORACLE["impute_indicator2"] = _build(
+    f"SELECT {_A}, " + ", ".join(f"CAST(COALESCE(lab_{c} <> 0, true) AS INTEGER) AS lab_{c}binary"
+                                 for c in _NUM) + " FROM raw", extra={"raw": _RAW})

@@ -445,3 +445,39 @@ def q_outcome_freq(spark, sf):
 def q_crosstab(spark, sf):
     long = _outcomes_long(_cohorted(spark, sf)).where(F.col("outcome") == "death31")
     return st.crosstab(long, value="y", cohort="cohort", cohorts=["main", "validation"])
+
+
+# ------------------------------------------------------------- imputation
+from ..operators import impute as im  # noqa: E402
+
+NUMERIC_CATALOGUE = [c for c in CATALOGUE if c not in CATEGORICAL_CODES]
+NUMERIC_LAB_COLS = [f"lab_{c}" for c in NUMERIC_CATALOGUE]
+
+
+def _wide_raw(spark, sf):
+    """Wide numeric lab table before any fill (presence = non-NULL)."""
+    return pr.pivot_presentations(_kept(spark, sf), NUMERIC_CATALOGUE)
+
+
+@query("impute_zero")
+def q_impute_zero(spark, sf):
+    w = im.impute(_wide_raw(spark, sf), NUMERIC_LAB_COLS, "zero")
+    return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))
+
+
+@query("impute_median")
+def q_impute_median(spark, sf):
+    w = im.impute(_wide_raw(spark, sf), NUMERIC_LAB_COLS, "median")
+    return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))
+
+
+@query("impute_indicator")
+def q_impute_indicator(spark, sf):
+    w = im.impute(_wide_raw(spark, sf), NUMERIC_LAB_COLS, "complex_zero")
+    return comparable(w.select("patient", "anchor", *[f"{c}binary" for c in NUMERIC_LAB_COLS]))
+
+
+@query("impute_indicator2")
+def q_impute_indicator2(spark, sf):
+    w = im.impute(_wide_raw(spark, sf), NUMERIC_LAB_COLS, "complex_zero2")
+    return comparable(w.select("patient", "anchor", *[f"{c}binary" for c in NUMERIC_LAB_COLS]))
