@@ -481,3 +481,109 @@ def q_impute_indicator(spark, sf):
 def q_impute_indicator2(spark, sf):
     w = im.impute(_wide_raw(spark, sf), NUMERIC_LAB_COLS, "complex_zero2")
     return comparable(w.select("patient", "anchor", *[f"{c}binary" for c in NUMERIC_LAB_COLS]))
+
+
+# --------------------------------------------------------- model fitting
+from ..operators import learn as le  # noqa: E402
+
+ML_FEATURES = [c for group in CASE_FEATURES for c in group if c not in ("nummer", "Datum_SEH")] \
+    + CASE_LABS
+# Stand-in binding sizes: the source fits 100-round boosters; at the driver's
+# check scale these queries keep the same operators with fewer rounds.
+ML_ROUNDS = 20
+
+
+def _ml_data(spark, sf, k=3):
+    d = _model(spark, sf, 3)
+    d = od.stratified_kfold(d, label="y_var", order_by=["case_id"], k=k)
+    return le.assemble(d, ML_FEATURES).select("case_id", "fold", "label", "features")
+
+
+def _cv_summary(scored):
+    _, _, summary = le.cv_roc(scored)
+    return comparable(summary)
+
+
+@query("cv_gbt")
+def q_cv_gbt(spark, sf):
+    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.gbt(maxIter=ML_ROUNDS), name="gbt",
+                       key="case_id", k=3)
+    return _cv_summary(s)
+
+
+@query("cv_lr")
+def q_cv_lr(spark, sf):
+    data = _ml_data(spark, sf)
+    n = data.count()
+    s = le.out_of_fold(data, lambda: le.logistic(n), name="logistic", key="case_id", k=3)
+    return _cv_summary(s)
+
+
+@query("cv_rf")
+def q_cv_rf(spark, sf):
+    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.random_forest(numTrees=ML_ROUNDS),
+                       name="random_forest", key="case_id", k=3)
+    return _cv_summary(s)
+
+
+@query("cv_mlp")
+def q_cv_mlp(spark, sf):
+    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.neural_net(len(ML_FEATURES), maxIter=50),
+                       name="neural_net", key="case_id", k=3)
+    return _cv_summary(s)
+
+
+@query("cv_calibration")
+def q_cv_calibration(spark, sf):
+    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.gbt(maxIter=ML_ROUNDS), name="gbt",
+                       key="case_id", k=3)
+    brier, _ = le.cv_calibration(s)
+    return comparable(brier)
+
+
+@query("compare_algorithms")
+def q_compare_algorithms(spark, sf):
+    data = _ml_data(spark, sf)
+    n = data.count()
+    algos = le.algorithms(n, len(ML_FEATURES), gbt={"maxIter": ML_ROUNDS},
+                          gbt_leafwise={"maxIter": ML_ROUNDS},
+                          random_forest={"numTrees": ML_ROUNDS}, neural_net={"maxIter": 50})
+    out = None
+    for name, make in algos.items():
+        s = le.out_of_fold(data, make, name=name, key="case_id", k=3)
+        out = s if out is None else out.unionByName(s)
+    return _cv_summary(out)
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    g = le.grid_search(_ml_data(spark, sf), key="case_id", depths=[3, 5], trees=[10, 20])
+    return comparable(g)
+
+
+@query("distil")
+def q_distil(spark, sf):
+    d = od.stratified_kfold(_model(spark, sf, 3), label="y_var", order_by=["case_id"], k=3)
+    return comparable(le.distil(d, ML_FEATURES, [20, 15, 10, 5, 3, 1], key="case_id",
+                                make_estimator=lambda: le.gbt(maxIter=10)))
+
+
+def _holdout_data(spark, sf):
+    d = od.holdout_split(_model(spark, sf, 3), key="case_id", test_fraction=0.3, seed=42)
+    return le.assemble(d, ML_FEATURES).select("case_id", "split", "label", "features")
+
+
+@query("holdout_roc")
+def q_holdout_roc(spark, sf):
+    return comparable(le.holdout_roc(_holdout_data(spark, sf), key="case_id",
+                                     make_estimator=lambda: le.gbt(maxIter=ML_ROUNDS)))
+
+
+@query("early_stop")
+def q_early_stop(spark, sf):
+    data = _holdout_data(spark, sf)
+    model = le.early_stopping_gbt(data, max_iter=ML_ROUNDS)
+    pred = le.positive_probability(model.transform(data.where(F.col("split") == "test")))
+    scored = pred.select(F.lit("early_stop").alias("model"), F.lit(0).alias("fold"),
+                         F.col("label").cast("int").alias("y"), "p")
+    return comparable(me.auc(scored).withColumn("n_trees", F.lit(model.getNumTrees)))
