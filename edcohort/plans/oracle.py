@@ -659,3 +659,18 @@ ORACLE["impute_indicator"] = _build(
 ORACLE["impute_indicator2"] = _build(
     f"SELECT {_A}, " + ", ".join(f"CAST(COALESCE(lab_{c} <> 0, true) AS INTEGER) AS lab_{c}binary"
                                  for c in _NUM) + " FROM raw", extra={"raw": _RAW})
+
+
+# ------------------------------------------------------ versions, parameters
+ORACLE["latest_version"] = with_ctes(["cases"], {
+    "v": "SELECT case_id, CAST(year(Datum_SEH) % 7 + 1 AS INTEGER) AS version FROM cases"},
+    "SELECT case_id, version FROM v WHERE version = (SELECT max(version) FROM v)")
+ORACLE["hyper_params"] = with_ctes([], {"pt": """
+SELECT o_orderkey, o_orderpriority AS algorithm, CAST(o_orderkey % 7 AS INTEGER) AS algo_version,
+  CAST(o_orderkey % 3 AS INTEGER) AS model_version, CAST(o_custkey % 3 + 1 AS INTEGER) AS data_model,
+  CAST(o_orderkey % 2 + 1 AS INTEGER) AS out,
+  'max_depth=' || CAST(o_orderkey % 13 + 3 AS VARCHAR) || ';n_estimators=' ||
+  CAST(o_orderkey % 6 * 50 + 100 AS VARCHAR) || ';key=' || CAST(o_orderkey AS VARCHAR) AS params
+FROM orders"""}, """
+SELECT algorithm, model_version, data_model, out, max(algo_version) AS algo_version,
+  arg_max(params, CAST(algo_version AS BIGINT) * 1000000000 + o_orderkey) AS params FROM pt GROUP BY ALL""")

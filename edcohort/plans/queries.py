@@ -587,3 +587,33 @@ def q_early_stop(spark, sf):
     scored = pred.select(F.lit("early_stop").alias("model"), F.lit(0).alias("fold"),
                          F.col("label").cast("int").alias("y"), "p")
     return comparable(me.auc(scored).withColumn("n_trees", F.lit(model.getNumTrees)))
+
+
+# ------------------------------------------------------ versions, parameters
+from ..sources import datasets as ds  # noqa: E402
+
+
+def _versioned(spark, sf):
+    c = V.cases(spark, sf)
+    return c.select("case_id", ((F.year("Datum_SEH") % 7) + 1).cast("int").alias("version"))
+
+
+@query("latest_version")
+def q_latest_version(spark, sf):
+    return ds.latest_version(_versioned(spark, sf))
+
+
+def _param_table(spark, sf):
+    o = V.read(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        k.alias("param_id"), F.col("o_orderpriority").alias("algorithm"), (k % 7).cast("int").alias("algo_version"),
+        (k % 3).cast("int").alias("model_version"), (F.col("o_custkey") % 3 + 1).cast("int").alias("data_model"),
+        (k % 2 + 1).cast("int").alias("out"),
+        F.concat(F.lit("max_depth="), (k % 13 + 3).cast("string"), F.lit(";n_estimators="),
+                 (k % 6 * 50 + 100).cast("string"), F.lit(";key="), k.cast("string")).alias("params"))
+
+
+@query("hyper_params")
+def q_hyper_params(spark, sf):
+    return ds.latest_parameters(_param_table(spark, sf))
