@@ -34,37 +34,46 @@ def score_counts(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
                                          F.sum(1 - F.col(y)).cast("bigint").alias("fp"))
 
 
-def _cumulated(scored, group, y, p):
+def cumulated(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
+              y: str = "y", p: str = "p") -> DataFrame:
+    """One row per (group, distinct score) with running positives/negatives
+    (scores descending) and the group totals ``_P``, ``_N``."""
     counts = score_counts(scored, group=group, y=y, p=p)
     cum = prefix_sums(counts, order_by=[F.col(p).desc()], partition_by=list(group),
                       sums={"ctp": F.col("tp"), "cfp": F.col("fp")})
-    totals = counts.groupBy(*group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"),
-                                        F.max(p).alias("_pmax"))
+    # totals from the (checkpointed) running-sum table: no second pass over the input
+    totals = cum.groupBy(*group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
     return cum.join(totals, on=list(group), how="inner")
 
 
+def points_from(cum: DataFrame, *, group: Sequence[str] = ("model", "fold"), p: str = "p") -> DataFrame:
+    pts = cum.select(*group, F.col(p).alias("threshold"),
+                     _div(F.col("cfp"), F.col("_N")).alias("fpr"),
+                     _div(F.col("ctp"), F.col("_P")).alias("tpr"))
+    start = cum.groupBy(*group).agg((F.max(p) + 1).alias("threshold")).select(
+        *group, "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return pts.unionByName(start)
+
+
+def auc_from(cum: DataFrame, *, group: Sequence[str] = ("model", "fold")) -> DataFrame:
+    term = F.col("fp") * (2 * F.col("ctp") - F.col("tp"))
+    return cum.groupBy(*group).agg(
+        _div(F.sum(term), 2 * F.first("_P") * F.first("_N")).alias("auc"),
+        F.first("_P").alias("n_pos"), F.first("_N").alias("n_neg"))
+
+
 def roc_points(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
                y: str = "y", p: str = "p") -> DataFrame:
     """(group, threshold, fpr, tpr) for every distinct score, descending,
     plus the start point (0, 0) at threshold max(p) + 1."""
-    c = _cumulated(scored, group, y, p)
-    pts = c.select(*group, F.col(p).alias("threshold"),
-                   _div(F.col("cfp"), F.col("_N")).alias("fpr"),
-                   _div(F.col("ctp"), F.col("_P")).alias("tpr"))
-    start = c.groupBy(*group).agg((F.max(p) + 1).alias("threshold")).select(
-        *group, "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return pts.unionByName(start)
+    return points_from(cumulated(scored, group=group, y=y, p=p), group=group, p=p)
 
 
 def auc(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
         y: str = "y", p: str = "p") -> DataFrame:
     """Trapezoid area under the ROC points, as one aggregate:
     sum over scores of fp_i * (2 * cum_tp_i - tp_i) / (2 P N)."""
-    c = _cumulated(scored, group, y, p)
-    term = F.col("fp") * (2 * F.col("ctp") - F.col("tp"))
-    return c.groupBy(*group).agg(
-        _div(F.sum(term), 2 * F.first("_P") * F.first("_N")).alias("auc"),
-        F.first("_P").alias("n_pos"), F.first("_N").alias("n_neg"))
+    return auc_from(cumulated(scored, group=group, y=y, p=p), group=group)
 
 
 def grid_x(j: Column, n_grid: int = 100) -> Column:
@@ -141,8 +150,9 @@ def cross_validated_roc(scored: DataFrame, *, model: str = "model", fold: str =
                         y: str = "y", p: str = "p", n_grid: int = 100):
     """E8 on a scored table: (fold AUCs, mean curve with band, summary)."""
     group = [model, fold]
-    fold_auc = auc(scored, group=group, y=y, p=p)
-    grid = roc_grid(roc_points(scored, group=group, y=y, p=p), group=group, n_grid=n_grid)
+    cum = cumulated(scored, group=group, y=y, p=p)
+    fold_auc = auc_from(cum, group=group)
+    grid = roc_grid(points_from(cum, group=group, p=p), group=group, n_grid=n_grid)
     band = roc_mean_band(grid, model=model, n_grid=n_grid)
     return fold_auc, band, roc_summary(band, fold_auc, model=model)
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parsing import safe_double
+from ..session import reliable_checkpoint
 from ..functions.results import CATEGORICAL_CODES, DENY_CODES, normalise_result
 
 _US_PER_MINUTE = 60_000_000
@@ -205,17 +206,25 @@ def count_positive(columns: Sequence[str]) -> Column:
 def build_presentations(lab: DataFrame, codes: Sequence[str], *, fraction: float = 0.80,
                         snap_minutes: int = 120, gap_minutes: int = 1440, min_present: int = 2,
                         category_vals: dict[str, Sequence[str]] | None = None,
-                        prefix: str = "lab_", fill_zero: bool = True) -> DataFrame:
+                        prefix: str = "lab_", fill_zero: bool = True,
+                        materialize: bool = True) -> DataFrame:
     """Entry 1 up to the visit match: lab rows (seq, patient, ts, code, result)
     -> one row per presentation with lab values, presence indicators, one-hot
     categories, zero fill and ``Num_vars``.
 
     ``codes`` is the explicit column catalogue of the wide table; codes removed
     by the top-fraction filter stay as empty (zero-filled) columns.
+
+    The deduplicated long rows feed three consumers (presence counts, code
+    means, the pivot); ``materialize`` writes them once as a reliable
+    checkpoint so the anchor fold and its joins are not recomputed per
+    consumer and a lost executor does not re-run them.
     """
     rows = top_fraction_filter(deny_filter(lab), fraction=fraction)
     rows = anchor_times(rows, snap_minutes=snap_minutes, gap_minutes=gap_minutes)
     dedup = dedup_first(normalise(rows))
+    if materialize:
+        dedup = reliable_checkpoint(dedup)
     kept = resolve_markers(sparse_filter(dedup, min_present=min_present))
     wide = pivot_presentations(kept, codes, prefix=prefix)
     wide = wide.withColumn("Tijd", (F.hour("anchor") + F.minute("anchor")) / F.lit(60.0))

@@ -1,0 +1,29 @@
+"""Incremental arrival of lab extracts.
+
+The source processes finished files only; it has no stream, watermark or
+state.  This module only offers the lab scan (S1) as a file stream so that new
+extract files can be appended to a Parquet landing table with
+``foreachBatch``; the build itself stays a batch job over that table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def lab_extract_stream(spark: SparkSession, directory: str, columns: list[str], *,
+                       sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
+    """Stream of new extract files in ``directory`` (all columns as text)."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                          + [T.StructField("_extra", T.StringType())])
+    return (spark.readStream.schema(schema).option("header", True).option("sep", sep)
+            .option("encoding", encoding).csv(directory)
+            .where("_extra IS NULL").drop("_extra"))
+
+
+def append_to_landing(stream: DataFrame, landing: str, checkpoint: str):
+    """Append each micro-batch to the landing table (exactly-once via the
+    stream checkpoint, which must be a shared folder on a cluster)."""
+    return (stream.writeStream.format("parquet").option("path", landing)
+            .option("checkpointLocation", checkpoint).outputMode("append").start())
