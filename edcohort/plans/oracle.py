@@ -674,3 +674,24 @@ SELECT o_orderkey, o_orderpriority AS algorithm, CAST(o_orderkey % 7 AS INTEGER)
 FROM orders"""}, """
 SELECT algorithm, model_version, data_model, out, max(algo_version) AS algo_version,
   arg_max(params, CAST(algo_version AS BIGINT) * 1000000000 + o_orderkey) AS params FROM pt GROUP BY ALL""")
+
+
+# ------------------------------------------------------ baseline table
+def _unpivot(sub: str, section: str, cohort: str, item: str, stats) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {cohort} AS cohort, {item} AS item, '{s}' AS stat, "
+        f"round(CAST({s} AS DOUBLE), 6) AS value FROM ({sub})" for s in stats)
+
+
+ORACLE["baseline_table"] = " UNION ALL ".join([
+    _unpivot(ORACLE["describe_scores"], "describe", "cohort", "score",
+             ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+    _unpivot(ORACLE["mann_whitney"], "mann_whitney", "'main_vs_validation'", "score", ["u", "z"]),
+    _unpivot(ORACLE["chi_square"], "chi_square", "'main_vs_validation'", "outcome", ["chi2", "dof"]),
+    _unpivot(ORACLE["outcome_freq"], "frequency", "cohort", "outcome || '=' || CAST(y AS VARCHAR)", ["n"]),
+])
+ORACLE["match_histogram"] = _build("""
+SELECT hits, count(*) AS visits FROM (
+  SELECT v.visit_id, CAST(count(h.visit_id) AS BIGINT) AS hits FROM visits v
+  LEFT JOIN hits h ON h.visit_id = v.visit_id GROUP BY v.visit_id) GROUP BY hits""",
+    extra={"wide": _WIDE_SQL, "hits": _HITS}, views=("lab", "visits"))

@@ -496,7 +496,9 @@ ML_ROUNDS = 20
 def _ml_data(spark, sf, k=3):
     d = _model(spark, sf, 3)
     d = od.stratified_kfold(d, label="y_var", order_by=["case_id"], k=k)
-    return le.assemble(d, ML_FEATURES).select("case_id", "fold", "label", "features")
+    # fitted k times: keep the assembled input in memory/disk (recomputed from
+    # lineage if an executor is lost)
+    return le.assemble(d, ML_FEATURES).select("case_id", "fold", "label", "features").persist()
 
 
 def _cv_summary(scored):
@@ -617,3 +619,38 @@ def _param_table(spark, sf):
 @query("hyper_params")
 def q_hyper_params(spark, sf):
     return ds.latest_parameters(_param_table(spark, sf))
+
+
+# ------------------------------------------------------ baseline table
+def _long(df, section, cohort, item, stats):
+    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("value"))
+                               for s in stats]))
+    return df.select(F.lit(section).alias("section"), cohort.alias("cohort"), item.alias("item"),
+                     rows.alias("_s")).select("section", "cohort", "item", "_s.stat", "_s.value")
+
+
+@query("baseline_table")
+def q_baseline_table(spark, sf):
+    """Scores described per cohort, Mann-Whitney between cohorts, chi-square
+    and frequencies of the outcomes, as one long table."""
+    coh = _cohorted(spark, sf)
+    desc = st.describe(_with_total(_scores_long(coh)), group=["cohort", "score"], value="value")
+    parts = [
+        _long(desc, "describe", F.col("cohort"), F.col("score"),
+              ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+        _long(_mw(spark, sf), "mann_whitney", F.lit("main_vs_validation"), F.col("score"), ["u", "z"]),
+        _long(_chi(spark, sf), "chi_square", F.lit("main_vs_validation"), F.col("outcome"),
+              ["chi2", "dof"]),
+    ]
+    freq = st.value_frequencies(_with_total(_outcomes_long(coh)), group=["cohort", "outcome"], value="y")
+    parts.append(_long(freq, "frequency", F.col("cohort"),
+                       F.concat(F.col("outcome"), F.lit("="), F.col("y").cast("string")), ["n"]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return comparable(out)
+
+
+@query("match_histogram")
+def q_match_histogram(spark, sf):
+    return co.hit_histogram(co.match_audit(V.visits(spark, sf), _wide(spark, sf)))
