@@ -103,7 +103,7 @@ def stratified_kfold(df: DataFrame, *, label: str, order_by: Sequence[str], k: i
                              else F.array().cast("array<bigint>").alias("_bounds"))
 
     ranked = global_ordinal(df, order_by=list(order_by), name="_r", partition_by=[label], **kw)
-    out = ranked.join(F.broadcast(classes), on=label, how="inner")
+    out = ranked.join(classes, on=label, how="inner")   # one row per class
     fold = F.size(F.filter("_bounds", lambda b: b <= F.col("_r")))
     return out.withColumn(fold_col, fold.cast("int")).drop("_r", "_bounds")
 
@@ -118,3 +118,40 @@ def holdout_split(df: DataFrame, *, key: str, test_fraction: float = 0.3, seed:
     ranked = global_ordinal(df.withColumn("_h", h), order_by=["_h", key], name="_r", **kw)
     return (ranked.withColumn(split_col, F.when(F.col("_r") < n_test, "test").otherwise("train"))
             .drop("_h", "_r"))
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], *,
+                    group: Sequence[str] = (), **kw) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas / ``quantile_cont``),
+    per group, without holding a column in one task.
+
+    Value counts (partial aggregation) -> running totals over the distinct
+    values (``prefix_sums``) -> for position h = (n - 1) q the values at
+    floor(h) and ceil(h) are the distinct values whose count range covers
+    them.  Returns (group..., q, quantile)."""
+    g = list(group)
+    counts = (df.where(F.col(value).isNotNull()).groupBy(*g, value)
+              .agg(F.count(F.lit(1)).alias("_c")))
+    cum = prefix_sums(counts, order_by=[value], partition_by=g, sums={"_cum": F.col("_c")}, **kw)
+    n = cum.groupBy(*g).agg(F.sum("_c").alias("_n"))
+    qrows = F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q")
+    pos = n.select(*g, "_n", qrows).withColumn("_h", (F.col("_n") - 1) * F.col("q"))
+    pos = pos.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
+    # each position is covered by exactly one distinct value: cum - c <= pos < cum.
+    # pos has len(qs) rows per group; without groups it is len(qs) rows in
+    # total, a proven bound, so it is broadcast and the range test runs per row.
+    def cover(p_col):
+        return (F.col("_cum") - F.col("_c") <= F.col(p_col)) & (F.col(p_col) < F.col("_cum"))
+
+    def attach(positions):
+        if g:
+            return cum.join(positions, on=g, how="inner")
+        return cum.join(F.broadcast(positions), on=F.lit(True), how="inner")
+
+    lo = attach(pos).where(cover("_lo")).select(
+        *g, "q", "_h", "_lo", F.col(value).cast("double").alias("_vlo"))
+    hi = attach(pos.select(*g, "q", "_hi")).where(cover("_hi")).select(
+        *g, "q", F.col(value).cast("double").alias("_vhi"))
+    out = lo.join(hi, on=[*g, "q"], how="inner")
+    return out.select(*g, "q", (F.col("_vlo") + (F.col("_h") - F.col("_lo")) *
+                                (F.col("_vhi") - F.col("_vlo"))).alias("quantile"))

@@ -55,7 +55,8 @@ def top_codes(df: DataFrame, *, code: str = "code", fraction: float = 0.80) -> D
 def top_fraction_filter(df: DataFrame, *, code: str = "code", fraction: float = 0.80) -> DataFrame:
     """Keep rows whose code is among the most frequent ``fraction`` of codes."""
     keep = top_codes(df, code=code, fraction=fraction).select(code)
-    return df.join(F.broadcast(keep), on=code, how="left_semi")
+    # one row per kept code; AQE broadcasts it after checking its runtime size
+    return df.join(keep, on=code, how="left_semi")
 
 
 # ------------------------------------------------------------------------ A6
@@ -139,7 +140,7 @@ def resolve_markers(dedup: DataFrame, *, code: str = "code") -> DataFrame:
     """a marker takes its code's mean; NULL when the code has no number."""
     means = marker_means(dedup, code=code)
     is_cat = F.col(code).isin(*CATEGORICAL_CODES)
-    out = dedup.join(F.broadcast(means), on=code, how="left")
+    out = dedup.join(means, on=code, how="left")   # one row per code; AQE sizes it
     m = F.col("marker") == 1
     return (out.withColumn("num", F.when(m & ~is_cat, F.col("_mean")).otherwise(F.col("num")))
             .withColumn("txt", F.when(m & is_cat, F.col("_mean").cast("string"))

@@ -60,7 +60,9 @@ def _anchored(spark, sf):
 
 
 def _dedup(spark, sf):
-    return pr.dedup_first(pr.normalise(_anchored(spark, sf)))
+    # three consumers downstream (counts, means, pivot): materialize once
+    from ..session import reliable_checkpoint
+    return reliable_checkpoint(pr.dedup_first(pr.normalise(_anchored(spark, sf))))
 
 
 def _kept(spark, sf):
@@ -654,3 +656,9 @@ def q_baseline_table(spark, sf):
 @query("match_histogram")
 def q_match_histogram(spark, sf):
     return co.hit_histogram(co.match_audit(V.visits(spark, sf), _wide(spark, sf)))
+
+
+@query("impute_mice")
+def q_impute_mice(spark, sf):
+    w = im.impute_chained(_wide_raw(spark, sf), NUMERIC_LAB_COLS, rounds=2)
+    return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))

@@ -16,7 +16,7 @@ PARTITIONS = ("version", "model", "out", "split")
 def latest_version(df: DataFrame, version: str = "version") -> DataFrame:
     """Rows of the highest version."""
     top = df.agg(F.max(version).alias("_v"))
-    return df.join(F.broadcast(top), F.col(version) == F.col("_v"), "left_semi")
+    return df.join(top, F.col(version) == F.col("_v"), "left_semi")
 
 
 def latest_version_number(spark: SparkSession, root: str) -> int:
