@@ -662,3 +662,15 @@ def q_match_histogram(spark, sf):
 def q_impute_mice(spark, sf):
     w = im.impute_chained(_wide_raw(spark, sf), NUMERIC_LAB_COLS, rounds=2)
     return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))
+
+
+# ------------------------------------------------------------ attribution
+from ..operators import explain as ex  # noqa: E402
+
+
+@query("attribution")
+def q_attribution(spark, sf):
+    data = _holdout_data(spark, sf)
+    model = le.gbt(maxIter=ML_ROUNDS).fit(data.where(F.col("split") == "train"))
+    return comparable(ex.attribution(model, data.where(F.col("split") == "test"), ML_FEATURES,
+                                     key="case_id"))

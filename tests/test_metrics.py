@@ -148,3 +148,21 @@ def test_chained_imputation_recovers_linear_relation(spark):
     for i in range(0, 60, 5):
         assert abs(out[i] - (2.0 * i + 1)) < 1e-6
     assert all(out[i] == 2.0 * i + 1 for i in range(60) if i % 5)
+
+
+def test_attribution_sums_to_margin(spark):
+    from pyspark.ml.functions import vector_to_array
+    from edcohort.operators import explain as ex
+    from edcohort.operators import learn as le
+    rnd = random.Random(2)
+    rows = [(i, rnd.random(), rnd.random(), rnd.random()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    df = df.withColumn("y_var", ((F.col("a") + F.col("b") * 0.5) > 0.7).cast("int"))
+    data = le.assemble(df, ["a", "b", "c"])
+    model = le.gbt(maxIter=5, maxDepth=3).fit(data)
+    att = ex.attribution(model, data, ["a", "b", "c"], key="id")
+    margin = {r.id: r.contribution for r in att.where(F.col("feature") == "_margin").collect()}
+    raw = {r.id: r.m for r in model.transform(data).select(
+        "id", vector_to_array("rawPrediction")[1].alias("m")).collect()}
+    for i in range(300):
+        assert abs(margin[i] - raw[i]) < 1e-9
