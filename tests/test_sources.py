@@ -70,3 +70,15 @@ def test_rater_sheet(spark):
     assert df.columns == ex.RATER_SHEET_COLUMNS
     assert df.count() == 100
     assert df.agg(F.max("Patient")).first()[0] == 99
+
+
+def test_visit_scan_default_time(spark):
+    import datetime as dt
+    d = tempfile.mkdtemp(prefix="edcohort-test-")
+    p = os.path.join(d, "visits.csv")
+    _write(p, "nummer,Datum_SEH,Uur_Binnenkomst_SEH,Pols\n"
+              "7,2020-01-02,13:45,88\n8,2020-01-03,,x\n9,2020-01-04,08:15:30,70.5\n", "utf-8")
+    rows = {r.nummer: r for r in ex.read_visits(spark, p, numeric=["Pols"]).collect()}
+    assert rows[7].Datum_SEH == dt.datetime(2020, 1, 2, 13, 45) and rows[7].Pols == 88.0
+    assert rows[8].Datum_SEH == dt.datetime(2020, 1, 3, 7, 0) and rows[8].Pols is None
+    assert rows[9].Datum_SEH == dt.datetime(2020, 1, 4, 8, 15, 30)
