@@ -82,3 +82,25 @@ def test_visit_scan_default_time(spark):
     assert rows[7].Datum_SEH == dt.datetime(2020, 1, 2, 13, 45) and rows[7].Pols == 88.0
     assert rows[8].Datum_SEH == dt.datetime(2020, 1, 3, 7, 0) and rows[8].Pols is None
     assert rows[9].Datum_SEH == dt.datetime(2020, 1, 4, 8, 15, 30)
+
+
+def test_derive_export_and_evaluate(spark):
+    from edcohort.plans import views as V
+    from edcohort.plans.derive import derive_and_export
+    from edcohort.plans.evaluate import cross_validate
+    from edcohort.plans.queries import AS_OF, CASE_FEATURES, CASE_LABS
+    from edcohort.operators import learn as le
+    sf = "/root/testdata/sf0.001"
+    root = os.path.join(tempfile.mkdtemp(prefix="edcohort-test-"), "models")
+    cases = V.cases(spark, sf)
+    v = derive_and_export(cases, V.cohort(spark, sf), root, models=(1, 3), out=3, as_of=AS_OF,
+                          lab_columns=CASE_LABS, features=CASE_FEATURES)
+    assert v == 1
+    main = ds.read_data_model(spark, root, model=3, out=3, split="main")
+    val = ds.read_data_model(spark, root, model=3, out=3, split="validation")
+    assert main.count() + val.count() == cases.count()
+    assert "nummer" not in main.columns and "y_var" in main.columns
+    feats = [c for c in main.columns if c not in ("case_id", "y_var")]
+    res = cross_validate(main, feats, lambda: le.logistic(1000), name="logistic", k=3)
+    s = res["summary"].first()
+    assert 0.0 <= s.mean_auc <= 1.0
