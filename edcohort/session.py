@@ -34,13 +34,16 @@ def local_session(cores: int | str = "*", app: str = "edcohort",
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the session's, else ``spark.checkpoint.dir``,
-    else (tests only) a new scratch folder."""
+    else a new scratch folder, but only where the master is local (tests): on a
+    cluster a folder of the driver's machine would be a wrong place."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="edcohort-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

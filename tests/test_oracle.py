@@ -27,7 +27,7 @@ def test_every_query_has_oracle_or_is_documented():
     rows_only = {"mann_whitney_p", "chi_square_p", "cv_gbt", "cv_lr", "cv_rf", "cv_mlp", "attribution", "impute_mice",
                  "cv_calibration", "compare_algorithms", "grid_search", "distil", "holdout_roc",
                  "early_stop"}
-    missing = set(E.queries()) - set(E.oracle_sql()) - rows_only
+    missing = set(E.QUERIES) - set(E.oracle_sql()) - rows_only
     assert not missing, missing
 
 
