@@ -12,9 +12,10 @@ Steps, all on classes of documents with equal sets (copies never meet each other
 2. The most frequent tokens (bounded table, broadcast) define order A; any order is valid,
    the table only decides how selective the filter is.
 3. A second pass emits the prefix postings (token, class).  Tokens with more than one class
-   are *shared*; a third pass writes the sets of the classes that hold a shared prefix token.
+   are *shared*; only their posting lists are kept.
 4. Hub rounds: in each posting list (by size band) classes are compared with a few hubs
    only, never with each other.  Linked classes are merged (``components``).
+   Before sets are made, pairs must also share enough prefix tokens.
 5. What is left is done in full: every pair of a posting list whose classes still have
    different labels, after the filters.  A pair inside one component need not be checked,
    as it cannot change the components.  No list is capped.
@@ -135,51 +136,42 @@ def _prefixes(sets: list[np.ndarray], table, percent: int) -> list[np.ndarray]:
     return out
 
 
-def postings(docs: DataFrame, table, shingle: int, percent: int) -> DataFrame:
-    """(token, cls): the prefix of each class under order A."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def postings(docs: DataFrame, table, shingle: int, percent: int, tokens: np.ndarray | None = None) -> DataFrame:
+    """(token, cls, n, pos): the prefix of each class under order A, with the set's size and the
+    position; only the given (sorted) ``tokens``, if any are given."""
+    sent = docs.sparkSession.sparkContext.broadcast((table, tokens))
 
     def run(batches):
         for b in batches:
+            table, tokens = sent.value
             for _, sets, ids in _classes(b, shingle):
                 fresh = {c: s for c, s in zip(ids, sets, strict=True) if len(s)}
-                if fresh:
-                    pre = _prefixes(list(fresh.values()), shared.value, percent)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_int64(np.concatenate(pre))),
-                         pa.array(np.repeat(np.fromiter(fresh, np.int64), [len(p) for p in pre]))], names=["token", "cls"])
-
-    return docs.select("text").mapInArrow(run, "token long, cls long")
-
-
-def sets_of_candidates(docs: DataFrame, table, tokens: np.ndarray | None, shingle: int, percent: int) -> DataFrame:
-    """(cls, n, shared, pos, tokens): per class its size, its prefix tokens (those in ``tokens``
-    only, if given; classes without any are left out), their positions under order A, and its
-    whole sorted set as bytes."""
-    sent = docs.sparkSession.sparkContext.broadcast((table, tokens))
-
+                if not fresh:
+                    continue
+                pre = _prefixes(list(fresh.values()), table, percent)
+                token = np.concatenate(pre)
+                many = [len(p) for p in pre]
+                cols = [_int64(token), np.repeat(np.fromiter(fresh, np.int64), many),
+                        np.repeat(np.array([len(s) for s in fresh.values()], np.int64), many),
+                        np.concatenate([np.arange(m) for m in many])]
+                if tokens is not None:
+                    at = np.minimum(np.searchsorted(tokens, token), max(len(tokens) - 1, 0))
+                    keep = tokens[at] == token if len(tokens) else np.zeros(len(token), bool)
+                    cols = [c[keep] for c in cols]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "cls", "n", "pos"])
+
+    return docs.select("text").mapInArrow(run, "token long, cls long, n long, pos long")
+
+
+def whole_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(cls, tokens): the sorted set of each document as bytes."""
     def run(batches):
         for b in batches:
-            table, tokens = sent.value
             for _, sets, ids in _classes(b, shingle):
-                fresh = {c: s for c, s in zip(ids, sets, strict=True) if len(s)}
-                rows = []
-                for (c, s), p in zip(fresh.items(), _prefixes(list(fresh.values()), table, percent), strict=True):
-                    pos = np.arange(len(p), dtype=np.int64)
-                    if tokens is not None and len(p):
-                        at = np.minimum(np.searchsorted(tokens, p), max(len(tokens) - 1, 0))
-                        pos = np.flatnonzero(tokens[at] == p) if len(tokens) else pos[:0]
-                    if len(pos):
-                        rows.append((c, len(s), _int64(p[pos]), pos, s.tobytes()))
-                if rows:
-                    c, n, p, pos, s = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()), pa.array(n, pa.int64()), pa.array(p, pa.list_(pa.int64())),
-                         pa.array(pos, pa.list_(pa.int64())), pa.array(s, pa.binary())],
-                        names=["cls", "n", "shared", "pos", "tokens"])
-
-    return docs.select("text").mapInArrow(
-        run, "cls long, n long, shared array<long>, pos array<long>, tokens binary")
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                                 names=["cls", "tokens"])
+
+    return docs.select("text").mapInArrow(run, "cls long, tokens binary")
 
 
 def _permuted_prefix(s: np.ndarray, key: int, percent: int) -> np.ndarray:
@@ -201,8 +193,24 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def prefixes_meet(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes under order A share enough: of two sets, the overlap is at most the
+    common prefix tokens plus what lies behind the prefix of the one whose prefix ends first."""
+    def side(c, x):
+        return prefixes.select(F.col("cls").alias(c), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
+    both = F.size(F.array_intersect("t1", "t2"))
+    behind = F.greatest(*[F.col(n) - prefix_length(F.col(n), percent) for n in ("n1", "n2")])
+    return (pairs.join(side("a", 1), "a").join(side("b", 2), "b")
+            .where(both + behind >= overlap_needed(F.col("n1"), F.col("n2"), percent)).select("a", "b"))
+
+
+def verify(pairs: DataFrame, docs: DataFrame, docs_cls: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that link.  Sets are made only of one document of each class
+    that occurs in a pair."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    one = docs_cls.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "th")).alias("k"))
+    one = bounded(freeze(one.select("k.*")))
+    sets = freeze(whole_sets(docs.join(one, on_keys(docs, one, "doc_id", "th"), "left_semi"), shingle))
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
 
@@ -284,7 +292,7 @@ def all_pairs_left(lists: DataFrame, percent: int) -> DataFrame:
     return meet.select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b")).distinct()
 
 
-def link_classes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def link_classes(lists: DataFrame, check, percent: int) -> DataFrame | None:
     """(vertex, label) of all classes that link with another.
 
     Hub rounds go on while a full comparison would meet more pairs than a few per row of the
@@ -301,7 +309,7 @@ def link_classes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if done is not None:
             new = new.join(done, ["a", "b"], "left_anti")
         new = freeze(new)
-        found = verify(new, sets, percent)
+        found = check(new)
         links = freeze(found if links is None else links.union(found))
         labels = components(links)
         if last:
@@ -329,24 +337,18 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     shared = freeze(shared)
     if shared.count() <= shared_limit:
         tokens = np.sort(np.asarray(shared.toArrow()["token"], dtype=np.int64).view(np.uint64))
-        sets = sets_of_candidates(keys, table, tokens, shingle, percent)
-        sets = freeze(sets.dropDuplicates(["cls"]))
-        lists = sets.select("cls", "n", F.size("shared").alias("k"), F.explode(F.arrays_zip("shared", "pos")).alias("t"))
-        lists = lists.select("cls", "n", "k", F.col("t.shared").alias("token"), F.col("t.pos").alias("pos"))
+        lists = freeze(postings(keys, table, shingle, percent, tokens).distinct())
     else:
-        wanted = post.join(shared, "token", "left_semi").select("cls").distinct()
-        one = freeze(docs_cls.join(wanted, "cls", "left_semi").groupBy("cls")
-                     .agg(F.min(F.struct("doc_id", "th")).alias("k")).select("k.*"))
-        near = bounded(one)
-        some = keys.join(near, on_keys(keys, near, "doc_id", "th"), "left_semi")
-        sets = freeze(sets_of_candidates(some, table, None, shingle, percent).dropDuplicates(["cls"]))
-        lists = sets.select("cls", "n", F.explode(F.arrays_zip("shared", "pos")).alias("t"))
-        lists = lists.select("cls", "n", F.col("t.shared").alias("token"), F.col("t.pos").alias("pos"))
-        lists = freeze(lists.join(shared, "token", "left_semi"))
-        lists = lists.join(lists.groupBy("cls").agg(F.count("*").alias("k")), "cls")
+        lists = freeze(post.distinct().join(shared, "token", "left_semi"))
+    prefixes = freeze(lists.groupBy("cls").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens")))
     length = prefix_length(F.col("n"), percent)
-    lists = lists.withColumn("own", F.floor(F.try_divide(100 * (length - F.col("k")), length)))
-    labels = link_classes(lists, sets, percent)
+    own = prefixes.select("cls", F.floor(F.try_divide(100 * (length - F.size("tokens")), length)).alias("own"))
+    lists = freeze(lists.join(own, "cls"))
+
+    def check(pairs):
+        return verify(freeze(prefixes_meet(pairs, prefixes, percent)), keys, docs_cls, shingle, percent)
+
+    labels = link_classes(lists, check, percent)
     by_class = docs_cls.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     if labels is None:
         by_class = by_class.withColumn("label", F.col("cls"))

@@ -136,3 +136,9 @@ def shingle_set(words: np.ndarray, n: int = 5) -> np.ndarray:
 def crc_of_ids(ids) -> np.ndarray:
     """Unsigned crc32 of each doc_id written as text; a null id counts as the empty text."""
     return np.array([zlib.crc32(b"" if v is None else str(v).encode()) for v in ids], dtype=np.int64)
+
+
+def word_hash(word: str, lower: bool = True) -> int:
+    """The hash that ``hashed_docs`` gives this word."""
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return int(_block_hashes(raw, np.array([0]), lower)[0][0])
