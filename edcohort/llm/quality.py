@@ -3,9 +3,9 @@
 Each text gets a histogram over character classes and one over the common words of its
 language (plus one bin for all other words).  The reference histograms of each language are
 the sums over all documents of that language that pass the base rules, so they cover the
-whole corpus; they have a few dozen bins per language.  A document is rejected when the
-Jensen-Shannon distance (base 2, 0 to 1) of either histogram from its language's reference
-is over the limit, given enough characters or words to judge by.
+whole corpus; they have a few dozen bins per language.  A document is judged by the
+Jensen-Shannon distances (base 2, 0 to 1) of its histograms from its language's references,
+given enough characters or words to judge by.
 
 One Arrow pass computes the counts; the references are grouped sums; the distances are
 built-in expressions on the histogram columns.
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import bounded, freeze
+from .common import bounded, freeze, without
 
 # Frequent function words of four languages, the bins of the common-word histogram.
 COMMON_WORDS = {
@@ -105,50 +105,50 @@ def features(docs: DataFrame) -> DataFrame:
                     text = texts[k].as_py() or ""
                     raw = np.frombuffer(text.encode(), np.uint8)
                     chars = np.bincount(_CLASS[raw], minlength=len(CLASSES) + 1)[:len(CLASSES)]
-                    rows.append((hi - lo, int((~_IS_SPACE[raw] & ~_IS_CONTINUATION[raw]).sum()), int(_IS_SYMBOL[raw].sum()),
+                    rows.append((int(chars.sum()), hi - lo, int((~_IS_SPACE[raw] & ~_IS_CONTINUATION[raw]).sum()), int(_IS_SYMBOL[raw].sum()),
                                  duplicate_lines(text), repeated_window_words(exact[lo:hi]), chars,
                                  np.bincount(common[lo:hi], minlength=len(WORDS) + 1)))
             if rows:
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("th"), b.column("lang"), *[pa.array(c, pa.int64()) for c in cols[:5]],
-                     *[pa.array(list(c), pa.list_(pa.int64())) for c in cols[5:]]], names=names)
+                    [b.column("doc_id"), b.column("th"), b.column("lang"), *[pa.array(c, pa.int64()) for c in cols[:6]],
+                     *[pa.array(list(c), pa.list_(pa.int64())) for c in cols[6:]]], names=names)
 
-    names = ["doc_id", "th", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common"]
+    names = ["doc_id", "th", "lang", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common"]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    return docs.mapInArrow(run, f"doc_id {kinds['doc_id']}, th long, lang {kinds['lang']}, n_words long, word_chars long, n_symbols long, "
+    return docs.mapInArrow(run, f"doc_id {kinds['doc_id']}, th long, lang {kinds['lang']}, n_chars long, n_words long, word_chars long, n_symbols long, "
                                 "n_dup_lines long, n_repeat_words long, chars array<long>, common array<long>")
 
 
 def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance, base 2, of two arrays of counts; 0 where one has no counts."""
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    tp, tq = total(p), total(q)
-
+    """Jensen-Shannon distance, base 2, of two distributions (arrays); null if one is null."""
     def term(x, y):
-        a, b = x / tp, y / tq
-        m = (a + b) / 2
+        m = (x + y) / 2
         part = lambda v: F.when(v > 0, v * F.log2(v / m)).otherwise(F.lit(0.0))
-        return (part(a) + part(b)) / 2
+        return (part(x) + part(y)) / 2
 
     d = F.aggregate(F.zip_with(p, q, term), F.lit(0.0), lambda s, x: s + x)
-    return F.when((tp > 0) & (tq > 0), F.sqrt(F.greatest(d, F.lit(0.0)))).otherwise(F.lit(0.0))
+    return F.sqrt(F.greatest(d, F.lit(0.0)))
 
 
 def references(found: DataFrame) -> DataFrame:
-    """(lang, ref_chars, ref_common): summed histograms of the documents that pass the base rules."""
-    def sums(name, bins):
-        return F.array(*[F.sum(F.get(name, F.lit(k))).cast("double") for k in range(bins)])
+    """(lang, ref_chars, ref_common): distributions over the documents that pass the base rules."""
+    def share(name, total, bins):
+        return F.array(*[F.try_divide(F.sum(F.get(name, F.lit(k))), F.sum(total)) for k in range(bins)])
     good = found.where(~F.col("base_failed") & F.col("lang").isNotNull())
-    return good.groupBy("lang").agg(sums("chars", len(CLASSES)).alias("ref_chars"), sums("common", len(WORDS) + 1).alias("ref_common"))
+    return good.groupBy("lang").agg(share("chars", "n_chars", len(CLASSES)).alias("ref_chars"),
+                                    share("common", "n_words", len(WORDS) + 1).alias("ref_common"))
 
 
 def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_words: int = 50,
-            max_repeat_percent: int = 50, max_char_distance: float = 0.30, max_word_distance: float = 0.45,
+            max_repeat_percent: int = 50, char_limit: float = 0.10, word_limit: float = 0.20,
+            hard_char_limit: float = 0.30, hard_word_limit: float = 0.40, slack: float = 0.8,
             min_chars_to_judge: int = 200, min_words_to_judge: int = 50) -> DataFrame:
     """(doc_id, th, counts, char_distance, word_distance, base_failed, kept) for each row of ``docs``.
 
-    base_failed: fewer than ``min_words`` words, or more than ``max_repeat_percent`` % of them in
+    A document is rejected if both distances are over their limits, or one is over its hard limit;
+    limits on short texts are wider by ``slack`` / sqrt(n_words), and texts under the minimum
+    lengths have distance 0.  base_failed: fewer than ``min_words`` words, or more than ``max_repeat_percent`` % of them in
     repeated three-word windows.  A null text has no words.  Without a reference (null or unseen
     language) distances are 0 and only the base rules judge.  Repeated rows give repeated results."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(lang_col).alias("lang"),
@@ -157,15 +157,18 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = found.withColumn("base_failed", (F.col("n_words") < min_words)
                              | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
     found = freeze(found)
-    judged = F.aggregate("chars", F.lit(0).cast("long"), lambda s, x: s + x) >= min_chars_to_judge
-
     def distances(refs):
         refs = bounded(freeze(refs), MAX_LANGUAGES)
-        both = {"char_distance": F.when(judged, js_distance(F.col("chars"), F.col("ref_chars"))),
-                "word_distance": F.when(F.col("n_words") >= min_words_to_judge, js_distance(F.col("common"), F.col("ref_common")))}
+        chars = F.transform("chars", lambda x: x / F.col("n_chars"))
+        common = F.transform("common", lambda x: x / F.col("n_words"))
+        both = {"char_distance": F.when(F.col("n_chars") >= min_chars_to_judge, js_distance(chars, F.col("ref_chars"))),
+                "word_distance": F.when(F.col("n_words") >= min_words_to_judge, js_distance(common, F.col("ref_common")))}
         return found.join(refs, "lang", "left").withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in both.items()})
 
-    far = (F.col("char_distance") > max_char_distance) | (F.col("word_distance") > max_word_distance)
+    margin = F.try_divide(F.lit(slack), F.sqrt("n_words"))  # what chance alone adds to a distance
+    far = F.coalesce(((F.col("char_distance") > char_limit + margin) & (F.col("word_distance") > word_limit))
+                     | (F.col("char_distance") > hard_char_limit + margin)
+                     | (F.col("word_distance") > hard_word_limit + margin), F.lit(False))
     refs = references(found)
     for _ in range(REFINEMENTS):  # without the documents far from the reference before
         refs = references(distances(refs).where(~far))
@@ -175,6 +178,12 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 #: Times the references are made again from the documents that are not far from them.
-REFINEMENTS = 2
+REFINEMENTS = 1
 #: Languages whose references (under 1 kB each) are broadcast.
 MAX_LANGUAGES = 10_000
+
+
+def keep_good(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` without the rejected documents."""
+    found = quality(docs, id_col=id_col, text_col=text_col, **kw)
+    return without(docs, freeze(found.where("not kept").select("doc_id", "th")), id_col=id_col, text_col=text_col)

@@ -5,12 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import sql
 from .common import read_table
+from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .line_dedup import dedup_lines
+from .quality import quality
+from .snapshots import render_maximal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_distinct_site_spread": sql.LINE_DEDUP,
+    "op6_benchmark_decontamination": sql.DECONTAMINATION,
+    "op10_snapshot_collapse": sql.SNAPSHOTS,
+}
 
 
 def query(fn):
@@ -18,7 +28,34 @@ def query(fn):
     return fn
 
 
+@query
+def op2_distribution_divergence(spark, sf_dir):
+    """Quality counts, base rules and the divergence verdict of each document."""
+    return quality(read_table(spark, sf_dir, "documents")).drop("th")
+
+
+@query
+def op4_distinct_site_spread(spark, sf_dir):
+    """Each document after the removal of lines found on five sites or more."""
+    docs = dedup_lines(read_table(spark, sf_dir, "documents"), details=True)
+    return docs.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"),
+                       F.md5("text").alias("text_md5"))
+
+
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
     """Near-duplicate component of each document at Jaccard 0.8 on five-word shingles."""
     return jaccard_components(read_table(spark, sf_dir, "documents")).drop("th")
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    """Words of each document hit by 13-word windows of the benchmark."""
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("th")
+
+
+@query
+def op10_snapshot_collapse(spark, sf_dir):
+    """Maximal conversations, rendered; snapshots and repeats of them are gone."""
+    out = render_maximal(read_table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "part", "n_turns", "n_copies", F.md5("text").alias("text_md5"))

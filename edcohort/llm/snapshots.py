@@ -52,7 +52,7 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
                  (("n", F.sum("n")), ("h1", F.bit_xor("h1")), ("h2", F.bit_xor("h2")))])
     j = t.join(blocks, t["conv"].eqNullSafe(blocks["b_conv"]) & (t["block"] == blocks["b_block"]))
     return j.select("conv", "turn", (F.col("turn") == F.col("top")).alias("last"), (F.col("n") + F.col("n0")).alias("n"),
-                    F.col("h1").bitwiseXOR("x1").alias("h1"), F.col("h2").bitwiseXOR("x2").alias("h2"))
+                    F.col("h1").bitwiseXOR(F.col("x1")).alias("h1"), F.col("h2").bitwiseXOR(F.col("x2")).alias("h2"))
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
