@@ -1,23 +1,61 @@
-"""The corpus pipeline: the stages in order, each over all that its predecessor kept."""
+"""The corpus pipeline: five stages in order, each over all that its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
+columns of ``documents``.  ``run`` writes nothing itself: a caller that wants restart points
+writes each stage's result and reads it again as the next one's ``docs``.
+"""
 
 from __future__ import annotations
 
-from edcohort.llm.common import read_table
+from edcohort.llm.common import freeze, read_table
+from edcohort.llm.decontaminate import remove_documents
 from edcohort.llm.jaccard_join import keep_one_per_component
+from edcohort.llm.line_dedup import dedup_lines
+from edcohort.llm.packing import pack
+from edcohort.llm.quality import keep_good
+
+
+def quality_rules(spark, docs, sf_dir):
+    """Documents that fail the base rules or diverge from their language's references go."""
+    return keep_good(docs)
+
+
+def line_dedup(spark, docs, sf_dir):
+    """Lines on five sites or more stay in one document only; no document is dropped."""
+    return dedup_lines(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near copies."""
+    """One document of each group of near copies stays."""
     return keep_one_per_component(docs)
 
 
-STAGES = [("n-gram Jaccard join", near_duplicates)]
+def decontamination(spark, docs, sf_dir):
+    """Documents with at least 5 % of their words in benchmark windows go."""
+    return remove_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark, docs, sf_dir):
+    """Bins of 2048 words without two documents of one source or cluster."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", packing),
+]
 
+#: The quality stage and the packing are not expressible in SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """The bins of all documents that the stages kept.  Each stage's result is frozen in the shared
+    checkpoint folder, so that no stage runs twice."""
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = freeze(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

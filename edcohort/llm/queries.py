@@ -12,6 +12,7 @@ from .common import read_table
 from .decontaminate import contamination
 from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
+from .packing import pack
 from .quality import quality
 from .snapshots import render_maximal
 
@@ -59,3 +60,9 @@ def op10_snapshot_collapse(spark, sf_dir):
     """Maximal conversations, rendered; snapshots and repeats of them are gone."""
     out = render_maximal(read_table(spark, sf_dir, "conversations"))
     return out.select("conv_id", "part", "n_turns", "n_copies", F.md5("text").alias("text_md5"))
+
+
+@query
+def op8_conflict_best_fit(spark, sf_dir):
+    """The bin and offset of each piece of each document, at 2048 words a bin."""
+    return pack(read_table(spark, sf_dir, "documents"))
