@@ -251,12 +251,19 @@ def labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return freeze(q.join(still.select("token"), "token", "left_semi").select("token", "cls", "n", "pos", "own", "label"))
 
 
+def size_band(percent: int) -> Column:
+    """log of the set size, in units of the largest ratio of sizes that link."""
+    return F.log("n") / F.lit(float(np.log(100.0 / percent)) if percent < 100 else 1.0)
+
+
 def pairs_left(lists: DataFrame, percent: int) -> tuple[int, int]:
     """Rows of the open posting lists, and about how many pairs with different labels a full
-    comparison would meet (repeats included)."""
+    comparison would meet (repeats included): those of one size band, at positions where sets of
+    equal size can meet first."""
     near = lists.where(F.col("pos") <= F.col("n") - overlap_needed(F.col("n"), F.col("n"), percent))
-    by_label = near.groupBy("token", "label").agg(F.count("*").cast("double").alias("c"))
-    by_token = by_label.groupBy("token").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
+    near = near.withColumn("band", F.floor(size_band(percent)))
+    by_label = near.groupBy("token", "band", "label").agg(F.count("*").cast("double").alias("c"))
+    by_token = by_label.groupBy("token", "band").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
     got = by_token.agg(F.sum((F.col("t") * F.col("t") - F.col("s")) / 2)).first()
     return lists.count(), int(got[0] or 0)
 
@@ -266,8 +273,7 @@ def hub_pairs(lists: DataFrame, percent: int, masks: tuple[int, int]) -> DataFra
     with the smallest share of prefix tokens of its own (the original of a group of edited
     copies has hardly any, so it is close to all of them), and the one closest to a mask in
     the XOR order; ``masks`` differ by round."""
-    width = float(np.log(100.0 / percent)) if percent < 100 else 1.0
-    band = F.log("n") / F.lit(width)
+    band = size_band(percent)
     rows = lists.withColumn("g", F.explode(F.array(
         F.struct(F.lit(0).alias("grid"), F.floor(band).alias("band")),
         F.struct(F.lit(1).alias("grid"), F.floor(band + 0.5).alias("band"))))).select(*lists.columns, "g.*")
@@ -297,10 +303,10 @@ def link_classes(lists: DataFrame, check, percent: int) -> DataFrame | None:
 
     Hub rounds go on while a full comparison would meet more pairs than a few per row of the
     open lists; then, or after ``HUB_ROUNDS``, all pairs that are left are compared."""
-    labels = links = done = None
+    labels = links = done = still = None
     masks = [int(m) - (1 << 63) for m in T.mix(np.arange(2 * HUB_ROUNDS, dtype=np.uint64))]
     for r in range(HUB_ROUNDS + 1):
-        still = labelled(lists, labels)
+        still = labelled(lists if r == 0 else still.drop("label"), labels)
         rows, pairs = pairs_left(still, percent)
         if not rows:
             break

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
+from .bloom_lm import score
 from .common import read_table
 from .decontaminate import contamination
 from .jaccard_join import jaccard_components
@@ -66,3 +67,9 @@ def op10_snapshot_collapse(spark, sf_dir):
 def op8_conflict_best_fit(spark, sf_dir):
     """The bin and offset of each piece of each document, at 2048 words a bin."""
     return pack(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_log_frequency_bloom(spark, sf_dir):
+    """Base and language-model score of each document; a fifth of them is held out."""
+    return score(read_table(spark, sf_dir, "documents")).drop("th")
