@@ -39,11 +39,14 @@ from .components import components
 FREQUENT_LIMIT = 1_000_000
 #: Shared tokens up to which they are broadcast (8 bytes each); beyond, they are joined.
 SHARED_LIMIT = 2_000_000
-#: A batch reports tokens that it holds in at least this many classes.
+#: A batch reports tokens that it holds in at least this many classes, one less if it is small.
 BATCH_MIN = 3
+SMALL_BATCH = 1000
 #: Hub rounds at most, and pairs per row of the posting lists up to which all pairs are compared.
 HUB_ROUNDS = 3
 PAIRS_PER_ROW = 2
+#: Classes of a posting list up to which all its pairs are compared at once.
+SHORT_LIST = 16
 
 
 def prefix_length(n, percent: int):
@@ -87,7 +90,7 @@ def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
             every.sort()
             edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, int)
             count = np.diff(np.append(edge, len(every)))
-            often = count >= BATCH_MIN
+            often = count >= BATCH_MIN - (len(first) < SMALL_BATCH)
             m = int(often.sum())
             if m:
                 yield pa.RecordBatch.from_arrays(
@@ -100,8 +103,8 @@ def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
 
 def frequent_tokens(rows: DataFrame, limit: int = FREQUENT_LIMIT):
     """Sorted (tokens, weights) of at most ``limit`` tokens; the bound on the count rises until they fit."""
-    total = freeze(rows.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")).where("df >= 8"))
-    least = 8
+    total = freeze(rows.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")).where("df >= 4"))
+    least = 4
     while total.where(F.col("df") >= least).count() > limit:
         least *= 2
     got = total.where(F.col("df") >= least).toArrow()
@@ -247,8 +250,9 @@ def labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     else:
         q = lists.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left")
         q = q.withColumn("label", F.coalesce("label", "cls"))
-    still = q.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return freeze(q.join(still.select("token"), "token", "left_semi").select("token", "cls", "n", "pos", "own", "label"))
+    still = q.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("many"))
+    still = still.where("lo <> hi").select("token", "many")
+    return freeze(q.join(still, "token").select("token", "cls", "n", "pos", "own", "label", "many"))
 
 
 def size_band(percent: int) -> Column:
@@ -298,29 +302,32 @@ def all_pairs_left(lists: DataFrame, percent: int) -> DataFrame:
     return meet.select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b")).distinct()
 
 
-def link_classes(lists: DataFrame, check, percent: int) -> DataFrame | None:
+def link_classes(lists: DataFrame, check, percent: int) -> DataFrame:
     """(vertex, label) of all classes that link with another.
 
-    Hub rounds go on while a full comparison would meet more pairs than a few per row of the
-    open lists; then, or after ``HUB_ROUNDS``, all pairs that are left are compared."""
-    labels = links = done = still = None
+    Short posting lists are compared in full at once.  In long ones hub rounds go on while a full
+    comparison would meet more pairs than a few per row of the lists that are still open; then,
+    or after ``HUB_ROUNDS``, all pairs that are left in them are compared too."""
     masks = [int(m) - (1 << 63) for m in T.mix(np.arange(2 * HUB_ROUNDS, dtype=np.uint64))]
-    for r in range(HUB_ROUNDS + 1):
-        still = labelled(lists if r == 0 else still.drop("label"), labels)
+    still = labelled(lists, None)
+    short = still.where(F.col("many") <= SHORT_LIST)
+    still = still.where(F.col("many") > SHORT_LIST)
+    done = freeze(all_pairs_left(short, percent).union(hub_pairs(still, percent, masks[:2])).distinct())
+    links = freeze(check(done))
+    labels = components(links)
+    for r in range(1, HUB_ROUNDS + 1):
+        still = labelled(still.drop("label", "many"), labels)
         rows, pairs = pairs_left(still, percent)
         if not rows:
             break
         last = pairs <= PAIRS_PER_ROW * rows or r == HUB_ROUNDS
         new = all_pairs_left(still, percent) if last else hub_pairs(still, percent, masks[2 * r:2 * r + 2])
-        if done is not None:
-            new = new.join(done, ["a", "b"], "left_anti")
-        new = freeze(new)
-        found = check(new)
-        links = freeze(found if links is None else links.union(found))
+        new = freeze(new.join(done, ["a", "b"], "left_anti"))
+        links = freeze(links.union(check(new)))
         labels = components(links)
         if last:
             break
-        done = new if done is None else done.union(new)
+        done = done.union(new)
     return labels
 
 
@@ -356,10 +363,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     labels = link_classes(lists, check, percent)
     by_class = docs_cls.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    if labels is None:
-        by_class = by_class.withColumn("label", F.col("cls"))
-    else:
-        by_class = by_class.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left")
+    by_class = by_class.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left")
     by_class = freeze(by_class.select("cls", "least", F.coalesce("label", "cls").alias("label")))
     whole = by_class.groupBy("label").agg(F.min("least").alias("component_id"))
     named = by_class.join(whole, "label").select("cls", "component_id")
