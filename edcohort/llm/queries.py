@@ -16,6 +16,7 @@ from .line_dedup import dedup_lines
 from .packing import pack
 from .quality import quality
 from .snapshots import render_maximal
+from .wavelet import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
@@ -73,3 +74,14 @@ def op8_conflict_best_fit(spark, sf_dir):
 def op9_log_frequency_bloom(spark, sf_dir):
     """Base and language-model score of each document; a fifth of them is held out."""
     return score(read_table(spark, sf_dir, "documents")).drop("th")
+
+
+@query
+def op1_wavelet_matrix(spark, sf_dir):
+    """Position, length and checksum of each document's token ids, read back from the shards."""
+    return round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path())
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
