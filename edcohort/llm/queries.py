@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sql
+from . import sql, toxicity
 from .bloom_lm import score
 from .common import read_table
 from .decontaminate import contamination
@@ -85,3 +85,9 @@ def op1_wavelet_matrix(spark, sf_dir):
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op3_boosted_trees(spark, sf_dir):
+    """Toxicity score of each document."""
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("th")

@@ -142,3 +142,56 @@ def word_hash(word: str, lower: bool = True) -> int:
     """The hash that ``hashed_docs`` gives this word."""
     raw = np.frombuffer(word.encode(), np.uint8)
     return int(_block_hashes(raw, np.array([0]), lower)[0][0])
+
+
+def byte_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yield (first, last, bytes, bounds): the bytes of documents first..last-1, document i's at
+    bytes[bounds[i - first]:bounds[i - first + 1]].  A long document comes in several blocks cut at
+    white space, each with the same first."""
+    texts = texts.cast(pa.large_string())
+    n = len(texts)
+    if texts.null_count:
+        texts = texts.fill_null("")
+    if not n:
+        return
+    _, off_buf, data_buf = texts.buffers()
+    off = np.frombuffer(off_buf, np.int64)[texts.offset:texts.offset + n + 1]
+    data = np.frombuffer(data_buf, np.uint8) if data_buf is not None and data_buf.size else np.empty(0, np.uint8)
+    i = 0
+    while i < n:
+        j = min(n, max(i + 1, int(np.searchsorted(off, off[i] + SLICE_BYTES, side="right")) - 1))
+        at, hi = int(off[i]), int(off[j])
+        if hi - at <= 2 * SLICE_BYTES:
+            yield i, j, data[at:hi], off[i:j + 1] - at
+        else:
+            while at < hi:
+                to = min(at + SLICE_BYTES, hi)
+                gaps = np.flatnonzero(_IS_SPACE[data[to:min(to + 65536, hi)]])
+                to = hi if to == hi else to + (int(gaps[0]) if len(gaps) else min(65536, hi - to))
+                yield i, j, data[at:to], np.array([0, to - at])
+                at = to
+        i = j
+
+
+def run_hashes(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray, table: np.ndarray, prefix: int):
+    """Runs of bytes with ``inside`` set, cut at document bounds: (start, end, hash, hash of the first
+    ``prefix`` bytes), with the bytes mapped by ``table`` (256 values)."""
+    if not len(raw):
+        e = np.empty(0, np.int64)
+        return e, e, np.empty(0, np.uint64), np.empty(0, np.uint64)
+    word = inside[raw]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[bounds] = True
+    cut[0] = cut[-1] = True
+    begin = word & cut[:-1]
+    begin[1:] |= word[1:] & ~word[:-1]
+    end = word & cut[1:]
+    end[:-1] |= word[:-1] & ~word[1:]
+    s, e = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    power, inverse = _powers(len(raw))
+    total = np.empty(len(raw) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(table[raw] * power[:len(raw)], out=total[1:])
+    p = np.minimum(e, s + prefix)
+    whole = _splitmix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
+    return s, e, whole, _splitmix((total[p] - total[s]) * inverse[s] + _U64(1 << 40))
