@@ -117,10 +117,12 @@ def remove_spans(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     other texts stay as they are, byte for byte."""
     hits = find_hits(docs, items, id_col=id_col, text_col=text_col, **kw)
     hits = freeze(hits.select(F.col("doc_id").alias("_k_id"), F.col("th").alias("_k_th"), F.col("hit_words").alias("_hit")))
-    d = docs.withColumns({"_w": F.array_remove(F.split(text_col, RAW_SEPARATORS), ""), "_s": F.split(text_col, RAW_WORD)})
-    j = d.join(hits, d[id_col].eqNullSafe(hits["_k_id"]) & (F.xxhash64(d[text_col]) == hits["_k_th"]), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_w") - 1), F.col("_hit"))
-    pieces = F.transform(kept, lambda i: F.concat(F.get("_s", i), F.get("_w", i)))
-    cut = F.concat(F.array_join(pieces, ""), F.element_at("_s", -1))
-    return j.select(*[F.when(F.col("_hit").isNull(), F.col(text_col)).otherwise(cut).alias(c) if c == text_col else d[c]
-                      for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # whatever the names
+    d = docs.select(row, F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.array_remove(F.split(text_col, RAW_SEPARATORS), "").alias("w"),
+                    F.split(text_col, RAW_WORD).alias("s"))
+    j = d.join(hits, d["doc_id"].eqNullSafe(hits["_k_id"]) & (d["th"] == hits["_k_th"]), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("w") - 1), F.col("_hit"))
+    pieces = F.transform(kept, lambda i: F.concat(F.get("s", i), F.get("w", i)))
+    cut = F.concat(F.array_join(pieces, ""), F.element_at("s", -1))
+    old = F.col("row").getField
+    return j.select(*[(F.when(F.col("_hit").isNull(), old(c)).otherwise(cut) if c == text_col else old(c)).alias(c) for c in docs.columns])

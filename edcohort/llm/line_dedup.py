@@ -73,21 +73,22 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     gone = freeze(lines_to_remove(docs, id_col=id_col, text_col=text_col, **kw)
                   .select(F.col("doc_id").alias("_k_id"), F.col("th").alias("_k_th"), F.col("removed").alias("_gone")))
     gone = bounded(gone, SMALL)
-    parts = docs.withColumns({"_th": F.xxhash64(text_col), "_lines": F.split(F.col(text_col), "\n")}).drop(text_col)
-    j = parts.join(gone, parts[id_col].eqNullSafe(gone["_k_id"]) & (parts["_th"] == gone["_k_th"]), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    cut = F.transform(kept, lambda i: F.get("_lines", i))
-    text = F.array_join(F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(cut), "\n")
-    j = j.withColumn("_text", text)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")  # whatever their names
+    parts = docs.select(others, F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.split(F.col(text_col), "\n").alias("lines"))
+    j = parts.join(gone, parts["doc_id"].eqNullSafe(gone["_k_id"]) & (parts["th"] == gone["_k_th"]), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("_gone"))
+    cut = F.transform(kept, lambda i: F.get("lines", i))
+    j = j.withColumn("text", F.array_join(F.when(F.col("_gone").isNull(), F.col("lines")).otherwise(cut), "\n"))
     cols = []
     for c in docs.columns:
+        old = F.col("row").getField(c)
         if c == text_col:
-            cols.append(F.col("_text").alias(c))
+            cols.append(F.col("text").alias(c))
         elif c == chars_col:
-            cols.append(F.when(F.col("_gone").isNull(), parts[c]).otherwise(F.char_length("_text")).cast(docs.schema[c].dataType).alias(c))
+            new = F.char_length("text").cast(docs.schema[c].dataType)
+            cols.append(F.when(F.col("_gone").isNull(), old).otherwise(new).alias(c))
         else:
-            cols.append(parts[c])
+            cols.append(old.alias(c))
     if details:
-        cols += [F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-                 F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed")]
+        cols += [F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed")]
     return j.select(*cols)

@@ -12,6 +12,7 @@ from .bloom_lm import score
 from .common import read_table
 from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .packing import pack
 from .quality import quality
@@ -91,3 +92,10 @@ def tokenizer_path() -> str:
 def op3_boosted_trees(spark, sf_dir):
     """Toxicity score of each document."""
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("th")
+
+
+@query
+def op7_patience_alignment(spark, sf_dir):
+    """Best covered license template of each document."""
+    out = scan_licenses(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("licenses", F.array_join("licenses", ","))
