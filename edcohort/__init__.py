@@ -13,7 +13,6 @@ operators   relational operators (presentation building, cohort joins, global
             ordinals and folds, metrics, imputation, learning, attribution)
 plans       end-to-end compositions (build, derive, evaluate, baseline table)
             and the bindings to the driver tables
-streaming   incremental variant of the lab scan
 """
 
 __version__ = "0.1.0"

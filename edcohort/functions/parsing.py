@@ -41,7 +41,11 @@ def parse_date(col, fmt: str = "dd-MM-yyyy") -> Column:
     return F.to_date(F.try_to_timestamp(_c(col), F.lit(fmt)))
 
 
-def date_and_time(date_col, time_col, default_time: str = "07:00:00") -> Column:
+# Fixed value: the clock time of an arrival without one.
+DEFAULT_TIME = "07:00:00"
+
+
+def date_and_time(date_col, time_col, default_time: str = DEFAULT_TIME) -> Column:
     """fill a missing clock time, join it to the date, parse with or without seconds."""
     text = F.concat_ws(" ", _c(date_col), F.coalesce(_c(time_col), F.lit(default_time)))
     return F.coalesce(
@@ -50,6 +54,13 @@ def date_and_time(date_col, time_col, default_time: str = "07:00:00") -> Column:
     ).cast("timestamp_ntz")
 
 
+def clock_time(col) -> Column:
+    """A clock text (with or without seconds) as a time stamp of day 1970-01-01; bad text -> NULL."""
+    text = F.concat(F.lit("1970-01-01 "), F.trim(_c(col)))
+    return F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
+                      F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm"))).cast("timestamp_ntz")
+
+
 def leading_token_number(col, strip: str = "L") -> Column:
     """first blank-separated token, unit letter removed, to double (bad -> NULL)."""
     token = F.replace(F.split(_c(col), " ").getItem(0), F.lit(strip), F.lit(""))

@@ -79,14 +79,13 @@ def hit_histogram(audit: DataFrame) -> DataFrame:
 
 
 def validation_split(df: DataFrame, cohort: DataFrame, *, keys: Sequence[str] = ("nummer", "Datum_SEH"),
-                     date_key: str | None = "Datum_SEH", broadcast_cohort: bool = False) -> tuple[DataFrame, DataFrame]:
+                     date_key: str | None = "Datum_SEH") -> tuple[DataFrame, DataFrame]:
     """J3 + J4 (+F5): (main, validation).  Validation = rows whose key pair is in
     the cohort; main = the rest (null-safe keys, as the source merges NaN keys).
     The cohort is a study list; whether it is broadcast is left to AQE's
-    runtime size check unless ``broadcast_cohort`` forces it."""
+    runtime size check."""
     keyed = df.withColumn(date_key, F.to_date(date_key)) if date_key else df
     c = cohort.select(*keys).distinct()
-    c = F.broadcast(c) if broadcast_cohort else c
     cond = [keyed[k].eqNullSafe(c[k]) for k in keys]
     validation = keyed.join(c, on=cond, how="left_semi")
     main = keyed.join(c, on=cond, how="left_anti")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordinal import prefix_sums
+from .ordinal import null_safe_join, prefix_sums
 
 # Normal quantile and the divisors the source uses for intervals.
 Z95 = 1.96
@@ -39,11 +39,10 @@ def cumulated(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
     """One row per (group, distinct score) with running positives/negatives
     (scores descending) and the group totals ``_P``, ``_N``."""
     counts = score_counts(scored, group=group, y=y, p=p)
-    cum = prefix_sums(counts, order_by=[F.col(p).desc()], partition_by=list(group),
+    cum = prefix_sums(counts, order_by=[-F.col(p)], partition_by=list(group),
                       sums={"ctp": F.col("tp"), "cfp": F.col("fp")})
-    # totals from the (checkpointed) running-sum table: no second pass over the input
     totals = cum.groupBy(*group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
-    return cum.join(totals, on=list(group), how="inner")
+    return null_safe_join(cum, totals, list(group))
 
 
 def points_from(cum: DataFrame, *, group: Sequence[str] = ("model", "fold"), p: str = "p") -> DataFrame:
@@ -56,9 +55,10 @@ def points_from(cum: DataFrame, *, group: Sequence[str] = ("model", "fold"), p:
 
 
 def auc_from(cum: DataFrame, *, group: Sequence[str] = ("model", "fold")) -> DataFrame:
-    term = F.col("fp") * (2 * F.col("ctp") - F.col("tp"))
+    d = lambda c: F.col(c).cast("double")  # noqa: E731  products of counts pass 2**63
+    term = d("fp") * (2 * d("ctp") - d("tp"))
     return cum.groupBy(*group).agg(
-        _div(F.sum(term), 2 * F.first("_P") * F.first("_N")).alias("auc"),
+        _div(F.sum(term), 2 * F.first(d("_P")) * F.first(d("_N"))).alias("auc"),
         F.first("_P").alias("n_pos"), F.first("_N").alias("n_neg"))
 
 
@@ -99,7 +99,7 @@ def roc_grid(points: DataFrame, *, group: Sequence[str] = ("model", "fold"),
     # grid rows: n_grid per group, made from the (small) group list
     groups = points.select(*group).distinct().withColumn(
         "_j", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))))
-    g = groups.join(cells, on=[*group, "_j"], how="left")
+    g = null_safe_join(groups, cells, [*group, "_j"], "left")
     upto = Window.partitionBy(*group).orderBy("_j").rowsBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy(*group).orderBy("_j").rowsBetween(1, Window.unboundedFollowing)
     g = (g.withColumn("_left", F.max("_hi").over(upto))
@@ -142,7 +142,7 @@ def roc_summary(band: DataFrame, fold_auc: DataFrame, *, model: str = "model",
     area = band.withColumn("_seg", seg).groupBy(model).agg(F.sum("_seg").alias("mean_auc"))
     sd = fold_auc.groupBy(model).agg(F.stddev_pop("auc").alias("std_auc"))
     half = F.lit(Z95) * F.col("std_auc") / F.lit(math.sqrt(ci_n))
-    return (area.join(sd, on=model).withColumns({"ci_low": F.col("mean_auc") - half,
+    return (null_safe_join(area, sd, [model]).withColumns({"ci_low": F.col("mean_auc") - half,
                                                   "ci_high": F.col("mean_auc") + half}))
 
 

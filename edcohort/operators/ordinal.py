@@ -1,11 +1,12 @@
 """Global order without a single-task window (H1), stratified folds (M2), hold-out split (M3).
 
-``prefix_sums`` computes running totals over a total order in three distributed
-steps: range-partition on (groups, order) and freeze the partitioning with a
-reliable checkpoint; total each (partition, group) and turn those few rows into
-offsets; add each row's local running total to its partition's offset.  No step
-holds more than one range partition in a task, so a group that holds a third of
-all rows is still spread over many tasks.
+``prefix_sums`` computes running totals over a total order.  A row's bucket is an expression
+of its order key alone (the number of split points at or below it; split points come from a
+hash sample of the keys), so the totals per (group, bucket) are one partial aggregate, the
+local running totals one window on (group, bucket), and nothing depends on where a row ran: no
+checkpoint, and a lost executor cannot make the two disagree.  The number of buckets follows
+the number of rows, so no window holds more than about ``ROWS_PER_BUCKET`` distinct keys of a
+group, however large the group is.
 """
 
 from __future__ import annotations
@@ -16,49 +17,80 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
-
 _PID = "_h1_pid"
+#: Rows in one bucket, about; buckets at most, and sampled keys per bucket.
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 4096
+SAMPLES_PER_BUCKET = 16
 
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def prefix_sums(df: DataFrame, *, order_by: Sequence, sums: dict[str, Column],
-                partition_by: Sequence[str] = (), num_partitions: int | None = None,
-                checkpoint: bool = True) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the keys come from ``left``."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"_r_{k}"])
+    return left.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _split_points(df: DataFrame, buckets: int) -> list:
+    """``buckets`` - 1 evenly spaced order keys of a sample by hash (the same in every run)."""
+    sample = df.select("_h1_key").orderBy(F.xxhash64("_h1_key"), "_h1_key").limit(buckets * SAMPLES_PER_BUCKET)
+    keys = [r[0] for r in sample.orderBy("_h1_key").collect()]   # bounded by MAX_BUCKETS * SAMPLES_PER_BUCKET
+    return keys[SAMPLES_PER_BUCKET::SAMPLES_PER_BUCKET][:buckets - 1]
+
+
+def _bucket(splits: list, kind) -> Column:
+    """Number of split points at or below the key: first by blocks, then inside the block."""
+    if not splits:
+        return F.lit(0)
+
+    def literal(v):
+        return F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(v, kind.fields)])
+
+    width = math.isqrt(len(splits)) + 1
+    blocks = [splits[i:i + width] for i in range(0, len(splits), width)]
+    key = F.col("_h1_key")
+    firsts = F.array(*[literal(b[0]) for b in blocks])
+    block = F.size(F.filter(firsts, lambda v: v <= key))
+    inside = F.array(*[F.array(*[literal(v) for v in b]) for b in blocks])
+    own = F.size(F.filter(F.get(inside, block - 1), lambda v: v <= key))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * width + own)
+
+
+def prefix_sums(df: DataFrame, *, order_by: Sequence, sums: dict[str, Column], partition_by: Sequence[str] = (),
+                rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``name`` = running total (inclusive) of each ``sums[name]`` over
-    ``order_by`` within ``partition_by``.
+    ``order_by`` (ascending) within ``partition_by``; NULL groups are groups.
 
     ``order_by`` must be a total order inside each group (add a unique key when
     it is not), otherwise tied rows get an arbitrary split of the running total.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = list(partition_by)
-    orders = [_as_col(c) for c in order_by]
+    per = rows_per_bucket or ROWS_PER_BUCKET
     tmp = {name: f"_h1_v_{name}" for name in sums}
     base = df.withColumns({tmp[k]: v for k, v in sums.items()})
-    ranged = base.repartitionByRange(n, *[F.col(c) for c in part], *orders)
-    ranged = ranged.withColumn(_PID, F.spark_partition_id())
-    if checkpoint:
-        ranged = reliable_checkpoint(ranged)
-
-    totals = ranged.groupBy(_PID, *part).agg(*[F.sum(t).alias(t) for t in tmp.values()])
-    before = Window.partitionBy(*part).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        _PID, *part,
-        *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"{t}_off") for t in tmp.values()])
-
-    local = Window.partitionBy(_PID, *part).orderBy(*orders).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    out = ranged.withColumns({f"{t}_loc": F.sum(t).over(local) for t in tmp.values()})
-    out = out.join(offsets, on=[_PID, *part], how="inner")
+    key = F.struct(*[_as_col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
+    base = base.withColumn("_h1_key", key)
+    buckets = min(MAX_BUCKETS, -(-df.count() // per))
+    splits = _split_points(base, buckets) if buckets > 1 else []
+    base = base.withColumn(_PID, _bucket(splits, base.schema["_h1_key"].dataType))
+    local = Window.partitionBy(_PID, *part).orderBy("_h1_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = base.withColumns({f"{t}_loc": F.sum(t).over(local) for t in tmp.values()})
+    if splits:
+        totals = base.groupBy(_PID, *part).agg(*[F.sum(t).alias(t) for t in tmp.values()])
+        before = Window.partitionBy(*part).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(
+            _PID, *part, *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"{t}_off") for t in tmp.values()])
+        out = null_safe_join(out, offsets, [_PID, *part])
+    else:
+        out = out.withColumns({f"{t}_off": F.lit(0) for t in tmp.values()})
     out = out.withColumns({k: F.col(f"{t}_loc") + F.col(f"{t}_off") for k, t in tmp.items()})
-    drop = [_PID, *tmp.values(), *[f"{t}_loc" for t in tmp.values()],
-            *[f"{t}_off" for t in tmp.values()]]
-    return out.drop(*drop)
+    return out.drop(_PID, "_h1_key", *tmp.values(), *[f"{t}_loc" for t in tmp.values()], *[f"{t}_off" for t in tmp.values()])
 
 
 def global_ordinal(df: DataFrame, *, order_by: Sequence, name: str = "ordinal",
@@ -74,7 +106,7 @@ def dense_ordinal(df: DataFrame, *, keys: Sequence[str], name: str = "id", **kw)
     joined back to every row."""
     distinct = df.select(*keys).distinct()
     numbered = global_ordinal(distinct, order_by=list(keys), name=name, **kw)
-    return df.join(numbered, on=list(keys), how="inner")
+    return null_safe_join(df, numbered, list(keys))
 
 
 def stratified_kfold(df: DataFrame, *, label: str, order_by: Sequence[str], k: int = 5,
@@ -103,7 +135,7 @@ def stratified_kfold(df: DataFrame, *, label: str, order_by: Sequence[str], k: i
                              else F.array().cast("array<bigint>").alias("_bounds"))
 
     ranked = global_ordinal(df, order_by=list(order_by), name="_r", partition_by=[label], **kw)
-    out = ranked.join(classes, on=label, how="inner")   # one row per class
+    out = null_safe_join(ranked, classes, [label])   # one row per class
     fold = F.size(F.filter("_bounds", lambda b: b <= F.col("_r")))
     return out.withColumn(fold_col, fold.cast("int")).drop("_r", "_bounds")
 
@@ -145,13 +177,13 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], *,
 
     def attach(positions):
         if g:
-            return cum.join(positions, on=g, how="inner")
+            return null_safe_join(cum, positions, g)
         return cum.join(F.broadcast(positions), on=F.lit(True), how="inner")
 
     lo = attach(pos).where(cover("_lo")).select(
         *g, "q", "_h", "_lo", F.col(value).cast("double").alias("_vlo"))
     hi = attach(pos.select(*g, "q", "_hi")).where(cover("_hi")).select(
         *g, "q", F.col(value).cast("double").alias("_vhi"))
-    out = lo.join(hi, on=[*g, "q"], how="inner")
+    out = null_safe_join(lo, hi, [*g, "q"])
     return out.select(*g, "q", (F.col("_vlo") + (F.col("_h") - F.col("_lo")) *
                                 (F.col("_vhi") - F.col("_vlo"))).alias("quantile"))

@@ -27,9 +27,10 @@ _US_PER_DAY = 86_400_000_000
 
 # ----------------------------------------------------------------- P4, P5, P6
 def pilot_slice(df: DataFrame, *, seq: str = "seq", first: int = 1, last: int = 9999) -> DataFrame:
-    """Rows ``first``..``last`` by position, where ``seq`` is the 0-based file
-    position (the source keeps positions 1..9999, i.e. 9,999 rows)."""
-    return df.where(F.col(seq).between(first, last))
+    """Rows ``first``..``last`` by 0-based position in the order of ``seq`` (the source
+    keeps positions 1..9999, i.e. 9,999 rows)."""
+    from .ordinal import global_ordinal
+    return global_ordinal(df, order_by=[seq], name="_position").where(F.col("_position").between(first, last)).drop("_position")
 
 
 def deny_filter(df: DataFrame, *, code: str = "code", deny: Sequence[str] = DENY_CODES) -> DataFrame:

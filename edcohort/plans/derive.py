@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clinical import age_years, hour_fraction, select_outcome
-from ..functions.parsing import leading_token_number
+from ..functions.parsing import clock_time, leading_token_number
 from ..functions.registry import FEATURES
 from ..operators.cohort import validation_split
 
@@ -33,8 +33,9 @@ def data_model(df: DataFrame, model: int, out: int, *, as_of: str,
     if arrival_time not in d.columns:
         d = d.withColumn(arrival_time, F.col(arrival))
     d = select_outcome(d, out, arrival=arrival, days=outcome_days)
-    d = d.withColumn(birth, age_years(birth, as_of)).withColumn(
-        arrival_time, hour_fraction(F.col(arrival_time).cast("timestamp_ntz")))
+    text = isinstance(d.schema[arrival_time].dataType, T.StringType)
+    clock = clock_time(arrival_time) if text else F.col(arrival_time).cast("timestamp_ntz")
+    d = d.withColumn(birth, age_years(birth, as_of)).withColumn(arrival_time, hour_fraction(clock))
     cols = [key, "y_var", *base, *lab_columns]
     if model >= 2:
         cols += list(hist)

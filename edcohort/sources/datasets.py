@@ -1,51 +1,75 @@
 """Versioned data-model datasets (S3, S5, S6, S7) and the hyper-parameter table.
 
-A data model lives in one Parquet dataset partitioned by
-``version / model / out / split``; reading a (version, model, out, split) is a
-partition-pruned scan; a new version is ``max(version) + 1``.
+A data model lives in the folder ``version / model / out / split`` of a dataset root; each
+folder has its model's own columns.  Versions are found by listing the folders, a new one is
+the highest + 1, and an existing one is never written again.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PARTITIONS = ("version", "model", "out", "split")
-
-
 def latest_version(df: DataFrame, version: str = "version") -> DataFrame:
     """Rows of the highest version."""
     top = df.agg(F.max(version).alias("_v"))
     return df.join(top, F.col(version) == F.col("_v"), "left_semi")
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder in whatever store Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def latest_version_number(spark: SparkSession, root: str) -> int:
-    """Highest version in a dataset root, 0 when empty or missing."""
-    try:
-        v = spark.read.parquet(root).agg(F.max("version")).first()[0]
-    except Exception:  # no dataset yet
+    """Highest version in a dataset root by its partition folders, 0 when the root is
+    empty or missing; any other trouble is raised."""
+    fs, path = _folder(spark, root)
+    if not fs.exists(path):
         return 0
-    return int(v or 0)
+    found = [re.fullmatch(r"version=(\d+)", st.getPath().getName()) for st in fs.listStatus(path)]
+    return max((int(m[1]) for m in found if m), default=0)
+
+
+def _partition(root: str, version: int, model: int, out: int, split: str) -> str:
+    return f"{root}/version={version}/model={model}/out={out}/split={split}"
 
 
 def write_data_model(splits: dict[str, DataFrame], root: str, *, version: int, model: int,
                      out: int) -> None:
-    """S6 + S7: write each split of one data model into its partition; other
-    partitions are left as they are (dynamic partition overwrite)."""
+    """Write each split of one data model to its partition folder; a partition that
+    exists is refused, before anything is written."""
+    paths = {split: _partition(root, version, model, out, split) for split in splits}
     for split, df in splits.items():
-        (df.withColumns({"version": F.lit(version), "model": F.lit(model), "out": F.lit(out),
-                         "split": F.lit(split)})
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITIONS).parquet(root))
+        fs, path = _folder(df.sparkSession, paths[split])
+        if fs.exists(path):
+            raise FileExistsError(f"{paths[split]} exists; versions are never overwritten")
+    for split, df in splits.items():
+        df.write.mode("errorifexists").parquet(paths[split])
 
 
 def read_data_model(spark: SparkSession, root: str, *, model: int, out: int, split: str = "main",
                     version: int | None = None) -> DataFrame:
-    """S3: one data model; ``version=None`` reads the latest."""
+    """S3: one data model with exactly its own columns (models differ); ``version=None``
+    reads the latest."""
+    v = latest_version_number(spark, root) if version is None else version
+    return spark.read.parquet(_partition(root, v, model, out, split))
+
+
+def write_processed(df: DataFrame, root: str, *, version: int | None = None) -> int:
+    """The processed table of Entry 1 as a new version of a dataset; returns the version."""
+    v = latest_version_number(df.sparkSession, root) + 1 if version is None else version
+    df.write.mode("errorifexists").parquet(f"{root}/version={v}")
+    return v
+
+
+def read_processed(spark: SparkSession, root: str, *, version: int | None = None) -> DataFrame:
+    """The processed table; ``version=None`` reads the latest."""
     v = latest_version_number(spark, root) if version is None else version
-    df = spark.read.parquet(root)
-    return (df.where((F.col("version") == v) & (F.col("model") == model) & (F.col("out") == out)
-                     & (F.col("split") == split)).drop(*PARTITIONS))
+    return spark.read.parquet(f"{root}/version={v}")
 
 
 def hyper_parameters(params: DataFrame, *, algorithm: str, model_version: int, data_model: int,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parsing import date_and_time, parse_date, parse_timestamp, safe_double
+from ..functions.parsing import DEFAULT_TIME, date_and_time, parse_date, parse_timestamp, safe_double
 
 NAMELESS = re.compile(r"^(_c\d+|Unnamed.*)$")
 
@@ -31,16 +31,19 @@ def read_delimited(spark: SparkSession, path: str, *, sep: str, encoding: str,
                    file_no: int = 0) -> DataFrame:
     """One extract file, all columns as text.
 
-    Lines with more fields than the header are skipped (as the source's
+    Lines with more fields than the header, empty ones included, are skipped (as the source's
     ``error_bad_lines=False``); lines with fewer fields keep NULLs.  ``seq`` =
-    (file number, position) keeps the file order for "first row" rules."""
+    file number and position in one number keeps the file order for "first row" rules."""
     names = _header(spark, path, sep, encoding)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField("_extra", T.StringType())])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
     df = (spark.read.schema(schema).option("header", True).option("sep", sep)
+          .option("columnNameOfCorruptRecord", "_line")   # the raw line, if its field count differs;
+          .option("columnPruning", "false")                # fields are counted whatever is read later
           .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
-    seq = F.struct(F.lit(file_no).alias("file"), F.monotonically_increasing_id().alias("pos"))
-    return df.where(F.col("_extra").isNull()).drop("_extra").withColumn("seq", seq)
+    fields = F.size(F.split(F.regexp_replace("_line", '"[^"]*"', ""), re.escape(sep)))
+    seq = F.lit(file_no).cast("bigint") * F.lit(1 << 53) + F.monotonically_increasing_id()
+    df = df.where(F.col("_line").isNull() | (fields <= len(names)))
+    return df.select(*[F.col(f"`{n}`") for n in names], seq.alias("seq"))
 
 
 def read_lab_extract(spark: SparkSession, paths: Sequence[str], *, sep: str = ";",
@@ -66,11 +69,19 @@ def read_lab_extract(spark: SparkSession, paths: Sequence[str], *, sep: str = ";
 
 def read_visits(spark: SparkSession, path: str, *, numeric: Sequence[str] = (),
                 date_col: str = "Datum_SEH", time_col: str = "Uur_Binnenkomst_SEH",
-                key: str = "nummer") -> DataFrame:
-    """S2 + F2: comma CSV (UTF-8); arrival = date + clock time (07:00:00 when
-    missing); ``numeric`` columns parsed as doubles."""
+                key: str = "nummer", visit_key: str = "visit_id",
+                dates: Sequence[str] = ("Geboortedatum", "Datum_overlijden")) -> DataFrame:
+    """S2 + F2: comma CSV (UTF-8); a missing clock time becomes 07:00:00, arrival = date + clock
+    time; ``numeric`` columns parsed as doubles, ``dates`` as dates; ``visit_id`` numbers the rows
+    from 0 in file order."""
+    from ..operators.ordinal import global_ordinal
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    df = df.withColumn("_pos", F.monotonically_increasing_id())
+    df = global_ordinal(df, order_by=["_pos"], name=visit_key).drop("_pos")
+    df = df.withColumn(time_col, F.coalesce(F.col(time_col), F.lit(DEFAULT_TIME)))
     df = df.withColumn(date_col, date_and_time(date_col, time_col))
+    df = df.withColumns({c: F.coalesce(F.to_date(F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd"))), parse_date(c))
+                         for c in dates if c in df.columns})
     df = df.withColumn(key, safe_double(key).cast("bigint"))
     return df.withColumns({c: safe_double(c) for c in numeric if c in df.columns})
 
@@ -80,10 +91,10 @@ RATER_SHEET_COLUMNS = ["Patient", "Shock", "Death"] + list(chain.from_iterable(
     [f"Shock_Int_{x}", f"Mortality_Int_{x}"] for x in range(1, 5)))
 
 
-def read_rater_sheet(spark: SparkSession, path: str, *, n_rows: int | None = 100,
+def read_rater_sheet(spark: SparkSession, path: str, *, n_rows: int | None = None,
                      skip_rows: int = 1) -> DataFrame:
     """S4 + T3: skip ``skip_rows`` lines and the header, name the columns, keep
-    the first ``n_rows`` data rows by position."""
+    the first ``n_rows`` data rows by position (all of them by default)."""
     from ..operators.ordinal import global_ordinal
     raw = (spark.read.option("header", False).csv(path)
            .withColumn("_pos", F.monotonically_increasing_id()))

@@ -66,7 +66,8 @@ def test_rater_sheet(spark):
     lines = ["title,,,,,,,,,,", ",".join(f"h{i}" for i in range(11))]
     lines += [",".join(str((i + j) % 2) if j else str(i) for j in range(11)) for i in range(150)]
     _write(p, "\n".join(lines) + "\n", "utf-8")
-    df = ex.read_rater_sheet(spark, p)
+    assert ex.read_rater_sheet(spark, p).count() == 150   # whole sheet by default
+    df = ex.read_rater_sheet(spark, p, n_rows=100)
     assert df.columns == ex.RATER_SHEET_COLUMNS
     assert df.count() == 100
     assert df.agg(F.max("Patient")).first()[0] == 99
