@@ -144,6 +144,19 @@ def word_hash(word: str, lower: bool = True) -> int:
     return int(_block_hashes(raw, np.array([0]), lower)[0][0])
 
 
+def byte_values() -> np.ndarray:
+    """The value of each byte in hashes that tell all bytes apart."""
+    return _BYTES
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets of the texts in them) of an array without nulls."""
+    texts = texts.cast(pa.large_string())
+    _, off, data = texts.buffers()
+    off = np.frombuffer(off, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)), off
+
+
 def byte_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first, last, bytes, bounds): the bytes of documents first..last-1, document i's at
     bytes[bounds[i - first]:bounds[i - first + 1]].  A long document comes in several blocks cut at

@@ -18,7 +18,7 @@ other white space beside a space are encoded whole.
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import uuid
 import zlib
@@ -31,20 +31,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from . import textops as T
 
 MAGIC = b"WVM1"
 SAMPLE = 512
 SHARD_TOKENS = 1 << 21
-#: Distinct pieces a task remembers; beyond, it starts anew.
-PIECES = 1_000_000
+#: Distinct pieces a Python worker remembers (about 50 bytes each); beyond, it starts anew.
+PIECES = 3_000_000
+#: Bytes of text that are looked up together.
+CHUNK = 4_000_000
 #: A space with white space (or nothing) at its side: such a text is encoded whole.
-UNSAFE = re.compile(r"^ | $|\s | \s")
+UNSAFE = r"^ | $|[\pZ\t-\r\x{1c}-\x{1f}\x{85}] | [\pZ\t-\r\x{1c}-\x{1f}\x{85}]"
+
+
+_NO_SPACE = np.arange(256) != 32
 
 
 class Encoder:
-    """Token ids of texts, each followed by ``end``; distinct pieces are encoded once."""
+    """Token ids of texts, each followed by ``end``; distinct pieces, known by a 64-bit hash of their
+    bytes, are encoded once."""
 
     def __init__(self, path: str, end: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
         self.tokenizer, self.end = Tokenizer.from_file(path), end
         # a byte-level token has one character per byte
@@ -54,60 +62,92 @@ class Encoder:
         self.clear()
 
     def clear(self):
-        self.known: dict[str, int] = {}
-        self.pool, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
-
-    def _learn(self, pieces: list[str]):
-        """Encode new pieces that start with their space, many in one text: it is cut there anyhow,
-        and the bytes of the ids tell whose they are."""
-        ids = [np.empty(0, np.uint32)]
-        for at in range(0, len(pieces), 4000):
-            ids.append(np.array(self.tokenizer.encode("".join(pieces[at:at + 4000]), add_special_tokens=False).ids, np.uint32))
-        ids = np.concatenate(ids)
-        ends = np.cumsum([len(p.encode()) for p in pieces])
+        """Forget all pieces: sorted hashes, the slot of each, and the slots' ids in one pool."""
+        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.pool, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of pieces.  Those with a space before them are encoded many in
+        one text: it is cut there anyhow, and the bytes of the ids tell whose they are."""
+        if not pieces:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        joined = [b"".join(pieces[at:at + 4000]).decode() for at in range(0, len(pieces), 4000)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
         last = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
-        self._add(pieces, ids, np.diff(last, prepend=0))
-
-    def _add(self, pieces, ids, sizes):
-        self.known.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces)), strict=True))
-        self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, sizes])
-
-    def _numbers(self, pieces: list[str]) -> np.ndarray:
-        """Index of each piece."""
-        if len(self.known) > PIECES:
+        return ids, np.diff(last, prepend=0)
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]):
+        spaced = np.array([p[:1] == b" " for p in pieces], bool)
+        ids, size = self._encode_pieces([p for p in pieces if p[:1] == b" "])
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces if p[:1] != b" "], add_special_tokens=False)]
+        ids = np.concatenate([ids, np.array([i for x in alone for i in x], np.uint32)])
+        size = np.concatenate([size, np.array([len(x) for x in alone], np.int64)])
+        keys = np.concatenate([keys[spaced], keys[~spaced]])
+        slots = len(self.size) + np.arange(len(keys))
+        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
+        self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, size])
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order])
+
+    def _ids(self, raw: np.ndarray, bounds: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids) of stretches of text without white space beside a space; ``fresh`` ones
+        start a text, the others follow a space."""
+        s, e, h, _ = T.run_hashes(raw, bounds, _NO_SPACE, T.byte_values(), 1)
+        owner = np.searchsorted(bounds, s, side="right") - 1
+        first = (s == bounds[owner]) & fresh[owner]
+        key, where, back = np.unique(np.where(first, ~h, h), return_index=True, return_inverse=True)
+        if len(self.keys) > PIECES:
             self.clear()
-        new = [p for p in pieces if p not in self.known]
-        if rest := [p for p in new if p[:1] != " "]:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-            self._add(rest, np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got], np.int64))
-        if new := [p for p in new if p[:1] == " "]:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        at = np.searchsorted(self.keys, key)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == key[known]
+        if not known.all():
+            new = where[~known]
+            data = raw.tobytes()
+            self._learn(key[~known], [data[a:z] if f else b" " + data[a:z] for a, z, f in
+                                      zip(s[new].tolist(), e[new].tolist(), first[new].tolist(), strict=True)])
+            at = np.searchsorted(self.keys, key)
+        slot = self.slots[at][back]
+        size = self.size[slot]
+        stop = np.cumsum(size)
+        ids = self.pool[np.repeat(self.begin[slot] - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        return ids, np.bincount(owner, weights=size, minlength=len(fresh)).astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text), end ids included."""
-        whole = [bool(UNSAFE.search(t)) for t in texts]
-        split = pc.split_pattern(pa.array([" " if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string()), " ")
-        flat, at = split.flatten(), np.asarray(split.offsets)
-        coded = flat.dictionary_encode()
-        code = np.asarray(coded.indices, np.int64)
-        n = len(coded.dictionary)
-        first = np.zeros(len(code), bool)
-        first[at[:-1]] = True
-        key = code * 2 + first  # a piece has its space before it, but for the first one
-        used, back = np.unique(key, return_inverse=True)
-        names = coded.dictionary.to_pylist() if n else []
-        number = self._numbers([names[k >> 1] if k & 1 else " " + names[k >> 1] for k in used.tolist()])
-        begin, size = (np.cumsum(self.size) - self.size)[number][back], self.size[number][back]
-        stop = np.cumsum(size)
-        ids = self.pool[np.repeat(begin - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
-        bound = np.concatenate([[0], stop])
-        out, lengths = [], []
-        for k, t in enumerate(texts):
-            own = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if whole[k] else ids[bound[at[k]]:bound[at[k + 1]]]
-            out += [own, np.array([self.end], np.uint32)]
-            lengths.append(len(own) + 1)
-        return np.concatenate(out) if out else np.empty(0, np.uint32), np.array(lengths, np.int64)
+        given = pa.array(texts, pa.large_string())
+        whole = pc.match_substring_regex(given, UNSAFE)
+        rest = pc.if_else(whole, "", given)
+        data, off = T.text_bytes(rest)
+        # stretches: texts, long ones cut at spaces
+        cuts, owner = [off], [np.arange(len(texts))]
+        for k in np.flatnonzero(np.diff(off) > CHUNK).tolist():
+            spaces = off[k] + np.flatnonzero(data[off[k]:off[k + 1]] == 32)
+            at = np.unique(spaces[np.searchsorted(spaces, np.arange(off[k] + CHUNK, off[k + 1], CHUNK)).clip(max=len(spaces) - 1)]) if len(spaces) else spaces
+            cuts.append(at)
+            owner.append(np.full(len(at), k))
+        begin = np.concatenate([off[:-1], *cuts[1:]])
+        owner = np.concatenate(owner)
+        order = np.lexsort((begin, owner))
+        begin, owner = begin[order], owner[order]
+        stop = np.append(begin[1:], off[-1])
+        fresh = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, bool)
+        parts, counts, i = [], [], 0
+        while i < len(begin):
+            j = max(i + 1, int(np.searchsorted(stop, begin[i] + CHUNK, side="right")))
+            ids, n = self._ids(data[begin[i]:stop[j - 1]], np.append(begin[i:j], stop[j - 1]) - begin[i], fresh[i:j])
+            parts.append(ids)
+            counts.append(n)
+            i = j
+        ids = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        n = np.bincount(owner, weights=np.concatenate(counts), minlength=len(texts)).astype(np.int64) if counts else np.zeros(len(texts), np.int64)
+        for k in np.flatnonzero(np.asarray(whole)).tolist():
+            own = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+            ids = np.insert(ids, n[:k].sum(), own)
+            n[k] = len(own)
+        return np.insert(ids, np.cumsum(n), self.end), n + 1
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -132,22 +172,25 @@ class Wavelet:
     @classmethod
     def build(cls, ids: np.ndarray) -> Wavelet:
         n, planes = len(ids), []
+        ids = ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids
         for level in range(max(1, int(ids.max(initial=0)).bit_length()) - 1, -1, -1):
-            bit = (ids >> np.uint32(level)).astype(np.uint8) & 1
+            bit = (ids >> ids.dtype.type(level)).astype(np.uint8) & 1
             planes.append(np.packbits(np.concatenate([bit, np.zeros(-n % SAMPLE, np.uint8)]), bitorder="little"))
-            one = bit.astype(bool)
+            one = bit.view(bool)
             ids = np.concatenate([ids[~one], ids[one]])
         return cls(n, planes)
 
     def decode(self) -> np.ndarray:
         """All ids, from the last plane back to the first."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for depth in range(len(self.planes) - 1, -1, -1):
-            one = np.unpackbits(self.planes[depth], bitorder="little")[:self.n].astype(bool)
+            bit = np.unpackbits(self.planes[depth], bitorder="little")[:self.n]
+            one = bit.view(bool)
             before = np.empty_like(ids)
             before[~one], before[one] = ids[:self.zeros[depth]], ids[self.zeros[depth]:]
-            ids = before | (one.astype(np.uint32) << np.uint32(len(self.planes) - 1 - depth))
-        return ids
+            ids = before | (bit.astype(kind) << kind(len(self.planes) - 1 - depth))
+        return ids.astype(np.uint32)
 
     def rank1(self, depth: int, i: int) -> int:
         """Ones before position i of a plane."""
@@ -245,7 +288,7 @@ def write_shards(docs: DataFrame, out: str, *, tokenizer_path: str, end: int = 2
         for b in batches:
             part = b.column("part")[0].as_py() if b.num_rows else 0
             sizes = np.asarray(pc.binary_length(b.column("text")), np.int64)
-            group = np.cumsum(sizes) // 4_000_000  # texts of about 4 MB at a time
+            group = np.cumsum(sizes) // 8_000_000  # texts of about 8 MB at a time
             for g in np.unique(group):
                 at = np.flatnonzero(group == g)
                 piece = b.slice(at[0], len(at))

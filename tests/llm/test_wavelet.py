@@ -69,3 +69,12 @@ def test_matrix(values):
         assert w.count(v) == len(at)
         assert w.count(v, len(ids) // 3, len(ids) // 2) == ((at >= len(ids) // 3) & (at < len(ids) // 2)).sum()
         assert [w.locate(v, k) for k in range(-1, len(at) + 1)] == [-1, *at.tolist(), -1]
+
+
+def test_long_text_in_stretches(monkeypatch):
+    monkeypatch.setattr(W, "CHUNK", 50)
+    e = W.Encoder(tokenizer_path(), 2)
+    texts = ["word " * 100 + "end", "x" * 300, "a b\nc " * 60 + "z", "", "two  gaps " * 20]
+    ids, n = e.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in [*e.tokenizer.encode(t, add_special_tokens=False).ids, 2]]
+    assert n.sum() == len(ids)
