@@ -174,11 +174,28 @@ def indicator_columns(df: DataFrame, columns: Sequence[str], *, suffix: str = "b
     return df.withColumns({f"{c}{suffix}": F.col(c).isNotNull().cast("int") for c in columns})
 
 
+#: Codes and texts of a category up to which they become columns; more is an error, never a cut.
+MAX_CODES = 5000
+MAX_CATEGORY_VALUES = 200
+
+
+def kept_codes(lab: DataFrame, *, code: str = "code", fraction: float = 0.80) -> list[str]:
+    """Codes that P6 keeps, sorted: the columns of the wide table."""
+    top = top_codes(lab, code=code, fraction=fraction)
+    rows = top.select(code).limit(MAX_CODES + 1).collect()
+    if len(rows) > MAX_CODES:
+        raise ValueError(f"more than {MAX_CODES} codes to pivot")
+    return sorted(r[0] for r in rows)
+
+
 def category_values(long: DataFrame, *, code: str = "code",
                     categorical: Sequence[str] = CATEGORICAL_CODES) -> dict[str, list[str]]:
-    """Distinct texts per categorical code (a small code list, collected once)."""
-    rows = (long.where(F.col(code).isin(*categorical) & F.col("txt").isNotNull())
-            .select(code, "txt").distinct().collect())
+    """Distinct texts per categorical code; raises when a code has more than ``MAX_CATEGORY_VALUES``."""
+    texts = long.where(F.col(code).isin(*categorical) & F.col("txt").isNotNull()).select(code, "txt").distinct()
+    for r in texts.groupBy(code).agg(F.count(F.lit(1)).alias("n")).collect():   # one row per categorical code
+        if r["n"] > MAX_CATEGORY_VALUES:
+            raise ValueError(f"{r[0]} has {r['n']} different texts, more than {MAX_CATEGORY_VALUES} columns")
+    rows = texts.collect()
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r[0], []).append(r[1])
@@ -205,41 +222,54 @@ def count_positive(columns: Sequence[str]) -> Column:
 
 
 # --------------------------------------------------------------- composition
-def build_presentations(lab: DataFrame, codes: Sequence[str], *, fraction: float = 0.80,
+def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, fraction: float = 0.80,
                         snap_minutes: int = 120, gap_minutes: int = 1440, min_present: int = 2,
                         category_vals: dict[str, Sequence[str]] | None = None,
-                        prefix: str = "lab_", fill_zero: bool = True,
-                        materialize: bool = True) -> DataFrame:
+                        prefix: str = "lab_", fill_zero: bool = True, impute: str | None = None,
+                        pilot: bool = False, materialize: bool = True) -> DataFrame:
     """Entry 1 up to the visit match: lab rows (seq, patient, ts, code, result)
     -> one row per presentation with lab values, presence indicators, one-hot
     categories, zero fill and ``Num_vars``.
 
-    ``codes`` is the explicit column catalogue of the wide table; codes removed
-    by the top-fraction filter stay as empty (zero-filled) columns.
+    The columns are the codes that the top-fraction filter keeps, and every text of the
+    categorical ones.  Given ``codes`` or ``category_vals`` only check that: a kept code or a text
+    that they miss is an error.  ``pilot`` keeps the pilot slice, ``impute`` names a strategy of
+    ``impute.impute`` for the numeric columns, ``fill_zero=False`` leaves missing numbers NULL.
 
     The deduplicated long rows feed three consumers (presence counts, code
     means, the pivot); ``materialize`` writes them once as a reliable
     checkpoint so the anchor fold and its joins are not recomputed per
     consumer and a lost executor does not re-run them.
     """
-    rows = top_fraction_filter(deny_filter(lab), fraction=fraction)
+    lab = pilot_slice(lab) if pilot else lab
+    lab = deny_filter(lab)
+    kept = kept_codes(lab, fraction=fraction)
+    if codes is not None and set(kept) - set(codes):
+        raise ValueError(f"codes without a column: {sorted(set(kept) - set(codes))}")
+    codes = kept
+    rows = lab.where(F.col("code").isin(*codes)) if codes else lab.where(F.lit(False))
     rows = anchor_times(rows, snap_minutes=snap_minutes, gap_minutes=gap_minutes)
     dedup = dedup_first(normalise(rows))
     if materialize:
         dedup = reliable_checkpoint(dedup)
-    kept = resolve_markers(sparse_filter(dedup, min_present=min_present))
-    wide = pivot_presentations(kept, codes, prefix=prefix)
+    long = resolve_markers(sparse_filter(dedup, min_present=min_present))
+    wide = pivot_presentations(long, codes, prefix=prefix)
     wide = wide.withColumn("Tijd", (F.hour("anchor") + F.minute("anchor")) / F.lit(60.0))
     lab_cols = [lab_column(c, prefix) for c in codes]
     wide = indicator_columns(wide, lab_cols)
     cats = [c for c in codes if c in CATEGORICAL_CODES]
-    if category_vals is None:
-        category_vals = category_values(kept)
-    values = {lab_column(c, prefix): list(category_vals.get(c, [])) for c in cats}
+    found = category_values(long)
+    for c, vals in (category_vals or {}).items():
+        if set(found.get(c, [])) - set(vals):
+            raise ValueError(f"texts of {c} without a column: {sorted(set(found[c]) - set(vals))}")
+    values = {lab_column(c, prefix): found.get(c, []) for c in cats}
     wide = one_hot(wide, values)
     numeric = [c for c in lab_cols if c not in values]
     hot = [f"{col}{v}" for col, vals in values.items() for v in vals]
-    if fill_zero:
+    if impute is not None:
+        from .impute import impute as impute_columns
+        wide = impute_columns(wide, numeric, impute)
+    elif fill_zero:
         wide = wide.fillna(0, subset=numeric)
     counted = numeric + [f"{c}binary" for c in lab_cols] + hot + ["Tijd"]
     return wide.withColumn("Num_vars", count_positive(counted))

@@ -274,13 +274,34 @@ def _wide_select(cols) -> str:
     return ", ".join(out)
 
 
-ORACLE["presentation_wide"] = _build(f"SELECT {_wide_select(_WIDE_COLS)} FROM wide",
-                                     extra={"wide": _WIDE_SQL})
-ORACLE["num_vars"] = _build(f"SELECT {_wide_select(['patient', 'anchor', 'Num_vars'])} FROM wide",
-                            extra={"wide": _WIDE_SQL})
-_HOT = [f"lab_{c}{v}" for c, vs in _CATS.items() for v in vs]
-ORACLE["one_hot"] = _build(f"SELECT {_wide_select(['patient', 'anchor'] + _HOT)} FROM wide",
-                           extra={"wide": _WIDE_SQL})
+# The columns come from the data: kept codes, and texts of the categorical ones.
+_IS_CAT = f"code IN ({_list(CATEGORICAL_CODES)})"
+_CELLS = {
+    "hot": f"SELECT patient, anchor, 'lab_' || code || txt AS col, 1 AS v FROM kept WHERE {_IS_CAT} AND txt IS NOT NULL",
+    "cells": f"""
+SELECT patient, anchor, 'lab_' || code AS col, round(COALESCE(num, 0), 6) AS v FROM kept WHERE NOT {_IS_CAT}
+UNION ALL SELECT patient, anchor, 'lab_' || code || 'binary', CAST(CASE WHEN {_IS_CAT} THEN txt IS NOT NULL ELSE num IS NOT NULL END AS INTEGER)
+  FROM kept
+UNION ALL SELECT * FROM hot""",
+    "cols": f"""
+SELECT 'lab_' || code AS col FROM top WHERE NOT {_IS_CAT}
+UNION ALL SELECT 'lab_' || code || 'binary' FROM top UNION ALL SELECT DISTINCT col FROM hot""",
+    "base": """
+SELECT patient, anchor, min(seq) AS seq, any_value((hour(anchor) + minute(anchor)) / 60) AS Tijd FROM kept GROUP BY patient, anchor""",
+    "positive": "SELECT patient, anchor, count(*) FILTER (v > 0) AS n FROM cells GROUP BY patient, anchor",
+}
+ORACLE["presentation_wide"] = _build(f"""
+SELECT b.patient, {ts_text('b.anchor')} AS anchor, b.seq, round(b.Tijd, 6) AS Tijd, CAST(p.n + CAST(b.Tijd > 0 AS INTEGER) AS INTEGER) AS Num_vars,
+  c.col AS "column", CAST(COALESCE(x.v, 0) AS DOUBLE) AS value
+FROM base b JOIN positive p ON p.patient = b.patient AND p.anchor = b.anchor CROSS JOIN cols c
+LEFT JOIN cells x ON x.patient = b.patient AND x.anchor = b.anchor AND x.col = c.col""", extra=_CELLS)
+ORACLE["num_vars"] = _build(f"""
+SELECT b.patient, {ts_text('b.anchor')} AS anchor, CAST(p.n + CAST(b.Tijd > 0 AS INTEGER) AS INTEGER) AS Num_vars
+FROM base b JOIN positive p ON p.patient = b.patient AND p.anchor = b.anchor""", extra=_CELLS)
+ORACLE["one_hot"] = _build(f"""
+SELECT b.patient, {ts_text('b.anchor')} AS anchor, c.col AS "column", CAST(COALESCE(x.v, 0) AS DOUBLE) AS value
+FROM base b CROSS JOIN (SELECT DISTINCT col FROM hot) c LEFT JOIN hot x ON x.patient = b.patient AND x.anchor = b.anchor AND x.col = c.col""",
+    extra=_CELLS)
 _HITS = """
 SELECT v.visit_id, v.nummer, v.Datum_SEH, w.* EXCLUDE (patient) FROM visits v JOIN wide w
   ON w.patient = v.nummer AND w.anchor > v.Datum_SEH AND w.anchor < v.Datum_SEH + INTERVAL 900 MINUTE"""
@@ -289,8 +310,9 @@ SELECT visit_id, nummer, {ts_text('Datum_SEH')} AS Datum_SEH, {ts_text('anchor')
   round(lab_HB, 6) AS lab_HB, round(lab_TRC, 6) AS lab_TRC, "lab_MREBNegatief"
 FROM hits WHERE visit_id IN (SELECT visit_id FROM hits GROUP BY visit_id HAVING count(*) = 1)""",
     extra={"wide": _WIDE_SQL, "hits": _HITS}, views=("lab", "visits"))
-ORACLE["match_audit"] = _build("""
-SELECT v.visit_id, CAST(count(h.visit_id) AS BIGINT) AS hits FROM visits v
+ORACLE["match_audit"] = _build(f"""
+SELECT v.visit_id, CAST(count(h.visit_id) AS BIGINT) AS hits, {ts_text('min(h.anchor)')} AS first_hit,
+  {ts_text('max(h.anchor)')} AS last_hit FROM visits v
 LEFT JOIN hits h ON h.visit_id = v.visit_id GROUP BY v.visit_id""",
     extra={"wide": _WIDE_SQL, "hits": _HITS}, views=("lab", "visits"))
 

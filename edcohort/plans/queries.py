@@ -21,12 +21,6 @@ from .build import build_processed_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Category texts of the lab stand-in after normalisation.
-LAB_CATEGORY_VALUES = {
-    "MREB": ["Bijzonder", "Negatief", "Positief"],
-    "BG": ["A", "B", "O"],
-    "KETUP": ["+", "++", "neg"],
-}
 CATALOGUE = [c for c in V.LAB_CODES if c not in DENY_CODES]
 
 
@@ -70,8 +64,7 @@ def _kept(spark, sf):
 
 
 def _wide(spark, sf):
-    return pr.build_presentations(V.lab(spark, sf), CATALOGUE, fraction=0.80,
-                                  category_vals=LAB_CATEGORY_VALUES)
+    return pr.build_presentations(V.lab(spark, sf), fraction=0.80)
 
 
 @query("deny_filter")
@@ -118,7 +111,15 @@ def q_marker_mean(spark, sf):
 
 @query("presentation_wide")
 def q_presentation_wide(spark, sf):
-    return comparable(_wide(spark, sf))
+    """The wide table, one row per presentation and column: its columns come from the data."""
+    wide = _wide(spark, sf)
+    keys = ["patient", "anchor", "seq", "Tijd", "Num_vars"]
+    return comparable(_melt(wide, keys, [c for c in wide.columns if c not in keys]))
+
+
+def _melt(df, keys, columns):
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns]))
+    return df.select(*keys, cells.alias("_c")).select(*keys, "_c.*")
 
 
 @query("num_vars")
@@ -128,14 +129,15 @@ def q_num_vars(spark, sf):
 
 @query("one_hot")
 def q_one_hot(spark, sf):
-    hot = [f"lab_{c}{v}" for c, vs in LAB_CATEGORY_VALUES.items() for v in vs]
-    return comparable(_wide(spark, sf).select("patient", "anchor", *hot))
+    wide = _wide(spark, sf)
+    cats = tuple(f"lab_{c}" for c in CATEGORICAL_CODES)
+    hot = [c for c in wide.columns if c.startswith(cats) and not c.endswith("binary")]
+    return comparable(_melt(wide, ["patient", "anchor"], hot))
 
 
 @query("visit_lab_match")
 def q_visit_lab_match(spark, sf):
-    out = build_processed_table(V.lab(spark, sf), V.visits(spark, sf), V.LAB_CODES,
-                                category_vals=LAB_CATEGORY_VALUES)
+    out = build_processed_table(V.lab(spark, sf), V.visits(spark, sf))
     return comparable(out.select("visit_id", "nummer", "Datum_SEH", "anchor", "Num_vars",
                                  "lab_HB", "lab_TRC", "lab_MREBNegatief"))
 
@@ -143,7 +145,7 @@ def q_visit_lab_match(spark, sf):
 @query("match_audit")
 def q_match_audit(spark, sf):
     audit = co.match_audit(V.visits(spark, sf), _wide(spark, sf))
-    return comparable(audit.select("visit_id", "hits"))
+    return comparable(audit.select("visit_id", "hits", "first_hit", "last_hit"))
 
 
 # ------------------------------------------------------------ derive (Entry 2)
