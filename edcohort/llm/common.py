@@ -34,6 +34,16 @@ def freeze(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+#: Rows of a small table that one task handles.
+ROWS_PER_TASK = 50_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have about ``rows`` rows at most, in no more partitions than they need: a small
+    table would else write one shuffle file for each of its many near-empty partitions."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (frozen, narrow) marked for broadcast if it has at most ``max_rows`` rows."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

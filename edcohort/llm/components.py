@@ -10,21 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze
+from .common import few, freeze
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, rows: int) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     out = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.distinct()
+    return few(out, 2 * rows).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, rows: int) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    out = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    out = few(down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), rows)
+    return out.union(few(low.select("u", F.col("m").alias("v")), rows)).where("u <> v").distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -32,15 +32,18 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     vertex of its component.  Self-loops and repeated edges are ignored; no edges: no rows."""
     e = freeze(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                .where("u <> v").distinct())
+    rows = e.count()
+    e = few(e, rows)
     state = None
-    for _ in range(max_rounds):
-        e = freeze(_small_star(_large_star(e)))
+    for _ in range(max_rounds if rows else 0):
+        e = freeze(few(_small_star(few(_large_star(e, rows), 2 * rows), 2 * rows), 2 * rows))
         got = e.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if tuple(got) == state:
             break
         state = tuple(got)
     else:
-        raise RuntimeError("components did not converge")
+        if rows:
+            raise RuntimeError("components did not converge")
     roots = e.select(F.col("v").alias("vertex")).distinct()
-    return (e.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
-            .union(roots.select("vertex", F.col("vertex").alias("label"))))
+    return few(e.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
+               .union(roots.select("vertex", F.col("vertex").alias("label"))), 2 * rows)

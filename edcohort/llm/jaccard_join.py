@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import bounded, freeze, keyed, on_keys, without
+from .common import bounded, few, freeze, keyed, on_keys, without
 from .components import components
 
 #: Entries of the frequent-token table that orders tokens (12 bytes each, broadcast).
@@ -42,9 +42,9 @@ SHARED_LIMIT = 2_000_000
 #: A batch reports tokens that it holds in at least this many classes, one less if it is small.
 BATCH_MIN = 3
 SMALL_BATCH = 1000
-#: Hub rounds at most, and pairs per row of the posting lists up to which all pairs are compared.
+#: Turns at most, and pairs per row of the posting lists up to which all pairs are compared.
 HUB_ROUNDS = 3
-PAIRS_PER_ROW = 2
+PAIRS_PER_ROW = 8
 #: Classes of a posting list up to which all its pairs are compared at once.
 SHORT_LIST = 16
 
@@ -203,16 +203,18 @@ def prefixes_meet(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFr
         return prefixes.select(F.col("cls").alias(c), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
     both = F.size(F.array_intersect("t1", "t2"))
     behind = F.greatest(*[F.col(n) - prefix_length(F.col(n), percent) for n in ("n1", "n2")])
-    return (pairs.join(side("a", 1), "a").join(side("b", 2), "b")
+    return (few(pairs.join(side("a", 1), "a"), pairs.count()).join(side("b", 2), "b")
             .where(both + behind >= overlap_needed(F.col("n1"), F.col("n2"), percent)).select("a", "b"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, docs_cls: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link.  Sets are made only of one document of each class
     that occurs in a pair."""
+    rows = pairs.count()
+    pairs = few(pairs, rows)
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     one = docs_cls.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "th")).alias("k"))
-    one = bounded(freeze(one.select("k.*")))
+    one = bounded(freeze(few(one.select("k.*"), 2 * rows)))
     sets = freeze(whole_sets(docs.join(one, on_keys(docs, one, "doc_id", "th"), "left_semi"), shingle))
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
@@ -223,8 +225,9 @@ def verify(pairs: DataFrame, docs: DataFrame, docs_cls: DataFrame, shingle: int,
                     for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(run, "a long, b long"))
+    # some hundred pairs a task: their sets are large, and counting the overlap takes its time
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return few(both, 50 * rows).mapInArrow(run, "a long, b long")
 
 
 def _ordered(a, b):
@@ -243,8 +246,8 @@ def may_meet(n1, pos1, n2, pos2, percent: int):
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (pos1 <= n1 - need) & (pos2 <= n2 - need)
 
 
-def labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The posting lists that hold classes of different labels, with the labels."""
+def labelled(lists: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int]:
+    """The posting lists that hold classes of different labels, with the labels; and their rows."""
     if labels is None:
         q = lists.withColumn("label", F.col("cls"))
     else:
@@ -252,7 +255,9 @@ def labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         q = q.withColumn("label", F.coalesce("label", "cls"))
     still = q.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("many"))
     still = still.where("lo <> hi").select("token", "many")
-    return freeze(q.join(still, "token").select("token", "cls", "n", "pos", "own", "label", "many"))
+    q = freeze(q.join(still, "token").select("token", "cls", "n", "pos", "own", "label", "many"))
+    rows = q.count()
+    return few(q, rows), rows
 
 
 def size_band(percent: int) -> Column:
@@ -260,34 +265,29 @@ def size_band(percent: int) -> Column:
     return F.log("n") / F.lit(float(np.log(100.0 / percent)) if percent < 100 else 1.0)
 
 
-def pairs_left(lists: DataFrame, percent: int) -> tuple[int, int]:
-    """Rows of the open posting lists, and about how many pairs with different labels a full
-    comparison would meet (repeats included): those of one size band, at positions where sets of
-    equal size can meet first."""
+def pairs_left(lists: DataFrame, percent: int) -> int:
+    """About how many pairs with different labels a full comparison of these posting lists would
+    meet (repeats included): those of one size band, at positions where sets of equal size can
+    meet first."""
     near = lists.where(F.col("pos") <= F.col("n") - overlap_needed(F.col("n"), F.col("n"), percent))
     near = near.withColumn("band", F.floor(size_band(percent)))
     by_label = near.groupBy("token", "band", "label").agg(F.count("*").cast("double").alias("c"))
     by_token = by_label.groupBy("token", "band").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
     got = by_token.agg(F.sum((F.col("t") * F.col("t") - F.col("s")) / 2)).first()
-    return lists.count(), int(got[0] or 0)
-
-
-def hub_pairs(lists: DataFrame, percent: int, masks: tuple[int, int]) -> DataFrame:
-    """Each class of an open posting list with two hubs of its list and size band: the class
-    with the smallest share of prefix tokens of its own (the original of a group of edited
-    copies has hardly any, so it is close to all of them), and the one closest to a mask in
-    the XOR order; ``masks`` differ by round."""
-    band = size_band(percent)
-    rows = lists.withColumn("g", F.explode(F.array(
-        F.struct(F.lit(0).alias("grid"), F.floor(band).alias("band")),
-        F.struct(F.lit(1).alias("grid"), F.floor(band + 0.5).alias("band"))))).select(*lists.columns, "g.*")
-    key = ["token", "grid", "band"]
-    near = [F.col("cls").bitwiseXOR(F.lit(m)) for m in masks]
+    return int(got[0] or 0)
+
+
+def hub_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each class of an open posting list with the hub of its list and size band.  First that is the
+    class with the smallest share of prefix tokens of its own: the original of a group of edited
+    copies has hardly any, so it is close to all of them.  Later turns shift the bands, then
+    take a hub by a random order."""
+    rows = lists.withColumn("band", F.floor(size_band(percent) + (turn % 2) / 2))
     carry = ["cls", "label", "n", "pos"]
-    hubs = rows.groupBy(*key).agg(F.min(F.struct("own", near[0], *carry)).alias("h0"), F.min(F.struct(near[1], *carry)).alias("h1"),
-                                  F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").drop("lo", "hi")
-    hub = F.explode(F.array(*[F.struct(*[f"{h}.{c}" for c in carry]) for h in ("h0", "h1")]))
-    paired = rows.join(hubs, key).select(*carry, hub.alias("hub"))
+    order = F.xxhash64(F.lit(turn), "cls")
+    best = F.struct("own", order, *carry) if turn < 2 else F.struct(order, *carry)
+    hubs = rows.groupBy("token", "band").agg(F.min(best).alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    paired = rows.join(hubs.where("lo <> hi").drop("lo", "hi"), ["token", "band"])
     fits = may_meet(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), percent)
     return paired.where((F.col("label") != F.col("hub.label")) & fits).select(*_ordered(F.col("cls"), F.col("hub.cls"))).distinct()
 
@@ -308,20 +308,18 @@ def link_classes(lists: DataFrame, check, percent: int) -> DataFrame:
     Short posting lists are compared in full at once.  In long ones hub rounds go on while a full
     comparison would meet more pairs than a few per row of the lists that are still open; then,
     or after ``HUB_ROUNDS``, all pairs that are left in them are compared too."""
-    masks = [int(m) - (1 << 63) for m in T.mix(np.arange(2 * HUB_ROUNDS, dtype=np.uint64))]
-    still = labelled(lists, None)
+    still, rows = labelled(lists, None)
     short = still.where(F.col("many") <= SHORT_LIST)
     still = still.where(F.col("many") > SHORT_LIST)
-    done = freeze(all_pairs_left(short, percent).union(hub_pairs(still, percent, masks[:2])).distinct())
+    done = freeze(few(all_pairs_left(short, percent).union(hub_pairs(still, percent, 0)), SHORT_LIST * rows).distinct())
     links = freeze(check(done))
     labels = components(links)
-    for r in range(1, HUB_ROUNDS + 1):
-        still = labelled(still.drop("label", "many"), labels)
-        rows, pairs = pairs_left(still, percent)
+    for turn in range(1, HUB_ROUNDS + 1):
+        still, rows = labelled(still.drop("label", "many"), labels)
         if not rows:
             break
-        last = pairs <= PAIRS_PER_ROW * rows or r == HUB_ROUNDS
-        new = all_pairs_left(still, percent) if last else hub_pairs(still, percent, masks[2 * r:2 * r + 2])
+        last = pairs_left(still, percent) <= PAIRS_PER_ROW * rows or turn == HUB_ROUNDS
+        new = all_pairs_left(still, percent) if last else hub_pairs(still, percent, turn)
         new = freeze(new.join(done, ["a", "b"], "left_anti"))
         links = freeze(links.union(check(new)))
         labels = components(links)
