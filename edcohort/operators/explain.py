@@ -1,11 +1,10 @@
-"""Feature attribution for boosted trees (M13, re-aimed).
+"""Boosted trees as arrays: tree SHAP attribution (M13) and scores of prefixes of the rounds.
 
-Per row and feature, the contribution is the sum, over every tree and every
-split on that feature along the row's decision path, of
-``tree_weight * (value(child) - value(node))``; the base value is the weighted
-sum of the root values.  Base + contributions = the model margin exactly
-(decision-path attribution; the source's tree-SHAP averages over feature
-orderings instead, so individual values differ while the sum is the same).
+The attribution is path-dependent tree SHAP with node counts as cover.  A leaf's share of a
+coalition's value is a product over the features on its path: 1 or 0 for known features (the row
+passes their splits or not), the cover ratio of their splits for the others; so the Shapley value
+of a feature is a sum over the coefficients of one small polynomial per leaf.  Base + values =
+the model margin.
 
 The tree arrays are model parameters (bounded by the number of nodes) and are
 shipped with the function; rows are processed in Arrow batches by
@@ -14,6 +13,7 @@ shipped with the function; rows are processed in Arrow batches by
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -25,15 +25,16 @@ from pyspark.sql import functions as F
 
 def tree_arrays(model) -> list[dict]:
     """Flatten each tree of a fitted GBT model into arrays (feature, threshold,
-    left, right, value, weight); continuous splits only."""
+    left, right, value, cover, weight); continuous splits only."""
     out = []
     for tree, w in zip(model.trees, model.treeWeights):
-        feat, thr, left, right, val = [], [], [], [], []
+        feat, thr, left, right, val, cover = [], [], [], [], [], []
         stack = [(tree._java_obj.rootNode(), None, None)]
         while stack:
             node, parent, side = stack.pop()
             i = len(val)
             val.append(float(node.prediction()))
+            cover.append(float(node.impurityStats().count()))
             if parent is not None:
                 (left if side == "L" else right)[parent] = i
             if node.getClass().getSimpleName() == "InternalNode":
@@ -52,29 +53,78 @@ def tree_arrays(model) -> list[dict]:
                 left.append(-1)
                 right.append(-1)
         out.append({"feature": np.array(feat), "threshold": np.array(thr), "left": np.array(left),
-                    "right": np.array(right), "value": np.array(val), "weight": float(w)})
+                    "right": np.array(right), "value": np.array(val), "cover": np.array(cover), "weight": float(w)})
     return out
 
 
-def _contributions(x: np.ndarray, trees: list[dict]) -> tuple[np.ndarray, float]:
+def _leaves(tree: dict):
+    """(value, [(feature, threshold, goes left, cover ratio)...]) of each leaf."""
+    todo = [(0, [])]
+    while todo:
+        node, path = todo.pop()
+        if tree["feature"][node] < 0:
+            yield tree["value"][node], path
+            continue
+        for child, is_left in ((tree["left"][node], True), (tree["right"][node], False)):
+            ratio = tree["cover"][child] / tree["cover"][node]
+            todo.append((child, [*path, (tree["feature"][node], tree["threshold"][node], is_left, ratio)]))
+
+
+def shapley_values(x: np.ndarray, trees: list[dict]) -> tuple[np.ndarray, float]:
+    """(values of each row and feature, base value) of the weighted sum of trees."""
     n, d = x.shape
-    contrib = np.zeros((n, d))
-    base = 0.0
-    rows = np.arange(n)
-    for t in trees:
-        base += t["weight"] * t["value"][0]
-        node = np.zeros(n, dtype=np.int64)
-        active = t["feature"][node] >= 0
-        while active.any():
-            r = rows[active]
-            nd = node[active]
-            f = t["feature"][nd]
-            go_left = x[r, f] <= t["threshold"][nd]
-            child = np.where(go_left, t["left"][nd], t["right"][nd])
-            np.add.at(contrib, (r, f), t["weight"] * (t["value"][child] - t["value"][nd]))
-            node[active] = child
-            active = t["feature"][node] >= 0
-    return contrib, base
+    out, base = np.zeros((n, d)), 0.0
+    for tree in trees:
+        for value, path in _leaves(tree):
+            known, ratio = {}, {}   # per feature on the path: does the row pass, share of cover
+            for f, threshold, is_left, r in path:
+                passes = (x[:, f] <= threshold) == is_left
+                known[f] = known[f] & passes if f in known else passes
+                ratio[f] = ratio.get(f, 1.0) * r
+            w, m = tree["weight"] * value, len(known)
+            base += w * math.prod(ratio.values())
+            for i in known:
+                # coefficients, by size of the coalition, of the product over the other features
+                c = [np.ones(n)]
+                for j in known:
+                    if j != i:
+                        z, o = ratio[j], known[j]
+                        c = [(c[k] * z if k < len(c) else 0) + (c[k - 1] * o if k else 0) for k in range(len(c) + 1)]
+                size = sum(c[k] * (math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m)) for k in range(m))
+                out[:, i] += w * (known[i] - ratio[i]) * size
+    return out, base
+
+
+def tree_values(x: np.ndarray, tree: dict) -> np.ndarray:
+    """Weighted prediction of one tree for each row."""
+    node = np.zeros(len(x), np.int64)
+    rows = np.arange(len(x))
+    while (inner := tree["feature"][node] >= 0).any():
+        at = node[inner]
+        left = x[rows[inner], tree["feature"][at]] <= tree["threshold"][at]
+        node[inner] = np.where(left, tree["left"][at], tree["right"][at])
+    return tree["weight"] * tree["value"][node]
+
+
+def prefix_scores(model, data: DataFrame, prefixes: Sequence[int], *, columns: Sequence[str],
+                  features_col: str = "features") -> DataFrame:
+    """``columns`` of ``data``, ``n_trees`` and the probability ``p`` of the first ``n_trees`` rounds, for each
+    of ``prefixes``: without row sampling the first rounds of a long fit are those of a short one."""
+    trees, wanted = tree_arrays(model), sorted(set(prefixes))
+    kinds = [f"{c} {data.schema[c].dataType.simpleString()}" for c in columns]
+
+    def run(batches):
+        for pdf in batches:
+            x = np.stack(pdf["_x"].to_numpy()) if len(pdf) else np.zeros((0, 1))
+            margin, done = np.zeros(len(pdf)), 0
+            for n in wanted:
+                for t in trees[done:n]:
+                    margin = margin + tree_values(x, t)
+                done = max(done, min(n, len(trees)))
+                yield pdf[list(columns)].assign(n_trees=n, p=1 / (1 + np.exp(-2 * margin)))
+
+    x = data.select(*columns, vector_to_array(F.col(features_col)).alias("_x"))
+    return x.mapInPandas(run, schema=", ".join([*kinds, "n_trees int", "p double"]))
 
 
 def attribution(model, data: DataFrame, feature_names: Sequence[str], *, key: str,
@@ -88,7 +138,7 @@ def attribution(model, data: DataFrame, feature_names: Sequence[str], *, key: st
     def run(batches):
         for pdf in batches:
             x = np.stack(pdf["_x"].to_numpy()) if len(pdf) else np.zeros((0, len(names)))
-            c, base = _contributions(x, trees)
+            c, base = shapley_values(x, trees)
             ids = pdf[key].to_numpy()
             long = pd.DataFrame({key: np.repeat(ids, len(names)),
                                  "feature": np.tile(names, len(ids)),

@@ -8,6 +8,7 @@ points (a handful each).  Predictions are returned as a scored table
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as me
+from .ordinal import null_safe_join
 
 SEED = 42
 
@@ -37,8 +39,8 @@ def gbt(**kw):
 
 
 def gbt_leafwise(**kw):
-    """M8: the second boosting profile (deeper trees, subsampled rows)."""
-    p = dict(maxIter=100, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=SEED)
+    """M8: the second boosting profile (deeper trees)."""
+    p = dict(maxIter=100, maxDepth=5, stepSize=0.1, seed=SEED)
     p.update(kw)
     return GBTClassifier(**p)
 
@@ -66,46 +68,69 @@ def neural_net(n_features: int, **kw):
     return MultilayerPerceptronClassifier(**p)
 
 
-def algorithms(n_rows: int, n_features: int, **overrides) -> dict[str, Callable]:
-    """The five compared algorithms by name."""
+def algorithms(n_features: int, **overrides) -> dict[str, Callable]:
+    """The five compared algorithms by name, as functions of the number of training rows."""
     o = overrides
     return {
-        "gbt": lambda: gbt(**o.get("gbt", {})),
-        "logistic": lambda: logistic(n_rows, **o.get("logistic", {})),
-        "random_forest": lambda: random_forest(**o.get("random_forest", {})),
-        "gbt_leafwise": lambda: gbt_leafwise(**o.get("gbt_leafwise", {})),
-        "neural_net": lambda: neural_net(n_features, **o.get("neural_net", {})),
+        "gbt": lambda n: gbt(**o.get("gbt", {})),
+        "logistic": lambda n: logistic(n, **o.get("logistic", {})),
+        "random_forest": lambda n: random_forest(**o.get("random_forest", {})),
+        "gbt_leafwise": lambda n: gbt_leafwise(**o.get("gbt_leafwise", {})),
+        "neural_net": lambda n: neural_net(n_features, **o.get("neural_net", {})),
     }
 
 
+#: Fits that run at a time; each is itself distributed.
+PARALLEL_FITS = 4
+
+
+def in_parallel(tasks: Sequence[Callable]) -> list:
+    """Results of a few driver-side fits, in order, on a small thread pool."""
+    from pyspark import inheritable_thread_target
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+
+
+def fold_sizes(data: DataFrame, fold: str = "fold") -> dict[int, int]:
+    """Rows of each fold (one row per fold comes back)."""
+    return {r[fold]: r["count"] for r in data.groupBy(fold).count().collect()}
+
+
 # ---------------------------------------------------------- out-of-fold
 def positive_probability(pred: DataFrame) -> DataFrame:
     return pred.withColumn("p", vector_to_array(F.col("probability"))[1])
 
 
 def out_of_fold(data: DataFrame, make_estimator: Callable, *, name: str, key: str,
-                fold: str = "fold", k: int | None = None) -> DataFrame:
+                fold: str = "fold", models: Sequence | None = None) -> DataFrame:
     """Fit on the other folds, predict the held-out fold; union of folds
-    -> scored table (model, fold, id, y, p)."""
-    if k is None:
-        k = data.select(F.max(fold)).first()[0] + 1
+    -> scored table (model, fold, id, y, p).
+
+    ``make_estimator`` is called with the number of training rows.  Given ``models`` nothing is
+    fitted: fold i is scored by ``models[i]``, or all folds by the only one.  The scored table is
+    persisted, as every measure reads it; call ``unpersist`` on it when done."""
+    sizes = fold_sizes(data, fold)
+    folds, total = sorted(sizes), sum(sizes.values())
+    if models is None:
+        models = in_parallel([lambda i=i: make_estimator(total - sizes[i]).fit(data.where(F.col(fold) != i)) for i in folds])
+    elif len(models) == 1:
+        models = list(models) * len(folds)
     parts = []
-    for i in range(k):
-        model = make_estimator().fit(data.where(F.col(fold) != i))
+    for i, model in zip(folds, models, strict=True):
         pred = positive_probability(model.transform(data.where(F.col(fold) == i)))
         parts.append(pred.select(F.lit(name).alias("model"), F.col(fold).alias("fold"),
                                  F.col(key).alias("id"), F.col("label").cast("int").alias("y"), "p"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.persist()
 
 
-def cv_roc(scored: DataFrame):
-    """E8 on out-of-fold predictions: (fold AUCs, band, summary with accuracy)."""
-    fold_auc, band, summary = me.cross_validated_roc(scored)
+def cv_roc(scored: DataFrame, band: str = "ci"):
+    """E8 on out-of-fold predictions: (fold AUCs, mean curve with band, summary with accuracy)."""
+    fold_auc, curve, summary = me.cross_validated_roc(scored, band=band)
     acc = me.accuracy_cv(scored)
-    return fold_auc, band, summary.join(acc, on="model", how="left")
+    return fold_auc, curve, null_safe_join(summary, acc, ["model"], "left")
 
 
 def cv_calibration(scored: DataFrame):
@@ -117,26 +142,30 @@ def cv_calibration(scored: DataFrame):
 def grid_search(data: DataFrame, *, key: str, depths: Sequence[int], trees: Sequence[int],
                 fold: str = "fold") -> DataFrame:
     """Every (depth, trees) setting scored by out-of-fold AUC:
-    mean over folds, population sd, interval mean +- 1.96 sd / sqrt(5)."""
-    out = None
-    for d in depths:
-        for t in trees:
-            name = f"depth={d},trees={t}"
-            s = out_of_fold(data, lambda d=d, t=t: gbt(maxDepth=d, maxIter=t), name=name, key=key,
-                            fold=fold)
-            fa = me.auc(s)
-            summ = fa.groupBy("model").agg(F.avg("auc").alias("mean_auc"),
-                                           F.stddev_pop("auc").alias("std_auc"))
-            summ = summ.withColumns({"max_depth": F.lit(d), "n_trees": F.lit(t)})
-            out = summ if out is None else out.unionByName(summ)
+    mean over folds, population sd, interval mean +- 1.96 sd / sqrt(5).
+
+    One fit per depth and fold, with the most trees, scores all tree counts by prefix."""
+    from .explain import prefix_scores
+    folds = sorted(fold_sizes(data, fold))
+    fits = in_parallel([lambda d=d, i=i: gbt(maxDepth=d, maxIter=max(trees)).fit(data.where(F.col(fold) != i))
+                        for d in depths for i in folds])
+    scored = None
+    for (d, i), model in zip([(d, i) for d in depths for i in folds], fits, strict=True):
+        s = prefix_scores(model, data.where(F.col(fold) == i).withColumn("y", F.col("label").cast("int")), trees,
+                          columns=[fold, "y"]).withColumn("max_depth", F.lit(d))
+        scored = s if scored is None else scored.unionByName(s)
+    fa = me.auc(scored, group=["max_depth", "n_trees", fold])
+    out = fa.groupBy("max_depth", "n_trees").agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"))
     half = F.lit(me.Z95) * F.col("std_auc") / F.lit(5 ** 0.5)
-    return out.withColumns({"ci_low": F.col("mean_auc") - half, "ci_high": F.col("mean_auc") + half})
+    out = out.withColumns({"ci_low": F.col("mean_auc") - half, "ci_high": F.col("mean_auc") + half})
+    return out.withColumn("model", F.format_string("depth=%d,trees=%d", "max_depth", "n_trees"))
 
 
 # ------------------------------------------------------------ distillation
 def distil(df: DataFrame, ranked_features: Sequence[str], sizes: Sequence[int], *, key: str,
-           label: str = "y_var", fold: str = "fold", make_estimator: Callable = gbt) -> DataFrame:
+           label: str = "y_var", fold: str = "fold", make_estimator: Callable = lambda n: gbt()) -> DataFrame:
     """Cross-validated AUC using only the top-n ranked features, per n."""
+    df = df.persist()
     out = None
     for n in sizes:
         data = assemble(df, list(ranked_features)[:n], label=label)
@@ -148,20 +177,36 @@ def distil(df: DataFrame, ranked_features: Sequence[str], sizes: Sequence[int],
 
 
 # ---------------------------------------------------------- hold-out
-def holdout_roc(df: DataFrame, *, key: str, split: str = "split", make_estimator: Callable = gbt,
+def holdout_roc(df: DataFrame, *, key: str, split: str = "split", make_estimator: Callable = lambda n: gbt(),
                 name: str = "holdout") -> DataFrame:
     """Fit on 'train', AUC on 'test'."""
-    model = make_estimator().fit(df.where(F.col(split) == "train"))
+    train = df.where(F.col(split) == "train")
+    model = make_estimator(train.count()).fit(train)
     pred = positive_probability(model.transform(df.where(F.col(split) == "test")))
     scored = pred.select(F.lit(name).alias("model"), F.lit(0).alias("fold"),
                          F.col("label").cast("int").alias("y"), "p")
     return me.auc(scored)
 
 
-def early_stopping_gbt(df: DataFrame, *, split: str = "split", max_iter: int = 100,
-                       tol: float = 0.01, **kw):
-    """M5: boosting that watches the test part and stops when it no longer
-    improves (MLlib ``validationIndicatorCol``)."""
-    data = df.withColumn("_is_val", F.col(split) == "test")
-    est = gbt(maxIter=max_iter, validationIndicatorCol="_is_val", validationTol=tol, **kw)
-    return est.fit(data)
+def best_round(losses: Sequence[float], patience: int = 10) -> tuple[int, int]:
+    """(rounds run, best round, both from 1): stops after ``patience`` rounds without a lower loss."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return i + 1, best + 1
+    return len(losses), best + 1
+
+
+def early_stopping_gbt(df: DataFrame, *, split: str = "split", max_iter: int = 100, patience: int = 10, **kw):
+    """M5: (model, history, rounds run, best round): boosting watched on the test part, stopped after
+    ``patience`` rounds without a lower loss there.  ``history`` has the train and test log-loss of
+    each round that ran; ``explain.prefix_scores`` gives the scores after the best round."""
+    train, test = df.where(F.col(split) == "train"), df.where(F.col(split) == "test")
+    model = gbt(maxIter=max_iter, **kw).fit(train)
+    on_test = model.evaluateEachIteration(test)
+    ran, best = best_round(on_test, patience)
+    on_train = model.evaluateEachIteration(train)
+    history = [(i + 1, on_train[i], on_test[i]) for i in range(ran)]
+    return model, history, ran, best

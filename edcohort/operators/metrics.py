@@ -34,11 +34,21 @@ def score_counts(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
                                          F.sum(1 - F.col(y)).cast("bigint").alias("fp"))
 
 
+def train_part_counts(scored: DataFrame, k: int, *, model: str = "model", fold: str = "fold",
+                      y: str = "y", p: str = "p") -> DataFrame:
+    """Counts per (model, fold, score) of the *training* part of each of ``k`` folds: rows are
+    counted by their own fold first, the counts then go to the other folds."""
+    own = score_counts(scored, group=[model, fold], y=y, p=p)
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col(fold))
+    out = own.withColumn("_to", F.explode(others)).groupBy(model, "_to", p)
+    return out.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp")).withColumnRenamed("_to", fold)
+
+
 def cumulated(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
-              y: str = "y", p: str = "p") -> DataFrame:
+              y: str = "y", p: str = "p", counted: bool = False) -> DataFrame:
     """One row per (group, distinct score) with running positives/negatives
     (scores descending) and the group totals ``_P``, ``_N``."""
-    counts = score_counts(scored, group=group, y=y, p=p)
+    counts = scored if counted else score_counts(scored, group=group, y=y, p=p)
     cum = prefix_sums(counts, order_by=[-F.col(p)], partition_by=list(group),
                       sums={"ctp": F.col("tp"), "cfp": F.col("fp")})
     totals = cum.groupBy(*group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
@@ -121,13 +131,16 @@ def _summary(per_fold: DataFrame, value: str, group: Sequence[str], ci_n: int =
 
 
 def roc_mean_band(grid: DataFrame, *, model: str = "model", n_grid: int = 100,
-                  band_n: int = BAND_N) -> DataFrame:
+                  band_n: int = BAND_N, band: str = "ci") -> DataFrame:
     """E4 (curve): mean tpr over folds per grid point (last forced to 1),
-    population sd, band mean +- 1.96 sd / sqrt(band_n) clipped to [0, 1]."""
+    population sd, band clipped to [0, 1]: mean +- 1.96 sd / sqrt(band_n) (``band='ci'``) or
+    mean +- 1 sd (``'sd'``)."""
+    if band not in ("ci", "sd"):
+        raise ValueError(f"unknown band {band!r}; expected 'ci' or 'sd'")
     agg = grid.groupBy(model, "j").agg(F.first("fpr").alias("fpr"), F.avg("tpr").alias("mean_tpr"),
                                        F.stddev_pop("tpr").alias("std_tpr"))
     mean = F.when(F.col("j") == n_grid - 1, F.lit(1.0)).otherwise(F.col("mean_tpr"))
-    half = F.lit(Z95) * F.col("std_tpr") / F.lit(math.sqrt(band_n))
+    half = F.col("std_tpr") * F.lit(Z95 / math.sqrt(band_n) if band == "ci" else 1.0)
     return agg.withColumn("mean_tpr", mean).withColumns({
         "upper": F.least(F.col("mean_tpr") + half, F.lit(1.0)),
         "lower": F.greatest(F.col("mean_tpr") - half, F.lit(0.0))})
@@ -147,14 +160,14 @@ def roc_summary(band: DataFrame, fold_auc: DataFrame, *, model: str = "model",
 
 
 def cross_validated_roc(scored: DataFrame, *, model: str = "model", fold: str = "fold",
-                        y: str = "y", p: str = "p", n_grid: int = 100):
-    """E8 on a scored table: (fold AUCs, mean curve with band, summary)."""
+                        y: str = "y", p: str = "p", n_grid: int = 100, band: str = "ci", counted: bool = False):
+    """E8 on a scored table, or on ``counted`` scores: (fold AUCs, mean curve with band, summary)."""
     group = [model, fold]
-    cum = cumulated(scored, group=group, y=y, p=p)
+    cum = cumulated(scored, group=group, y=y, p=p, counted=counted)
     fold_auc = auc_from(cum, group=group)
     grid = roc_grid(points_from(cum, group=group, p=p), group=group, n_grid=n_grid)
-    band = roc_mean_band(grid, model=model, n_grid=n_grid)
-    return fold_auc, band, roc_summary(band, fold_auc, model=model)
+    curve = roc_mean_band(grid, model=model, n_grid=n_grid, band=band)
+    return fold_auc, curve, roc_summary(curve, fold_auc, model=model)
 
 
 def accuracy_cv(scored: DataFrame, *, model: str = "model", fold: str = "fold",

@@ -8,40 +8,73 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scores as sc
+from ..functions.clinical import abbmeds_risk
 from ..operators import learn as le
 from ..operators import metrics as me
 from ..operators.ordinal import stratified_kfold
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], make_estimator: Callable, *,
-                   name: str, key: str = "case_id", label: str = "y_var", k: int = 3) -> dict:
+                   name: str, key: str = "case_id", label: str = "y_var", k: int = 5, band: str = "ci") -> dict:
     """E8 + E10 for one model: {'scored', 'fold_auc', 'band', 'summary', 'brier',
-    'calibration'}.  The assembled input is persisted across the k fits."""
+    'calibration'}.  ``make_estimator`` gets the number of training rows."""
     folded = stratified_kfold(df, label=label, order_by=[key], k=k)
     data = le.assemble(folded, features, label=label).select(key, "fold", "label", "features").persist()
-    scored = le.out_of_fold(data, make_estimator, name=name, key=key, k=k)
-    fold_auc, band, summary = le.cv_roc(scored)
+    scored = le.out_of_fold(data, make_estimator, name=name, key=key)
+    fold_auc, curve, summary = le.cv_roc(scored, band=band)
     brier, calib = le.cv_calibration(scored)
-    return {"scored": scored, "fold_auc": fold_auc, "band": band, "summary": summary,
+    return {"scored": scored, "fold_auc": fold_auc, "band": curve, "summary": summary,
             "brier": brier, "calibration": calib}
 
 
-def risk_score_cross_validate(df: DataFrame, score: F.Column, *, key: str = "case_id",
-                              label: str = "y_var", k: int = 3, part: str = "train"):
-    """Fold AUCs of a fixed risk score, on the training part of each fold
-    (``part='train'``, as the source) or on the held-out fold."""
-    d = stratified_kfold(df.select(key, F.col(label).alias("y"), score.alias("p")),
-                         label="y", order_by=[key], k=k)
+def score_dataset(data: DataFrame, shock: DataFrame, score: str, *, key: str = "case_id", label: str = "y_var",
+                  shock_label: str = "y_var", **names) -> DataFrame:
+    """R7 + J6: (key, y, p) of a clinical score on a stored data model.  The shock column that
+    MEDS needs was dropped from the stored model with the outcomes; it is the label of the
+    out=1 model and is joined by key (a case without one counts as no shock)."""
+    s = shock.select(F.col(key).alias("_key"), F.col(shock_label).alias("septischeshock"))
+    d = data.drop("septischeshock").join(s, data[key] == F.col("_key"), "left").drop("_key")
+    d = d.withColumn("septischeshock", F.coalesce("septischeshock", F.lit(0)))
+    p = sc.risk_score(score, **names) if score != "abbMEDS" else abbmeds_risk(sc.abbmeds(**names))
+    return d.select(key, F.col(label).alias("y"), p.alias("p"))
+
+
+def risk_score_cross_validate(scored: DataFrame, *, name: str, key: str = "case_id", k: int = 3, part: str = "train",
+                              band: str = "ci") -> dict:
+    """{'fold_auc', 'band', 'summary'} of a fixed score (key, y, p), on the training part of each
+    fold (``part='train'``, as the source) or on the held-out fold (``'test'``)."""
+    d = stratified_kfold(scored.select(key, "y", "p"), label="y", order_by=[key], k=k).withColumn("model", F.lit(name))
     if part == "train":
-        others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col("fold"))
-        d = d.withColumn("fold", F.explode(others))
-    return me.auc(d, group=["fold"], y="y", p="p")
-
-
-def compare_models(summaries: dict[str, DataFrame]) -> DataFrame:
-    """One table of per-model summaries."""
-    out = None
-    for name, s in summaries.items():
-        s = s.withColumn("entry", F.lit(name))
-        out = s if out is None else out.unionByName(s, allowMissingColumns=True)
-    return out
+        d = me.train_part_counts(d, k)
+    fold_auc, curve, summary = me.cross_validated_roc(d, band=band, counted=part == "train")
+    return {"fold_auc": fold_auc, "band": curve, "summary": summary}
+
+
+def compare(entries: dict[str, dict]) -> tuple[DataFrame, DataFrame]:
+    """(summaries, mean curves with bands) of models and scores, as two tables; each entry is
+    a result of ``cross_validate`` or ``risk_score_cross_validate`` with the band its caller chose."""
+    tables = []
+    for part in ("summary", "band"):
+        out = None
+        for name, result in entries.items():
+            s = result[part].withColumn("entry", F.lit(name))
+            out = s if out is None else out.unionByName(s, allowMissingColumns=True)
+        tables.append(out)
+    return tables[0], tables[1]
+
+
+def score_validation_cohort(main: DataFrame, validation: DataFrame, params: dict, *, key: str = "case_id",
+                            patience: int = 10) -> DataFrame:
+    """M3 + M5 + E13 with the parameters of S10: boosting on a 70/30 split of the main cohort, stopped on
+    its test part; thresholded AUCs on the validation cohort after the best round.  Both frames
+    have (key, label, features)."""
+    from ..operators.explain import prefix_scores
+    from ..operators.ordinal import holdout_split
+    d = holdout_split(main, key=key).persist()
+    model, _, ran, best = le.early_stopping_gbt(d, max_iter=params.get("n_estimators", 100), patience=patience,
+                                                maxDepth=params.get("max_depth", 3))
+    rows = validation.withColumn("y", F.col("label").cast("int"))
+    scored = prefix_scores(model, rows, [best, ran], columns=[key, "y"])
+    scored = scored.withColumn("model", F.when(F.col("n_trees") == best, "best_round").otherwise("all_rounds"))
+    return me.threshold_auc(scored)

@@ -717,3 +717,50 @@ SELECT hits, count(*) AS visits FROM (
   SELECT v.visit_id, CAST(count(h.visit_id) AS BIGINT) AS hits FROM visits v
   LEFT JOIN hits h ON h.visit_id = v.visit_id GROUP BY v.visit_id) GROUP BY hits""",
     extra={"wide": _WIDE_SQL, "hits": _HITS}, views=("lab", "visits"))
+
+
+# ------------------------------------ score dataset (R7), its curves (E9), comparison
+_SCORE_COLUMNS = {"CURB": "curb_risk", "MEDS": "meds_risk", "REMS": "rems_risk", "abbMEDS": "abbmeds_risk"}
+_SCORES = f"SELECT s.*, o.y FROM ({ORACLE['score_risk']}) s JOIN ({ORACLE['outcome_31d']}) o ON s.case_id = o.case_id"
+ORACLE["score_dataset"] = " UNION ALL ".join(
+    f"SELECT case_id, CAST(y AS INTEGER) AS y, CAST({c} AS DOUBLE) AS p, '{s}' AS score FROM ({_SCORES})" for s, c in _SCORE_COLUMNS.items())
+
+
+def _risk_curves(score: str, body: str, band: str = "ci") -> str:
+    ctes = {"d": f"SELECT case_id, y, {_SCORE_COLUMNS[score]} AS p FROM ({_SCORES})", **kfold_sql("d", "case_id", "y", 3),
+            "scored": f"SELECT '{score}' AS model, e.i AS fold, f.y, f.p FROM folded f JOIN range(3) e(i) ON f.fold <> e.i", **_CUM}
+    return with_ctes([], ctes, body)
+
+
+ORACLE["cv_risk_band"] = _risk_curves("CURB", f"""
+SELECT model, j, {_R6(['fpr', 'mean_tpr', 'std_tpr', 'upper', 'lower'])},
+  round(greatest(mean_tpr - std_tpr, 0.0), 6) AS lower_sd, round(least(mean_tpr + std_tpr, 1.0), 6) AS upper_sd FROM band""")
+_SUMMARY = f"SELECT model, {_R6(['mean_auc', 'std_auc', 'ci_low', 'ci_high'])} FROM summary"
+ORACLE["compare_data_models"] = " UNION ALL ".join(
+    [f"SELECT *, 'models' AS entry FROM ({ORACLE['compare_models']})"]
+    + [f"SELECT *, '{s}' AS entry FROM ({_risk_curves(s, _SUMMARY)})" for s in ("CURB", "MEDS")])
+
+# ---------------------------------------------- parts of the fits with an exact answer
+ORACLE["cv_counts"] = with_ctes(["cases"], {"d": f"SELECT case_id, {_Y31} AS y FROM cases", **kfold_sql("d", "case_id", "y", 5)}, """
+SELECT 'logistic' AS model, CAST(fold AS INTEGER) AS fold, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos, count(*) AS n_scored
+FROM folded GROUP BY fold""")
+ORACLE["attribution_sums"] = "SELECT CAST(ceil(0.3 * count(*)) AS BIGINT) AS n_cases, CAST(0 AS DOUBLE) AS gap FROM orders"
+
+
+# ------------------------------------------------------------------ p-values
+def erfc_sql(x: str) -> str:
+    """Upper error function by the series of erf; 0 beyond 5, where it is under 2e-12."""
+    term = f"(CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END) * exp((2 * k + 1) * ln({x}) - lgamma(k + 1)) / (2 * k + 1)"
+    return (f"CASE WHEN {x} <= 0 THEN 1.0 WHEN {x} > 5 THEN 0.0 "
+            f"ELSE 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 120), lambda k: {term})) END")
+
+
+ORACLE["mann_whitney_p"] = f"SELECT *, round(0.5 * ({erfc_sql('(abs(z) / sqrt(2))')}), 6) AS p FROM ({ORACLE['mann_whitney']})"
+_CHI_EXACT = ORACLE["chi_square"].replace("round(sum(power(adj - e, 2) / e), 6) AS chi2", "sum(power(adj - e, 2) / e) AS chi2")
+ORACLE["chi_square_p"] = (f"SELECT * REPLACE (round(chi2, 6) AS chi2), round({erfc_sql('sqrt(chi2 / 2)')}, 6) AS p "   # two outcomes: one degree
+                          f"FROM ({_CHI_EXACT})")
+ORACLE["baseline_table"] = " UNION ALL ".join([
+    ORACLE["baseline_table"],
+    _unpivot(ORACLE["mann_whitney_p"], "mann_whitney", "'main_vs_validation'", "score", ["p"]),
+    _unpivot(ORACLE["chi_square_p"], "chi_square", "'main_vs_validation'", "outcome", ["p"]),
+])

@@ -153,6 +153,7 @@ from ..functions import clinical as cl  # noqa: E402
 from ..functions import scores as sc  # noqa: E402
 from ..functions.parsing import leading_token_number  # noqa: E402
 from ..operators import metrics as me  # noqa: E402
+from . import evaluate as ev  # noqa: E402
 from .derive import data_model, export_splits  # noqa: E402
 
 AS_OF = "2002-01-01"
@@ -367,17 +368,45 @@ def q_scale_pop(spark, sf):
     return comparable(st.standard_scale(c, ["Pols", "TRC", "URESE"]))
 
 
+def _score(spark, sf, score):
+    """The R7 score dataset: model 3 as stored, its shock label from the out=1 model."""
+    return ev.score_dataset(_model(spark, sf, 3), _model(spark, sf, 1, out=1), score)
+
+
+@query("score_dataset")
+def q_score_dataset(spark, sf):
+    parts = [_score(spark, sf, s).withColumn("score", F.lit(s)) for s in ("CURB", "MEDS", "REMS", "abbMEDS")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return comparable(out)
+
+
+def _risk_cv(spark, sf, score, **kw):
+    return ev.risk_score_cross_validate(_score(spark, sf, score), name=score, **kw)
+
+
 @query("cv_risk_roc")
 def q_cv_risk_roc(spark, sf):
-    d = _cases_aged(spark, sf).select(
-        "case_id", cl.outcome_within("Datum_overlijden", "Datum_SEH", 31).alias("y"),
-        sc.risk_score("CURB").alias("p"))
-    k = 3
-    f = od.stratified_kfold(d, label="y", order_by=["case_id"], k=k)
-    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col("fold"))
-    train = f.withColumn("eval_fold", F.explode(others))
-    out = me.auc(train, group=["eval_fold"], y="y", p="p")
-    return comparable(out.withColumnRenamed("eval_fold", "fold"))
+    return comparable(_risk_cv(spark, sf, "CURB")["fold_auc"].drop("model"))
+
+
+@query("cv_risk_band")
+def q_cv_risk_band(spark, sf):
+    """The mean curve of the score with both bands."""
+    ci = _risk_cv(spark, sf, "CURB")["band"]
+    sd = _risk_cv(spark, sf, "CURB", band="sd")["band"]
+    sd = sd.select("model", "j", F.col("lower").alias("lower_sd"), F.col("upper").alias("upper_sd"))
+    return comparable(ci.join(sd, ["model", "j"]))
+
+
+@query("compare_data_models")
+def q_compare_data_models(spark, sf):
+    """The scored models next to CURB and MEDS."""
+    _, band, summary = me.cross_validated_roc(V.scored(spark, sf))
+    entries = {"models": {"summary": summary, "band": band}}
+    entries |= {s: _risk_cv(spark, sf, s, band="sd") for s in ("CURB", "MEDS")}
+    return comparable(ev.compare(entries)[0])
 
 
 @query("rater_points")
@@ -492,12 +521,10 @@ from ..operators import learn as le  # noqa: E402
 
 ML_FEATURES = [c for group in CASE_FEATURES for c in group if c not in ("nummer", "Datum_SEH")] \
     + CASE_LABS
-# Stand-in binding sizes: the source fits 100-round boosters; at the driver's
-# check scale these queries keep the same operators with fewer rounds.
-ML_ROUNDS = 20
+ML_FOLDS = 5
 
 
-def _ml_data(spark, sf, k=3):
+def _ml_data(spark, sf, k=ML_FOLDS):
     d = _model(spark, sf, 3)
     d = od.stratified_kfold(d, label="y_var", order_by=["case_id"], k=k)
     # fitted k times: keep the assembled input in memory/disk (recomputed from
@@ -505,6 +532,10 @@ def _ml_data(spark, sf, k=3):
     return le.assemble(d, ML_FEATURES).select("case_id", "fold", "label", "features").persist()
 
 
+def _cv(spark, sf, name, make):
+    return le.out_of_fold(_ml_data(spark, sf), make, name=name, key="case_id")
+
+
 def _cv_summary(scored):
     _, _, summary = le.cv_roc(scored)
     return comparable(summary)
@@ -512,66 +543,37 @@ def _cv_summary(scored):
 
 @query("cv_gbt")
 def q_cv_gbt(spark, sf):
-    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.gbt(maxIter=ML_ROUNDS), name="gbt",
-                       key="case_id", k=3)
-    return _cv_summary(s)
+    return _cv_summary(_cv(spark, sf, "gbt", lambda n: le.gbt()))
 
 
 @query("cv_lr")
 def q_cv_lr(spark, sf):
-    data = _ml_data(spark, sf)
-    n = data.count()
-    s = le.out_of_fold(data, lambda: le.logistic(n), name="logistic", key="case_id", k=3)
-    return _cv_summary(s)
+    return _cv_summary(_cv(spark, sf, "logistic", le.logistic))
 
 
 @query("cv_rf")
 def q_cv_rf(spark, sf):
-    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.random_forest(numTrees=ML_ROUNDS),
-                       name="random_forest", key="case_id", k=3)
-    return _cv_summary(s)
+    return _cv_summary(_cv(spark, sf, "random_forest", lambda n: le.random_forest()))
 
 
 @query("cv_mlp")
 def q_cv_mlp(spark, sf):
-    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.neural_net(len(ML_FEATURES), maxIter=50),
-                       name="neural_net", key="case_id", k=3)
-    return _cv_summary(s)
+    return _cv_summary(_cv(spark, sf, "neural_net", lambda n: le.neural_net(len(ML_FEATURES))))
 
 
 @query("cv_calibration")
 def q_cv_calibration(spark, sf):
-    s = le.out_of_fold(_ml_data(spark, sf), lambda: le.gbt(maxIter=ML_ROUNDS), name="gbt",
-                       key="case_id", k=3)
-    brier, _ = le.cv_calibration(s)
-    return comparable(brier)
-
-
-@query("compare_algorithms")
-def q_compare_algorithms(spark, sf):
-    data = _ml_data(spark, sf)
-    n = data.count()
-    algos = le.algorithms(n, len(ML_FEATURES), gbt={"maxIter": ML_ROUNDS},
-                          gbt_leafwise={"maxIter": ML_ROUNDS},
-                          random_forest={"numTrees": ML_ROUNDS}, neural_net={"maxIter": 50})
-    out = None
-    for name, make in algos.items():
-        s = le.out_of_fold(data, make, name=name, key="case_id", k=3)
-        out = s if out is None else out.unionByName(s)
-    return _cv_summary(out)
-
+    """Brier summary and calibration bins, one row per bin."""
+    brier, bins = le.cv_calibration(_cv(spark, sf, "logistic", le.logistic))
+    return comparable(od.null_safe_join(bins, brier, ["model"]))
 
-@query("grid_search")
-def q_grid_search(spark, sf):
-    g = le.grid_search(_ml_data(spark, sf), key="case_id", depths=[3, 5], trees=[10, 20])
-    return comparable(g)
 
-
-@query("distil")
-def q_distil(spark, sf):
-    d = od.stratified_kfold(_model(spark, sf, 3), label="y_var", order_by=["case_id"], k=3)
-    return comparable(le.distil(d, ML_FEATURES, [20, 15, 10, 5, 3, 1], key="case_id",
-                                make_estimator=lambda: le.gbt(maxIter=10)))
+@query("cv_counts")
+def q_cv_counts(spark, sf):
+    """Rows and positives of the scored table per fold: what a fit cannot change."""
+    s = _cv(spark, sf, "logistic", le.logistic)
+    return s.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("n_pos"),
+                                          F.sum(F.col("p").between(0, 1).cast("bigint")).alias("n_scored"))
 
 
 def _holdout_data(spark, sf):
@@ -582,17 +584,16 @@ def _holdout_data(spark, sf):
 @query("holdout_roc")
 def q_holdout_roc(spark, sf):
     return comparable(le.holdout_roc(_holdout_data(spark, sf), key="case_id",
-                                     make_estimator=lambda: le.gbt(maxIter=ML_ROUNDS)))
+                                     make_estimator=lambda n: le.gbt()))
 
 
-@query("early_stop")
-def q_early_stop(spark, sf):
-    data = _holdout_data(spark, sf)
-    model = le.early_stopping_gbt(data, max_iter=ML_ROUNDS)
-    pred = le.positive_probability(model.transform(data.where(F.col("split") == "test")))
-    scored = pred.select(F.lit("early_stop").alias("model"), F.lit(0).alias("fold"),
-                         F.col("label").cast("int").alias("y"), "p")
-    return comparable(me.auc(scored).withColumn("n_trees", F.lit(model.getNumTrees)))
+@query("validation_scoring")
+def q_validation_scoring(spark, sf):
+    """M5 -> E13: boosting stopped on the main cohort's test part, thresholded AUCs on the validation
+    cohort.  Parameters are the defaults: the stand-in parameter table names settings at random."""
+    parts = export_splits(_model(spark, sf, 3), V.cohort(spark, sf))
+    main, valid = (le.assemble(parts[k], ML_FEATURES).select("case_id", "label", "features") for k in ("main", "validation"))
+    return comparable(ev.score_validation_cohort(main, valid, {}))
 
 
 # ------------------------------------------------------ versions, parameters
@@ -642,9 +643,9 @@ def q_baseline_table(spark, sf):
     parts = [
         _long(desc, "describe", F.col("cohort"), F.col("score"),
               ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
-        _long(_mw(spark, sf), "mann_whitney", F.lit("main_vs_validation"), F.col("score"), ["u", "z"]),
-        _long(_chi(spark, sf), "chi_square", F.lit("main_vs_validation"), F.col("outcome"),
-              ["chi2", "dof"]),
+        _long(st.with_normal_p(_mw(spark, sf)), "mann_whitney", F.lit("main_vs_validation"), F.col("score"), ["u", "z", "p"]),
+        _long(st.with_chi2_p(_chi(spark, sf)), "chi_square", F.lit("main_vs_validation"), F.col("outcome"),
+              ["chi2", "dof", "p"]),
     ]
     freq = st.value_frequencies(_with_total(_outcomes_long(coh)), group=["cohort", "outcome"], value="y")
     parts.append(_long(freq, "frequency", F.col("cohort"),
@@ -662,7 +663,7 @@ def q_match_histogram(spark, sf):
 
 @query("impute_mice")
 def q_impute_mice(spark, sf):
-    w = im.impute_chained(_wide_raw(spark, sf), NUMERIC_LAB_COLS, rounds=2)
+    w = im.impute_chained(_wide_raw(spark, sf), NUMERIC_LAB_COLS)
     return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))
 
 
@@ -670,9 +671,26 @@ def q_impute_mice(spark, sf):
 from ..operators import explain as ex  # noqa: E402
 
 
+def _attribution(spark, sf):
+    data = _holdout_data(spark, sf)
+    model = le.gbt().fit(data.where(F.col("split") == "train"))
+    return ex.attribution(model, data.where(F.col("split") == "test"), ML_FEATURES, key="case_id")
+
+
 @query("attribution")
 def q_attribution(spark, sf):
-    data = _holdout_data(spark, sf)
-    model = le.gbt(maxIter=ML_ROUNDS).fit(data.where(F.col("split") == "train"))
-    return comparable(ex.attribution(model, data.where(F.col("split") == "test"), ML_FEATURES,
-                                     key="case_id"))
+    return comparable(_attribution(spark, sf))
+
+
+@query("attribution_sums")
+def q_attribution_sums(spark, sf):
+    """Cases attributed, and the largest gap between base + values and the margin."""
+    a = _attribution(spark, sf)
+    margin = F.when(F.col("feature") == "_margin", -F.col("contribution")).otherwise(F.col("contribution"))
+    gap = a.groupBy("case_id").agg(F.sum(margin).alias("gap"))
+    return comparable(gap.agg(F.count(F.lit(1)).alias("n_cases"), F.abs(F.max(F.abs("gap"))).alias("gap")))
+
+
+@query("cv_gbt_leafwise")
+def q_cv_gbt_leafwise(spark, sf):
+    return _cv_summary(_cv(spark, sf, "gbt_leafwise", lambda n: le.gbt_leafwise()))

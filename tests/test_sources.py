@@ -102,6 +102,6 @@ def test_derive_export_and_evaluate(spark):
     assert main.count() + val.count() == cases.count()
     assert "nummer" not in main.columns and "y_var" in main.columns
     feats = [c for c in main.columns if c not in ("case_id", "y_var")]
-    res = cross_validate(main, feats, lambda: le.logistic(1000), name="logistic", k=3)
+    res = cross_validate(main, feats, le.logistic, name="logistic", k=3)
     s = res["summary"].first()
     assert 0.0 <= s.mean_auc <= 1.0
