@@ -71,5 +71,6 @@ def normalise_result(code: str = "code", result: str = "result") -> dict[str, Co
         .when(r.contains("<") | r.contains(">"), first_number(r))
         .otherwise(safe_double(r))
     )
-    marker = F.when(r.isNull(), 1).when(is_cat, 0).when(num.isNull(), 1).otherwise(0)
+    missing = r.rlike(r"(?i)^\s*[+-]?nan\s*$")   # reads as a missing number, not as free text
+    marker = F.when(r.isNull(), 1).when(is_cat | missing, 0).when(num.isNull(), 1).otherwise(0)
     return {"num": num, "txt": txt, "marker": marker}

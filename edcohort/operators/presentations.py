@@ -2,9 +2,8 @@
 
 Shuffle plan of ``build_presentations`` (Entry 1 of the source):
   1. distinct (patient, time)             -> partial aggregate, keys spread
-  2. anchor fold per patient              -> one sorted array of that patient's
-                                             distinct times (bounded by the number
-                                             of distinct time stamps, not rows)
+  2. anchor fold per island of a patient  -> one sorted array of distinct times
+                                             without a day-long gap between them
   3. rows x anchors on (patient, day)     -> equi-join, <= 2 anchors per key
   4. dedup on (patient, anchor, code)     -> partial aggregate (map-side combine)
   5. pivot on (patient, anchor)           -> explicit code list, one aggregate
@@ -76,14 +75,25 @@ def anchor_times(df: DataFrame, *, patient: str = "patient", ts: str = "ts",
                             F.col(ts).cast("timestamp_ntz"))
     rows = df.where(F.col(patient).isNotNull() & F.col(ts).isNotNull()).withColumn("_t", t_us)
 
-    times = rows.select(patient, "_t").distinct()
+    times = rows.select(patient, "_t").distinct().withColumn("_d", F.floor(F.col("_t") / _US_PER_DAY))
     gap_us = (gap_minutes + 1) * _US_PER_MINUTE
+    # islands: a time further than the gap from the one before is an anchor whatever the state, so the
+    # fold runs per island, not per patient.  Such gaps show in one (first, last) row per patient and
+    # day where a gap is a day at least; else a patient is one island.
+    if gap_us >= _US_PER_DAY:
+        by_day = Window.partitionBy(patient).orderBy("_d")
+        days = times.groupBy(patient, "_d").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+        days = days.withColumn("_new", (F.col("_first") - F.lag("_last").over(by_day) >= F.lit(gap_us)).cast("int"))
+        days = days.select(patient, "_d", F.sum(F.coalesce("_new", F.lit(0))).over(by_day).alias("_island"))
+        times = times.join(days, on=[patient, "_d"])
+    else:
+        times = times.withColumn("_island", F.lit(0))
     fold = F.aggregate(
         F.slice("_ts", 2, F.greatest(F.size("_ts") - 1, F.lit(1))),
         F.array(F.element_at("_ts", 1)),
         lambda acc, x: F.when(x - F.element_at(acc, -1) >= F.lit(gap_us),
                               F.concat(acc, F.array(x))).otherwise(acc))
-    anchors = (times.groupBy(patient).agg(F.array_sort(F.collect_list("_t")).alias("_ts"))
+    anchors = (times.groupBy(patient, "_island").agg(F.array_sort(F.collect_list("_t")).alias("_ts"))
                .select(patient, F.explode(fold).alias("_a")))
     # each anchor may govern times in its own day and (near midnight) the next one
     snap_us = (snap_minutes + 1) * _US_PER_MINUTE
@@ -105,6 +115,13 @@ def normalise(df: DataFrame, *, code: str = "code", result: str = "result") -> D
     return df.withColumns(normalise_result(code, result))
 
 
+def first_attributes(df: DataFrame, attributes: Sequence[str], *, keys: Sequence[str] = ("patient", "anchor"),
+                     seq: str = "seq") -> DataFrame:
+    """Attributes (such as the lab number) of the first row of each presentation, as one aggregation."""
+    first = F.min_by(F.struct(*[F.col(a) for a in attributes]), F.col(seq)).alias("_f")
+    return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_f.{a}").alias(a) for a in attributes])
+
+
 def dedup_first(df: DataFrame, *, keys: Sequence[str] = ("patient", "anchor", "code"),
                 seq: str = "seq", values: Sequence[str] = ("num", "txt", "marker")) -> DataFrame:
     """A4: first row (lowest ``seq``) per key, as one aggregation."""
@@ -115,8 +132,9 @@ def dedup_first(df: DataFrame, *, keys: Sequence[str] = ("patient", "anchor", "c
 
 # ---------------------------------------------------------------- P7 + F15
 def present_counts(dedup: DataFrame, *, keys: Sequence[str] = ("patient", "anchor")) -> DataFrame:
-    """Codes present per presentation (a marker counts as present)."""
-    return dedup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_present"))
+    """Codes present per presentation (a marker counts as present, the text NaN does not)."""
+    present = F.col("num").isNotNull() | F.col("txt").isNotNull() | (F.col("marker") == 1)
+    return dedup.groupBy(*keys).agg(F.count_if(present).alias("n_present"))
 
 
 def sparse_filter(dedup: DataFrame, *, keys: Sequence[str] = ("patient", "anchor"),
@@ -226,7 +244,8 @@ def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, f
                         snap_minutes: int = 120, gap_minutes: int = 1440, min_present: int = 2,
                         category_vals: dict[str, Sequence[str]] | None = None,
                         prefix: str = "lab_", fill_zero: bool = True, impute: str | None = None,
-                        pilot: bool = False, materialize: bool = True) -> DataFrame:
+                        pilot: bool = False, attributes: Sequence[str] = (),
+                        materialize: bool = True) -> DataFrame:
     """Entry 1 up to the visit match: lab rows (seq, patient, ts, code, result)
     -> one row per presentation with lab values, presence indicators, one-hot
     categories, zero fill and ``Num_vars``.
@@ -234,7 +253,8 @@ def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, f
     The columns are the codes that the top-fraction filter keeps, and every text of the
     categorical ones.  Given ``codes`` or ``category_vals`` only check that: a kept code or a text
     that they miss is an error.  ``pilot`` keeps the pilot slice, ``impute`` names a strategy of
-    ``impute.impute`` for the numeric columns, ``fill_zero=False`` leaves missing numbers NULL.
+    ``impute.impute`` for the numeric columns, ``fill_zero=False`` leaves missing numbers NULL;
+    ``attributes`` of the first row (``labno``) are kept.
 
     The deduplicated long rows feed three consumers (presence counts, code
     means, the pivot); ``materialize`` writes them once as a reliable
@@ -254,6 +274,9 @@ def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, f
         dedup = reliable_checkpoint(dedup)
     long = resolve_markers(sparse_filter(dedup, min_present=min_present))
     wide = pivot_presentations(long, codes, prefix=prefix)
+    if attributes:
+        from .ordinal import null_safe_join
+        wide = null_safe_join(wide, first_attributes(rows, attributes), ["patient", "anchor"], "left")
     wide = wide.withColumn("Tijd", (F.hour("anchor") + F.minute("anchor")) / F.lit(60.0))
     lab_cols = [lab_column(c, prefix) for c in codes]
     wide = indicator_columns(wide, lab_cols)

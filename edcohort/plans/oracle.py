@@ -683,6 +683,25 @@ ORACLE["impute_indicator2"] = _build(
                                  for c in _NUM) + " FROM raw", extra={"raw": _RAW})
 
 
+# nearest rows: all pairs here, as the oracle is plain brute force
+_DIST = " + ".join(f"power(a.z_{c} - b.z_{c}, 2)" for c in _NUM)
+_KNN = {
+    "raw": _RAW,
+    "st": "SELECT " + ", ".join(f"avg(lab_{c}) AS m_{c}, CASE WHEN COALESCE(stddev_pop(lab_{c}), 0) = 0 THEN 1 ELSE stddev_pop(lab_{c}) END AS s_{c}"
+                                 for c in _NUM) + " FROM raw",
+    "z": "SELECT row_number() OVER (ORDER BY patient, anchor) AS rid, raw.*, " + ", ".join(
+        f"CASE WHEN m_{c} IS NULL THEN 0 ELSE (COALESCE(lab_{c}, m_{c}) - m_{c}) / s_{c} END AS z_{c}" for c in _NUM) + " FROM raw, st",
+    "pair": f"""SELECT a.rid AS q, round(sqrt({_DIST}), 9) AS d, b.* FROM z a JOIN z b ON a.rid <> b.rid""",
+    "near": """SELECT *, 1 / (d + 1e-6) AS w FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d, rid) AS rk FROM pair) WHERE rk <= 10""",
+    "fill": "SELECT q, " + ", ".join(f"sum(w * lab_{c}) / sum(w) FILTER (WHERE lab_{c} IS NOT NULL) AS f_{c}" for c in _NUM) + " FROM near GROUP BY q",
+}
+_FILLED = ", ".join(f"round(COALESCE(z.lab_{c}, f_{c}), 6) AS lab_{c}" for c in _NUM)
+ORACLE["impute_knn"] = _build(f"SELECT {_A}, {_FILLED} FROM z JOIN fill ON fill.q = z.rid", extra=_KNN)
+ORACLE["impute_complex"] = _build(
+    f"SELECT {_A}, {_FILLED}, " + ", ".join(f"CAST(z.lab_{c} IS NOT NULL AS INTEGER) AS lab_{c}binary" for c in _NUM)
+    + " FROM z JOIN fill ON fill.q = z.rid", extra=_KNN)
+
+
 # ------------------------------------------------------ versions, parameters
 ORACLE["latest_version"] = with_ctes(["cases"], {
     "v": "SELECT case_id, CAST(year(Datum_SEH) % 7 + 1 AS INTEGER) AS version FROM cases"},

@@ -516,6 +516,21 @@ def q_impute_indicator2(spark, sf):
     return comparable(w.select("patient", "anchor", *[f"{c}binary" for c in NUMERIC_LAB_COLS]))
 
 
+from ..operators import neighbours as ne  # noqa: E402
+
+
+@query("impute_knn")
+def q_impute_knn(spark, sf):
+    w = ne.impute_knn(_wide_raw(spark, sf), NUMERIC_LAB_COLS)
+    return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))
+
+
+@query("impute_complex")
+def q_impute_complex(spark, sf):
+    w = ne.impute_complex(_wide_raw(spark, sf), NUMERIC_LAB_COLS)
+    return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS, *[f"{c}binary" for c in NUMERIC_LAB_COLS]))
+
+
 # --------------------------------------------------------- model fitting
 from ..operators import learn as le  # noqa: E402
 

@@ -102,3 +102,38 @@ def test_top_fraction_half_even(spark):
 def test_deny_filter(spark):
     rows = [(0, 1, T0, "ARCHSE", "1"), (1, 1, T0, "HB", "1"), (2, 1, T0, None, "1")]
     assert [r.seq for r in pr.deny_filter(_lab(spark, rows)).collect()] == [1]
+
+
+def test_anchors_of_a_patient_with_most_rows(spark):
+    """One patient with thousands of times in long islands, against a plain scan."""
+    import datetime as dt
+
+    import numpy as np
+    rng = np.random.default_rng(1)
+    start = dt.datetime(2020, 1, 1)
+    minutes = np.cumsum(rng.choice([5, 60, 119, 121, 700, 1440, 1441, 5000], 4000, p=[.4, .2, .1, .1, .1, .05, .03, .02]))
+    rows = [(i, 1, start + dt.timedelta(minutes=int(m))) for i, m in enumerate(minutes)] + [(9000 + i, 2 + i, start) for i in range(50)]
+    df = spark.createDataFrame(rows, "seq long, patient long, ts timestamp_ntz")
+    got = {(r.seq): r.anchor for r in pr.anchor_times(df).collect()}
+    want, anchor = {}, None
+    for i, m in enumerate(minutes.tolist()):
+        if anchor is None or m - anchor > 1440:
+            anchor = m
+        if m - anchor <= 120:
+            want[i] = start + dt.timedelta(minutes=anchor)
+    assert {k: v for k, v in got.items() if k < 9000} == want and len(got) == len(want) + 50
+
+
+def test_missed_codes_and_texts_are_errors(spark):
+    import datetime as dt
+
+    import pytest
+    rows = [(i, 1 + i // 3, dt.datetime(2020, 1, 1, 8), c, v) for i, (c, v) in enumerate([("HB", "1"), ("NEW", "2"), ("BG", "AB")] * 4)]
+    lab = spark.createDataFrame(rows, "seq long, patient long, ts timestamp_ntz, code string, result string")
+    wide = pr.build_presentations(lab, fraction=1.0)
+    assert {"lab_HB", "lab_NEW", "lab_BGAB"} <= set(wide.columns) and wide.first().lab_BGAB == 1
+    with pytest.raises(ValueError, match="NEW"):
+        pr.build_presentations(lab, ["HB", "BG"], fraction=1.0)
+    with pytest.raises(ValueError, match="AB"):
+        pr.build_presentations(lab, fraction=1.0, category_vals={"BG": ["A"]})
+    assert pr.first_attributes(lab, ["result"], keys=["patient"]).count() == 4
