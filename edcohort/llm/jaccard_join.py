@@ -42,6 +42,8 @@ SHARED_LIMIT = 2_000_000
 #: A batch reports tokens that it holds in at least this many classes, one less if it is small.
 BATCH_MIN = 3
 SMALL_BATCH = 1000
+#: Tokens counted together.
+COUNT_TOKENS = 2_000_000
 #: Turns at most, and pairs per row of the posting lists up to which all pairs are compared.
 HUB_ROUNDS = 3
 PAIRS_PER_ROW = 8
@@ -74,28 +76,38 @@ def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            sizes, classes, first, tokens = [], [], {}, []
+            sizes, classes, first, tokens, held = [], [], set(), [], 0
             for _, sets, ids in _classes(b, shingle):
                 sizes += map(len, sets)
                 classes += ids
                 for s, c in zip(sets, ids, strict=True):
                     if c not in first:
-                        first[c] = True
+                        first.add(c)
                         tokens.append(s)
+                        held += len(s)
+                if held >= COUNT_TOKENS:
+                    yield from often(tokens, len(first), b)
+                    first, tokens, held = set(), [], 0
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("th"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
-            every = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
-            every.sort()
-            edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, int)
-            count = np.diff(np.append(edge, len(every)))
-            often = count >= BATCH_MIN - (len(first) < SMALL_BATCH)
-            m = int(often.sum())
-            if m:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(m, b.column("doc_id").type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                     pa.nulls(m, pa.int64()), pa.array(_int64(every[edge[often]])), pa.array(count[often])], names=names)
+            yield from often(tokens, len(first), b)
+
+    def often(tokens, docs, b):
+        """Tokens that occur in several of these classes."""
+        if not tokens:
+            return
+        every = np.concatenate(tokens)
+        every.sort()
+        edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        count = np.diff(np.append(edge, len(every)))
+        keep = count >= BATCH_MIN - (docs < SMALL_BATCH)
+        m = int(keep.sum())
+        if m:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(m, b.column("doc_id").type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                 pa.nulls(m, pa.int64()), pa.array(_int64(every[edge[keep]])), pa.array(count[keep])], names=names)
 
     names = ["doc_id", "th", "n_shingles", "cls", "token", "df"]
     return docs.mapInArrow(run, f"doc_id {id_type}, th long, n_shingles long, cls long, token long, df long")

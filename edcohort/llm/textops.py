@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 
 _U64 = np.uint64
 #: Odd multiplier of the polynomial word hash; 5 mod 8, so powers differ in few low bits.
