@@ -176,8 +176,8 @@ class Wavelet:
         for level in range(max(1, int(ids.max(initial=0)).bit_length()) - 1, -1, -1):
             bit = (ids >> ids.dtype.type(level)).astype(np.uint8) & 1
             planes.append(np.packbits(np.concatenate([bit, np.zeros(-n % SAMPLE, np.uint8)]), bitorder="little"))
-            one = bit.view(bool)
-            ids = np.concatenate([ids[~one], ids[one]])
+            one = bit.view(bool)  # taking by position is several times as fast as selecting by a mask
+            ids = np.concatenate([ids.take(np.flatnonzero(~one)), ids.take(np.flatnonzero(one))])
         return cls(n, planes)
 
     def decode(self) -> np.ndarray:
@@ -188,7 +188,8 @@ class Wavelet:
             bit = np.unpackbits(self.planes[depth], bitorder="little")[:self.n]
             one = bit.view(bool)
             before = np.empty_like(ids)
-            before[~one], before[one] = ids[:self.zeros[depth]], ids[self.zeros[depth]:]
+            before[np.flatnonzero(~one)] = ids[:self.zeros[depth]]
+            before[np.flatnonzero(one)] = ids[self.zeros[depth]:]
             ids = before | (bit.astype(kind) << kind(len(self.planes) - 1 - depth))
         return ids.astype(np.uint32)
 
@@ -263,13 +264,15 @@ def write_shards(docs: DataFrame, out: str, *, tokenizer_path: str, end: int = 2
                  shard_tokens: int = SHARD_TOKENS, partitions: int | None = None) -> None:
     """Write the shards of ``docs`` as Parquet rows (part, shard, doc_ids, n_tokens, blob) to ``out``.
 
-    Documents go in ascending id order, null ids first; rows with one id follow by text.  A null
+    Documents go in ascending id order, null ids first; rows with one id follow by text hash.  A null
     text is empty and has the end id only."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
+    # split points are sampled by the driver: ids and hashes, never texts
+    d = d.withColumn("th", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "th").sortWithinPartitions("doc_id", "th")
+    d = d.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def run(batches):
         encoder, shard = encoder_for(tokenizer_path, end), 0
