@@ -42,7 +42,8 @@ BITS_PER_ENTRY = 12
 FREQUENT_WORDS = 1 << 19
 #: Tokens per bucket of the n-gram counts, about.
 BUCKET_TOKENS = 1_000_000
-END = T.word_hash("\u0003end")  # no word: words are hashed with their length and never hold this text alone
+#: The end token; a fixed number, so no word of a text is taken for it.
+END = 0x2D358DCCAA6C78A5
 PAIR = _U(0x8CB92BA72F3D8DD7)
 LOG_BASE = math.log(BASE)
 _THRESHOLDS = np.unique(np.ceil(BASE ** np.arange(0, 60) - 1e-9).astype(np.int64))
