@@ -125,7 +125,7 @@ def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def counted_words(docs: DataFrame) -> DataFrame:
     """(token, c): exact counts of the words of the training texts, by 64-bit hash."""
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             found = [t for _, t in _documents(b)]
             if found:
                 h, c = _counted(np.concatenate(found))
@@ -145,7 +145,7 @@ def counted_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
         return [(size, int(bucket[a]), rest[a:z].tobytes(), c[a:z].tobytes()) for a, z in zip(edge[:-1], edge[1:], strict=True)]
 
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             found = [t for _, t in _documents(b)]
             if found:
                 rows = emit(1, np.concatenate(found)) + emit(2, np.concatenate([_pairs(t) for t in found]))
@@ -254,7 +254,7 @@ def tuned_weights(docs: DataFrame, model) -> np.ndarray:
     """Weights with the greatest likelihood of the training texts, each token left out of its own counts."""
     def run(batches):
         table = np.zeros(KINDS * RATIO_CELLS, np.int64)
-        for b in batches:
+        for b in T.tidied(batches):
             for texts in _groups(_documents(b)):
                 _, _, kind, two, one = model.value.estimates([t for _, t in texts], left_out=1)
                 table += np.bincount(kind * RATIO_CELLS + _ratio_cells(two, one), minlength=len(table))
@@ -327,7 +327,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     sent = sc.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             m = sent.value
             for texts in _groups(_documents(b)):
                 word, index, kind, two, one = m.estimates([t for _, t in texts])

@@ -75,7 +75,7 @@ def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             sizes, classes, first, tokens, held = [], [], set(), [], 0
             for _, sets, ids in _classes(b, shingle):
                 sizes += map(len, sets)
@@ -157,7 +157,7 @@ def postings(docs: DataFrame, table, shingle: int, percent: int, tokens: np.ndar
     sent = docs.sparkSession.sparkContext.broadcast((table, tokens))
 
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             table, tokens = sent.value
             for _, sets, ids in _classes(b, shingle):
                 fresh = {c: s for c, s in zip(ids, sets, strict=True) if len(s)}
@@ -181,7 +181,7 @@ def postings(docs: DataFrame, table, shingle: int, percent: int, tokens: np.ndar
 def whole_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """(cls, tokens): the sorted set of each document as bytes."""
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             for _, sets, ids in _classes(b, shingle):
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["cls", "tokens"])
@@ -232,7 +232,7 @@ def verify(pairs: DataFrame, docs: DataFrame, docs_cls: DataFrame, shingle: int,
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
 
     def run(batches):
-        for batch in batches:
+        for batch in T.tidied(batches):
             keep = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
                     for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))

@@ -192,7 +192,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, *, i
 
     def run(batches):
         scanner = Scanner(templates, min_percent)
-        for b in batches:
+        for b in T.tidied(batches):
             texts = b.column("text")
             fits = scanner.candidates(texts) if scanner.templates else np.zeros((len(texts), 0), bool)
             found = [scanner.scan(texts[k].as_py(), np.flatnonzero(row)) if row.any() and texts[k].is_valid else [] for k, row in enumerate(fits)]

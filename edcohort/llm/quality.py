@@ -93,7 +93,7 @@ def features(docs: DataFrame) -> DataFrame:
     known, bins = hashes[order], order
 
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             texts = b.column("text")
             rows = []
             for i, j, h, at in T.hashed_docs(texts, lower=True):

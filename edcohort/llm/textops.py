@@ -9,6 +9,7 @@ bounded by the slice plus 8 bytes per word of the longest document.
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -17,6 +18,21 @@ import pyarrow as pa
 
 SLICE_BYTES = 500_000
 
+
+def tidied(batches):
+    """The batches; after each, memory that was freed goes back to the system: Python workers live on
+    between tasks and stages, and would else hold on to their greatest use."""
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+        if _TRIM is not None:
+            _TRIM(0)
+
+
+#: glibc's malloc_trim, where there is one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _U64 = np.uint64
 #: Odd multiplier of the polynomial word hash; 5 mod 8, so powers differ in few low bits.
 _BASE = 0x9E3779B97F4A7C15 - 0x10  # ...C05, 5 mod 8

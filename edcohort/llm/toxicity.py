@@ -142,7 +142,7 @@ def learn_lexicons(sample: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]
     """(words, beginnings) much more frequent in toxic texts, for each part k of the sample learned from
     the other parts, and at -1 from all; ``sample`` has (text, toxic, part), bounded."""
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             row = np.asarray(b.column("part"), np.int64) * 2 + np.asarray(b.column("toxic"), np.int64)
             found: list[list] = [[], []]
             for i, _, raw, bounds in T.byte_blocks(b.column("text")):
@@ -186,7 +186,7 @@ def features(docs: DataFrame, lexicons: dict, extra: list[str], part_col: str |
 
     def run(batches):
         seed, you, lexicons = sent.value
-        for b in batches:
+        for b in T.tidied(batches):
             part = np.full(b.num_rows, -1) if part_col is None else np.asarray(b.column(part_col), np.int64)
             for k in np.unique(part):
                 own = b.filter(pa.array(part == k))

@@ -288,7 +288,7 @@ def write_shards(docs: DataFrame, out: str, *, tokenizer_path: str, end: int = 2
             shard, docs_in, lengths, tokens, held = shard + 1, [], [], [], 0
             return row
 
-        for b in batches:
+        for b in T.tidied(batches):
             part = b.column("part")[0].as_py() if b.num_rows else 0
             sizes = np.asarray(pc.binary_length(b.column("text")), np.int64)
             group = np.cumsum(sizes) // 8_000_000  # texts of about 8 MB at a time
@@ -315,7 +315,7 @@ def read_documents(spark, path: str) -> DataFrame:
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in T.tidied(batches):
             for part, shard, doc_ids, blob in zip(*[b.column(c) for c in ("part", "shard", "doc_ids", "blob")], strict=True):
                 w, ends = from_bytes(blob.as_py())
                 ids = w.decode().astype("<u4")
