@@ -51,13 +51,23 @@ def match_visits(visits: DataFrame, presentations: DataFrame, *, visit_key: str
     """Visit columns + presentation columns (names already in the visit
     table are dropped from the presentation side, P11) for visits with exactly
     one presentation in range."""
-    hits = visit_hits(visits, presentations, visit_key=visit_key, v_patient=v_patient,
-                      v_time=v_time, p_patient=p_patient, p_time=p_time,
-                      window_minutes=window_minutes)
     if not require_unique:
-        return hits
+        return visit_hits(visits, presentations, visit_key=visit_key, v_patient=v_patient, v_time=v_time,
+                          p_patient=p_patient, p_time=p_time, window_minutes=window_minutes)
+    # the test for one hit moves keys only; the wide rows join once, for the visits that pass
+    hits = visit_hits(visits.select(visit_key, F.col(v_patient).alias("_v_patient"), v_time),
+                      presentations.select(F.col(p_patient).alias("_p_patient"), F.col(p_time).alias("_p_time")),
+                      visit_key=visit_key, v_patient="_v_patient", v_time=v_time, p_patient="_p_patient", p_time="_p_time",
+                      window_minutes=window_minutes)
     w = Window.partitionBy(visit_key)
-    return hits.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") == 1).drop("_n")
+    one = (hits.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") == 1)
+           .select(F.col(visit_key).alias("_v"), "_p_patient", "_p_time"))
+    out = visits.join(one, visits[visit_key] == one["_v"])
+    wide = presentations.withColumnsRenamed({p_patient: "_w_patient", p_time: "_w_time"})
+    wide = wide.drop(*[c for c in wide.columns if c in set(visits.columns)])
+    out = out.join(wide, (out["_p_patient"] == wide["_w_patient"]) & (out["_p_time"] == wide["_w_time"]))
+    back = {"_w_time": p_time} | ({} if p_patient in visits.columns else {"_w_patient": p_patient})
+    return out.drop("_v", "_p_patient", "_p_time", *([] if p_patient not in visits.columns else ["_w_patient"])).withColumnsRenamed(back)
 
 
 def match_audit(visits: DataFrame, presentations: DataFrame, *, visit_key: str = "visit_id",
@@ -92,6 +102,16 @@ def validation_split(df: DataFrame, cohort: DataFrame, *, keys: Sequence[str] =
     return main, validation
 
 
+def label_cohorts(df: DataFrame, cohort: DataFrame, *, keys: Sequence[str] = ("nummer", "Datum_SEH"),
+                  date_key: str | None = "Datum_SEH", cohort_col: str = "cohort") -> DataFrame:
+    """J3 + J4 + T5 in one pass: every row with its cohort, 'validation' or 'main', by one left join."""
+    keyed = df.withColumn(date_key, F.to_date(date_key)) if date_key else df
+    c = cohort.select(*[F.col(k).alias(f"_c_{k}") for k in keys]).distinct().withColumn("_in", F.lit(True))
+    out = keyed.join(c, on=[keyed[k].eqNullSafe(c[f"_c_{k}"]) for k in keys], how="left")
+    label = F.when(F.col("_in"), "validation").otherwise("main")
+    return out.withColumn(cohort_col, label).drop("_in", *[f"_c_{k}" for k in keys])
+
+
 def union_cohorts(frames: dict[str, DataFrame], *, cohort_col: str = "cohort") -> DataFrame:
     """T4/T5: union by name with a cohort label (missing columns become NULL)."""
     out = None

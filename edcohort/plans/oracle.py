@@ -783,3 +783,19 @@ ORACLE["baseline_table"] = " UNION ALL ".join([
     _unpivot(ORACLE["mann_whitney_p"], "mann_whitney", "'main_vs_validation'", "score", ["p"]),
     _unpivot(ORACLE["chi_square_p"], "chi_square", "'main_vs_validation'", "outcome", ["p"]),
 ])
+
+
+# ------------------------------------------------- parsing of text columns
+_TEXTS = """
+SELECT o_orderkey AS case_id, strftime(o_orderdate, '%Y-%m-%d') AS day,
+  ([strftime(o_orderdate, '%d-%m-%Y') || ' 08:15', '31-02-2020 08:00', NULL, 'soon'])[o_orderkey % 4 + 1] AS stamp,
+  (['13:45', '08:15:30', NULL, 'noon', '25:00'])[o_orderkey % 5 + 1] AS clock,
+  ([CAST(o_orderkey AS VARCHAR), NULL, o_orderkey || 'd', ' ' || o_orderkey])[o_orderkey % 4 + 1] AS "key" FROM orders"""
+_CLOCK = "COALESCE(try_strptime({d} || ' ' || {c}, '%Y-%m-%d %H:%M:%S'), try_strptime({d} || ' ' || {c}, '%Y-%m-%d %H:%M'))"
+ORACLE["parse_coerce"] = with_ctes([], {"t": _TEXTS}, f"""
+SELECT case_id, {ts_text("try_strptime(stamp, '%d-%m-%Y %H:%M')")} AS ts FROM t""")
+ORACLE["arrival_fill"] = with_ctes([], {"t": _TEXTS}, f"""
+SELECT case_id, {ts_text(_CLOCK.format(d="day", c="COALESCE(clock, '07:00:00')"))} AS arrival,
+  COALESCE(CAST(hour({_CLOCK.format(d="'1970-01-01'", c="clock")}) AS INTEGER), -1) AS hour FROM t""")
+ORACLE["null_key_drop"] = with_ctes([], {"t": _TEXTS}, f"""
+SELECT case_id, CAST({guarded_double('"key"')} AS BIGINT) AS "key" FROM t WHERE {guarded_double('"key"')} IS NOT NULL""")

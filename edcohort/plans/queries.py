@@ -148,6 +148,40 @@ def q_match_audit(spark, sf):
     return comparable(audit.select("visit_id", "hits", "first_hit", "last_hit"))
 
 
+# ------------------------------------------------- parsing of text columns
+from ..functions.parsing import clock_time, date_and_time, parse_timestamp, safe_double  # noqa: E402
+
+
+def _texts(spark, sf):
+    """Orders with the time, clock and key texts that an extract may hold."""
+    o = V.read(spark, sf, "orders")
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    pick = lambda *v: F.element_at(F.array(*v), (k % len(v) + 1).cast("int"))
+    none = F.lit(None).cast("string")
+    return o.select(
+        k.alias("case_id"), F.date_format(day, "yyyy-MM-dd").alias("day"),
+        pick(F.concat(F.date_format(day, "dd-MM-yyyy"), F.lit(" 08:15")), F.lit("31-02-2020 08:00"), none, F.lit("soon")).alias("stamp"),
+        pick(F.lit("13:45"), F.lit("08:15:30"), none, F.lit("noon"), F.lit("25:00")).alias("clock"),
+        pick(k.cast("string"), none, F.concat(k.cast("string"), F.lit("d")), F.concat(F.lit(" "), k.cast("string"))).alias("key"))
+
+
+@query("parse_coerce")
+def q_parse_coerce(spark, sf):
+    return comparable(_texts(spark, sf).select("case_id", parse_timestamp("stamp").alias("ts")))
+
+
+@query("arrival_fill")
+def q_arrival_fill(spark, sf):
+    t = _texts(spark, sf)
+    return comparable(t.select("case_id", date_and_time("day", "clock").alias("arrival"), F.coalesce(F.hour(clock_time("clock")), F.lit(-1)).alias("hour")))
+
+
+@query("null_key_drop")
+def q_null_key_drop(spark, sf):
+    t = _texts(spark, sf).select("case_id", safe_double("key").cast("bigint").alias("key"))
+    return t.na.drop(subset=["key"])
+
+
 # ------------------------------------------------------------ derive (Entry 2)
 from ..functions import clinical as cl  # noqa: E402
 from ..functions import scores as sc  # noqa: E402
@@ -329,8 +363,7 @@ def _cohorted(spark, sf):
         "abbMEDS": sc.abbmeds(), "mREMS": sc.mrems(),
         "y_shock": F.col("septischeshock"),
         "y_death": cl.outcome_within("Datum_overlijden", "Datum_SEH", 31)})
-    main, valid = co.validation_split(d, V.cohort(spark, sf))
-    return co.union_cohorts({"main": main, "validation": valid})
+    return co.label_cohorts(d, V.cohort(spark, sf))
 
 
 def _scores_long(df):
@@ -427,11 +460,8 @@ def q_describe_scores(spark, sf):
 
 
 def _mw(spark, sf):
-    long = _scores_long(_cohorted(spark, sf))
-    parts = [st.mann_whitney(long.where(F.col("score") == s), value="value", cohort="cohort",
-                             first="main", second="validation").withColumn("score", F.lit(s))
-             for s in ("abbMEDS", "mREMS")]
-    return parts[0].unionByName(parts[1])
+    return st.mann_whitney(_scores_long(_cohorted(spark, sf)), value="value", cohort="cohort",
+                           first="main", second="validation", group=["score"])
 
 
 @query("mann_whitney")
