@@ -59,6 +59,21 @@ def top_fraction_filter(df: DataFrame, *, code: str = "code", fraction: float =
     return df.join(keep, on=code, how="left_semi")
 
 
+def step_counts(df: DataFrame, *, patient: str = "patient", ts: str = "ts", code: str = "code",
+                fraction: float = 0.80) -> DataFrame:
+    """A12 + A1: rows that each step of the build drops before the time grouping, in one pass: no code or a
+    denied one, a code outside the top fraction, no time, no patient; and what is left."""
+    kept = kept_codes(deny_filter(df, code=code), code=code, fraction=fraction)
+    denied = F.col(code).isNull() | F.col(code).isin(*DENY_CODES)
+    rare = ~denied & ~F.col(code).isin(*kept)
+    used = ~denied & F.col(code).isin(*kept)
+    left = used & F.col(ts).isNotNull() & F.col(patient).isNotNull()
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(denied).alias("denied"), F.count_if(rare).alias("rare"),
+                  F.count_if(used & F.col(ts).isNull()).alias("no_time"),
+                  F.count_if(used & F.col(ts).isNotNull() & F.col(patient).isNull()).alias("no_patient"), F.count_if(left).alias("left"),
+                  F.count_distinct(F.when(left, F.col(patient))).alias("patients"))
+
+
 # ------------------------------------------------------------------------ A6
 def anchor_times(df: DataFrame, *, patient: str = "patient", ts: str = "ts",
                  snap_minutes: int = 120, gap_minutes: int = 1440,

@@ -799,3 +799,10 @@ SELECT case_id, {ts_text(_CLOCK.format(d="day", c="COALESCE(clock, '07:00:00')")
   COALESCE(CAST(hour({_CLOCK.format(d="'1970-01-01'", c="clock")}) AS INTEGER), -1) AS hour FROM t""")
 ORACLE["null_key_drop"] = with_ctes([], {"t": _TEXTS}, f"""
 SELECT case_id, CAST({guarded_double('"key"')} AS BIGINT) AS "key" FROM t WHERE {guarded_double('"key"')} IS NOT NULL""")
+ORACLE["step_counts"] = with_ctes(["lab"], {"lab_f": BUILD_CTES["lab_f"], "top": BUILD_CTES["top"], "l": f"""
+SELECT patient, CASE WHEN seq % 17 <> 0 THEN ts END AS ts, COALESCE(code IN ({_list(DENY_CODES)}), true) AS denied,
+  COALESCE(code IN (SELECT code FROM top), false) AS used FROM lab"""}, """
+SELECT count(*) AS rows, count(*) FILTER (denied) AS denied, count(*) FILTER (NOT denied AND NOT used) AS rare,
+  count(*) FILTER (used AND ts IS NULL) AS no_time, count(*) FILTER (used AND ts IS NOT NULL AND patient IS NULL) AS no_patient,
+  count(*) FILTER (used AND ts IS NOT NULL AND patient IS NOT NULL) AS "left",
+  count(DISTINCT patient) FILTER (used AND ts IS NOT NULL) AS patients FROM l""")
