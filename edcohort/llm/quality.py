@@ -141,7 +141,7 @@ def references(found: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_words: int = 50,
-            max_repeat_percent: int = 50, char_limit: float = 0.10, word_limit: float = 0.20,
+            max_repeat_percent: int = 50, char_limit: float = 0.12, word_limit: float = 0.20,
             hard_char_limit: float = 0.30, hard_word_limit: float = 0.40, slack: float = 0.8,
             min_chars_to_judge: int = 200, min_words_to_judge: int = 50) -> DataFrame:
     """(doc_id, th, counts, char_distance, word_distance, base_failed, kept) for each row of ``docs``.
