@@ -29,8 +29,10 @@ BLANK = " \t\r\x0b\x0c"
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """(doc_id, th, site, pos, k1, k2) of each line that is not blank."""
+    # the text's hash is taken below the explode: once per text, not once per line
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(site_col).alias("site"),
-                    F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+                    F.split(F.col(text_col), "\n").alias("lines"))
+    d = d.select("doc_id", "th", "site", F.posexplode_outer("lines").alias("pos", "line"))
     line = F.btrim("line", F.lit(BLANK))
     d = d.select("doc_id", "th", "site", "pos", line.alias("line")).where("line <> ''")
     return d.select("doc_id", "th", "site", "pos", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"))
