@@ -100,3 +100,26 @@ def test_bounded_filter(spark):
     df = documents(spark).select("text")
     model, _ = B.fit(df, max_entries=5000)
     assert model.filter.bits.nbytes * 8 <= 2 * 5000 * B.BITS_PER_ENTRY + 64 * 2 * model.filter.buckets
+
+
+def scores(df, **kw):
+    """Scores by row, and the kind of filter that a bound of ``kw`` gives."""
+    return sorted([(r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in B.score(df, **kw).collect()], key=repr)
+
+
+@needs_tables
+def test_filter_over_the_bound_loses_nothing(spark):
+    """The segments as a table hold what the broadcast holds, so scores do not depend on the bound."""
+    df = documents(spark)
+    model, _ = B.fit(df.select("text"), max_entries=5000)
+    assert model.filter.least == 2 and model.filter.first == 1 and not len(model.filter.bits)
+    for a, b in zip(scores(df), scores(df, max_entries=5000), strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9)
+
+
+@pytest.mark.parametrize("frequent", [B.FREQUENT_WORDS, 3])
+def test_awkward_rows_over_the_bound(spark, frequent):
+    df, rows = awkward(spark)
+    agree(df, [r[:2] for r in rows], frequent_words=frequent, max_entries=0)
+    a, b = scores(df, frequent_words=frequent), scores(df, frequent_words=frequent, max_entries=0)
+    assert [x[:3] for x in a] == [x[:3] for x in b] and [x[4] for x in a] == pytest.approx([x[4] for x in b], rel=1e-9)
