@@ -10,6 +10,7 @@ but (m - ceil(t m)) of the template's distinct words, which a hash set of the te
 decides for all texts of a batch at once.  This filter is exact; no text or template is cut.
 Gaps before the first and after the last anchor reach ``SLACK`` words plus twice the template's
 rest into the text, so that a match is one passage and not words from all over a document.
+A notice that stands several times is aligned in a window around each place (``best_passage``).
 """
 
 from __future__ import annotations
@@ -94,8 +95,12 @@ def increasing(positions: list[int]) -> list[int]:
 
 def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     """Matched (text position, template position) pairs, increasing in both."""
+    return align_ranges(text, template, [(0, len(text), 0, len(template), True, True)])
+
+
+def align_ranges(text: list[str], template: list[str], todo: list[tuple]) -> list[tuple[int, int]]:
+    """``align`` within ranges (text from, to, template from, to, open to the left, to the right)."""
     matched = []
-    todo = [(0, len(text), 0, len(template), True, True)]
     while todo:
         a, b, c, d, open_left, open_right = todo.pop()
         if a >= b or c >= d:
@@ -131,6 +136,40 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
+def best_passage(text: list[str], template: list[str], missing: int) -> list[tuple[int, int]]:
+    """The alignment that matches most, then over the shortest span, then first: of the whole text, or of a
+    window around one place of the text.
+
+    A notice that stands twice has no unique words.  A passage that lacks at most ``missing`` template words
+    matches one of any ``missing`` + 1 of them, so each occurrence of as many of the rarest is an anchor
+    once; its window ends at the neighbouring occurrences, so that it holds one copy of the word."""
+    best = align(text, template)
+    if len(best) == len(template):
+        return best
+    places: dict[str, list[int]] = {w: [] for w in template}
+    for k, w in enumerate(text):
+        if w in places:
+            places[w].append(k)
+    end = len(template)
+
+    def rank(pairs):
+        return (len(pairs), pairs[0][0] - pairs[-1][0], -pairs[0][0]) if pairs else (0, 0, 0)
+
+    for q in sorted(range(end), key=lambda q: (len(places[template[q]]), q))[:missing + 1]:
+        found = places[template[q]]
+        once = template.count(template[q]) == 1
+        for i, p in enumerate(found):
+            lo = found[i - 1] + 1 if once and i else 0
+            hi = found[i + 1] if once and i + 1 < len(found) else len(text)
+            for slack, times in ((0, 1), (SLACK, 2)):
+                left, right = max(lo, p - slack - times * q), min(hi, p + 1 + slack + times * (end - q - 1))
+                pairs = align_ranges(text, template, [(left, p, 0, q, True, False), (p + 1, right, q + 1, end, False, True)])
+                best = max(best, sorted([*pairs, (p, q)]), key=rank)
+                if len(best) == end:
+                    return best
+    return best
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], min_percent: int):
         self.min_percent = min_percent
@@ -168,7 +207,7 @@ class Scanner:
         out = []
         for k in wanted:
             name, template = self.templates[k]
-            pairs = align(words, template)
+            pairs = best_passage(words, template, len(template) - -(-self.min_percent * len(template) // 100))
             if pairs and 100 * len(pairs) >= self.min_percent * len(template):
                 out.append((name, len(pairs) / len(template), len(pairs), pairs[0][0], pairs[-1][0], len(template)))
         return sorted(out, key=lambda r: (-r[1], -r[5], r[0]))

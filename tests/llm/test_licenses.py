@@ -71,6 +71,23 @@ def test_filter_loses_nothing(spark):
         assert every == {r[0] for r in s.scan(text, row.nonzero()[0])}
 
 
+def test_repeated_notices(spark):
+    """A notice two and three times in a long text, side by side, apart, and with a word changed in each copy."""
+    filler = " ".join(f"x{i}" for i in range(3000))
+    rows, want = [], {}
+    for name in ("mit", "all-rights-reserved", "gpl-3.0-short", "apache-2.0-notice"):
+        for times in (2, 3):
+            for between in ("", filler):
+                notice, k = L.TEMPLATES[name], len(rows)
+                rows.append((k, f"{filler} " + f" {between} ".join([notice] * times) + f" {filler}"))
+                want[k] = (name, 1.0, len(L.words_of(notice)))
+    gpl = L.TEMPLATES["gpl-3.0-short"].replace("License", "Licence")
+    rows += [(100, f"{gpl} {gpl} {filler} {gpl}"), (101, f"{gpl} {filler} {gpl.replace('work', 'text')} {gpl}")]
+    want |= {k: ("gpl-3.0-short", 11 / 12, 12) for k in (100, 101)}
+    out = L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.license, r.coverage, r.last_word - r.first_word + 1 if r.license else 0) for r in out} == want
+
+
 def test_awkward_rows(spark):
     df, rows = awkward(spark, [(40, "All rights reserved.", "en", "a")])
     out = L.scan_licenses(df).collect()
