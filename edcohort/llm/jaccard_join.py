@@ -19,6 +19,8 @@ Steps, all on classes of documents with equal sets (copies never meet each other
 5. What is left is done in full: every pair of a posting list whose classes still have
    different labels, after the filters.  A pair inside one component need not be checked,
    as it cannot change the components.  No list is capped.
+6. On demand (``links``) the links of each document are counted: all pairs of classes inside
+   each component, blocks of them against blocks, by matrix products.  Pairs are not rows.
 """
 
 from __future__ import annotations
@@ -49,6 +51,10 @@ HUB_ROUNDS = 3
 PAIRS_PER_ROW = 8
 #: Classes of a posting list up to which all its pairs are compared at once.
 SHORT_LIST = 16
+#: Classes, and shingles of them, in a block of a component, about; shingles of a matrix slice.
+BLOCK_CLASSES = 1024
+BLOCK_TOKENS = 1_000_000
+SLICE_TOKENS = 4096
 
 
 def prefix_length(n, percent: int):
@@ -341,14 +347,87 @@ def link_classes(lists: DataFrame, check, percent: int) -> DataFrame:
     return labels
 
 
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray] | None = None) -> np.ndarray:
+    """Common tokens of each set of ``xs`` with each of ``ys``; without ``ys`` of each two of ``xs`` (the
+    diagonal then means nothing)."""
+    tx = np.concatenate(xs)
+    if ys is None:
+        every, many = np.unique(tx, return_counts=True)
+        common = every[many > 1]
+    else:
+        common = np.intersect1d(tx, np.concatenate(ys))
+
+    def cells(sets):
+        token = np.concatenate(sets)
+        at = np.searchsorted(common, token)
+        hit = np.flatnonzero(common[np.minimum(at, len(common) - 1)] == token)
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        return np.repeat(np.arange(len(sets)), [len(s) for s in sets])[hit], at[hit]
+
+    def matrix(sets, owner, at, lo):
+        a, z = np.searchsorted(at, [lo, lo + SLICE_TOKENS])
+        out = np.zeros((len(sets), min(SLICE_TOKENS, len(common) - lo)), np.float32)
+        out[owner[a:z], at[a:z] - lo] = 1
+        return out
+
+    out = np.zeros((len(xs), len(xs if ys is None else ys)))
+    if len(common):
+        x = cells(xs)
+        y = None if ys is None else cells(ys)
+        for lo in range(0, len(common), SLICE_TOKENS):
+            mx = matrix(xs, *x, lo)
+            out += mx @ (mx if y is None else matrix(ys, *y, lo)).T
+    return out
+
+
+def links_of_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cls, links): for each class of ``members`` (cls, label, n, copies; frozen) the documents of other
+    classes of its component that link with it.  A component is dealt into blocks by hash, as many as its
+    classes and shingles ask for; a task compares two blocks.  Small components go to tasks together."""
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_TOKENS)).cast("int")
+    parts = members.groupBy("label").agg(F.count("*").alias("many"), blocks.alias("blocks")).where("many > 1").select("label", "blocks")
+    bins = max(1, -(-(members.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS))
+    m = members.join(parts, "label").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.select("label", "cls", "copies", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                 F.pmod(F.xxhash64("label"), F.lit(bins)).alias("bin"))
+
+    def run(t: pa.Table) -> pa.Table:
+        label, cls, copies, own, i, j = (t[c].to_numpy() for c in ("label", "cls", "copies", "own", "i", "j"))
+        tokens = [np.frombuffer(x.as_buffer(), np.uint64) for c in t["tokens"].chunks for x in c]
+        order = np.lexsort((own, label))
+        total = np.zeros(len(order), np.int64)
+        for rows in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+            x, y = rows[own[rows] == i[rows]], rows[own[rows] != i[rows]]
+            within = i[rows[0]] == j[rows[0]]
+            if not len(x) or not (within or len(y)):
+                continue
+            xs, ys = [tokens[k] for k in x], [tokens[k] for k in y]
+            both = overlaps(xs, None if within else ys)
+            if within:
+                y, ys = x, xs
+            size = np.add.outer([len(s) for s in xs], [len(s) for s in ys])
+            link = 100 * both >= percent * (size - both)
+            if within:
+                np.fill_diagonal(link, False)
+            else:
+                total[y] += link.T @ copies[x]
+            total[x] += link @ copies[y]
+        return pa.Table.from_arrays([pa.array(cls), pa.array(total)], names=["cls", "links"])
+
+    found = m.join(sets, "cls").groupBy("bin", "i", "j").applyInArrow(run, "cls long, links long")
+    return found.groupBy("cls").agg(F.sum("links").alias("links"))
+
+
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                       percent: int = 80, shared_limit: int = SHARED_LIMIT) -> DataFrame:
-    """(doc_id, th, n_shingles, component_id) for each row of ``docs``.
+                       percent: int = 80, shared_limit: int = SHARED_LIMIT, links: bool = False) -> DataFrame:
+    """(doc_id, th, n_shingles, component_id) for each row of ``docs``; with ``links`` also n_links, the
+    number of other rows that link with it.
 
     Words are runs outside U+0020 and U+0009-U+000D after lower-casing A-Z; a document's set
     is its distinct ``shingle``-word shingles (fewer words: the whole sequence).  Documents
     link when 100 * intersection >= ``percent`` * union; ``component_id`` is the smallest id
-    reachable by links.  Null and empty texts have n_shingles 0 and their own id; rows with a
+    reachable by links.  Null and empty texts have n_shingles 0, no links and their own id; rows with a
     null id take part, but a null is never the smallest id unless it is the only one.  Repeated
     rows give repeated results; an empty table gives no rows.  Sets are 64-bit hashes."""
     keys = keyed(docs, id_col=id_col, text_col=text_col)
@@ -378,7 +457,19 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     whole = by_class.groupBy("label").agg(F.min("least").alias("component_id"))
     named = by_class.join(whole, "label").select("cls", "component_id")
     out = docs_cls.join(named, (docs_cls["cls"] == named["cls"]) & (docs_cls["n_shingles"] > 0), "left")
-    return out.select("doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select(docs_cls["cls"], "doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if not links:
+        return out.drop("cls")
+    members = docs_cls.where("n_shingles > 0").groupBy("cls").agg(
+        F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.min(F.struct("doc_id", "th")).alias("k"))
+    members = freeze(members.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left"))
+    joined = members.where("label is not null")
+    one = bounded(freeze(joined.select("k.*")))
+    sets = whole_sets(keys.join(one, on_keys(keys, one, "doc_id", "th"), "left_semi"), shingle).dropDuplicates(["cls"])
+    counts = members.select("cls", "copies").join(links_of_classes(joined, sets, percent), "cls", "left")
+    counts = freeze(counts.select("cls", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    out = out.join(counts.withColumnRenamed("cls", "c"), (F.col("cls") == F.col("c")) & (F.col("n_shingles") > 0), "left")
+    return out.select("doc_id", "th", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one_per_component(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

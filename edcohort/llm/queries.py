@@ -48,8 +48,8 @@ def op4_distinct_site_spread(spark, sf_dir):
 
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
-    """Near-duplicate component of each document at Jaccard 0.8 on five-word shingles."""
-    return jaccard_components(read_table(spark, sf_dir, "documents")).drop("th")
+    """Near-duplicate component and number of links of each document at Jaccard 0.8 on five-word shingles."""
+    return jaccard_components(read_table(spark, sf_dir, "documents"), links=True).drop("th")
 
 
 @query

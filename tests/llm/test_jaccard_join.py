@@ -101,3 +101,36 @@ def test_exact_threshold(spark):
     rows = [(1, " ".join(a)), (2, " ".join(a[:12] + ["x"])), (3, " ".join(a[:11] + ["y", "z"]))]
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
     assert brute(rows)[1][2] == 1 and brute(rows)[2][2] == 3
+
+
+def brute_links(rows):
+    sets = [shingles(t) for _, t in rows]
+    link = lambda a, b: bool(a) and bool(b) and 100 * len(a & b) >= 80 * len(a | b)
+    return sorted([(d, sum(link(a, b) for j, b in enumerate(sets) if i != j)) for i, ((d, _), a) in enumerate(zip(rows, sets, strict=True))], key=repr)
+
+
+def got_links(df, **kw):
+    return sorted([(r.doc_id, r.n_links) for r in J.jaccard_components(df, links=True, **kw).collect()], key=repr)
+
+
+@pytest.mark.parametrize("block", [J.BLOCK_CLASSES, 4])
+def test_links_of_each_document(spark, monkeypatch, block):
+    """Links inside a component count too: in one block, and block against block."""
+    monkeypatch.setattr(J, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(J, "SLICE_TOKENS", 50)
+    rows = edited_copies(2, 20)
+    rows += [(1000 + i, rows[i][1]) for i in range(12)] + [rows[3]]
+    assert max(n for _, n in brute_links(rows)) > 10
+    assert got_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute_links(rows)
+
+
+def test_links_of_awkward_rows(spark):
+    df, rows = awkward(spark)
+    assert got_links(df) == brute_links([r[:2] for r in rows])
+    assert got_links(empty(spark)) == []
+
+
+@needs_tables
+def test_links_of_documents(spark):
+    df = documents(spark)
+    assert got_links(df) == brute_links([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
