@@ -420,9 +420,10 @@ def links_of_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataF
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                       percent: int = 80, shared_limit: int = SHARED_LIMIT, links: bool = False) -> DataFrame:
+                       percent: int = 80, shared_limit: int = SHARED_LIMIT, links: bool = False, group: bool = False) -> DataFrame:
     """(doc_id, th, n_shingles, component_id) for each row of ``docs``; with ``links`` also n_links, the
-    number of other rows that link with it.
+    number of other rows that link with it; with ``group`` also grp, a number that tells components of
+    one ``component_id`` apart (null without words).
 
     Words are runs outside U+0020 and U+0009-U+000D after lower-casing A-Z; a document's set
     is its distinct ``shingle``-word shingles (fewer words: the whole sequence).  Documents
@@ -455,9 +456,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     by_class = by_class.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left")
     by_class = freeze(by_class.select("cls", "least", F.coalesce("label", "cls").alias("label")))
     whole = by_class.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = by_class.join(whole, "label").select("cls", "component_id")
+    named = by_class.join(whole, "label").select("cls", "component_id", F.col("label").alias("grp"))
     out = docs_cls.join(named, (docs_cls["cls"] == named["cls"]) & (docs_cls["n_shingles"] > 0), "left")
-    out = out.select(docs_cls["cls"], "doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select(docs_cls["cls"], "doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+                     *["grp"] * group)
     if not links:
         return out.drop("cls")
     members = docs_cls.where("n_shingles > 0").groupBy("cls").agg(
@@ -469,13 +471,22 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     counts = members.select("cls", "copies").join(links_of_classes(joined, sets, percent), "cls", "left")
     counts = freeze(counts.select("cls", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     out = out.join(counts.withColumnRenamed("cls", "c"), (F.col("cls") == F.col("c")) & (F.col("n_shingles") > 0), "left")
-    return out.select("doc_id", "th", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", "th", "n_shingles", "component_id", *["grp"] * group, F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one_per_component(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id."""
-    found = jaccard_components(docs, id_col=id_col, text_col=text_col, **kw)
-    drop = freeze(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "th"))
-    return without(docs, drop, id_col=id_col, text_col=text_col)
-
-
+    """``docs`` with one row of each group of near copies: the one with the smallest id (a null is the
+    greatest), of one id the text with the smallest hash, and one of equal rows.  Rows without words stay."""
+    found = freeze(jaccard_components(docs, id_col=id_col, text_col=text_col, group=True, **kw).where("grp is not null").select("doc_id", "th", "grp"))
+    rows = found.groupBy("grp", "doc_id", "th").agg(F.count("*").alias("many"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "many")
+    stay = rows.groupBy("grp").agg(F.min(first).alias("s"))
+    other = ~(F.col("doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("th") == F.col("s.th")))
+    drop = freeze(rows.join(stay, "grp").where(other).select("doc_id", "th"))
+    out = without(docs, drop, id_col=id_col, text_col=text_col)
+    twice = freeze(stay.where("s.many > 1").select("s.doc_id", "s.th"))
+    if twice.isEmpty():
+        return out
+    keys = bounded(twice.select(F.col("doc_id").alias("_k_id"), F.col("th").alias("_k_th")))
+    equal = out.join(keys, out[id_col].eqNullSafe(keys["_k_id"]) & (F.xxhash64(out[text_col]) == keys["_k_th"]), "left_semi")
+    return without(out, twice, id_col=id_col, text_col=text_col).union(equal.dropDuplicates([id_col, text_col]))

@@ -134,3 +134,17 @@ def test_links_of_awkward_rows(spark):
 def test_links_of_documents(spark):
     df = documents(spark)
     assert got_links(df) == brute_links([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+
+
+def test_one_row_of_groups_with_equal_ids(spark):
+    """Equal rows, one id with near-equal texts or with two groups, and groups without an id."""
+    text = lambda g, *, last="": " ".join(f"{g}{i}" for i in range(60)) + last
+    rows = [(1, text("a")), (1, text("a")), (1, text("a", last=" x")), (2, text("a")), (1, text("b")), (3, text("b")),
+            (None, text("c")), (None, text("c")), (None, text("c", last=" y")), (None, text("d")), (4, text("e")), (4, text("e")),
+            (5, ""), (5, ""), (6, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _k_th string")
+    out = J.keep_one_per_component(df)
+    assert out.columns == df.columns
+    out = out.collect()
+    assert sorted([r.doc_id for r in out], key=repr) == sorted([1, 1, None, None, 4, 5, 5, 6], key=repr)
+    assert sorted(r.text.split()[0][0] for r in out if r.text) == ["a", "b", "c", "d", "e"]
