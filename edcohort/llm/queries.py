@@ -11,6 +11,7 @@ from . import sql, toxicity
 from .bloom_lm import score
 from .common import read_table
 from .decontaminate import contamination
+from .hard_negatives import mine
 from .jaccard_join import jaccard_components
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
@@ -24,6 +25,7 @@ ORACLE: dict[str, str] = {
     "op4_distinct_site_spread": sql.LINE_DEDUP,
     "op6_benchmark_decontamination": sql.DECONTAMINATION,
     "op10_snapshot_collapse": sql.SNAPSHOTS,
+    "op11_segment_hard_negatives": sql.HARD_NEGATIVES,
 }
 
 
@@ -99,3 +101,11 @@ def op7_patience_alignment(spark, sf_dir):
     """Best covered license template of each document."""
     out = scan_licenses(read_table(spark, sf_dir, "documents"))
     return out.withColumn("licenses", F.array_join("licenses", ","))
+
+
+@query
+def op11_segment_hard_negatives(spark, sf_dir):
+    """Hard negatives of each anchor and positive, among all vectors."""
+    v = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(v.withColumn("label", label), F.col("vec_id") % 50 == 0, scale=256.0)

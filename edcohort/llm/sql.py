@@ -52,3 +52,20 @@ SELECT k.conv_id, (t.turn // 1000)::BIGINT AS part, any_value(k.n)::BIGINT AS n_
        md5(string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY t.turn, role, text)) AS text_md5
 FROM keep k JOIN t USING (conv_id) GROUP BY k.conv_id, part
 """
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS a, a.vec_id AS anchor_id, v.rid, v.vec_id AS id, a.label = v.label AS same,
+             list_inner_product(a.q, v.q)::BIGINT AS score
+      FROM v AS a JOIN v ON a.rid <> v.rid WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, rid) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       (row_number() OVER (PARTITION BY p.a, p.rid ORDER BY s.score DESC, s.id, s.rid))::INTEGER AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
