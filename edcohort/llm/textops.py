@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 500_000
 
@@ -71,6 +72,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return got
 
 
+#: Bytes from which a word's hash is XXH3 of its bytes: a polynomial modulo 2**64 has collisions among long words.
+LONG_WORD = 65
+
+
+def _long_words(out: np.ndarray, raw: np.ndarray, s: np.ndarray, e: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``out`` with the hashes of the long words put in."""
+    for k in np.flatnonzero(e - s >= LONG_WORD).tolist():
+        h = xxhash.xxh3_64()
+        for at in range(int(s[k]), int(e[k]), 1 << 20):
+            h.update(table[raw[at:min(at + (1 << 20), int(e[k]))]].tobytes())
+        out[k] = h.intdigest()
+    return out
+
+
 def _block_hashes(raw: np.ndarray, starts_at: np.ndarray, lower: bool):
     """Word hashes of one block, and the start byte of each word."""
     if not len(raw):
@@ -88,7 +103,8 @@ def _block_hashes(raw: np.ndarray, starts_at: np.ndarray, lower: bool):
     total = np.empty(len(raw) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum((_LOWER if lower else _BYTES)[raw] * power[:len(raw)], out=total[1:])
-    return _splitmix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)), s
+    out = _splitmix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
+    return _long_words(out, raw, s, e, _LOWER if lower else _BYTES), s
 
 
 def hashed_docs(texts: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -222,5 +238,31 @@ def run_hashes(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray, table: n
     total[0] = 0
     np.cumsum(table[raw] * power[:len(raw)], out=total[1:])
     p = np.minimum(e, s + prefix)
-    whole = _splitmix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
+    whole = _long_words(_splitmix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)), raw, s, e, table)
     return s, e, whole, _splitmix((total[p] - total[s]) * inverse[s] + _U64(1 << 40))
+
+
+def _eights(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ``size`` (1 to 8) bytes from ``at`` on as integers; ``raw`` has 8 bytes to spare at its end."""
+    got = np.ndarray(len(raw) - 7, "<u8", raw.data, strides=(1,))[at]
+    return got & (~_U64(0) >> (_U64(64) - _U64(8) * size.astype(np.uint64)))
+
+
+def spaced_out(raw: np.ndarray) -> np.ndarray:
+    """A copy with 8 bytes to spare, as ``same_bytes`` needs it."""
+    return np.concatenate([raw, np.zeros(8, np.uint8)])
+
+
+def same_bytes(a: np.ndarray, a_at: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """For each pair of byte runs, one in ``a`` and one in ``b``, whether they are equal."""
+    out = a_size == b_size
+    for k in np.flatnonzero(out & (a_size >= LONG_WORD)).tolist():
+        out[k] = np.array_equal(a[a_at[k]:a_at[k] + a_size[k]], b[b_at[k]:b_at[k] + b_size[k]])
+    open_ = np.flatnonzero(out & (a_size < LONG_WORD) & (a_size > 0))
+    done = 0
+    while len(open_):
+        size = np.minimum(a_size[open_] - done, 8)
+        out[open_] = _eights(a, a_at[open_] + done, size) == _eights(b, b_at[open_] + done, size)
+        done += 8
+        open_ = open_[out[open_] & (a_size[open_] > done)]
+    return out

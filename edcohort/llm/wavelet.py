@@ -36,8 +36,8 @@ from . import textops as T
 MAGIC = b"WVM1"
 SAMPLE = 512
 SHARD_TOKENS = 1 << 21
-#: Distinct pieces a Python worker remembers (about 50 bytes each); beyond, it starts anew.
-PIECES = 3_000_000
+#: Distinct pieces a Python worker remembers (about 70 bytes each), and bytes of them; beyond, it starts anew.
+PIECES, PIECE_BYTES = 3_000_000, 64_000_000
 #: Bytes of text that are looked up together.
 CHUNK = 4_000_000
 #: A space with white space (or nothing) at its side: such a text is encoded whole.
@@ -48,8 +48,8 @@ _NO_SPACE = np.arange(256) != 32
 
 
 class Encoder:
-    """Token ids of texts, each followed by ``end``; distinct pieces, known by a 64-bit hash of their
-    bytes, are encoded once."""
+    """Token ids of texts, each followed by ``end``; distinct pieces are encoded once.  They are looked up by a
+    64-bit hash, and then their bytes are compared, so that pieces with one hash stay apart."""
 
     def __init__(self, path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
@@ -62,8 +62,11 @@ class Encoder:
         self.clear()
 
     def clear(self):
-        """Forget all pieces: sorted hashes, the slot of each, and the slots' ids in one pool."""
+        """Forget all pieces: sorted hashes, the slot of each, the slots' bytes in one pool and their ids in another;
+        pieces with the hash of another one are in a dictionary."""
         self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.bytes, self.bytes_at, self.n_own = T.spaced_out(np.empty(0, np.uint8)), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.others: dict[bytes, int] = {}
         self.pool, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,16 +80,27 @@ class Encoder:
         last = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
         return ids, np.diff(last, prepend=0)
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]):
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        """The new slots of pieces."""
         spaced = np.array([p[:1] == b" " for p in pieces], bool)
         ids, size = self._encode_pieces([p for p in pieces if p[:1] == b" "])
         alone = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces if p[:1] != b" "], add_special_tokens=False)]
         ids = np.concatenate([ids, np.array([i for x in alone for i in x], np.uint32)])
         size = np.concatenate([size, np.array([len(x) for x in alone], np.int64)])
-        keys = np.concatenate([keys[spaced], keys[~spaced]])
-        slots = len(self.size) + np.arange(len(keys))
+        slots = np.empty(len(pieces), np.int64)
+        slots[np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])] = len(self.size) + np.arange(len(pieces))
         self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
         self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, size])
+        own = [p.lstrip(b" ") for p in pieces]
+        own = [own[k] for k in np.argsort(slots).tolist()]
+        n = np.fromiter(map(len, own), np.int64, len(own))
+        self.bytes_at = np.concatenate([self.bytes_at, len(self.bytes) - 8 + np.cumsum(n) - n])
+        self.n_own = np.concatenate([self.n_own, n])
+        self.bytes = T.spaced_out(np.concatenate([self.bytes[:-8], np.frombuffer(b"".join(own), np.uint8)]))
+        return slots
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]):
+        slots = self._add(pieces)
         order = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[order])
         self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order])
@@ -98,7 +112,7 @@ class Encoder:
         owner = np.searchsorted(bounds, s, side="right") - 1
         first = (s == bounds[owner]) & fresh[owner]
         key, where, back = np.unique(np.where(first, ~h, h), return_index=True, return_inverse=True)
-        if len(self.keys) > PIECES:
+        if len(self.keys) > PIECES or len(self.bytes) > PIECE_BYTES:
             self.clear()
         at = np.searchsorted(self.keys, key)
         known = at < len(self.keys)
@@ -110,6 +124,13 @@ class Encoder:
                                       zip(s[new].tolist(), e[new].tolist(), first[new].tolist(), strict=True)])
             at = np.searchsorted(self.keys, key)
         slot = self.slots[at][back]
+        other = np.flatnonzero(~T.same_bytes(T.spaced_out(raw), s, e - s, self.bytes, self.bytes_at[slot], self.n_own[slot]))
+        if len(other):  # another piece has this hash
+            pieces = [(b"" if f else b" ") + raw[a:z].tobytes() for a, z, f in zip(s[other].tolist(), e[other].tolist(), first[other].tolist(), strict=True)]
+            new = [p for p in dict.fromkeys(pieces) if p not in self.others]
+            if new:
+                self.others |= zip(new, self._add(new).tolist(), strict=True)
+            slot[other] = [self.others[p] for p in pieces]
         size = self.size[slot]
         stop = np.cumsum(size)
         ids = self.pool[np.repeat(self.begin[slot] - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]

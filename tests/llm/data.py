@@ -42,3 +42,11 @@ def rows(df) -> list[tuple]:
 
 def frame(df) -> pd.DataFrame:
     return df.toPandas()
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two words of n bytes (a power of two) that a polynomial hash modulo 2**64 cannot tell apart for long n."""
+    bits = "a"
+    while len(bits) < n:
+        bits += bits.translate(str.maketrans("ab", "ba"))
+    return bits, bits.translate(str.maketrans("ab", "ba"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from edcohort.llm import wavelet as W
 from edcohort.llm.queries import tokenizer_path
 
-from .data import awkward, documents, empty, needs_tables
+from .data import awkward, documents, empty, needs_tables, thue_morse
 
 pytest.importorskip("public_tokenizers")
 
@@ -80,3 +80,25 @@ def test_long_text_in_stretches(monkeypatch):
     ids, n = e.encode(texts)
     assert ids.tolist() == [i for t in texts for i in [*e.tokenizer.encode(t, add_special_tokens=False).ids, 2]]
     assert n.sum() == len(ids)
+
+
+def test_words_with_one_hash(spark, tmp_path):
+    words = [w for n in (64, 1024, 4096) for w in thue_morse(n)]
+    df = spark.createDataFrame([(k, f"x {w} y {w}") for k, w in enumerate(words)], "doc_id long, text string").coalesce(1)
+    assert got(df, tmp_path) == direct(df)
+
+
+def test_pieces_are_compared_by_bytes(monkeypatch):
+    """With a hash that knows only lengths, ids are still the tokenizer's."""
+    real = W.T.run_hashes
+
+    def poor(*a):
+        s, e, _, p = real(*a)
+        return s, e, (e - s).astype(np.uint64), p
+    monkeypatch.setattr(W.T, "run_hashes", poor)
+    e = W.Encoder(tokenizer_path(), 2)
+    rng = np.random.default_rng(0)
+    for _ in range(3):
+        texts = [" ".join("".join(rng.choice(list("abcé"), rng.integers(1, 80))) for _ in range(30)) for _ in range(20)]
+        ids, _ = e.encode(texts)
+        assert ids.tolist() == [i for t in texts for i in [*e.tokenizer.encode(t, add_special_tokens=False).ids, 2]]
