@@ -19,6 +19,7 @@ from .packing import pack
 from .quality import quality
 from .snapshots import render_maximal
 from .wavelet import round_trip
+from .window_packing import pack_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
@@ -109,3 +110,10 @@ def op11_segment_hard_negatives(spark, sf_dir):
     v = read_table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine(v.withColumn("label", label), F.col("vec_id") % 50 == 0, scale=256.0)
+
+
+@query
+def op12_least_squares_packing(spark, sf_dir):
+    """The pieces of each document's token ids in sequences of at most 1024."""
+    pieces = pack_windows(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path(), end=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
