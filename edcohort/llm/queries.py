@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from . import sql, toxicity
 from .bloom_lm import score
-from .common import read_table
+from .common import freeze, read_table
 from .decontaminate import contamination
 from .hard_negatives import mine
 from .jaccard_join import jaccard_components
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .packing import pack
+from .prefix_trie import ordered_turns, prefix_trie, with_heads_of
 from .quality import quality
 from .snapshots import render_maximal
 from .wavelet import round_trip
@@ -27,6 +28,7 @@ ORACLE: dict[str, str] = {
     "op6_benchmark_decontamination": sql.DECONTAMINATION,
     "op10_snapshot_collapse": sql.SNAPSHOTS,
     "op11_segment_hard_negatives": sql.HARD_NEGATIVES,
+    "op13_burst_trie": sql.PREFIX_TRIE,
 }
 
 
@@ -117,3 +119,11 @@ def op12_least_squares_packing(spark, sf_dir):
     """The pieces of each document's token ids in sequences of at most 1024."""
     pieces = pack_windows(read_table(spark, sf_dir, "documents"), tokenizer_path=tokenizer_path(), end=0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_burst_trie(spark, sf_dir):
+    """The prefix trie of all conversations, each rebuilt on the first turns of the first one of its five."""
+    turns = freeze(ordered_turns(read_table(spark, sf_dir, "conversations")))
+    conv = F.col("conv")
+    return prefix_trie(*with_heads_of(turns, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9, 8))

@@ -69,3 +69,29 @@ SELECT p.anchor_id, p.id AS positive_id,
 FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
 QUALIFY rank <= 3
 """
+
+#: Unsigned CRC-32 of the ASCII text {}, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i::INT, 1))::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_value(0, 0, 0, 0, 0, 0, 0, 0)::UBIGINT[]),
+                             lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT)"""
+
+PREFIX_TRIE = f"""
+WITH t AS (SELECT conv_id::BIGINT AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, name[:32]) AS pos, name, bytes
+      FROM (SELECT c, turn, sha256(length(role)::VARCHAR || ':' || role || text) AS name, strlen(text) AS bytes FROM t)),
+m AS (SELECT c, max(pos) AS n, c - c % 5 AS base, ({CRC32.format("c::VARCHAR")} % 9)::BIGINT AS h FROM o GROUP BY c),
+k AS (SELECT m.c, m.base, m.h, least(m.h, coalesce(b.n, 0)) AS shared FROM m LEFT JOIN m AS b ON b.c = m.base),
+r AS (SELECT o.c, pos - h + shared AS d, name, bytes FROM o JOIN k ON k.c = o.c WHERE pos > h
+      UNION ALL SELECT k.c, pos, name, bytes FROM k JOIN o ON o.c = k.base WHERE pos <= shared),
+p AS (SELECT c, d, bytes, string_agg(name, '') OVER (PARTITION BY c ORDER BY d) AS path, max(d) OVER (PARTITION BY c) AS last FROM r
+      UNION ALL SELECT c, 0, 0, '', coalesce((SELECT max(d) FROM r WHERE r.c = k.c), 0) FROM k),
+n AS (SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = last), '')) AS ends FROM p GROUP BY path, d),
+g AS (SELECT left(path, 64 * (d - 1)) AS up, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+l AS (SELECT n.*, coalesce(g.n_children, 0) AS n_children FROM n LEFT JOIN g ON g.up = n.path),
+s AS (SELECT left(path, 64 * a) AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM l) GROUP BY 1)
+SELECT l.conv_id, l.d::BIGINT AS depth, u.conv_id AS parent_conv_id, l.n_convs::BIGINT AS n_convs, l.n_children::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, l.ends AS ends_sha256
+FROM l JOIN s ON s.path = l.path LEFT JOIN n AS u ON l.d > 0 AND u.path = left(l.path, 64 * (l.d - 1))
+"""
