@@ -39,7 +39,7 @@ SHARD_TOKENS = 1 << 21
 #: Distinct pieces a Python worker remembers (about 70 bytes each), and bytes of them; beyond, it starts anew.
 PIECES, PIECE_BYTES = 3_000_000, 64_000_000
 #: Bytes of text that are looked up together.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: A space with white space (or nothing) at its side: such a text is encoded whole.
 UNSAFE = r"^ | $|[\pZ\t-\r\x{1c}-\x{1f}\x{85}] | [\pZ\t-\r\x{1c}-\x{1f}\x{85}]"
 
@@ -64,10 +64,10 @@ class Encoder:
     def clear(self):
         """Forget all pieces: sorted hashes, the slot of each, the slots' bytes in one pool and their ids in another;
         pieces with the hash of another one are in a dictionary."""
-        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.bytes, self.bytes_at, self.n_own = T.spaced_out(np.empty(0, np.uint8)), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.bytes, self.bytes_at, self.n_own = T.spaced_out(np.empty(0, np.uint8)), np.empty(0, np.int32), np.empty(0, np.int32)
         self.others: dict[bytes, int] = {}
-        self.pool, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each) of pieces.  Those with a space before them are encoded many in
@@ -89,13 +89,13 @@ class Encoder:
         size = np.concatenate([size, np.array([len(x) for x in alone], np.int64)])
         slots = np.empty(len(pieces), np.int64)
         slots[np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])] = len(self.size) + np.arange(len(pieces))
-        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
-        self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, size])
+        self.begin = np.concatenate([self.begin, (len(self.pool) + np.cumsum(size) - size).astype(np.int32)])
+        self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, size.astype(np.int32)])
         own = [p.lstrip(b" ") for p in pieces]
         own = [own[k] for k in np.argsort(slots).tolist()]
         n = np.fromiter(map(len, own), np.int64, len(own))
-        self.bytes_at = np.concatenate([self.bytes_at, len(self.bytes) - 8 + np.cumsum(n) - n])
-        self.n_own = np.concatenate([self.n_own, n])
+        self.bytes_at = np.concatenate([self.bytes_at, (len(self.bytes) - 8 + np.cumsum(n) - n).astype(np.int32)])
+        self.n_own = np.concatenate([self.n_own, n.astype(np.int32)])
         self.bytes = T.spaced_out(np.concatenate([self.bytes[:-8], np.frombuffer(b"".join(own), np.uint8)]))
         return slots
 
@@ -103,7 +103,7 @@ class Encoder:
         slots = self._add(pieces)
         order = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[order])
-        self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order])
+        self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order].astype(np.int32))
 
     def _ids(self, raw: np.ndarray, bounds: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids) of stretches of text without white space beside a space; ``fresh`` ones
