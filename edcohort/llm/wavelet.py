@@ -47,6 +47,22 @@ UNSAFE = r"^ | $|[\pZ\t-\r\x{1c}-\x{1f}\x{85}] | [\pZ\t-\r\x{1c}-\x{1f}\x{85}]"
 _NO_SPACE = np.arange(256) != 32
 
 
+class Pool:
+    """An array that grows at its end; ``data`` has at least 8 values to spare."""
+
+    def __init__(self, kind):
+        self.data, self.used = np.zeros(1024, kind), 0
+
+    def append(self, values: np.ndarray):
+        stop = self.used + len(values)
+        if stop + 8 > len(self.data):
+            data = np.zeros(stop + stop // 4 + 8, self.data.dtype)
+            data[:self.used] = self.data[:self.used]
+            self.data = data
+        self.data[self.used:stop] = values
+        self.used = stop
+
+
 class Encoder:
     """Token ids of texts, each followed by ``end``; distinct pieces are encoded once.  They are looked up by a
     64-bit hash, and then their bytes are compared, so that pieces with one hash stay apart."""
@@ -62,12 +78,23 @@ class Encoder:
         self.clear()
 
     def clear(self):
-        """Forget all pieces: sorted hashes, the slot of each, the slots' bytes in one pool and their ids in another;
-        pieces with the hash of another one are in a dictionary."""
+        """Forget all pieces: sorted hashes, the slot of each (the newest pieces in tables of their own), the slots' bytes in
+        one pool and their ids in another; pieces with the hash of another one are in a dictionary."""
         self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int32)
-        self.bytes, self.bytes_at, self.n_own = T.spaced_out(np.empty(0, np.uint8)), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.new_keys, self.new_slots = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.pool, self.bytes = Pool(np.uint32), Pool(np.uint8)
+        self.begin, self.size, self.bytes_at, self.n_own = (Pool(np.int32) for _ in range(4))
         self.others: dict[bytes, int] = {}
-        self.pool, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        """The slot of each hash, -1 for unknown ones."""
+        out = np.full(len(key), -1, np.int32)
+        for keys, slots in ((self.keys, self.slots), (self.new_keys, self.new_slots)):
+            if len(keys):
+                at = np.searchsorted(keys, key)
+                at[at == len(keys)] = 0
+                out = np.where(keys[at] == key, slots[at], out)
+        return out
 
     def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each) of pieces.  Those with a space before them are encoded many in
@@ -87,23 +114,28 @@ class Encoder:
         alone = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces if p[:1] != b" "], add_special_tokens=False)]
         ids = np.concatenate([ids, np.array([i for x in alone for i in x], np.uint32)])
         size = np.concatenate([size, np.array([len(x) for x in alone], np.int64)])
-        slots = np.empty(len(pieces), np.int64)
-        slots[np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])] = len(self.size) + np.arange(len(pieces))
-        self.begin = np.concatenate([self.begin, (len(self.pool) + np.cumsum(size) - size).astype(np.int32)])
-        self.pool, self.size = np.concatenate([self.pool, ids]), np.concatenate([self.size, size.astype(np.int32)])
+        slots = np.empty(len(pieces), np.int32)
+        slots[np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])] = self.size.used + np.arange(len(pieces))
+        self.begin.append(self.pool.used + np.cumsum(size) - size)
+        self.pool.append(ids)
+        self.size.append(size)
         own = [p.lstrip(b" ") for p in pieces]
         own = [own[k] for k in np.argsort(slots).tolist()]
         n = np.fromiter(map(len, own), np.int64, len(own))
-        self.bytes_at = np.concatenate([self.bytes_at, (len(self.bytes) - 8 + np.cumsum(n) - n).astype(np.int32)])
-        self.n_own = np.concatenate([self.n_own, n.astype(np.int32)])
-        self.bytes = T.spaced_out(np.concatenate([self.bytes[:-8], np.frombuffer(b"".join(own), np.uint8)]))
+        self.bytes_at.append(self.bytes.used + np.cumsum(n) - n)
+        self.n_own.append(n)
+        self.bytes.append(np.frombuffer(b"".join(own), np.uint8))
         return slots
 
     def _learn(self, keys: np.ndarray, pieces: list[bytes]):
         slots = self._add(pieces)
         order = np.argsort(keys)
-        at = np.searchsorted(self.keys, keys[order])
-        self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order].astype(np.int32))
+        at = np.searchsorted(self.new_keys, keys[order])
+        self.new_keys, self.new_slots = np.insert(self.new_keys, at, keys[order]), np.insert(self.new_slots, at, slots[order])
+        if len(self.new_keys) > 100_000 + len(self.keys) // 4:
+            at = np.searchsorted(self.keys, self.new_keys)
+            self.keys, self.slots = np.insert(self.keys, at, self.new_keys), np.insert(self.slots, at, self.new_slots)
+            self.new_keys, self.new_slots = self.new_keys[:0], self.new_slots[:0]
 
     def _ids(self, raw: np.ndarray, bounds: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids) of stretches of text without white space beside a space; ``fresh`` ones
@@ -112,28 +144,27 @@ class Encoder:
         owner = np.searchsorted(bounds, s, side="right") - 1
         first = (s == bounds[owner]) & fresh[owner]
         key, where, back = np.unique(np.where(first, ~h, h), return_index=True, return_inverse=True)
-        if len(self.keys) > PIECES or len(self.bytes) > PIECE_BYTES:
+        if self.size.used > PIECES or self.bytes.used > PIECE_BYTES:
             self.clear()
-        at = np.searchsorted(self.keys, key)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == key[known]
+        slot = self._find(key)
+        known = slot >= 0
         if not known.all():
             new = where[~known]
             data = raw.tobytes()
             self._learn(key[~known], [data[a:z] if f else b" " + data[a:z] for a, z, f in
                                       zip(s[new].tolist(), e[new].tolist(), first[new].tolist(), strict=True)])
-            at = np.searchsorted(self.keys, key)
-        slot = self.slots[at][back]
-        other = np.flatnonzero(~T.same_bytes(T.spaced_out(raw), s, e - s, self.bytes, self.bytes_at[slot], self.n_own[slot]))
+            slot = self._find(key)
+        slot = slot[back]
+        other = np.flatnonzero(~T.same_bytes(T.spaced_out(raw), s, e - s, self.bytes.data, self.bytes_at.data[slot], self.n_own.data[slot]))
         if len(other):  # another piece has this hash
             pieces = [(b"" if f else b" ") + raw[a:z].tobytes() for a, z, f in zip(s[other].tolist(), e[other].tolist(), first[other].tolist(), strict=True)]
             new = [p for p in dict.fromkeys(pieces) if p not in self.others]
             if new:
                 self.others |= zip(new, self._add(new).tolist(), strict=True)
             slot[other] = [self.others[p] for p in pieces]
-        size = self.size[slot]
+        size = self.size.data[slot]
         stop = np.cumsum(size)
-        ids = self.pool[np.repeat(self.begin[slot] - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        ids = self.pool.data[np.repeat(self.begin.data[slot] - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
         return ids, np.bincount(owner, weights=size, minlength=len(fresh)).astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
