@@ -69,41 +69,10 @@ def impute(df: DataFrame, columns: Sequence[str], method: str = "complex_zero")
     return METHODS[method](df, columns)
 
 
-def impute_chained(df: DataFrame, columns: Sequence[str], *, rounds: int = 5,
-                   reg_param: float = 0.1) -> DataFrame:
-    """I7 (re-aimed MICE): chained regressions without sampling.
-
-    Start from column means; then, ``rounds`` times, regress each incomplete
-    column on all other columns (MLlib ``LinearRegression`` fitted on the rows
-    where it is observed) and replace its missing cells by the prediction.
-    The table is checkpointed after each column, so no fit repeats earlier transforms.
-    Columns with no observed value stay NULL and are not used as predictors."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    from ..session import reliable_checkpoint
-
-    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-                   *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-                   F.count(F.lit(1)).alias("_rows")).first()
-    usable = [c for i, c in enumerate(columns) if stats[f"n{i}"] > 0]
-    incomplete = [c for i, c in enumerate(columns) if 0 < stats[f"n{i}"] < stats["_rows"]]
-    miss = {c: f"_miss_{i}" for i, c in enumerate(columns)}
-    cur = df.withColumns({miss[c]: F.col(c).isNull() for c in incomplete})
-    cur = cur.withColumns({c: F.coalesce(F.col(c), F.lit(stats[f"m{i}"]).cast("double"))
-                           for i, c in enumerate(columns) if c in usable})
-    for _ in range(rounds if len(usable) > 1 else 0):
-        for c in incomplete:
-            others = [o for o in usable if o != c]
-            va = VectorAssembler(inputCols=others, outputCol="_x")
-            lr = LinearRegression(featuresCol="_x", labelCol=c, predictionCol="_pred",
-                                  regParam=reg_param)
-            model = lr.fit(va.transform(cur.where(~F.col(miss[c]))))
-            cur = (model.transform(va.transform(cur))
-                   .withColumn(c, F.when(F.col(miss[c]), F.col("_pred")).otherwise(F.col(c)))
-                   .drop("_x", "_pred"))
-            cur = reliable_checkpoint(cur)   # else each fit runs all transforms before it again
-    return cur.drop(*[miss[c] for c in incomplete])
-
-
-METHODS["MICE"] = impute_chained
+def _chained(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """I7 (MICE): see ``chained``."""
+    from .chained import impute_chained
+    return impute_chained(df, columns)
+
+
+METHODS["MICE"] = _chained

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .ordinal import null_safe_join, prefix_sums
 
 # Normal quantile and the divisors the source uses for intervals.
@@ -47,11 +48,12 @@ def train_part_counts(scored: DataFrame, k: int, *, model: str = "model", fold:
 def cumulated(scored: DataFrame, *, group: Sequence[str] = ("model", "fold"),
               y: str = "y", p: str = "p", counted: bool = False) -> DataFrame:
     """One row per (group, distinct score) with running positives/negatives
-    (scores descending) and the group totals ``_P``, ``_N``."""
-    counts = scored if counted else score_counts(scored, group=group, y=y, p=p)
+    (scores descending) and the group totals ``_P``, ``_N``.  The counts are kept once
+    (checkpoint): the running totals read them several times."""
+    counts = reliable_checkpoint(scored if counted else score_counts(scored, group=group, y=y, p=p))
     cum = prefix_sums(counts, order_by=[-F.col(p)], partition_by=list(group),
                       sums={"ctp": F.col("tp"), "cfp": F.col("fp")})
-    totals = cum.groupBy(*group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
+    totals = counts.groupBy(*group).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
     return null_safe_join(cum, totals, list(group))
 
 
@@ -161,11 +163,12 @@ def roc_summary(band: DataFrame, fold_auc: DataFrame, *, model: str = "model",
 
 def cross_validated_roc(scored: DataFrame, *, model: str = "model", fold: str = "fold",
                         y: str = "y", p: str = "p", n_grid: int = 100, band: str = "ci", counted: bool = False):
-    """E8 on a scored table, or on ``counted`` scores: (fold AUCs, mean curve with band, summary)."""
+    """E8 on a scored table, or on ``counted`` scores: (fold AUCs, mean curve with band, summary).  The running
+    totals and the grid, which the three tables share, are kept once (checkpoint)."""
     group = [model, fold]
-    cum = cumulated(scored, group=group, y=y, p=p, counted=counted)
+    cum = reliable_checkpoint(cumulated(scored, group=group, y=y, p=p, counted=counted))
     fold_auc = auc_from(cum, group=group)
-    grid = roc_grid(points_from(cum, group=group, p=p), group=group, n_grid=n_grid)
+    grid = reliable_checkpoint(roc_grid(points_from(cum, group=group, p=p), group=group, n_grid=n_grid))
     curve = roc_mean_band(grid, model=model, n_grid=n_grid, band=band)
     return fold_auc, curve, roc_summary(curve, fold_auc, model=model)
 

@@ -42,10 +42,10 @@ def code_counts(df: DataFrame, *, code: str = "code") -> DataFrame:
     return df.groupBy(code).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_codes(df: DataFrame, *, code: str = "code", fraction: float = 0.80) -> DataFrame:
+def top_codes(df: DataFrame, *, code: str = "code", fraction: float = 0.80, counts: DataFrame | None = None) -> DataFrame:
     """P6 helper: the ``bround(distinct_codes * fraction)`` most frequent codes,
-    ties broken by code.  One row per code: bounded by the code catalogue."""
-    counts = code_counts(df, code=code)
+    ties broken by code.  One row per code: bounded by the code catalogue.  ``counts`` are ``df``'s, if they are known."""
+    counts = code_counts(df, code=code) if counts is None else counts
     w = Window.orderBy(F.col("n").desc(), F.col(code).asc())
     keep = F.bround(F.count(F.lit(1)).over(Window.partitionBy()) * F.lit(fraction), 0)
     return (counts.withColumn("_rank", F.row_number().over(w)).withColumn("_keep", keep)
@@ -75,9 +75,45 @@ def step_counts(df: DataFrame, *, patient: str = "patient", ts: str = "ts", code
 
 
 # ------------------------------------------------------------------------ A6
+#: Distinct times of an island up to which they are folded as one array.
+FOLD_TIMES = 10_000
+
+
+def linked_anchors(times: DataFrame, gap_us: int) -> DataFrame:
+    """A6 for islands of any size: (_p, _island, _a) from distinct times (_p, _island, _t).
+
+    A time's link is the first time at least the gap after it; the anchors are what the links reach from an island's
+    first time.  Links are found by numbering the times (one running count over times and the points they ask for), and
+    followed by doubling: each round joins the reached times with links that jump twice as far, so a chain of n
+    anchors takes about log2(n) rounds, each a join on (patient, island, number).  No step holds an island in one task."""
+    from .ordinal import null_safe_join, prefix_sums
+    key = ["_p", "_island"]
+    asked = times.select(*key, (F.col("_t") + F.lit(gap_us)).alias("_at"), F.col("_t").alias("_from"))
+    both = times.select(*key, F.col("_t").alias("_at"), F.lit(None).cast("long").alias("_from")).unionByName(asked)
+    # before equal times, a point that is asked for: it has as many times below it as its number says
+    both = prefix_sums(reliable_checkpoint(both), order_by=["_at", F.col("_from").isNull().cast("int"), "_from"],
+                       partition_by=key, sums={"_below": F.col("_from").isNull().cast("long")})
+    both = reliable_checkpoint(both)
+    numbered = both.where(F.col("_from").isNull()).select(*key, F.col("_at").alias("_t"), F.col("_below").alias("_i"))
+    asks = both.where(F.col("_from").isNotNull()).select(*key, F.col("_from").alias("_t"), (F.col("_below") + 1).alias("_to"))
+    last = numbered.groupBy(*key).agg(F.max("_i").alias("_last"))
+    links = null_safe_join(null_safe_join(asks, numbered, [*key, "_t"]), last, key)
+    links = reliable_checkpoint(links.where(F.col("_to") <= F.col("_last")).select(*key, "_i", "_to"))
+    reached = numbered.where(F.col("_i") == 1).select(*key, "_i")
+    while True:
+        step = null_safe_join(reached, links, [*key, "_i"]).select(*key, F.col("_to").alias("_i"))
+        step = reliable_checkpoint(step)
+        if not step.limit(1).count():
+            break
+        reached = reliable_checkpoint(reached.unionByName(step))   # links jump past all reached so far: nothing comes twice
+        onward = links.select(*key, F.col("_i").alias("_to"), F.col("_to").alias("_next"))
+        links = reliable_checkpoint(null_safe_join(links, onward, [*key, "_to"]).select(*key, "_i", F.col("_next").alias("_to")))
+    return null_safe_join(reached, numbered, [*key, "_i"]).select(*key, F.col("_t").alias("_a"))
+
+
 def anchor_times(df: DataFrame, *, patient: str = "patient", ts: str = "ts",
                  snap_minutes: int = 120, gap_minutes: int = 1440,
-                 anchor: str = "anchor") -> DataFrame:
+                 anchor: str = "anchor", fold_times: int = FOLD_TIMES) -> DataFrame:
     """Anchored time grouping.
 
     Per patient, over distinct times ascending: the first time is an anchor;
@@ -108,8 +144,18 @@ def anchor_times(df: DataFrame, *, patient: str = "patient", ts: str = "ts",
         F.array(F.element_at("_ts", 1)),
         lambda acc, x: F.when(x - F.element_at(acc, -1) >= F.lit(gap_us),
                               F.concat(acc, F.array(x))).otherwise(acc))
-    anchors = (times.groupBy(patient, "_island").agg(F.array_sort(F.collect_list("_t")).alias("_ts"))
+    # the fold holds the times of an island as an array; the islands with too many for that are done by links
+    times = reliable_checkpoint(times.select(patient, "_island", "_t"))
+    sizes = times.groupBy(patient, "_island").agg(F.count("*").alias("_n"))
+    dense = sizes.where(F.col("_n") > fold_times).drop("_n")
+    some = dense.limit(1).count() > 0
+    small = times.join(dense, [patient, "_island"], "left_anti") if some else times
+    anchors = (small.groupBy(patient, "_island").agg(F.array_sort(F.collect_list("_t")).alias("_ts"))
                .select(patient, F.explode(fold).alias("_a")))
+    if some:
+        large = times.join(dense, [patient, "_island"], "left_semi")
+        anchors = anchors.unionByName(linked_anchors(large.select(F.col(patient).alias("_p"), "_island", "_t"), gap_us)
+                                      .select(F.col("_p").alias(patient), "_a"))
     # each anchor may govern times in its own day and (near midnight) the next one
     snap_us = (snap_minutes + 1) * _US_PER_MINUTE
     days = F.array_distinct(F.array(F.floor(F.col("_a") / _US_PER_DAY),
@@ -138,11 +184,12 @@ def first_attributes(df: DataFrame, attributes: Sequence[str], *, keys: Sequence
 
 
 def dedup_first(df: DataFrame, *, keys: Sequence[str] = ("patient", "anchor", "code"),
-                seq: str = "seq", values: Sequence[str] = ("num", "txt", "marker")) -> DataFrame:
-    """A4: first row (lowest ``seq``) per key, as one aggregation."""
+                seq: str = "seq", values: Sequence[str] = ("num", "txt", "marker"), copies: str | None = None) -> DataFrame:
+    """A4: first row (lowest ``seq``) per key, as one aggregation; ``copies`` names a column for the number of its rows."""
     first = F.min_by(F.struct(*[F.col(v) for v in values]), F.col(seq))
-    return (df.groupBy(*keys).agg(F.min(seq).alias(seq), first.alias("_v"))
-            .select(*keys, seq, *[F.col(f"_v.{v}").alias(v) for v in values]))
+    more = [F.count(F.lit(1)).alias(copies)] if copies else []
+    return (df.groupBy(*keys).agg(F.min(seq).alias(seq), first.alias("_v"), *more)
+            .select(*keys, seq, *[F.col(f"_v.{v}").alias(v) for v in values], *([copies] if copies else [])))
 
 
 # ---------------------------------------------------------------- P7 + F15
@@ -212,9 +259,9 @@ MAX_CODES = 5000
 MAX_CATEGORY_VALUES = 200
 
 
-def kept_codes(lab: DataFrame, *, code: str = "code", fraction: float = 0.80) -> list[str]:
+def kept_codes(lab: DataFrame, *, code: str = "code", fraction: float = 0.80, counts: DataFrame | None = None) -> list[str]:
     """Codes that P6 keeps, sorted: the columns of the wide table."""
-    top = top_codes(lab, code=code, fraction=fraction)
+    top = top_codes(lab, code=code, fraction=fraction, counts=counts)
     rows = top.select(code).limit(MAX_CODES + 1).collect()
     if len(rows) > MAX_CODES:
         raise ValueError(f"more than {MAX_CODES} codes to pivot")
@@ -225,13 +272,13 @@ def category_values(long: DataFrame, *, code: str = "code",
                     categorical: Sequence[str] = CATEGORICAL_CODES) -> dict[str, list[str]]:
     """Distinct texts per categorical code; raises when a code has more than ``MAX_CATEGORY_VALUES``."""
     texts = long.where(F.col(code).isin(*categorical) & F.col("txt").isNotNull()).select(code, "txt").distinct()
-    for r in texts.groupBy(code).agg(F.count(F.lit(1)).alias("n")).collect():   # one row per categorical code
-        if r["n"] > MAX_CATEGORY_VALUES:
-            raise ValueError(f"{r[0]} has {r['n']} different texts, more than {MAX_CATEGORY_VALUES} columns")
-    rows = texts.collect()
+    rows = texts.limit(len(categorical) * MAX_CATEGORY_VALUES + 1).collect()   # one job; over the limit some code has too many
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r[0], []).append(r[1])
+    for k, v in out.items():
+        if len(v) > MAX_CATEGORY_VALUES:
+            raise ValueError(f"{k} has more than {MAX_CATEGORY_VALUES} different texts")
     return {k: sorted(v) for k, v in out.items()}
 
 
@@ -260,7 +307,7 @@ def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, f
                         category_vals: dict[str, Sequence[str]] | None = None,
                         prefix: str = "lab_", fill_zero: bool = True, impute: str | None = None,
                         pilot: bool = False, attributes: Sequence[str] = (),
-                        materialize: bool = True) -> DataFrame:
+                        materialize: bool = True, audit=None) -> DataFrame:
     """Entry 1 up to the visit match: lab rows (seq, patient, ts, code, result)
     -> one row per presentation with lab values, presence indicators, one-hot
     categories, zero fill and ``Num_vars``.
@@ -269,7 +316,7 @@ def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, f
     categorical ones.  Given ``codes`` or ``category_vals`` only check that: a kept code or a text
     that they miss is an error.  ``pilot`` keeps the pilot slice, ``impute`` names a strategy of
     ``impute.impute`` for the numeric columns, ``fill_zero=False`` leaves missing numbers NULL;
-    ``attributes`` of the first row (``labno``) are kept.
+    ``attributes`` of the first row (``labno``) are kept.  An ``audit`` (``audit.StepAudit``) records each step.
 
     The deduplicated long rows feed three consumers (presence counts, code
     means, the pivot); ``materialize`` writes them once as a reliable
@@ -277,16 +324,27 @@ def build_presentations(lab: DataFrame, codes: Sequence[str] | None = None, *, f
     consumer and a lost executor does not re-run them.
     """
     lab = pilot_slice(lab) if pilot else lab
-    lab = deny_filter(lab)
-    kept = kept_codes(lab, fraction=fraction)
+    counts = reliable_checkpoint(code_counts(lab)) if audit is not None else None
+    raw, lab = lab, deny_filter(lab)
+    kept = kept_codes(lab, fraction=fraction, counts=None if counts is None else deny_filter(counts))
     if codes is not None and set(kept) - set(codes):
         raise ValueError(f"codes without a column: {sorted(set(kept) - set(codes))}")
     codes = kept
     rows = lab.where(F.col("code").isin(*codes)) if codes else lab.where(F.lit(False))
+    frequent = rows
     rows = anchor_times(rows, snap_minutes=snap_minutes, gap_minutes=gap_minutes)
-    dedup = dedup_first(normalise(rows))
+    dedup = dedup_first(normalise(rows), copies="_copies" if audit is not None else None)
     if materialize:
         dedup = reliable_checkpoint(dedup)
+    if audit is not None:
+        n = F.col("n")
+        total, allowed, used = counts.agg(F.sum(n), F.sum(F.when(F.col("code").isNotNull() & ~F.col("code").isin(*DENY_CODES), n)),
+                                          F.sum(F.when(F.col("code").isin(*codes), n))).first()
+        grouped, firsts = dedup.agg(F.sum("_copies"), F.count(F.lit(1))).first()
+        dedup = dedup.drop("_copies")
+        for name, size, df in (("lab results", total, raw), ("allowed codes", allowed, lab), ("frequent codes", used, frequent),
+                               ("grouped times", grouped, rows), ("first results", firsts, dedup)):
+            audit.step(name, size, df)
     long = resolve_markers(sparse_filter(dedup, min_present=min_present))
     wide = pivot_presentations(long, codes, prefix=prefix)
     if attributes:

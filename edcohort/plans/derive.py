@@ -69,14 +69,16 @@ def derive_and_export(processed: DataFrame, cohort: DataFrame, root: str, *, mod
                       out: int = 3, as_of: str, lab_columns: Sequence[str], key: str = "case_id",
                       features: Sequence[Sequence[str]] = FEATURES, split: bool = True) -> int:
     """Entry 2: every requested data model of ``processed`` written as a new
-    version (latest + 1) of the dataset at ``root``, split into main and
-    validation (or one 'full' split); study keys are dropped on export."""
-    from ..sources.datasets import latest_version_number, write_data_model
-    version = latest_version_number(processed.sparkSession, root) + 1
+    version of the dataset at ``root``, split into main and validation (or one
+    'full' split); study keys are dropped on export.  The version becomes
+    visible when all of it is written."""
+    from ..sources.datasets import claim_version, commit_version, write_data_model
+    version = claim_version(processed.sparkSession, root)
     for m in models:
         dm = data_model(processed, m, out, as_of=as_of, lab_columns=lab_columns, key=key,
                         features=features)
         parts = export_splits(dm, cohort, drop_keys=True)
         chosen = {k: parts[k] for k in (("main", "validation") if split else ("full",))}
         write_data_model(chosen, root, version=version, model=m, out=out)
+    commit_version(processed.sparkSession, root, version)
     return version

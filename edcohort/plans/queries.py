@@ -357,6 +357,7 @@ def q_threshold_auc(spark, sf):
 
 
 # ------------------------------------------------- statistics and splits
+from ..session import reliable_checkpoint
 from ..operators import ordinal as od  # noqa: E402
 from ..operators import stats as st  # noqa: E402
 
@@ -648,6 +649,34 @@ def q_validation_scoring(spark, sf):
     return comparable(ev.score_validation_cohort(main, valid, {}))
 
 
+# ------------------------------------------------- distillation, grid search
+from ..operators import tuning as tu  # noqa: E402
+
+# The sizes, depths and numbers of trees that the source tries.
+TOP_N = (20, 15, 10, 5, 3, 1)
+DEPTHS = (3, 5, 7, 9, 11, 13, 15)
+TREES = (100, 150, 200, 250, 300, 350)
+
+
+def _folded(spark, sf):
+    d = od.stratified_kfold(_model(spark, sf, 3), label="y_var", order_by=["case_id"], k=ML_FOLDS)
+    return reliable_checkpoint(d.select("case_id", "fold", "y_var", *ML_FEATURES))
+
+
+@query("distil")
+def q_distil(spark, sf):
+    """AUC over five folds with the first 20, 15, 10, 5, 3 and 1 features."""
+    return comparable(tu.distil(_folded(spark, sf), ML_FEATURES, TOP_N, key="case_id"))
+
+
+@query("distil_counts")
+def q_distil_counts(spark, sf):
+    """Rows, positives and scores in [0, 1] of each size and fold, after a few rounds: what a fit cannot change."""
+    s = tu.distilled(_folded(spark, sf), ML_FEATURES, TOP_N, key="case_id", rounds=2)
+    return s.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("n_pos"),
+                                          F.sum(F.col("p").between(0, 1).cast("bigint")).alias("n_scored"))
+
+
 # ------------------------------------------------------ versions, parameters
 from ..sources import datasets as ds  # noqa: E402
 

@@ -140,16 +140,6 @@ def test_calibration_edges(spark):
     assert got[0] == 1.0
 
 
-def test_chained_imputation_recovers_linear_relation(spark):
-    from edcohort.operators.impute import impute_chained
-    rows = [(i, float(i), 2.0 * i + 1 if i % 5 else None) for i in range(60)]
-    df = spark.createDataFrame(rows, "id long, a double, b double")
-    out = {r.id: r.b for r in impute_chained(df, ["a", "b"], rounds=2, reg_param=0.0).collect()}
-    for i in range(0, 60, 5):
-        assert abs(out[i] - (2.0 * i + 1)) < 1e-6
-    assert all(out[i] == 2.0 * i + 1 for i in range(60) if i % 5)
-
-
 def test_attribution_sums_to_margin(spark):
     from pyspark.ml.functions import vector_to_array
     from edcohort.operators import explain as ex

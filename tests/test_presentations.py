@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from edcohort.operators import presentations as pr
@@ -137,3 +139,37 @@ def test_missed_codes_and_texts_are_errors(spark):
     with pytest.raises(ValueError, match="AB"):
         pr.build_presentations(lab, fraction=1.0, category_vals={"BG": ["A"]})
     assert pr.first_attributes(lab, ["result"], keys=["patient"]).count() == 4
+
+
+@pytest.mark.parametrize("gap", [1440, 300])
+def test_dense_islands_by_links_equal_the_fold(spark, gap):
+    """Islands done by numbered links and doubling, in many buckets, against the fold of arrays and a plain loop."""
+    import random
+
+    from edcohort.operators import ordinal as od
+    rnd = random.Random(4)
+    base = dt.datetime(2020, 1, 1)
+    rows, want = [], {}
+    for p in (1, 2, 3):
+        at, times = 0, set()
+        for _ in range(400 if p == 1 else 30):
+            at += rnd.choice([1, 3, 40, 200, 700, 1439, 1440, 1441, 1500])
+            times.add(at)
+        anchor, grouped = None, {}
+        for t in sorted(times):
+            if anchor is None or t - anchor > gap:
+                anchor = t
+            if t - anchor <= 120:
+                grouped[t] = anchor
+        want |= {(p, t): a for t, a in grouped.items()}
+        rows += [(p, base + dt.timedelta(minutes=t)) for t in times]
+    df = spark.createDataFrame(rows, "patient int, ts timestamp_ntz")
+    minutes = lambda x: int((x - base).total_seconds() // 60)
+    old = od.ROWS_PER_BUCKET
+    od.ROWS_PER_BUCKET = 50
+    try:
+        for fold_times in (10_000, 20, 0):
+            got = pr.anchor_times(df, gap_minutes=gap, fold_times=fold_times).collect()
+            assert {(r.patient, minutes(r.ts)): minutes(r.anchor) for r in got} == want and len(got) == len(want)
+    finally:
+        od.ROWS_PER_BUCKET = old

@@ -91,6 +91,7 @@ def test_models_read_back_with_their_own_columns(spark, tmp_path):
     frames = {m: spark.range(4).selectExpr("id AS y_var", *[f"id * {m} AS c{k}" for k in range(m * 2)]) for m in (1, 2, 3)}
     for m in (3, 1, 2):
         ds.write_data_model({"main": frames[m]}, root, version=1, model=m, out=3)
+    ds.commit_version(spark, root, 1)
     for m in (1, 2, 3):
         back = ds.read_data_model(spark, root, model=m, out=3)
         assert back.columns == frames[m].columns and sorted(back.collect()) == sorted(frames[m].collect())
@@ -98,6 +99,8 @@ def test_models_read_back_with_their_own_columns(spark, tmp_path):
     with pytest.raises(FileExistsError):
         ds.write_data_model({"main": frames[1]}, root, version=1, model=1, out=3)
     ds.write_data_model({"main": frames[1].limit(1)}, root, version=7, model=1, out=3)
+    assert ds.latest_version_number(spark, root) == 1   # not committed yet
+    ds.commit_version(spark, root, 7)
     for name in os.listdir(f"{root}/version=7/model=1/out=3/split=main"):
         if name.endswith(".parquet"):
             with open(f"{root}/version=7/model=1/out=3/split=main/{name}", "wb") as f:

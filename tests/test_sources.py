@@ -43,8 +43,10 @@ def test_versioned_dataset_roundtrip(spark):
     assert ds.latest_version_number(spark, root) == 0
     a = spark.createDataFrame([(1, 0, 1.0)], "case_id long, y_var int, x double")
     ds.write_data_model({"main": a, "validation": a.limit(0)}, root, version=1, model=1, out=3)
+    ds.commit_version(spark, root, 1)
     b = spark.createDataFrame([(2, 1, 2.0)], "case_id long, y_var int, x double")
     ds.write_data_model({"main": b}, root, version=2, model=1, out=3)
+    ds.commit_version(spark, root, 2)
     assert ds.latest_version_number(spark, root) == 2
     assert [r.case_id for r in ds.read_data_model(spark, root, model=1, out=3).collect()] == [2]
     assert [r.case_id for r in ds.read_data_model(spark, root, model=1, out=3, version=1).collect()] == [1]
@@ -105,3 +107,58 @@ def test_derive_export_and_evaluate(spark):
     res = cross_validate(main, feats, le.logistic, name="logistic", k=3)
     s = res["summary"].first()
     assert 0.0 <= s.mean_auc <= 1.0
+
+
+def test_versions_are_claimed_and_committed(spark):
+    """An export that died is never read, its number is not used again, and two writers get two numbers."""
+    import pytest
+    root = os.path.join(tempfile.mkdtemp(prefix="edcohort-test-"), "models")
+    df = spark.createDataFrame([(1, 0)], "case_id long, y_var int")
+    one, two = ds.claim_version(spark, root), ds.claim_version(spark, root)
+    assert (one, two) == (1, 2)
+    ds.write_data_model({"main": df}, root, version=two, model=1, out=3)   # and dies before the second model
+    assert ds.latest_version_number(spark, root) == 0 and ds.abandoned_versions(spark, root) == [1, 2]
+    ds.write_data_model({"main": df}, root, version=one, model=1, out=3)
+    ds.commit_version(spark, root, one)
+    assert ds.committed_versions(spark, root) == [1] and ds.read_data_model(spark, root, model=1, out=3).count() == 1
+    with pytest.raises(FileNotFoundError, match="no committed version 2"):
+        ds.read_data_model(spark, root, model=1, out=3, version=2)
+    assert ds.claim_version(spark, root) == 3
+    for taken in (1, 2, 3):
+        with pytest.raises(FileExistsError):
+            ds.claim_version(spark, root, taken)
+    with pytest.raises(FileExistsError, match="committed already"):
+        ds.commit_version(spark, root, 1)
+
+
+def test_two_writers_at_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    root = os.path.join(tempfile.mkdtemp(prefix="edcohort-test-"), "p")
+    df = spark.createDataFrame([(1, 0)], "case_id long, y_var int")
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: ds.write_processed(df, root), range(4)))
+    assert sorted(got) == [1, 2, 3, 4] == ds.committed_versions(spark, root)
+
+
+def test_step_audit(spark):
+    """Counts of each step equal separate counts, and are kept with the version."""
+    from edcohort.operators import presentations as pr
+    from edcohort.operators.audit import StepAudit
+    from edcohort.plans import views as V
+    from edcohort.plans.build import build_processed_table
+    sf = "/root/testdata/sf0.001"
+    lab, visits = V.lab(spark, sf), V.visits(spark, sf)
+    root = os.path.join(tempfile.mkdtemp(prefix="edcohort-test-"), "p")
+    audit = StepAudit()
+    ds.write_processed(build_processed_table(lab, visits, audit=audit), root, audit=audit)
+    got = {r.step: r for r in ds.read_steps(spark, root).collect()}
+    allowed = pr.deny_filter(lab)
+    frequent = pr.top_fraction_filter(allowed, fraction=0.80)
+    grouped = pr.anchor_times(frequent)
+    first = pr.dedup_first(pr.normalise(grouped))
+    wide = pr.build_presentations(lab)
+    want = {"lab results": lab, "allowed codes": allowed, "frequent codes": frequent, "grouped times": grouped, "first results": first,
+            "presentations": wide, "visits": visits, "written": ds.read_processed(spark, root)}
+    assert [r.step for r in sorted(got.values(), key=lambda r: r.position)] == list(want)
+    for name, df in want.items():
+        assert (got[name].n_rows, got[name].n_columns) == (df.count(), len(df.columns)), name
