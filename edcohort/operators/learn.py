@@ -1,4 +1,4 @@
-"""Model fitting and cross-validated evaluation with MLlib.
+"""Model fitting and cross-validated evaluation with MLlib.
 
 Fits run on executors; the driver only loops over folds, algorithms or grid
 points (a handful each).  Predictions are returned as a scored table
@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -38,13 +37,6 @@ def gbt(**kw):
     return GBTClassifier(**p)
 
 
-def gbt_leafwise(**kw):
-    """M8: the second boosting profile (deeper trees)."""
-    p = dict(maxIter=100, maxDepth=5, stepSize=0.1, seed=SEED)
-    p.update(kw)
-    return GBTClassifier(**p)
-
-
 def logistic(n_rows: int, C: float = 1.0, **kw):
     """M6: L2 logistic regression with the objective of C=1 scaled by 1/n."""
     p = dict(regParam=1.0 / (C * max(n_rows, 1)), elasticNetParam=0.0, standardization=False,
@@ -60,26 +52,6 @@ def random_forest(**kw):
     return RandomForestClassifier(**p)
 
 
-def neural_net(n_features: int, **kw):
-    """M9: one hidden layer of int(0.8 d) units, mini-batches of 100."""
-    p = dict(layers=[n_features, max(int(0.8 * n_features), 1), 2], blockSize=100, maxIter=100,
-             seed=SEED)
-    p.update(kw)
-    return MultilayerPerceptronClassifier(**p)
-
-
-def algorithms(n_features: int, **overrides) -> dict[str, Callable]:
-    """The five compared algorithms by name, as functions of the number of training rows."""
-    o = overrides
-    return {
-        "gbt": lambda n: gbt(**o.get("gbt", {})),
-        "logistic": lambda n: logistic(n, **o.get("logistic", {})),
-        "random_forest": lambda n: random_forest(**o.get("random_forest", {})),
-        "gbt_leafwise": lambda n: gbt_leafwise(**o.get("gbt_leafwise", {})),
-        "neural_net": lambda n: neural_net(n_features, **o.get("neural_net", {})),
-    }
-
-
 #: Fits that run at a time; each is itself distributed.
 PARALLEL_FITS = 4
 
@@ -138,44 +110,6 @@ def cv_calibration(scored: DataFrame):
     return me.brier_cv(scored), me.calibration(scored)
 
 
-# ----------------------------------------------------------- grid search
-def grid_search(data: DataFrame, *, key: str, depths: Sequence[int], trees: Sequence[int],
-                fold: str = "fold") -> DataFrame:
-    """Every (depth, trees) setting scored by out-of-fold AUC:
-    mean over folds, population sd, interval mean +- 1.96 sd / sqrt(5).
-
-    One fit per depth and fold, with the most trees, scores all tree counts by prefix."""
-    from .explain import prefix_scores
-    folds = sorted(fold_sizes(data, fold))
-    fits = in_parallel([lambda d=d, i=i: gbt(maxDepth=d, maxIter=max(trees)).fit(data.where(F.col(fold) != i))
-                        for d in depths for i in folds])
-    scored = None
-    for (d, i), model in zip([(d, i) for d in depths for i in folds], fits, strict=True):
-        s = prefix_scores(model, data.where(F.col(fold) == i).withColumn("y", F.col("label").cast("int")), trees,
-                          columns=[fold, "y"]).withColumn("max_depth", F.lit(d))
-        scored = s if scored is None else scored.unionByName(s)
-    fa = me.auc(scored, group=["max_depth", "n_trees", fold])
-    out = fa.groupBy("max_depth", "n_trees").agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"))
-    half = F.lit(me.Z95) * F.col("std_auc") / F.lit(5 ** 0.5)
-    out = out.withColumns({"ci_low": F.col("mean_auc") - half, "ci_high": F.col("mean_auc") + half})
-    return out.withColumn("model", F.format_string("depth=%d,trees=%d", "max_depth", "n_trees"))
-
-
-# ------------------------------------------------------------ distillation
-def distil(df: DataFrame, ranked_features: Sequence[str], sizes: Sequence[int], *, key: str,
-           label: str = "y_var", fold: str = "fold", make_estimator: Callable = lambda n: gbt()) -> DataFrame:
-    """Cross-validated AUC using only the top-n ranked features, per n."""
-    df = df.persist()
-    out = None
-    for n in sizes:
-        data = assemble(df, list(ranked_features)[:n], label=label)
-        s = out_of_fold(data, make_estimator, name=f"top{n}", key=key, fold=fold)
-        _, _, summary = me.cross_validated_roc(s)
-        summary = summary.withColumn("n_features", F.lit(n))
-        out = summary if out is None else out.unionByName(summary)
-    return out
-
-
 # ---------------------------------------------------------- hold-out
 def holdout_roc(df: DataFrame, *, key: str, split: str = "split", make_estimator: Callable = lambda n: gbt(),
                 name: str = "holdout") -> DataFrame:
@@ -186,27 +120,3 @@ def holdout_roc(df: DataFrame, *, key: str, split: str = "split", make_estimator
     scored = pred.select(F.lit(name).alias("model"), F.lit(0).alias("fold"),
                          F.col("label").cast("int").alias("y"), "p")
     return me.auc(scored)
-
-
-def best_round(losses: Sequence[float], patience: int = 10) -> tuple[int, int]:
-    """(rounds run, best round, both from 1): stops after ``patience`` rounds without a lower loss."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        if i - best >= patience:
-            return i + 1, best + 1
-    return len(losses), best + 1
-
-
-def early_stopping_gbt(df: DataFrame, *, split: str = "split", max_iter: int = 100, patience: int = 10, **kw):
-    """M5: (model, history, rounds run, best round): boosting watched on the test part, stopped after
-    ``patience`` rounds without a lower loss there.  ``history`` has the train and test log-loss of
-    each round that ran; ``explain.prefix_scores`` gives the scores after the best round."""
-    train, test = df.where(F.col(split) == "train"), df.where(F.col(split) == "test")
-    model = gbt(maxIter=max_iter, **kw).fit(train)
-    on_test = model.evaluateEachIteration(test)
-    ran, best = best_round(on_test, patience)
-    on_train = model.evaluateEachIteration(train)
-    history = [(i + 1, on_train[i], on_test[i]) for i in range(ran)]
-    return model, history, ran, best

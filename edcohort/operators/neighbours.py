@@ -28,6 +28,8 @@ from .ordinal import global_ordinal
 
 #: Points and queries of one block, and cells at most (their centres are sent to all tasks).
 BLOCK = 2000
+#: Queries of a block that are measured together.
+QUERIES = 250
 MAX_CELLS = 256
 EPSILON = 1e-6
 #: Distances that agree in so many places tie.
@@ -48,6 +50,21 @@ def _points(df: DataFrame, columns: Sequence[str], keep: int) -> tuple[DataFrame
     return rows, members
 
 
+def nearest_of(v: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, distance) of the ``keep`` nearest points of each query, ties by position.  A matrix product gives all distances
+    nearly; what could be among the nearest by these is measured exactly."""
+    xx, vv = (x * x).sum(axis=1), (v * v).sum(axis=1)
+    near = vv[:, None] + xx[None, :] - 2 * (v @ x.T)
+    k = min(keep, len(x)) - 1
+    slack = 1e-8 * (1 + vv + xx.max())
+    i, j = np.nonzero(near <= (np.partition(near, k, axis=1)[:, k] + slack)[:, None])
+    d = np.round(np.sqrt(((x[j] - v[i]) ** 2).sum(axis=1)), PLACES)
+    order = np.lexsort((j, d, i))
+    i, j, d = i[order], j[order], d[order]
+    first = np.arange(len(i)) - np.searchsorted(i, i) < keep
+    return i[first], j[first], d[first]
+
+
 def _nearest(points: DataFrame, queries: DataFrame, sizes: dict[int, int], asked: dict[int, int], keep: int) -> DataFrame:
     """(cid, rid, d): the ``keep`` nearest members of each query within the given cells, block by block.
     ``points`` (cell, v, rid), ``queries`` (cell, v, cid)."""
@@ -64,12 +81,10 @@ def _nearest(points: DataFrame, queries: DataFrame, sizes: dict[int, int], asked
             return pd.DataFrame({"cid": [], "rid": [], "d": []})
         a = a.sort_values("rid")
         x, rid = np.stack(a["v"].to_numpy()), a["rid"].to_numpy()
-        out = []
-        for cid, v in zip(b["cid"], b["v"], strict=True):
-            d = np.round(np.sqrt(((x - v) ** 2).sum(axis=1)), PLACES)
-            near = np.argsort(d, kind="stable")[:keep]
-            out.append(pd.DataFrame({"cid": cid, "rid": rid[near], "d": d[near]}))
-        return pd.concat(out, ignore_index=True)
+        v, cid = np.stack(b["v"].to_numpy()), b["cid"].to_numpy()
+        parts = [nearest_of(v[at:at + QUERIES], x, keep) for at in range(0, len(v), QUERIES)]
+        i, j, d = (np.concatenate([p[c] + (at * QUERIES if c == 0 else 0) for at, p in enumerate(parts)]) for c in range(3))
+        return pd.DataFrame({"cid": cid[i], "rid": rid[j], "d": d})
 
     keys = ["cell", "salt", "chunk"]
     return p.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(block, "cid long, rid long, d double")
@@ -106,13 +121,15 @@ def nearest_rows(df: DataFrame, columns: Sequence[str], k: int) -> tuple[DataFra
     first = reliable_checkpoint(first.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).drop("_n"))
     limit = first.groupBy("cid").agg(F.when(F.count("*") > k, F.max("d")).alias("limit"))
 
+    reach = np.array([radius.get(c, -np.inf) for c in range(len(centres))])
+
     def widen(batches):
         for b in batches:
-            out = []
-            for cid, v, own, top in zip(b["cid"], b["v"], b["cell"], b["limit"], strict=True):
-                d = np.sqrt(((centres - v) ** 2).sum(axis=1))
-                out += [(c, v, cid) for c, r in radius.items() if c != own and (pd.isna(top) or d[c] - r <= top + 10.0 ** -PLACES)]
-            yield pd.DataFrame(out, columns=["cell", "v", "cid"])
+            v, own, top = np.stack(b["v"].to_numpy()) if len(b) else np.zeros((0, len(columns))), b["cell"].to_numpy(), b["limit"].to_numpy(float)
+            d = np.sqrt(((v[:, None, :] - centres[None]) ** 2).sum(axis=2))
+            fits = np.isnan(top)[:, None] | (d - reach[None] <= top[:, None] + 10.0 ** -PLACES)
+            i, c = np.nonzero(fits & (reach[None] >= 0) & (np.arange(len(centres))[None] != own[:, None]))
+            yield pd.DataFrame({"cell": c.astype(np.int32), "v": b["v"].to_numpy()[i], "cid": b["cid"].to_numpy()[i]})
 
     more = reliable_checkpoint(queries.join(limit, "cid", "left").mapInPandas(widen, "cell int, v array<double>, cid long"))
     asked = count(more)

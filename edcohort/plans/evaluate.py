@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as sc
 from ..functions.clinical import abbmeds_risk
+from ..operators import boosting as bo
 from ..operators import learn as le
 from ..operators import metrics as me
-from ..operators.ordinal import stratified_kfold
+from ..operators.ordinal import holdout_split, stratified_kfold
+from ..session import reliable_checkpoint
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], make_estimator: Callable, *,
@@ -64,17 +66,25 @@ def compare(entries: dict[str, dict]) -> tuple[DataFrame, DataFrame]:
     return tables[0], tables[1]
 
 
-def score_validation_cohort(main: DataFrame, validation: DataFrame, params: dict, *, key: str = "case_id",
+def early_stopping(main: DataFrame, features: Sequence[str], params: dict, *, key: str = "case_id", label: str = "y_var", patience: int = 10):
+    """M3 + M5: (model, cut points) of boosting on a 70/30 split of ``main`` that stops after ``patience`` rounds without a lower
+    log-loss on the test part; the model's ``history`` has log-loss and error of both parts."""
+    d = holdout_split(main, key=key)
+    d = reliable_checkpoint(d.select(key, label, *features, (F.col("split") == "test").cast("int").alias("fold")))
+    cuts = bo.cut_points(d, features)
+    blocks = reliable_checkpoint(bo.blocks_of(d, features, cuts, key=key, label=label))
+    model, = bo.boost(blocks, cuts, [bo.profile("depthwise", name="stopped", leave_out=1, patience=patience, rounds=params.get("n_estimators", 100),
+                                                max_depth=params.get("max_depth", 3))])
+    return model, cuts
+
+
+def score_validation_cohort(main: DataFrame, validation: DataFrame, features: Sequence[str], params: dict, *, key: str = "case_id", label: str = "y_var",
                             patience: int = 10) -> DataFrame:
-    """M3 + M5 + E13 with the parameters of S10: boosting on a 70/30 split of the main cohort, stopped on
-    its test part; thresholded AUCs on the validation cohort after the best round.  Both frames
-    have (key, label, features)."""
-    from ..operators.explain import prefix_scores
-    from ..operators.ordinal import holdout_split
-    d = holdout_split(main, key=key).persist()
-    model, _, ran, best = le.early_stopping_gbt(d, max_iter=params.get("n_estimators", 100), patience=patience,
-                                                maxDepth=params.get("max_depth", 3))
-    rows = validation.withColumn("y", F.col("label").cast("int"))
-    scored = prefix_scores(model, rows, [best, ran], columns=[key, "y"])
-    scored = scored.withColumn("model", F.when(F.col("n_trees") == best, "best_round").otherwise("all_rounds"))
+    """M3 + M5 + E13 with the parameters of S10: boosting stopped on the test part of the main cohort; thresholded AUCs on
+    the validation cohort after the best round and after all rounds that ran."""
+    model, cuts = early_stopping(main, features, params, key=key, label=label, patience=patience)
+    best, ran = model.best_round, len(model.trees)
+    scored = bo.scores(bo.blocks_of(validation, features, cuts, key=key, label=label, fold=None), [model], [best, ran], held_out=False)
+    names = [F.when(F.col("n_trees") == best, "best_round"), F.when(F.col("n_trees") == ran, "all_rounds")]
+    scored = scored.withColumn("model", F.explode(F.array_compact(F.array(*names))))
     return me.threshold_auc(scored)

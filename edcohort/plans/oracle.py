@@ -806,3 +806,56 @@ SELECT count(*) AS rows, count(*) FILTER (denied) AS denied, count(*) FILTER (NO
   count(*) FILTER (used AND ts IS NULL) AS no_time, count(*) FILTER (used AND ts IS NOT NULL AND patient IS NULL) AS no_patient,
   count(*) FILTER (used AND ts IS NOT NULL AND patient IS NOT NULL) AS "left",
   count(DISTINCT patient) FILTER (used AND ts IS NOT NULL) AS patients FROM l""")
+
+
+# ------------------------------------------- fits: what they cannot change
+_FOLDED = {"d": f"SELECT case_id, {_Y31} AS y FROM cases", **kfold_sql("d", "case_id", "y", 5)}
+_PER_FOLD = "SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos FROM folded GROUP BY fold"
+ORACLE["distil_counts"] = with_ctes(["cases"], _FOLDED, f"""
+SELECT 'top' || s AS model, f.*, n AS n_scored FROM ({_PER_FOLD}) f, (VALUES (20), (15), (10), (5), (3), (1)) v(s)""")
+ORACLE["grid_counts"] = with_ctes(["cases"], _FOLDED, f"""
+SELECT CAST(d AS INTEGER) AS max_depth, CAST(t AS INTEGER) AS n_trees, f.*
+FROM ({_PER_FOLD}) f, (VALUES (3), (5), (7), (9), (11), (13), (15)) v(d), (VALUES (1), (2)) w(t)""")
+ORACLE["compare_algorithms_counts"] = with_ctes(["cases"], _FOLDED, f"""
+SELECT m AS model, f.*, n AS n_scored FROM ({_PER_FOLD}) f, (VALUES ('NN'), ('XGB'), ('LR'), ('RF'), ('LGB')) v(m)""")
+ORACLE["impute_mice_cells"] = _build(" UNION ALL ".join(
+    f"SELECT 'lab_{c}' AS \"column\", count(lab_{c}) AS n_observed, round(sum(lab_{c}), 3) AS sum_observed, "
+    f"CASE WHEN count(lab_{c}) > 0 THEN count(*) - count(lab_{c}) ELSE 0 END AS n_imputed, "
+    f"CASE WHEN count(lab_{c}) > 0 THEN 0 ELSE count(*) END AS n_empty FROM raw" for c in _NUM), extra={"raw": _RAW})
+
+# ---------------------------------------------------------- scaling per fold
+_SCALED = ("Pols", "TRC", "URESE")
+ORACLE["scale_fold"] = with_ctes(["cases"], {
+    "d": f"SELECT case_id, {_Y31} AS y, {', '.join(_SCALED)} FROM cases", **kfold_sql("d", "case_id", "y", 5),
+    "m": "SELECT e.fold, " + ", ".join(f"avg(f.{c}) AS m_{c}, stddev_pop(f.{c}) AS s_{c}" for c in _SCALED)
+         + " FROM (SELECT DISTINCT fold FROM folded) e JOIN folded f ON f.fold <> e.fold GROUP BY e.fold"}, f"""
+SELECT f.case_id, CAST(f.fold AS INTEGER) AS fold, {', '.join(f'round((d.{c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}' for c in _SCALED)}
+FROM folded f JOIN d ON d.case_id = f.case_id JOIN m ON m.fold = f.fold""")
+
+# ------------------------------------------------------------ steps, extracts
+_STEPS = (("lab results", "lab"), ("allowed codes", "lab_f"), ("frequent codes", "lab_t"), ("grouped times", "anchored"), ("first results", "dedup"),
+          ("presentations", "wide"), ("visits", "visits"),
+          ("written", "(SELECT visit_id FROM hits GROUP BY visit_id HAVING count(*) = 1)"))
+ORACLE["build_steps"] = _build(" UNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS position, '{name}' AS step, (SELECT count(*) FROM {src}) AS n_rows" for k, (name, src) in enumerate(_STEPS)),
+    extra={"wide": _WIDE_SQL, "hits": _HITS}, views=("lab", "visits"))
+ORACLE["extract_scan"] = with_ctes(["lab"], {}, f"""
+SELECT patient, 'L' || seq AS labno, {ts_text("date_trunc('minute', ts)")} AS ts, code, NULLIF(result, '') AS result
+FROM lab WHERE patient IS NOT NULL AND seq % 41 <> 0 AND (seq % 89 <> 0 OR seq % 97 = 0)""")
+ORACLE["extract_quarantine"] = with_ctes(["lab"], {"l": """
+SELECT seq, year(ts) AS year, concat_ws(';', CASE WHEN seq % 41 = 0 THEN '' ELSE COALESCE(CAST(patient AS VARCHAR), '') END, 'L' || seq,
+  strftime(ts, '%d-%m-%Y %H:%M'), COALESCE(code, ''), COALESCE(result, ''), CASE WHEN seq % 5 = 0 THEN 'Müller' ELSE 'Jansen' END)
+  || CASE WHEN seq % 97 = 0 THEN '' ELSE ';01-01-1950;extra' END AS line FROM lab WHERE seq % 97 = 0 OR seq % 89 = 0"""}, """
+SELECT CAST(year AS INTEGER) AS year, CASE WHEN seq % 97 = 0 THEN 'too few fields' ELSE 'too many fields' END AS reason, seq % 97 = 0 AS used,
+  CAST(CASE WHEN seq % 97 = 0 THEN 6 ELSE 8 END AS INTEGER) AS n_fields, count(*) AS n_lines,
+  count(*) FILTER (seq % 5 = 0) AS n_umlaut, CAST(sum(length(line)) AS BIGINT) AS n_chars
+FROM l GROUP BY ALL""")
+
+# ------------------------------------------------- E8 on continuous scores
+ORACLE["compare_models_continuous"] = """
+WITH c AS (SELECT l_linestatus AS model, l_orderkey % 5 AS fold, CAST(l_extendedprice AS DOUBLE) AS p,
+  sum(CAST(l_returnflag = 'R' AS INTEGER)) AS tp, sum(CAST(l_returnflag <> 'R' AS INTEGER)) AS fp FROM lineitem GROUP BY ALL),
+cum AS (SELECT *, sum(tp) OVER (PARTITION BY model, fold ORDER BY p DESC ROWS UNBOUNDED PRECEDING) AS ctp FROM c),
+a AS (SELECT model, fold, sum(CAST(fp AS DOUBLE) * (2 * ctp - tp)) / (2 * CAST(sum(tp) AS DOUBLE) * sum(fp)) AS auc FROM cum GROUP BY model, fold)
+SELECT model, round(stddev_pop(auc), 6) AS std_auc, count(*) AS n_folds, round(min(auc), 6) AS min_auc, round(max(auc), 6) AS max_auc FROM a GROUP BY model
+"""

@@ -7,6 +7,7 @@ rounded to 6 places.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.results import CATEGORICAL_CODES, DENY_CODES
+from ..operators import boosting as bo
 from ..operators import cohort as co
 from ..operators import presentations as pr
+from ..operators.audit import StepAudit
+from ..session import checkpoint_dir, reliable_checkpoint
+from ..sources import extracts as ex_
 from . import views as V
 from .build import build_processed_table
 
@@ -55,7 +60,6 @@ def _anchored(spark, sf):
 
 def _dedup(spark, sf):
     # three consumers downstream (counts, means, pivot): materialize once
-    from ..session import reliable_checkpoint
     return reliable_checkpoint(pr.dedup_first(pr.normalise(_anchored(spark, sf))))
 
 
@@ -357,7 +361,6 @@ def q_threshold_auc(spark, sf):
 
 
 # ------------------------------------------------- statistics and splits
-from ..session import reliable_checkpoint
 from ..operators import ordinal as od  # noqa: E402
 from ..operators import stats as st  # noqa: E402
 
@@ -611,7 +614,8 @@ def q_cv_rf(spark, sf):
 
 @query("cv_mlp")
 def q_cv_mlp(spark, sf):
-    return _cv_summary(_cv(spark, sf, "neural_net", lambda n: le.neural_net(len(ML_FEATURES))))
+    """M9: the small network, trained by mini-batches."""
+    return _cv_summary(tu.network_scores(_folded(spark, sf), ML_FEATURES, key="case_id", name="neural_net"))
 
 
 @query("cv_calibration")
@@ -645,8 +649,7 @@ def q_validation_scoring(spark, sf):
     """M5 -> E13: boosting stopped on the main cohort's test part, thresholded AUCs on the validation
     cohort.  Parameters are the defaults: the stand-in parameter table names settings at random."""
     parts = export_splits(_model(spark, sf, 3), V.cohort(spark, sf))
-    main, valid = (le.assemble(parts[k], ML_FEATURES).select("case_id", "label", "features") for k in ("main", "validation"))
-    return comparable(ev.score_validation_cohort(main, valid, {}))
+    return comparable(ev.score_validation_cohort(parts["main"], parts["validation"], ML_FEATURES, {}))
 
 
 # ------------------------------------------------- distillation, grid search
@@ -744,7 +747,7 @@ def q_match_histogram(spark, sf):
 
 @query("impute_mice")
 def q_impute_mice(spark, sf):
-    w = im.impute_chained(_wide_raw(spark, sf), NUMERIC_LAB_COLS)
+    w = im.impute(_wide_raw(spark, sf), NUMERIC_LAB_COLS, "MICE")
     return comparable(w.select("patient", "anchor", *NUMERIC_LAB_COLS))
 
 
@@ -774,4 +777,100 @@ def q_attribution_sums(spark, sf):
 
 @query("cv_gbt_leafwise")
 def q_cv_gbt_leafwise(spark, sf):
-    return _cv_summary(_cv(spark, sf, "gbt_leafwise", lambda n: le.gbt_leafwise()))
+    """M8: best-first trees of 31 leaves."""
+    return _cv_summary(tu.boosted_scores(_folded(spark, sf), ML_FEATURES, {"gbt_leafwise": "leafwise"}, key="case_id"))
+
+
+# ------------------------------------------------- five algorithms
+@query("compare_algorithms")
+def q_compare_algorithms(spark, sf):
+    """Each two of the five algorithms, their AUCs compared fold by fold."""
+    return comparable(tu.paired_differences(tu.algorithm_scores(_folded(spark, sf), ML_FEATURES, key="case_id")))
+
+
+@query("compare_algorithms_counts")
+def q_compare_algorithms_counts(spark, sf):
+    """Rows, positives and scores in [0, 1] of each algorithm and fold, after short fits: what a fit cannot change."""
+    s = tu.algorithm_scores(_folded(spark, sf), ML_FEATURES, key="case_id", rounds=1, trees=2, epochs=1)
+    return s.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("n_pos"),
+                                          F.sum(F.col("p").between(0, 1).cast("bigint")).alias("n_scored"))
+
+
+@query("early_stop_history")
+def q_early_stop_history(spark, sf):
+    """M5: log-loss and error of each round that ran, on the training and the test part."""
+    model, _ = ev.early_stopping(_model(spark, sf, 3), ML_FEATURES, {})
+    return comparable(bo.history(spark, [model]).drop("fold"))
+
+
+@query("grid_counts")
+def q_grid_counts(spark, sf):
+    """Rows and positives of each depth, number of trees and fold of the grid, with the first two numbers of rounds."""
+    ledger = f"{checkpoint_dir(spark)}/grid-{uuid.uuid4()}"
+    s = tu.grid_scores(_folded(spark, sf), ML_FEATURES, DEPTHS, (1, 2), key="case_id", ledger=ledger)
+    return s.groupBy("max_depth", "n_trees", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("n_pos"))
+
+
+# ------------------------------------------------------- imputation, scaling
+@query("impute_mice_cells")
+def q_impute_mice_cells(spark, sf):
+    """Per column, the cells observed and their sum (unchanged), the cells imputed, and those left empty."""
+    raw = _wide_raw(spark, sf)
+    raw = reliable_checkpoint(raw.withColumns({f"was_{c}": F.col(c).isNotNull() for c in NUMERIC_LAB_COLS}))
+    w = im.impute(raw, NUMERIC_LAB_COLS, "MICE")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x"), F.col(f"was_{c}").alias("was")) for c in NUMERIC_LAB_COLS]))
+    w = w.select(cells.alias("_c")).select("_c.*")
+    seen = F.col("was")
+    return comparable(w.groupBy("column").agg(
+        F.count_if(seen).alias("n_observed"), F.sum(F.when(seen, F.col("x"))).alias("sum_observed"),
+        F.count_if(~seen & F.col("x").isNotNull()).alias("n_imputed"), F.count_if(F.col("x").isNull()).alias("n_empty")), 3)
+
+
+@query("scale_fold")
+def q_scale_fold(spark, sf):
+    """M1: columns scaled with the moments of the other folds' rows."""
+    d = od.stratified_kfold(_model(spark, sf, 3), label="y_var", order_by=["case_id"], k=ML_FOLDS)
+    return comparable(st.scale_by_fold(d.select("case_id", "fold", "Pols", "TRC", "URESE"), ["Pols", "TRC", "URESE"]))
+
+
+# --------------------------------------------------------- steps, extracts
+@query("build_steps")
+def q_build_steps(spark, sf):
+    """Rows of each step of the build, as kept with the processed version."""
+    root = f"{checkpoint_dir(spark)}/processed-{uuid.uuid4()}"
+    audit = StepAudit()
+    ds.write_processed(build_processed_table(V.lab(spark, sf), V.visits(spark, sf), audit=audit), root, audit=audit)
+    return ds.read_steps(spark, root).select("position", "step", "n_rows")
+
+
+def _extracts(spark, sf):
+    return V.write_lab_extracts(spark, sf, f"{checkpoint_dir(spark)}/extracts-{uuid.uuid4()}")
+
+
+@query("extract_scan")
+def q_extract_scan(spark, sf):
+    """The lab results read back from yearly Latin-1 extract files."""
+    lab = ex_.read_lab_extract(spark, _extracts(spark, sf))
+    return comparable(lab.select("patient", "labno", "ts", "code", "result"))
+
+
+@query("extract_quarantine")
+def q_extract_quarantine(spark, sf):
+    """Lines of the extracts whose field count is not the header's, by year, reason and use."""
+    paths = _extracts(spark, sf)
+    out = None
+    for path in paths:
+        q = ex_.lab_quarantine(spark, [path]).withColumn("year", F.lit(int(path.rpartition("=")[2])))
+        out = q if out is None else out.unionByName(q)
+    return out.groupBy("year", "reason", "used", "n_fields").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line").contains("Müller")).alias("n_umlaut"), F.sum(F.length("line")).alias("n_chars"))
+
+
+# ---------------------------------------------- E8 on continuous scores
+@query("compare_models_continuous")
+def q_compare_models_continuous(spark, sf):
+    """Fold AUCs, spread and mean curve's area of scores of which nearly each is its own."""
+    s = V.scored_continuous(spark, sf)
+    fold_auc, _, summary = me.cross_validated_roc(s)
+    per = fold_auc.groupBy("model").agg(F.count(F.lit(1)).alias("n_folds"), F.min("auc").alias("min_auc"), F.max("auc").alias("max_auc"))
+    return comparable(od.null_safe_join(summary.select("model", "std_auc"), per, ["model"]))

@@ -127,6 +127,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         p.alias("p"))
 
 
+def scored_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored table with the price itself as the score."""
+    li = read(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_linestatus").alias("model"), (F.col("l_orderkey") % 5).cast("int").alias("fold"),
+                     (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_extendedprice").cast("double").alias("p"))
+
+
 RATERS = ("1", "2", "3", "4")
 TARGETS = ("Shock", "Mortality")
 
@@ -149,3 +156,32 @@ def raters(spark: SparkSession, sf_dir: str) -> DataFrame:
         b(k % 2 == 0).alias("Shock_Int_4"),
         b(F.col("o_custkey") % 2 == 0).alias("Mortality_Int_4"),
     )
+
+
+# The header of a lab extract file.
+EXTRACT_HEADER = ("Patientnummer", "UniekLabnummer", "Datum_tijd", "Testcode", "Resultaat", "Naam", "Geboortedatum")
+
+
+def lab_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(year, line): the lab stand-in as lines of yearly extract files, a few of them with a field too many (a second result),
+    a field too few (no birth date), no patient, or a name with a Latin-1 letter."""
+    d = lab(spark, sf_dir)
+    k = F.col("seq")
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    name = F.when(k % 5 == 0, "Müller").otherwise("Jansen")
+    patient = F.when(k % 41 == 0, "").otherwise(text(F.col("patient")))
+    fields = [patient, F.concat(F.lit("L"), k.cast("string")), F.date_format("ts", "dd-MM-yyyy HH:mm"), text(F.col("code")), text(F.col("result")), name]
+    line = F.concat_ws(";", *fields)
+    line = F.when(k % 97 == 0, line).when(k % 89 == 0, F.concat(line, F.lit(";01-01-1950;extra"))).otherwise(F.concat(line, F.lit(";01-01-1950")))
+    return d.select(F.year("ts").alias("year"), line.alias("line"))
+
+
+def write_lab_extracts(spark: SparkSession, sf_dir: str, out: str) -> list[str]:
+    """The lines of ``lab_extract_lines`` as Latin-1 text files with headers, a folder per year; the folders, by year."""
+    lines = lab_extract_lines(spark, sf_dir)
+    years = sorted(r[0] for r in lines.select("year").distinct().collect())  # a row per calendar year
+    for y in years:
+        rows = lines.where(F.col("year") == y).select(F.col("line").alias(";".join(EXTRACT_HEADER)))
+        # one column whose name is the header line; the separator of these files is a character that no line holds
+        rows.write.option("header", True).option("sep", "\u0001").option("quote", "").option("encoding", "ISO-8859-1").csv(f"{out}/year={y}")
+    return [f"{out}/year={y}" for y in years]

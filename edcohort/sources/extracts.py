@@ -27,13 +27,17 @@ def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str
             .csv(path).columns)
 
 
-def read_delimited(spark: SparkSession, path: str, *, sep: str, encoding: str,
-                   file_no: int = 0) -> DataFrame:
-    """One extract file, all columns as text.
+#: Why a line is not used (``scan_delimited``).
+TOO_MANY_FIELDS, TOO_FEW_FIELDS = "too many fields", "too few fields"
 
-    Lines with more fields than the header, empty ones included, are skipped (as the source's
-    ``error_bad_lines=False``); lines with fewer fields keep NULLs.  ``seq`` =
-    file number and position in one number keeps the file order for "first row" rules."""
+
+def scan_delimited(spark: SparkSession, path: str, *, sep: str, encoding: str, file_no: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of an extract, all columns as text.
+
+    Lines with more fields than the header, empty ones included, are not used (as the source's ``error_bad_lines=False``); lines
+    with fewer fields keep NULLs.  ``seq`` = file number and position in one number keeps the file order for "first row" rules.
+    The quarantine has (file, seq, line, n_fields, reason, used) of each line whose field count differs from the header's; ``used`` ones are
+    in the rows too.  Both are read in one kind of scan; nothing is written."""
     names = _header(spark, path, sep, encoding)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
     df = (spark.read.schema(schema).option("header", True).option("sep", sep)
@@ -42,8 +46,27 @@ def read_delimited(spark: SparkSession, path: str, *, sep: str, encoding: str,
           .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
     fields = F.size(F.split(F.regexp_replace("_line", '"[^"]*"', ""), re.escape(sep)))
     seq = F.lit(file_no).cast("bigint") * F.lit(1 << 53) + F.monotonically_increasing_id()
-    df = df.where(F.col("_line").isNull() | (fields <= len(names)))
-    return df.select(*[F.col(f"`{n}`") for n in names], seq.alias("seq"))
+    df = df.select(*[F.col(f"`{n}`") for n in names], "_line", seq.alias("seq"), F.col("_metadata.file_name").alias("_file"))
+    rows = df.where(F.col("_line").isNull() | (fields <= len(names))).drop("_line", "_file")
+    # Spark refuses a scan that needs the raw line only; the second test always holds and needs a field
+    odd = df.where(F.col("_line").isNotNull() & (F.length(F.concat_ws("", F.col(f"`{names[0]}`"), "_line")) >= 0)).select(
+        F.col("_file").alias("file"), "seq", F.col("_line").alias("line"), fields.alias("n_fields"),
+        F.when(fields > len(names), TOO_MANY_FIELDS).otherwise(TOO_FEW_FIELDS).alias("reason"), (fields <= len(names)).alias("used"))
+    return rows, odd
+
+
+def read_delimited(spark: SparkSession, path: str, *, sep: str, encoding: str, file_no: int = 0) -> DataFrame:
+    """The rows of ``scan_delimited``."""
+    return scan_delimited(spark, path, sep=sep, encoding=encoding, file_no=file_no)[0]
+
+
+def lab_quarantine(spark: SparkSession, paths: Sequence[str], *, sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
+    """The quarantine of all extracts of ``read_lab_extract``."""
+    out = None
+    for i, p in enumerate(paths):
+        q = scan_delimited(spark, p, sep=sep, encoding=encoding, file_no=i)[1]
+        out = q if out is None else out.unionByName(q)
+    return out
 
 
 def read_lab_extract(spark: SparkSession, paths: Sequence[str], *, sep: str = ";",

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edcohort.functions.clinical import estimate_text
+from edcohort.operators import boosting as bo
 from edcohort.operators import explain as ex
 from edcohort.operators import learn as le
 from edcohort.plans import build as bu
@@ -61,14 +62,6 @@ def test_prefix_of_a_long_fit_is_a_short_fit(data):
         assert np.allclose(got[n].sort_index(), want.sort_index())
 
 
-def test_grid_by_prefix(data):
-    g = {(r.max_depth, r.n_trees): r for r in le.grid_search(data, key="k", depths=[2, 3], trees=[2, 4]).collect()}
-    assert set(g) == {(2, 2), (2, 4), (3, 2), (3, 4)}
-    from edcohort.operators import metrics as me
-    s = le.out_of_fold(data, lambda n: le.gbt(maxDepth=3, maxIter=2), name="m", key="k")
-    assert g[3, 2].mean_auc == pytest.approx(me.auc(s).agg(F.avg("auc")).first()[0])
-
-
 def test_out_of_fold_without_fitting(data):
     model = le.logistic(400).fit(data)
     s = le.out_of_fold(data, None, name="m", key="k", models=[model])
@@ -79,16 +72,22 @@ def test_out_of_fold_without_fitting(data):
     assert n == [320] * 5   # the training rows, not all rows
 
 
-def test_early_stop():
-    assert le.best_round([5, 4, 3, 3.5, 3.2, 3.1, 3.3], patience=3) == (6, 3)
-    assert le.best_round([5, 4, 3], patience=10) == (3, 3)
-
-
-def test_early_stop_of_a_fit(spark, data):
-    d = data.withColumn("split", F.when(F.col("k") % 3 == 0, "test").otherwise("train"))
-    model, history, ran, best = le.early_stopping_gbt(d, max_iter=12, patience=3)
-    losses = [h[2] for h in history]
-    assert len(history) == ran and losses.index(min(losses)) + 1 == best and model.getNumTrees == 12
+def test_validation_cohort(spark, data):
+    """Thresholded AUCs after the best round and after all rounds, by hand from the model that stopped."""
+    df = data.drop("features", "label").withColumn("noise", F.rand(7))
+    main, validation = df.where("k % 4 > 0"), df.where("k % 4 = 0")
+    params = {"n_estimators": 40, "max_depth": 2}
+    model, cuts = ev.early_stopping(main, list("abcd"), params, key="k", patience=3)
+    assert len(model.history) == len(model.trees) <= 40 and model.settings.max_depth == 2
+    got = {(r.model, r.rule): r for r in ev.score_validation_cohort(main, validation, list("abcd"), params, key="k", patience=3).collect()}
+    assert {m for m, _ in got} == {"best_round", "all_rounds"} and len(got) == 6
+    rows = validation.orderBy("k").collect()
+    bins = bo.bin_matrix(np.array([[r.a, r.b, r.c, r.d] for r in rows]), cuts)
+    y = np.array([r.y_var for r in rows])
+    for name, n in (("best_round", model.best_round), ("all_rounds", len(model.trees))):
+        hit = bo.logistic(bo.margin_after(bins, model.trees[:n])) > .5
+        r = got[name, "p_gt_0.5"]
+        assert (r.tp, r.fp, r.tn, r.fn) == (int((hit & (y == 1)).sum()), int((hit & (y == 0)).sum()), int((~hit & (y == 0)).sum()), int((~hit & (y == 1)).sum()))
 
 
 def test_model_store(spark, data, tmp_path):

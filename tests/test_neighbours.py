@@ -39,3 +39,17 @@ def test_indicators_first(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 5.0), (3, None, 7.0)], "k int, a double, b double")
     rows = {r.k: r for r in ne.impute_complex(df, ["a", "b"], keys=["k"], k=2).collect()}
     assert (rows[1].abinary, rows[1].bbinary, rows[3].abinary) == (1, 0, 0) and rows[1].b is not None
+
+
+def test_nearest_of_a_block():
+    """With ties, equal points and far-off centres of mass, against plain sorting."""
+    rng = np.random.default_rng(2)
+    for shift in (0, 1e5):
+        x = shift + np.round(rng.normal(size=(300, 3)), 1)
+        v = np.concatenate([x[:20], shift + rng.normal(size=(20, 3))])
+        i, j, d = ne.nearest_of(v, x, 7)
+        for q in range(len(v)):
+            exact = np.round(np.sqrt(((x - v[q]) ** 2).sum(axis=1)), ne.PLACES)
+            want = np.argsort(exact, kind="stable")[:7]
+            assert j[i == q].tolist() == want.tolist() and d[i == q].tolist() == exact[want].tolist()
+    assert ne.nearest_of(v[:2], x[:3], 7)[1].tolist().__len__() == 6

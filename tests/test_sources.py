@@ -162,3 +162,15 @@ def test_step_audit(spark):
     assert [r.step for r in sorted(got.values(), key=lambda r: r.position)] == list(want)
     for name, df in want.items():
         assert (got[name].n_rows, got[name].n_columns) == (df.count(), len(df.columns)), name
+
+
+def test_quarantine(spark):
+    d = tempfile.mkdtemp(prefix="edcohort-test-")
+    p = os.path.join(d, "y1.txt")
+    _write(p, "A;B;C\n1;2;3\n4;5;6;\n7;é;9;10\n11;12\n13;;15\n14;\"x;y\";16\n", "latin-1")
+    rows, odd = ex.scan_delimited(spark, p, sep=";", encoding="ISO-8859-1")
+    assert [(r.A, r.B, r.C) for r in rows.orderBy("seq").collect()] == [("1", "2", "3"), ("11", "12", None), ("13", None, "15"), ("14", "x;y", "16")]
+    got = [(r.file, r.line, r.n_fields, r.reason, r.used) for r in odd.orderBy("seq").collect()]
+    assert got == [("y1.txt", "4;5;6;", 4, ex.TOO_MANY_FIELDS, False), ("y1.txt", "7;é;9;10", 4, ex.TOO_MANY_FIELDS, False),
+                   ("y1.txt", "11;12", 2, ex.TOO_FEW_FIELDS, True)]
+    assert ex.lab_quarantine(spark, [p, p]).groupBy("reason").count().count() == 2
