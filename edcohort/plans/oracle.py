@@ -859,3 +859,22 @@ cum AS (SELECT *, sum(tp) OVER (PARTITION BY model, fold ORDER BY p DESC ROWS UN
 a AS (SELECT model, fold, sum(CAST(fp AS DOUBLE) * (2 * ctp - tp)) / (2 * CAST(sum(tp) AS DOUBLE) * sum(fp)) AS auc FROM cum GROUP BY model, fold)
 SELECT model, round(stddev_pop(auc), 6) AS std_auc, count(*) AS n_folds, round(min(auc), 6) AS min_auc, round(max(auc), 6) AS max_auc FROM a GROUP BY model
 """
+
+
+# ------------------------------------------------------- stored tables, text
+ORACLE["visit_scan"] = with_ctes(["visits"], {}, f"""
+SELECT visit_id AS visit_no, nummer,
+  {ts_text("CASE WHEN visit_id % 11 = 0 THEN CAST(CAST(Datum_SEH AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR ELSE Datum_SEH END")} AS Datum_SEH,
+  CASE WHEN visit_id % 7 <> 0 THEN CAST(40 + visit_id % 90 AS DOUBLE) END AS Pols
+FROM visits WHERE nummer IS NOT NULL""")
+ORACLE["data_model_scan"] = with_ctes(["cases", "cohort"], {"c": f"""
+SELECT {_Y31} AS y, CASE WHEN (nummer, CAST(Datum_SEH AS DATE)) IN (SELECT (nummer, Datum_SEH) FROM cohort) THEN 'validation' ELSE 'main' END AS split
+FROM cases"""}, """
+SELECT CAST(m AS INTEGER) AS data_model, split, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos, CAST(k AS INTEGER) AS n_columns
+FROM c, (VALUES (1, 7), (3, 22)) v(m, k) GROUP BY m, k, split""")
+ORACLE["model_store"] = "SELECT CAST(ceil(0.3 * count(*)) AS BIGINT) AS n, CAST(ceil(0.3 * count(*)) AS BIGINT) AS n_equal FROM orders"
+ORACLE["estimate_text"] = with_ctes(["scored"], {
+    "c": "SELECT model, fold, p, sum(y) AS tp, sum(1 - y) AS fp FROM scored GROUP BY ALL",
+    "cum": "SELECT *, sum(tp) OVER (PARTITION BY model, fold ORDER BY p DESC ROWS UNBOUNDED PRECEDING) AS ctp FROM c",
+    "a": "SELECT model, fold, sum(CAST(fp AS DOUBLE) * (2 * ctp - tp)) / (2 * CAST(sum(tp) AS DOUBLE) * sum(fp)) AS auc FROM cum GROUP BY model, fold"}, """
+SELECT model, fold, printf('%.3f (%.3f-%.3f)', auc, min(auc) OVER (PARTITION BY model), max(auc) OVER (PARTITION BY model)) AS estimate FROM a""")

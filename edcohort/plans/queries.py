@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from ..operators import presentations as pr
 from ..operators.audit import StepAudit
 from ..session import checkpoint_dir, reliable_checkpoint
 from ..sources import extracts as ex_
+from ..sources.models import load_model, save_model
 from . import views as V
 from .build import build_processed_table
 
@@ -199,7 +200,7 @@ from ..functions import scores as sc  # noqa: E402
 from ..functions.parsing import leading_token_number  # noqa: E402
 from ..operators import metrics as me  # noqa: E402
 from . import evaluate as ev  # noqa: E402
-from .derive import data_model, export_splits  # noqa: E402
+from .derive import data_model, derive_and_export, export_splits  # noqa: E402
 
 AS_OF = "2002-01-01"
 CASE_LABS = ["TRC", "URESE"]
@@ -874,3 +875,47 @@ def q_compare_models_continuous(spark, sf):
     fold_auc, _, summary = me.cross_validated_roc(s)
     per = fold_auc.groupBy("model").agg(F.count(F.lit(1)).alias("n_folds"), F.min("auc").alias("min_auc"), F.max("auc").alias("max_auc"))
     return comparable(od.null_safe_join(summary.select("model", "std_auc"), per, ["model"]))
+
+
+@query("visit_scan")
+def q_visit_scan(spark, sf):
+    """The visits read back from a comma-separated table, with arrival times made of date and clock."""
+    path = V.write_visit_table(spark, sf, f"{checkpoint_dir(spark)}/visits-{uuid.uuid4()}")
+    v = ex_.read_visits(spark, path, numeric=["Pols"])
+    return comparable(v.select(F.col("visit_no").cast("bigint").alias("visit_no"), "nummer", "Datum_SEH", "Pols"))
+
+
+@query("data_model_scan")
+def q_data_model_scan(spark, sf):
+    """Rows, positives and columns of two data models, read back from a committed version of each split."""
+    root = f"{checkpoint_dir(spark)}/models-{uuid.uuid4()}"
+    derive_and_export(V.cases(spark, sf), V.cohort(spark, sf), root, models=(1, 3), out=3, as_of=AS_OF, lab_columns=CASE_LABS, features=CASE_FEATURES)
+    out = None
+    for m in (1, 3):
+        for split in ("main", "validation"):
+            d = ds.read_data_model(spark, root, model=m, out=3, split=split)
+            row = d.agg(F.count(F.lit(1)).alias("n"), F.sum("y_var").cast("bigint").alias("n_pos")).select(
+                F.lit(m).alias("data_model"), F.lit(split).alias("split"), "n", "n_pos", F.lit(len(d.columns)).alias("n_columns"))
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("model_store")
+def q_model_store(spark, sf):
+    """Cases of the test part, and those that a stored and loaded model scores as the fitted one."""
+    d = _holdout_data(spark, sf).persist()
+    train, test = d.where("split = 'train'"), d.where("split = 'test'")
+    model = le.logistic(train.count()).fit(train)
+    path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4()}"
+    save_model(model, path)
+    a, b = (le.positive_probability(m.transform(test)).select("case_id", F.col("p").alias(n)) for m, n in ((model, "p"), (load_model(path, "logistic"), "q")))
+    j = a.join(b, "case_id")
+    return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p") == F.col("q")).alias("n_equal"))
+
+
+@query("estimate_text")
+def q_estimate_text(spark, sf):
+    """the AUC of each model and fold with its model's range, as text."""
+    a = me.auc(V.scored(spark, sf))
+    w = Window.partitionBy("model")
+    return a.select("model", "fold", cl.estimate_text("auc", F.min("auc").over(w), F.max("auc").over(w)).alias("estimate"))
