@@ -141,14 +141,14 @@ def references(found: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_words: int = 50,
-            max_repeat_percent: int = 50, char_limit: float = 0.12, word_limit: float = 0.20,
+            max_repeat_percent: int = 50, char_limit: float = 0.15, word_limit: float = 0.22, char_slack: float = 0.3, word_slack: float = 0.6,
             hard_char_limit: float = 0.30, hard_word_limit: float = 0.40, slack: float = 0.8,
             min_chars_to_judge: int = 200, min_words_to_judge: int = 50) -> DataFrame:
     """(doc_id, th, counts, char_distance, word_distance, base_failed, kept) for each row of ``docs``.
 
-    A document is rejected if both distances are over their limits, or one is over its hard limit;
-    limits on short texts are wider by ``slack`` / sqrt(n_words), and texts under the minimum
-    lengths have distance 0.  base_failed: fewer than ``min_words`` words, or more than ``max_repeat_percent`` % of them in
+    A document is rejected if both distances are over their limits, or one is over its hard limit.  Limits on short texts are wider by a
+    slack / sqrt(n_words), for what chance alone adds to a distance: less for the two limits that must be passed
+    together (``char_slack``, ``word_slack``) than for the hard ones.  Texts under the minimum lengths have distance 0.  base_failed: fewer than ``min_words`` words, or more than ``max_repeat_percent`` % of them in
     repeated three-word windows.  A null text has no words.  Without a reference (null or unseen
     language) distances are 0 and only the base rules judge.  Repeated rows give repeated results."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(lang_col).alias("lang"),
@@ -165,8 +165,9 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 "word_distance": F.when(F.col("n_words") >= min_words_to_judge, js_distance(common, F.col("ref_common")))}
         return found.join(refs, "lang", "left").withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in both.items()})
 
-    margin = F.try_divide(F.lit(slack), F.sqrt("n_words"))  # what chance alone adds to a distance
-    far = F.coalesce(((F.col("char_distance") > char_limit + margin) & (F.col("word_distance") > word_limit))
+    chance = F.try_divide(F.lit(1.0), F.sqrt("n_words"))
+    margin = slack * chance
+    far = F.coalesce(((F.col("char_distance") > char_limit + char_slack * chance) & (F.col("word_distance") > word_limit + word_slack * chance))
                      | (F.col("char_distance") > hard_char_limit + margin)
                      | (F.col("word_distance") > hard_word_limit + margin), F.lit(False))
     refs = references(found)
