@@ -5,15 +5,13 @@ Only DataFrame functions.  Words are runs of characters outside U+0000-002F, 003
 if it has fewer).  Document windows are generated per position, met with the broadcast
 table by a 64-bit hash, and verified word by word in the same join.
 
-The n-gram table is broadcast while it has at most ``BLOCK_WINDOWS`` windows; a larger one
-is taken in blocks of that size, each met with all document windows, so no case is dropped
-and nothing unbounded is broadcast.  Document texts are never shuffled.
+The n-gram table is broadcast while it has at most ``BLOCK_WINDOWS`` windows, and texts are not
+shuffled then; a larger one is joined with the document windows by hash, and the documents that meet a
+window are verified, so no case is dropped and nothing unbounded is broadcast.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ WORD_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Windows in one broadcast block; a window of 13 words takes about 250 bytes.
+#: Windows in the broadcast table; a window of 13 words takes about 250 bytes.
 BLOCK_WINDOWS = 200_000
 
 
@@ -63,6 +61,22 @@ def _meet(docs: DataFrame, block: DataFrame, length: int) -> DataFrame:
     return met.select("doc_id", "th", "p", F.lit(length).alias("len"), "items")
 
 
+def _meet_by_hash(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
+    """As ``_meet`` for any number of windows: positions and windows are joined by hash, without the texts; what meets is
+    then verified word by word, one row per document and text."""
+    d = docs.select("doc_id", "th", words(F.col("text")).alias("w"))
+    at = F.when(F.size("w") >= length, F.sequence(F.lit(0), F.size("w") - length))
+    d = d.select("doc_id", "th", "w", F.explode_outer(at).alias("p")).where("p is not null")
+    d = d.select("doc_id", "th", "p", _hash("w", F.col("p"), length).alias("h")).distinct()
+    windows = windows.select(_hash("win", F.lit(0), length).alias("bh"), "win", "items")
+    met = freeze(d.join(windows, F.col("h") == F.col("bh")).select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), "p", "win", "items"))
+    some = met.select(F.col("m_id").alias("s_id"), F.col("m_th").alias("s_th")).distinct()
+    whole = docs.join(some, docs["doc_id"].eqNullSafe(some["s_id"]) & (docs["th"] == some["s_th"]), "left_semi").dropDuplicates(["doc_id", "th"])
+    whole = whole.select("doc_id", "th", words(F.col("text")).alias("w"))
+    j = met.join(whole, met["m_id"].eqNullSafe(whole["doc_id"]) & (met["m_th"] == whole["th"]))
+    return j.where(F.slice("w", F.col("p") + 1, length) == F.col("win")).select("doc_id", "th", "p", F.lit(length).alias("len"), "items")
+
+
 def find_hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
               item_col: str = "item_id", item_text_col: str = "text", n: int = 13) -> DataFrame:
     """(doc_id, th, spans, hit_words, item_ids) of the documents with a hit: the (start, length) of
@@ -73,11 +87,8 @@ def find_hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text
     met = None
     for length, many in sorted(sizes.items()):
         own = windows.where(F.col("len") == length)
-        blocks = math.ceil(many / BLOCK_WINDOWS)
-        for b in range(blocks):
-            block = own if blocks == 1 else own.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b)
-            found = _meet(keys, block, length)
-            met = found if met is None else met.union(found)
+        found = _meet(keys, own, length) if many <= BLOCK_WINDOWS else _meet_by_hash(keys, own, length)
+        met = found if met is None else met.union(found)
     if met is None:
         met = keys.where("false").select("doc_id", "th", F.lit(0).alias("p"), F.lit(0).alias("len"),
                                          F.array().cast("array<string>").alias("items"))

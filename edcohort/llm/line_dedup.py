@@ -22,8 +22,10 @@ from .common import bounded, freeze
 #: that is counted exactly (over six standard errors, and two sites at least).
 LG_K = 12
 BAND = 0.10
-#: Documents with lines to remove, and boilerplate lines, up to which they are broadcast.
+#: Boilerplate lines up to which they are broadcast.
 SMALL = 200_000
+#: Bytes of the line numbers to remove up to which they are broadcast, and of a row without its numbers.
+BROADCAST_BYTES, ROW_BYTES = 16_000_000, 48
 BLANK = " \t\r\x0b\x0c"
 
 
@@ -74,7 +76,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lines.  Rows without a site never make a line spread, but lose lines that spread elsewhere."""
     gone = freeze(lines_to_remove(docs, id_col=id_col, text_col=text_col, **kw)
                   .select(F.col("doc_id").alias("_k_id"), F.col("th").alias("_k_th"), F.col("removed").alias("_gone")))
-    gone = bounded(gone, SMALL)
+    n, numbers = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()
+    if ROW_BYTES * n + 4 * numbers <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")  # whatever their names
     parts = docs.select(others, F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.split(F.col(text_col), "\n").alias("lines"))
     j = parts.join(gone, parts["doc_id"].eqNullSafe(gone["_k_id"]) & (parts["th"] == gone["_k_th"]), "left")

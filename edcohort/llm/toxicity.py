@@ -202,7 +202,8 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     """(doc_id, th, held_out, score, predicted) for each row of ``docs``.
 
     Null and empty texts have all features 0 and are scored like any other.  Rows without a label, or
-    with a null one, are scored only.  Without labels of both kinds in training, the score is the share
+    with a null one, are scored only; of several labels of one id the greatest counts, and of several texts one is
+    learned from.  Without labels of both kinds in training, the score is the share
     of label 1 there (0 without labels).  Repeated rows give repeated results."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("toxic"))
@@ -211,8 +212,9 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     known = freeze(known.withColumn("order", F.xxhash64("l_id")).orderBy("order", "l_id").limit(train_rows))
     known = known.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "l_id"), F.lit(PARTS)).cast("int"))
     near = F.broadcast(known)  # train_rows at most
-    sample = d.join(near, d["doc_id"].eqNullSafe(near["l_id"])).select("text", "toxic", "part")
-    sample = freeze(sample)
+    # one row of each labelled id, that with the least text hash, so that the sample is bounded however often an id occurs
+    sample = d.join(near, d["doc_id"].eqNullSafe(near["l_id"])).groupBy("l_id").agg(F.min_by(F.struct("text", "toxic", "part"), "th").alias("one"))
+    sample = freeze(sample.select("one.*"))
     lexicons = learn_lexicons(sample)
     fitted = freeze(features(sample, lexicons, ["toxic", "part"], "part"))
     found = freeze(features(d, lexicons, ["doc_id", "th"]))

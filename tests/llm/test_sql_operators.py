@@ -67,12 +67,30 @@ def test_lines_of_awkward_rows(spark, monkeypatch):
     want = [(d, t.replace("menu home about\n", "") if d == 20 else t, len(t.replace("menu home about\n", "")) if d == 20 else n) for d, t, n in want]
     for small in (L.SMALL, 0):
         monkeypatch.setattr(L, "SMALL", small)
+        monkeypatch.setattr(L, "BROADCAST_BYTES", small)
         got = L.dedup_lines(df)
         assert got.columns == df.columns
         assert sorted([(r.doc_id, r.text, r.n_chars) for r in got.collect()], key=repr) == sorted(want, key=repr)
     assert L.dedup_lines(empty(spark)).collect() == []
 
 
+def test_many_line_numbers_are_not_broadcast(spark):
+    """Few documents with very many lines to remove go past the broadcast by their size in bytes."""
+    boiler = "\n".join(f"line {k}" for k in range(3000))
+    rows = [(i, boiler + f"\nown {i}", f"site{i}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString()
+    wide = L.dedup_lines(df, chars_col=None)
+    assert "strategy=broadcast" in plan(wide)
+    old, L.BROADCAST_BYTES = L.BROADCAST_BYTES, 4 * 3000 * 5 - 1
+    try:
+        narrow = L.dedup_lines(df, chars_col=None)
+        assert "strategy=broadcast" not in plan(narrow)
+        assert sorted(r.text for r in narrow.collect()) == sorted([boiler + "\nown 0", *[f"own {i}" for i in range(1, 6)]])
+    finally:
+        L.BROADCAST_BYTES = old
+
+
 # -------------------------------------------------------------- decontamination
 def tokens(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))

@@ -1,5 +1,7 @@
 """Operator 3: held-out accuracy, features against plain counts, awkward rows."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -54,3 +56,14 @@ def test_awkward_rows(spark, labels):
     if not labels:
         assert {r.score for r in out} == {0.0}
     assert X.score(empty(spark), lab, trees=2).collect() == []
+
+
+def test_an_id_in_a_third_of_the_rows(spark, monkeypatch):
+    """The sample has one row of each labelled id, however often it occurs."""
+    rows = [(i, f"you stupid fool {i}" if i % 2 else f"a calm and friendly note {i}") for i in range(1, 200)] + [(1, f"text number {k}") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 200)], "doc_id long, toxic int")
+    seen, real = [], X.learn_lexicons
+    monkeypatch.setattr(X, "learn_lexicons", lambda sample: seen.append(sample.count()) or real(sample))
+    out = X.score(docs, labels, trees=5).collect()
+    assert len(out) == len(rows) and seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 200))]
