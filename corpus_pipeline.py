@@ -1,5 +1,8 @@
 """The corpus pipeline: five stages in order, each over all that its predecessor kept.
 
+Every stage takes any columns beside those it works on and returns them as they are, whatever their names; an empty
+table gives an empty one.  What a stage does with null, empty and repeated rows is said with it.
+
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``documents``.  ``run`` writes nothing itself: a caller that wants restart points
 writes each stage's result and reads it again as the next one's ``docs``.
@@ -16,27 +19,42 @@ from edcohort.llm.quality import keep_good
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that fail the base rules or diverge from their language's references go."""
+    """Documents that fail the base rules or diverge from their language's references go.
+
+    A null or empty text has no words and fails.  A null or unseen language has no reference: only the base rules judge.
+    Repeated rows stay or go together; rows of one id with different texts are judged each on its own."""
     return keep_good(docs)
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Lines on five sites or more stay in one document only; no document is dropped."""
+    """Lines on five sites or more stay in one document only; no document is dropped.
+
+    Null texts stay null; a text may become empty.  A null source is no site, but its lines can go.  Repeated rows are one
+    document and lose the same lines; of ties for the first place the smallest (id, text hash, line) wins."""
     return dedup_lines(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: the one with the smallest (id, text hash), a null id last.
+
+    Texts without words, null ones too, are near to nothing and stay, repeated ones as well as others; of repeated rows with
+    words one stays."""
     return keep_one_per_component(docs)
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents with at least 5 % of their words in benchmark windows go."""
+    """Documents with at least 5 % of their words in benchmark windows go.
+
+    Null and empty texts have no hits and stay; items without words, or with a null text, have no windows; repeated rows
+    stay or go together."""
     return remove_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark, docs, sf_dir):
-    """Bins of 2048 words without two documents of one source or cluster."""
+    """Bins of 2048 words without two documents of one source or cluster.
+
+    A text without words, null or empty, has one row with no tokens and bin -1.  Null sources conflict with nothing; repeated rows are
+    packed each on its own, in different bins.  The columns are those of ``pack``."""
     return pack(docs)
 
 
