@@ -105,12 +105,6 @@ def abbmeds_risk(score) -> Column:
     return F.when(s < b1, r1).when(s < b2, r2).otherwise(ABBMEDS_TOP_RISK)
 
 
-def binarise(p, threshold: float = 0.5, shift: float = 0.0) -> Column:
-    """1 when ``p + shift > threshold``."""
-    expr = _c(p) + F.lit(shift) if shift else _c(p)
-    return (expr > F.lit(threshold)).cast("int")
-
-
 def estimate_text(est, low, high, digits: int = 3) -> Column:
     """'estimate (low-high)' text."""
     f = f"%.{digits}f"

@@ -65,10 +65,3 @@ def leading_token_number(col, strip: str = "L") -> Column:
     """first blank-separated token, unit letter removed, to double (bad -> NULL)."""
     token = F.replace(F.split(_c(col), " ").getItem(0), F.lit(strip), F.lit(""))
     return safe_double(token)
-
-
-def minutes_since_epoch(col) -> Column:
-    """Whole minutes since 1970-01-01 for a zone-free timestamp (floors like
-    ``timedelta64[m]``)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MINUTE", epoch, _c(col).cast("timestamp_ntz"))

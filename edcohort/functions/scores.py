@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .clinical import RISK_MAPS, mean_arterial_pressure, score_to_risk
 
-# Default column names of the visit registry.
+# Default column names of the visit registry.
 COLS = {
     "age": "Geboortedatum",          # already converted to whole years
     "dementia": "Comorb_dementie_Psychiatrisch",

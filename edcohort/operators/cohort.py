@@ -110,12 +110,3 @@ def label_cohorts(df: DataFrame, cohort: DataFrame, *, keys: Sequence[str] = ("n
     out = keyed.join(c, on=[keyed[k].eqNullSafe(c[f"_c_{k}"]) for k in keys], how="left")
     label = F.when(F.col("_in"), "validation").otherwise("main")
     return out.withColumn(cohort_col, label).drop("_in", *[f"_c_{k}" for k in keys])
-
-
-def union_cohorts(frames: dict[str, DataFrame], *, cohort_col: str = "cohort") -> DataFrame:
-    """T4/T5: union by name with a cohort label (missing columns become NULL)."""
-    out = None
-    for name, f in frames.items():
-        f = f.withColumn(cohort_col, F.lit(name))
-        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
-    return out

@@ -8,11 +8,21 @@ views it needs followed by its own SQL.  Timestamps are compared as
 
 from __future__ import annotations
 
-from ..functions.parsing import FIRST_NUMBER_PATTERN, NUMERIC_PATTERN
-from ..functions.results import (CATEGORICAL_CODES, DENY_CODES, MAPPED_NEGATIVE_TEXTS,
-                                 PLUS_COUNT_CODES, PRESENCE_CODES)
 from .views import LAB_CODES
 
+# Fixed values of the source, written here once more so that a wrong entry in the library shows:
+# codes that are dropped, codes with texts, texts that mean negative, codes whose presence is 1, codes that count
+# plus signs, and the patterns of a number and of the first number in a text.
+DENY_CODES = ("ARCHSE", "ARCHFL", "ARCHDA", "ARCHUR", "ARCHZE", "ATLAS", "TRE", "STOL", "CARDIOPL", "CARDIOSE", "ALLSTR", "ARCHDA2",
+              "ARCHEP", "ARCHZE2", "ASFAC", "ASTEKST", "BSPTX", "CYTO", "EXTRA1", "MATPOC", "WOPM")
+CATEGORICAL_CODES = ("ASTYP", "ALLIND", "ASNMA", "BG", "BRC", "BGRH", "RH", "DIF", "IRA", "KETUP", "GRTUP", "SLEUUP", "UGLUP",
+                     "SERYUP", "NITUP", "PROUP", "BACUP", "MREB", "Afdeling", "Geslacht", "ISE", "LSE", "HSE", "LASP", "RHFK")
+MAPPED_NEGATIVE_TEXTS = ("Oke", "Niet afwijkend", "Negatief")
+PRESENCE_CODES = ("DAT", "SEDUP", "DYSEUP", "KP01", "KP02", "LASLI", "POIK")
+PLUS_COUNT_CODES = ("ATYL", "FRAG", "TOXK")
+NUMERIC_PATTERN = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
+FIRST_NUMBER_PATTERN = r"[-+]?\d*\.\d+|\d+"
+
 
 def _list(xs) -> str:
     return ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
