@@ -81,7 +81,8 @@ class Side:
         """Products of the vectors i with the other side's vectors j."""
         if not exact:  # too large for doubles: integers of any size, kept within LIMIT
             left, right = ([[int(v) for v in x] for x in y.vectors.tolist()] for y in (self, other))
-            return np.array([max(-LIMIT, min(LIMIT, sum(map(int.__mul__, left[p], right[q])))) for p, q in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+            return np.array([max(-LIMIT, min(LIMIT, sum(map(int.__mul__, left[p], right[q]))))
+                             for p, q in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
         if dense:
             return (self.vectors @ other.vectors.T)[i, j].astype(np.int64)
         return np.einsum("ij,ij->i", self.vectors[i], other.vectors[j]).astype(np.int64)
@@ -202,7 +203,8 @@ def mine(vectors: DataFrame, anchor: Column, *, id_col: str = "vec_id", vector_c
     hot = F.col("n") > row_block
     labels = freeze(labels.where("m > 0").select(
         "l", F.when(~hot, F.pmod(F.xxhash64("l"), F.lit(buckets))).cast("int").alias("bucket"), F.when(hot, F.col("l")).alias("own"),
-        F.when(hot, blocks(F.col("n"), row_block)).otherwise(1).alias("rbs"), F.when(hot, blocks(F.col("m"), anchor_block)).otherwise(1).alias("abs")))
+        F.when(hot, blocks(F.col("n"), row_block)).otherwise(1).alias("rbs"),
+        F.when(hot, blocks(F.col("m"), anchor_block)).otherwise(1).alias("abs")))
     key = ["bucket", "own", "ab", "rb"]
     d = v.join(bounded(labels), F.col("label") == F.col("l"))
     ranks = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
@@ -238,13 +240,18 @@ def mine(vectors: DataFrame, anchor: Column, *, id_col: str = "vec_id", vector_c
         got = search(mine, theirs, *windows_of([[p["score"] for p in x] for x in given], low, high, n_positives), n_negatives, False)
         own = [given[i][w] for i, w in got[:, :2].tolist()]
         return pa.table({
-            "a": pa.array(mine.rid[got[:, 0]], pa.int64()), "w": pa.array(got[:, 1], pa.int32()), "anchor_id": anchors["id"].take(pa.array(got[:, 0])),
-            "positive_id": pa.array([p["id"] for p in own], anchors["id"].type), "positive_score": pa.array([p["score"] for p in own], pa.int64()),
+            "a": pa.array(mine.rid[got[:, 0]], pa.int64()), "w": pa.array(got[:, 1], pa.int32()),
+            "anchor_id": anchors["id"].take(pa.array(got[:, 0])),
+            "positive_id": pa.array([p["id"] for p in own], anchors["id"].type),
+            "positive_score": pa.array([p["score"] for p in own], pa.int64()),
             "negative_id": table["id"].take(pa.array(got[:, 2])), "rid": pa.array(theirs.rid[got[:, 2]], pa.int64()),
             "negative_score": pa.array(got[:, 3], pa.int64())})
 
-    found = some.select("ab", "rb", *used, "positives").groupBy("ab", "rb").cogroup(as_new(rows, "ab", "rb", *used).groupBy("ab", "rb")).applyInArrow(
-        negatives, f"a long, w int, anchor_id {id_kind}, positive_id {id_kind}, positive_score long, negative_id {id_kind}, rid long, negative_score long")
-    place = F.row_number().over(Window.partitionBy("a", "w").orderBy(F.col("negative_score").desc(), F.col("negative_id").asc_nulls_last(), "rid"))
+    schema = (f"a long, w int, anchor_id {id_kind}, positive_id {id_kind}, positive_score long, negative_id {id_kind}, rid long, "
+              "negative_score long")
+    some = some.select("ab", "rb", *used, "positives").groupBy("ab", "rb")
+    found = some.cogroup(as_new(rows, "ab", "rb", *used).groupBy("ab", "rb")).applyInArrow(negatives, schema)
+    place = F.row_number().over(Window.partitionBy("a", "w").orderBy(F.col("negative_score").desc(),
+                                                                     F.col("negative_id").asc_nulls_last(), "rid"))
     found = found.withColumn("rank", place).where(F.col("rank") <= n_negatives)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

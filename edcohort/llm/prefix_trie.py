@@ -140,13 +140,413 @@ def swept(containers: DataFrame) -> DataFrame:
             sweep.out, sweep.tops = [], []
             conv, depth, members, children, leaves, saved, ends, parent = cols
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.string() if c is ends else pa.int64()) for c in (conv, depth, parent, members, children, leaves, saved, ends)]
+                [pa.array(list(c), pa.string() if c is ends else pa.int64())
+                 for c in (conv, depth, parent, members, children, leaves, saved, ends)]
                 + [pa.array([u[i] for u in up], pa.int64()) for i in (0, 1)],
-                names=["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "u1", "u2"])
+                names=["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "u1",
+                       "u2"])
 
         for b in T.tidied(batches):
             r = b.to_pydict()
-            for conv, depth, h1, h2, u1, u2, parent, suffix in zip(*[r[c] for c in ("conv", "depth", "h1", "h2", "u1", "u2", "parent", "suffix")], strict=True):
+            for conv, depth, h1, h2, u1, u2, parent, suffix in zip(*[r[c]
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+
+                                                                     for c in ("conv", "depth", "h1", "h2", "u1", "u2", "parent", "suffix")], strict=True):
                 sweep.add((depth, h1, h2), depth, parent, (u1, u2), conv, [(x["t1"], x["t2"]) for x in suffix], [x["bytes"] for x in suffix])
                 if len(sweep.out) > 20_000:
                     yield rows()

@@ -209,7 +209,8 @@ def pack_windows(docs: DataFrame, *, tokenizer_path: str, end: int = 0, window:
     A null text is empty and has the end id only.  Repeated rows are packed each on its own and told apart by ``row``; null
     ids stay null.  Other columns are not read.  An empty table gives no rows."""
     kind = docs.schema[id_col].dataType.simpleString()
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.spark_partition_id().alias("part"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                    F.spark_partition_id().alias("part"))
 
     def run(batches):
         encoder, part, first, sequences = encoder_for(tokenizer_path, end), 0, 0, 0
@@ -230,7 +231,8 @@ def pack_windows(docs: DataFrame, *, tokenizer_path: str, end: int = 0, window:
                 yield pa.RecordBatch.from_arrays(
                     [who.take(pa.array(p[:, 0])), pa.array((part << 40) + first + p[:, 0]), pa.array(p[:, 1]), pa.array(p[:, 2]),
                      pa.array(lengths[p[:, 0]]), pa.array((part << 40) + sequences + p[:, 3]), pa.array(p[:, 4]),
-                     pa.Array.from_buffers(pa.large_binary(), len(p), [None, pa.py_buffer((cut - cut[0]).astype(np.int64)), data]).cast(pa.binary())],
+                     pa.Array.from_buffers(pa.large_binary(), len(p),
+                                           [None, pa.py_buffer((cut - cut[0]).astype(np.int64)), data]).cast(pa.binary())],
                     names=["doc_id", "row", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
             first, sequences = first + len(lengths), sequences + int(pieces[:, 3].max()) + 1
             names, sizes, tokens = [], [], []
