@@ -109,7 +109,8 @@ def _moments(df: DataFrame, columns: Sequence[str], means: np.ndarray) -> DataFr
     schema, width = "pattern binary, moments binary", len(columns) + 1
 
     def table(sums):
-        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["pattern", "moments"])
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()),
+                                           pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["pattern", "moments"])
 
     def of_rows(batches):
         for b in batches:
@@ -119,7 +120,8 @@ def _moments(df: DataFrame, columns: Sequence[str], means: np.ndarray) -> DataFr
             kinds, which = np.unique(missing, axis=0, return_inverse=True)
             order = np.argsort(which.ravel(), kind="stable")
             ends = np.searchsorted(which.ravel()[order], np.arange(len(kinds) + 1))
-            yield table({np.packbits(k).tobytes(): x[order[a:z]].T @ x[order[a:z]] for k, a, z in zip(kinds, ends[:-1], ends[1:], strict=True)})
+            yield table({np.packbits(k).tobytes(): x[order[a:z]].T @ x[order[a:z]]
+                         for k, a, z in zip(kinds, ends[:-1], ends[1:], strict=True)})
 
     def added(batches):  # sorted by pattern
         last, total = None, None
@@ -165,7 +167,8 @@ def _over_table(patterns: DataFrame, n_columns: int, steps, column: int) -> tupl
     return sum(np.frombuffer(r.gram).reshape(n_columns + 1, -1) for r in got), sum(r.moved for r in got)
 
 
-def fit_chain(df: DataFrame, columns: Sequence[str], *, max_rounds: int = 10, tol: float = 1e-3, driver_numbers: int = DRIVER_NUMBERS) -> Chain:
+def fit_chain(df: DataFrame, columns: Sequence[str], *, max_rounds: int = 10, tol: float = 1e-3,
+              driver_numbers: int = DRIVER_NUMBERS) -> Chain:
     """The chain of regressions of ``columns``; those without any value take no part."""
     cells = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns]
     stats = df.agg(F.count("*"), *[f(x) for x in cells for f in (F.count, F.avg, F.stddev_pop)]).first()
@@ -213,7 +216,8 @@ def apply_chain(df: DataFrame, chain: Chain) -> DataFrame:
     def run(batches):
         maps: dict[bytes, np.ndarray] = {}
         for b in batches:
-            x = np.column_stack([np.asarray(b.column(i).to_numpy(zero_copy_only=False), float) for i in place]) - means if d else np.zeros((b.num_rows, 0))
+            x = np.column_stack([np.asarray(b.column(i).to_numpy(zero_copy_only=False), float)
+                                 for i in place]) - means if d else np.zeros((b.num_rows, 0))
             missing = np.isnan(x)
             filled = np.column_stack([np.ones(len(x)), np.where(missing, 0, x)])
             kinds_, which = np.unique(missing, axis=0, return_inverse=True)
@@ -229,7 +233,8 @@ def apply_chain(df: DataFrame, chain: Chain) -> DataFrame:
                 x[rows] = np.where(kind, (filled[rows] @ maps[name].T)[:, 1:], x[rows])
             columns = list(b.columns)
             for j, i in enumerate(place):
-                columns[i] = pa.array(np.where(missing[:, j], x[:, j] + means[j], np.asarray(columns[i].to_numpy(zero_copy_only=False), float)))
+                columns[i] = pa.array(np.where(missing[:, j], x[:, j] + means[j],
+                                               np.asarray(columns[i].to_numpy(zero_copy_only=False), float)))
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
     return df.mapInArrow(run, kinds) if d else df

@@ -43,7 +43,8 @@ def _points(df: DataFrame, columns: Sequence[str], keep: int) -> tuple[DataFrame
     z = []
     for i, c in enumerate(columns):
         m, s = stats[f"m{i}"], stats[f"s{i}"]
-        z.append(F.lit(0.0) if m is None else (F.coalesce(F.col(c).cast("double"), F.lit(float(m))) - F.lit(float(m))) / F.lit(float(s or 1.0)))
+        z.append(F.lit(0.0) if m is None else (F.coalesce(F.col(c).cast("double"),
+                                                          F.lit(float(m))) - F.lit(float(m))) / F.lit(float(s or 1.0)))
     rows = reliable_checkpoint(df.select("rid", F.array(*z).alias("v"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))
     first = Window.partitionBy("v").orderBy("rid")   # a group limit runs before the shuffle
     members = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= keep).drop("_n")
@@ -125,7 +126,8 @@ def nearest_rows(df: DataFrame, columns: Sequence[str], k: int) -> tuple[DataFra
 
     def widen(batches):
         for b in batches:
-            v, own, top = np.stack(b["v"].to_numpy()) if len(b) else np.zeros((0, len(columns))), b["cell"].to_numpy(), b["limit"].to_numpy(float)
+            v = np.stack(b["v"].to_numpy()) if len(b) else np.zeros((0, len(columns)))
+            own, top = b["cell"].to_numpy(), b["limit"].to_numpy(float)
             d = np.sqrt(((v[:, None, :] - centres[None]) ** 2).sum(axis=2))
             fits = np.isnan(top)[:, None] | (d - reach[None] <= top[:, None] + 10.0 ** -PLACES)
             i, c = np.nonzero(fits & (reach[None] >= 0) & (np.arange(len(centres))[None] != own[:, None]))

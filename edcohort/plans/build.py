@@ -23,7 +23,8 @@ def build_processed_table(lab: DataFrame, visits: DataFrame, *, fraction: float
     ``impute``, ``fill_zero`` and ``pilot`` are the entry's options (see ``build_presentations``); an ``audit``
     records the rows and columns of each step (A12).  The wide table is kept once (checkpoint): the match reads its
     keys, then its rows."""
-    wide = reliable_checkpoint(build_presentations(lab, fraction=fraction, snap_minutes=snap_minutes, gap_minutes=gap_minutes, min_present=min_present,
+    wide = reliable_checkpoint(build_presentations(lab, fraction=fraction, snap_minutes=snap_minutes, gap_minutes=gap_minutes,
+                                                   min_present=min_present,
                                                    impute=impute, fill_zero=fill_zero, pilot=pilot, audit=audit))
     if audit is not None:
         audit.step("presentations", wide.count(), wide)

@@ -66,19 +66,22 @@ def compare(entries: dict[str, dict]) -> tuple[DataFrame, DataFrame]:
     return tables[0], tables[1]
 
 
-def early_stopping(main: DataFrame, features: Sequence[str], params: dict, *, key: str = "case_id", label: str = "y_var", patience: int = 10):
+def early_stopping(main: DataFrame, features: Sequence[str], params: dict, *, key: str = "case_id", label: str = "y_var",
+                   patience: int = 10):
     """M3 + M5: (model, cut points) of boosting on a 70/30 split of ``main`` that stops after ``patience`` rounds without a lower
     log-loss on the test part; the model's ``history`` has log-loss and error of both parts."""
     d = holdout_split(main, key=key)
     d = reliable_checkpoint(d.select(key, label, *features, (F.col("split") == "test").cast("int").alias("fold")))
     cuts = bo.cut_points(d, features)
     blocks = reliable_checkpoint(bo.blocks_of(d, features, cuts, key=key, label=label))
-    model, = bo.boost(blocks, cuts, [bo.profile("depthwise", name="stopped", leave_out=1, patience=patience, rounds=params.get("n_estimators", 100),
+    model, = bo.boost(blocks, cuts, [bo.profile("depthwise", name="stopped", leave_out=1, patience=patience,
+                                                rounds=params.get("n_estimators", 100),
                                                 max_depth=params.get("max_depth", 3))])
     return model, cuts
 
 
-def score_validation_cohort(main: DataFrame, validation: DataFrame, features: Sequence[str], params: dict, *, key: str = "case_id", label: str = "y_var",
+def score_validation_cohort(main: DataFrame, validation: DataFrame, features: Sequence[str], params: dict, *, key: str = "case_id",
+                            label: str = "y_var",
                             patience: int = 10) -> DataFrame:
     """M3 + M5 + E13 with the parameters of S10: boosting stopped on the test part of the main cohort; thresholded AUCs on
     the validation cohort after the best round and after all rounds that ran."""

@@ -185,7 +185,8 @@ def q_parse_coerce(spark, sf):
 @query("arrival_fill")
 def q_arrival_fill(spark, sf):
     t = _texts(spark, sf)
-    return comparable(t.select("case_id", date_and_time("day", "clock").alias("arrival"), F.coalesce(F.hour(clock_time("clock")), F.lit(-1)).alias("hour")))
+    return comparable(t.select("case_id", date_and_time("day", "clock").alias("arrival"),
+                               F.coalesce(F.hour(clock_time("clock")), F.lit(-1)).alias("hour")))
 
 
 @query("null_key_drop")
@@ -819,7 +820,8 @@ def q_impute_mice_cells(spark, sf):
     raw = _wide_raw(spark, sf)
     raw = reliable_checkpoint(raw.withColumns({f"was_{c}": F.col(c).isNotNull() for c in NUMERIC_LAB_COLS}))
     w = im.impute(raw, NUMERIC_LAB_COLS, "MICE")
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x"), F.col(f"was_{c}").alias("was")) for c in NUMERIC_LAB_COLS]))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x"), F.col(f"was_{c}").alias("was"))
+                                for c in NUMERIC_LAB_COLS]))
     w = w.select(cells.alias("_c")).select("_c.*")
     seen = F.col("was")
     return comparable(w.groupBy("column").agg(
@@ -864,7 +866,8 @@ def q_extract_quarantine(spark, sf):
         q = ex_.lab_quarantine(spark, [path]).withColumn("year", F.lit(int(path.rpartition("=")[2])))
         out = q if out is None else out.unionByName(q)
     return out.groupBy("year", "reason", "used", "n_fields").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line").contains("Müller")).alias("n_umlaut"), F.sum(F.length("line")).alias("n_chars"))
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line").contains("Müller")).alias("n_umlaut"),
+        F.sum(F.length("line")).alias("n_chars"))
 
 
 # ---------------------------------------------- E8 on continuous scores
@@ -889,7 +892,8 @@ def q_visit_scan(spark, sf):
 def q_data_model_scan(spark, sf):
     """Rows, positives and columns of two data models, read back from a committed version of each split."""
     root = f"{checkpoint_dir(spark)}/models-{uuid.uuid4()}"
-    derive_and_export(V.cases(spark, sf), V.cohort(spark, sf), root, models=(1, 3), out=3, as_of=AS_OF, lab_columns=CASE_LABS, features=CASE_FEATURES)
+    derive_and_export(V.cases(spark, sf), V.cohort(spark, sf), root, models=(1, 3), out=3, as_of=AS_OF, lab_columns=CASE_LABS,
+                      features=CASE_FEATURES)
     out = None
     for m in (1, 3):
         for split in ("main", "validation"):
@@ -908,7 +912,8 @@ def q_model_store(spark, sf):
     model = le.logistic(train.count()).fit(train)
     path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4()}"
     save_model(model, path)
-    a, b = (le.positive_probability(m.transform(test)).select("case_id", F.col("p").alias(n)) for m, n in ((model, "p"), (load_model(path, "logistic"), "q")))
+    a, b = (le.positive_probability(m.transform(test)).select("case_id", F.col("p").alias(n))
+            for m, n in ((model, "p"), (load_model(path, "logistic"), "q")))
     j = a.join(b, "case_id")
     return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p") == F.col("q")).alias("n_equal"))
 

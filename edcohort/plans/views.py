@@ -170,9 +170,11 @@ def lab_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     name = F.when(k % 5 == 0, "Müller").otherwise("Jansen")
     patient = F.when(k % 41 == 0, "").otherwise(text(F.col("patient")))
-    fields = [patient, F.concat(F.lit("L"), k.cast("string")), F.date_format("ts", "dd-MM-yyyy HH:mm"), text(F.col("code")), text(F.col("result")), name]
+    fields = [patient, F.concat(F.lit("L"), k.cast("string")), F.date_format("ts", "dd-MM-yyyy HH:mm"), text(F.col("code")),
+              text(F.col("result")), name]
     line = F.concat_ws(";", *fields)
-    line = F.when(k % 97 == 0, line).when(k % 89 == 0, F.concat(line, F.lit(";01-01-1950;extra"))).otherwise(F.concat(line, F.lit(";01-01-1950")))
+    line = F.when(k % 97 == 0, line).when(k % 89 == 0, F.concat(line, F.lit(";01-01-1950;extra"))).otherwise(F.concat(line,
+        F.lit(";01-01-1950")))
     return d.select(F.year("ts").alias("year"), line.alias("line"))
 
 
@@ -183,7 +185,8 @@ def write_lab_extracts(spark: SparkSession, sf_dir: str, out: str) -> list[str]:
     for y in years:
         rows = lines.where(F.col("year") == y).select(F.col("line").alias(";".join(EXTRACT_HEADER)))
         # one column whose name is the header line; the separator of these files is a character that no line holds
-        rows.write.option("header", True).option("sep", "\u0001").option("quote", "").option("encoding", "ISO-8859-1").csv(f"{out}/year={y}")
+        rows.write.option("header", True).option("sep", "\u0001").option("quote", "").option("encoding",
+            "ISO-8859-1").csv(f"{out}/year={y}")
     return [f"{out}/year={y}" for y in years]
 
 

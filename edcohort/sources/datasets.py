@@ -65,7 +65,8 @@ def _created(spark: SparkSession, fs, path) -> bool:
             return fs.createNewFile(path)   # one creator wins in the store
         fs.mkdirs(path.getParent())         # Hadoop's local files look first and create then; Java's create or fail
         java = spark._jvm.java
-        java.nio.file.Files.createFile(java.io.File(path.toUri().getPath()).toPath(), spark._sc._gateway.new_array(java.nio.file.attribute.FileAttribute, 0))
+        java.nio.file.Files.createFile(java.io.File(path.toUri().getPath()).toPath(),
+                                       spark._sc._gateway.new_array(java.nio.file.attribute.FileAttribute, 0))
         return True
     except Py4JJavaError:
         if fs.exists(path):
