@@ -67,7 +67,7 @@ def talks(seed=0, n=60):
     return out
 
 
-@pytest.mark.parametrize("container", [0, 1, 7, 40, 10**6])
+@pytest.mark.parametrize("container", [0, 7, 10**6])
 def test_containers_of_all_sizes(spark, container):
     rows = talks()
     assert trie(spark, rows, container=container) == brute(rows)
