@@ -278,9 +278,9 @@ def labelled(lists: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int
     return few(q, rows), rows
 
 
-def size_band(percent: int) -> Column:
+def size_band(percent: int, n: str = "n") -> Column:
     """log of the set size, in units of the largest ratio of sizes that link."""
-    return F.log("n") / F.lit(float(np.log(100.0 / percent)) if percent < 100 else 1.0)
+    return F.log(n) / F.lit(float(np.log(100.0 / percent)) if percent < 100 else 1.0)
 
 
 def pairs_left(lists: DataFrame, percent: int) -> int:
@@ -310,14 +310,32 @@ def hub_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
     return paired.where((F.col("label") != F.col("hub.label")) & fits).select(*_ordered(F.col("cls"), F.col("hub.cls"))).distinct()
 
 
+#: Classes of a posting list that one task compares with others of it; a longer list is cut into blocks of about so many.
+PAIR_BLOCK = 2000
+
+
 def all_pairs_left(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a posting list with different labels that may meet there."""
+    """All pairs of a posting list with different labels that may meet there.
+
+    Lists of more than ``PAIR_BLOCK`` classes are cut: by size band, as sets of bands further apart than one never link, and
+    one side by a hash into blocks, each of which meets the whole other side.  So no task holds a whole list, and every pair is
+    met once: in the band of its second class and the block of its first."""
     keep = ("cls", "n", "pos", "label")
-    x = lists.select("token", *[F.col(c).alias(f"x_{c}") for c in keep])
-    y = lists.select("token", *[F.col(c).alias(f"y_{c}") for c in keep])
-    meet = x.join(y, (x["token"] == y["token"]) & (F.col("x_cls") < F.col("y_cls")) & (F.col("x_label") != F.col("y_label"))
-                  & may_meet(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"), percent))
-    return meet.select(F.col("x_cls").alias("a"), F.col("y_cls").alias("b")).distinct()
+    x = lists.select("token", "many", *[F.col(c).alias(f"x_{c}") for c in keep])
+    y = lists.select("token", "many", *[F.col(c).alias(f"y_{c}") for c in keep])
+    pair = ((F.col("x_cls") < F.col("y_cls")) & (F.col("x_label") != F.col("y_label"))
+            & may_meet(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"), percent))
+    short = F.col("many") <= PAIR_BLOCK
+    ids = [F.col("x_cls").alias("a"), F.col("y_cls").alias("b")]
+    met = x.where(short).drop("many").join(y.where(short).drop("many"), "token").where(pair).select(*ids)
+    band = lambda n, more=0.0: F.floor(size_band(percent, n) + more)
+    blocks = F.ceil(F.col("many") / PAIR_BLOCK).cast("int")
+    first = x.where(~short).withColumn("block", F.pmod(F.xxhash64(F.lit(5), "x_cls"), blocks).cast("int"))
+    first = first.withColumn("band", F.explode(F.sequence(band("x_n", -1.000001), band("x_n", 1.000001)))).drop("many")
+    second = y.where(~short).withColumn("band", band("y_n"))
+    second = second.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("many")
+    long = first.join(second, ["token", "band", "block"]).where(pair).select(*ids)
+    return met.union(long).distinct()
 
 
 def link_classes(lists: DataFrame, check, percent: int) -> DataFrame:

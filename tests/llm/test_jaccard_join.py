@@ -78,9 +78,11 @@ def edited_copies(n_groups=3, copies=30, words=120, seed=5):
     return [(int(i), out[o][1]) for i, o in enumerate(order)]
 
 
-@pytest.mark.parametrize(("short", "limit", "rounds"), [(16, J.SHARED_LIMIT, 3), (2, J.SHARED_LIMIT, 3), (2, J.SHARED_LIMIT, 1), (16, 0, 3)])
-def test_groups_of_edited_copies(spark, monkeypatch, short, limit, rounds):
-    """Every way through: full comparison, hub rounds, shared tokens by join."""
+@pytest.mark.parametrize(("short", "limit", "rounds", "block"), [
+    (16, J.SHARED_LIMIT, 3, J.PAIR_BLOCK), (2, J.SHARED_LIMIT, 3, J.PAIR_BLOCK), (2, J.SHARED_LIMIT, 1, 5), (16, 0, 3, 1), (10**6, J.SHARED_LIMIT, 3, 7)])
+def test_groups_of_edited_copies(spark, monkeypatch, short, limit, rounds, block):
+    """Every way through: full comparison, hub rounds, shared tokens by join, long lists in bands and blocks."""
+    monkeypatch.setattr(J, "PAIR_BLOCK", block)
     monkeypatch.setattr(J, "SHORT_LIST", short)
     monkeypatch.setattr(J, "HUB_ROUNDS", rounds)
     rows = edited_copies()
@@ -88,6 +90,18 @@ def test_groups_of_edited_copies(spark, monkeypatch, short, limit, rounds):
     assert got(df, shared_limit=limit) == brute(rows)
 
 
+def test_long_lists_meet_each_pair_once(spark, monkeypatch):
+    """Blocks and bands of a list give the pairs of a plain comparison, at sizes on the edge of a band too."""
+    monkeypatch.setattr(J, "PAIR_BLOCK", 4)
+    sizes = [int(n) for n in np.unique(np.round(4 * 1.25 ** np.arange(0, 18, .5)))] + [4, 5, 5, 80, 100, 125, 1000, 1250]
+    rows = [(t, k, n, k % 3, k % 5, len(sizes)) for t in (1, 2) for k, n in enumerate(sizes)]
+    lists = spark.createDataFrame(rows, "token long, cls long, n long, pos long, label long, many long")
+    got = {(r.a, r.b) for r in J.all_pairs_left(lists, 80).collect()}
+    monkeypatch.setattr(J, "PAIR_BLOCK", 10**6)
+    want = {(r.a, r.b) for r in J.all_pairs_left(lists, 80).collect()}
+    assert got == want and len(want) > 30
+
+
 def test_one_of_each_group_stays(spark):
     rows = edited_copies(2, 10)
     df = spark.createDataFrame(rows, "doc_id long, text string")
