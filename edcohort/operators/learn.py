@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from . import metrics as me
 from .ordinal import null_safe_join
 
@@ -79,8 +80,8 @@ def out_of_fold(data: DataFrame, make_estimator: Callable, *, name: str, key: st
     -> scored table (model, fold, id, y, p).
 
     ``make_estimator`` is called with the number of training rows.  Given ``models`` nothing is
-    fitted: fold i is scored by ``models[i]``, or all folds by the only one.  The scored table is
-    persisted, as every measure reads it; call ``unpersist`` on it when done."""
+    fitted: fold i is scored by ``models[i]``, or all folds by the only one.  The scored table is kept
+    once (checkpoint), as every measure reads it."""
     sizes = fold_sizes(data, fold)
     folds, total = sorted(sizes), sum(sizes.values())
     if models is None:
@@ -95,7 +96,7 @@ def out_of_fold(data: DataFrame, make_estimator: Callable, *, name: str, key: st
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.persist()
+    return reliable_checkpoint(out)
 
 
 def cv_roc(scored: DataFrame, band: str = "ci"):

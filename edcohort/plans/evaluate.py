@@ -24,6 +24,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], make_estimator: Calla
     folded = stratified_kfold(df, label=label, order_by=[key], k=k)
     data = le.assemble(folded, features, label=label).select(key, "fold", "label", "features").persist()
     scored = le.out_of_fold(data, make_estimator, name=name, key=key)
+    data.unpersist()
     fold_auc, curve, summary = le.cv_roc(scored, band=band)
     brier, calib = le.cv_calibration(scored)
     return {"scored": scored, "fold_auc": fold_auc, "band": curve, "summary": summary,

@@ -591,7 +591,10 @@ def _ml_data(spark, sf, k=ML_FOLDS):
 
 
 def _cv(spark, sf, name, make):
-    return le.out_of_fold(_ml_data(spark, sf), make, name=name, key="case_id")
+    data = _ml_data(spark, sf)
+    scored = le.out_of_fold(data, make, name=name, key="case_id")
+    data.unpersist()
+    return scored
 
 
 def _cv_summary(scored):
