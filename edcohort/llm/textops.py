@@ -220,7 +220,7 @@ def byte_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 def run_hashes(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray, table: np.ndarray, prefix: int):
     """Runs of bytes with ``inside`` set, cut at document bounds: (start, end, hash, hash of the first
-    ``prefix`` bytes), with the bytes mapped by ``table`` (256 values)."""
+    ``prefix`` bytes; None for a prefix of 0), with the bytes mapped by ``table`` (256 values)."""
     if not len(raw):
         e = np.empty(0, np.int64)
         return e, e, np.empty(0, np.uint64), np.empty(0, np.uint64)
@@ -237,8 +237,10 @@ def run_hashes(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray, table: n
     total = np.empty(len(raw) + 1, np.uint64)
     total[0] = 0
     np.cumsum(table[raw] * power[:len(raw)], out=total[1:])
-    p = np.minimum(e, s + prefix)
     whole = _long_words(_splitmix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)), raw, s, e, table)
+    if not prefix:
+        return s, e, whole, None
+    p = np.minimum(e, s + prefix)
     return s, e, whole, _splitmix((total[p] - total[s]) * inverse[s] + _U64(1 << 40))
 
 

@@ -24,6 +24,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -127,7 +128,8 @@ class Encoder:
         self.bytes.append(np.frombuffer(b"".join(own), np.uint8))
         return slots
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]):
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """The slots of new pieces, which are known by ``keys`` from now on."""
         slots = self._add(pieces)
         order = np.argsort(keys)
         at = np.searchsorted(self.new_keys, keys[order])
@@ -136,14 +138,21 @@ class Encoder:
             at = np.searchsorted(self.keys, self.new_keys)
             self.keys, self.slots = np.insert(self.keys, at, self.new_keys), np.insert(self.slots, at, self.new_slots)
             self.new_keys, self.new_slots = self.new_keys[:0], self.new_slots[:0]
+        return slots
 
     def _ids(self, raw: np.ndarray, bounds: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids) of stretches of text without white space beside a space; ``fresh`` ones
         start a text, the others follow a space."""
-        s, e, h, _ = T.run_hashes(raw, bounds, _NO_SPACE, T.byte_values(), 1)
+        s, e, h, _ = T.run_hashes(raw, bounds, _NO_SPACE, T.byte_values(), 0)
         owner = np.searchsorted(bounds, s, side="right") - 1
         first = (s == bounds[owner]) & fresh[owner]
-        key, where, back = np.unique(np.where(first, ~h, h), return_index=True, return_inverse=True)
+        back, key = pd.factorize(np.where(first, ~h, h))
+        where = np.empty(len(key), np.int64)
+        where[back[::-1]] = np.arange(len(back) - 1, -1, -1)  # where each key comes first
+        order = np.argsort(key)  # sorted keys are looked up faster
+        rank = np.empty(len(key), np.int64)
+        rank[order] = np.arange(len(key))
+        key, where, back = key[order], where[order], rank[back]
         if self.size.used > PIECES or self.bytes.used > PIECE_BYTES:
             self.clear()
         slot = self._find(key)
@@ -151,9 +160,8 @@ class Encoder:
         if not known.all():
             new = where[~known]
             data = raw.tobytes()
-            self._learn(key[~known], [data[a:z] if f else b" " + data[a:z] for a, z, f in
-                                      zip(s[new].tolist(), e[new].tolist(), first[new].tolist(), strict=True)])
-            slot = self._find(key)
+            slot[~known] = self._learn(key[~known], [data[a:z] if f else b" " + data[a:z] for a, z, f in
+                                                     zip(s[new].tolist(), e[new].tolist(), first[new].tolist(), strict=True)])
         slot = slot[back]
         other = np.flatnonzero(~T.same_bytes(T.spaced_out(raw), s, e - s, self.bytes.data, self.bytes_at.data[slot], self.n_own.data[slot]))
         if len(other):  # another piece has this hash
@@ -167,9 +175,9 @@ class Encoder:
         ids = self.pool.data[np.repeat(self.begin.data[slot] - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
         return ids, np.bincount(owner, weights=size, minlength=len(fresh)).astype(np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text), end ids included."""
-        given = pa.array(texts, pa.large_string())
+        given = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         whole = pc.match_substring_regex(given, UNSAFE)
         rest = pc.if_else(whole, "", given)
         data, off = T.text_bytes(rest)
@@ -196,7 +204,7 @@ class Encoder:
         ids = np.concatenate(parts) if parts else np.empty(0, np.uint32)
         n = np.bincount(owner, weights=np.concatenate(counts), minlength=len(texts)).astype(np.int64) if counts else np.zeros(len(texts), np.int64)
         for k in np.flatnonzero(np.asarray(whole)).tolist():
-            own = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+            own = np.array(self.tokenizer.encode(given[k].as_py(), add_special_tokens=False).ids, np.uint32)
             ids = np.insert(ids, n[:k].sum(), own)
             n[k] = len(own)
         return np.insert(ids, np.cumsum(n), self.end), n + 1
@@ -347,7 +355,7 @@ def write_shards(docs: DataFrame, out: str, *, tokenizer_path: str, end: int = 2
             for g in np.unique(group):
                 at = np.flatnonzero(group == g)
                 piece = b.slice(at[0], len(at))
-                ids, n = encoder.encode(piece.column("text").to_pylist())
+                ids, n = encoder.encode(piece.column("text"))
                 docs_in.append(piece.column("doc_id"))
                 lengths.append(n)
                 tokens.append(ids)

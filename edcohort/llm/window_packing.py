@@ -244,7 +244,7 @@ def pack_windows(docs: DataFrame, *, tokenizer_path: str, end: int = 0, window:
             for g in np.unique(group):
                 at = np.flatnonzero(group == g)
                 some = b.slice(at[0], len(at))
-                ids, n = encoder.encode(some.column("text").to_pylist())
+                ids, n = encoder.encode(some.column("text"))
                 names.append(some.column("doc_id"))
                 sizes.append(n)
                 tokens.append(ids)
