@@ -22,7 +22,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], make_estimator: Calla
     """E8 + E10 for one model: {'scored', 'fold_auc', 'band', 'summary', 'brier',
     'calibration'}.  ``make_estimator`` gets the number of training rows."""
     folded = stratified_kfold(df, label=label, order_by=[key], k=k)
-    data = le.assemble(folded, features, label=label).select(key, "fold", "label", "features").persist()
+    data = le.spread(le.assemble(folded, features, label=label).select(key, "fold", "label", "features")).persist()
     scored = le.out_of_fold(data, make_estimator, name=name, key=key)
     data.unpersist()
     fold_auc, curve, summary = le.cv_roc(scored, band=band)
@@ -31,16 +31,27 @@ def cross_validate(df: DataFrame, features: Sequence[str], make_estimator: Calla
             "brier": brier, "calibration": calib}
 
 
-def score_dataset(data: DataFrame, shock: DataFrame, score: str, *, key: str = "case_id", label: str = "y_var",
+#: Rows, about, that one task of a join sorts.
+JOIN_ROWS = 250_000
+
+
+def score_dataset(data: DataFrame, shock: DataFrame, score: str | Sequence[str], *, key: str = "case_id", label: str = "y_var",
                   shock_label: str = "y_var", **names) -> DataFrame:
-    """R7 + J6: (key, y, p) of a clinical score on a stored data model.  The shock column that
-    MEDS needs was dropped from the stored model with the outcomes; it is the label of the
+    """R7 + J6: (key, y, p) of a clinical score on a stored data model, or (key, y, p, score) of several by one join.  The
+    shock column that MEDS needs was dropped from the stored model with the outcomes; it is the label of the
     out=1 model and is joined by key (a case without one counts as no shock)."""
+    parts = -(-data.count() // JOIN_ROWS)
     s = shock.select(F.col(key).alias("_key"), F.col(shock_label).alias("septischeshock"))
-    d = data.drop("septischeshock").join(s, data[key] == F.col("_key"), "left").drop("_key")
+    d = data.drop("septischeshock")
+    if parts > 1:   # as many tasks as the rows ask for, however well they are packed
+        d, s = d.repartition(parts, key), s.repartition(parts, "_key")
+    d = d.join(s, F.col(key) == F.col("_key"), "left").drop("_key")
     d = d.withColumn("septischeshock", F.coalesce("septischeshock", F.lit(0)))
-    p = sc.risk_score(score, **names) if score != "abbMEDS" else abbmeds_risk(sc.abbmeds(**names))
-    return d.select(key, F.col(label).alias("y"), p.alias("p"))
+    risk = lambda n: sc.risk_score(n, **names) if n != "abbMEDS" else abbmeds_risk(sc.abbmeds(**names))
+    if isinstance(score, str):
+        return d.select(key, F.col(label).alias("y"), risk(score).alias("p"))
+    each = F.explode(F.array(*[F.struct(risk(n).cast("double").alias("p"), F.lit(n).alias("score")) for n in score]))
+    return d.select(key, F.col(label).alias("y"), each.alias("_s")).select(key, "y", "_s.p", "_s.score")
 
 
 def risk_score_cross_validate(scored: DataFrame, *, name: str, key: str = "case_id", k: int = 3, part: str = "train",
@@ -86,6 +97,7 @@ def score_validation_cohort(main: DataFrame, validation: DataFrame, features: Se
                             patience: int = 10) -> DataFrame:
     """M3 + M5 + E13 with the parameters of S10: boosting stopped on the test part of the main cohort; thresholded AUCs on
     the validation cohort after the best round and after all rounds that ran."""
+    main = reliable_checkpoint(main.select(key, label, *features))   # the split reads it several times
     model, cuts = early_stopping(main, features, params, key=key, label=label, patience=patience)
     best, ran = model.best_round, len(model.trees)
     scored = bo.scores(bo.blocks_of(validation, features, cuts, key=key, label=label, fold=None), [model], [best, ran], held_out=False)

@@ -54,6 +54,34 @@ def test_shapley_values(data):
         assert base + phi.sum() == pytest.approx(sum(ex.tree_values(row[None], t)[0] for t in trees))
 
 
+def test_fits_over_few_partitions(spark, data):
+    """A table in many small partitions is fitted in as many tasks as there are cores; one fit at a time if it is large."""
+    from threading import Lock
+    wide = data.repartition(200)
+    assert le.spread(wide).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    lock, running, most = Lock(), [0], []
+
+    def task():
+        with lock:
+            running[0] += 1
+            most.append(running[0])
+        spark.range(1).count()
+        with lock:
+            running[0] -= 1
+
+    le.in_parallel([task] * 4, le.LARGE_FIT + 1)
+    assert max(most) == 1
+
+
+def test_hold_out_is_read_once(spark, data, monkeypatch):
+    """The fit and its scores read a kept table."""
+    df = data.withColumn("split", F.when(F.col("fold") == 0, "test").otherwise("train"))
+    seen = []
+    monkeypatch.setattr(le, "spread", lambda d: (seen.append(d), d)[1])
+    got = le.holdout_roc(df, key="k", make_estimator=lambda n: le.gbt(maxIter=2)).collect()
+    assert len(got) == 1 and len(seen) == 1
+
+
 def test_prefix_of_a_long_fit_is_a_short_fit(data):
     long, short = le.gbt(maxIter=6).fit(data), le.gbt(maxIter=3).fit(data)
     got = ex.prefix_scores(long, data, [3, 6], columns=["k"]).toPandas().pivot(index="k", columns="n_trees", values="p")

@@ -117,3 +117,19 @@ def test_line_with_an_empty_extra_field_is_skipped(spark, tmp_path):
     p.write_text("A;B;C\n1;2;3\n4;5;6;\n7;8;9;10\n11;12\n13;;15\n", encoding="latin-1")
     rows = ex.read_delimited(spark, str(p), sep=";", encoding="ISO-8859-1").orderBy("seq").collect()
     assert [(r.A, r.B, r.C) for r in rows] == [("1", "2", "3"), ("11", "12", None), ("13", None, "15")]
+
+
+def test_scores_of_one_join(spark, monkeypatch):
+    """Several scores come from one join, dealt out over tasks by rows, as each alone."""
+    from edcohort.plans import evaluate as ev
+    names = ["URESE", "AF_berekend", "Geboortedatum", "RR_diast", "RR_syst", "Comorb_dementie_Psychiatrisch", "Woonsituatie", "TRC",
+             "metastase_of_chronische_ziekte_met_hoge_mortaliteit", "WD"]
+    rows = [(None if i == 5 else i % 30, i % 2, *[(i * (j + 3)) % 91 for j in range(len(names))]) for i in range(40)]
+    data = spark.createDataFrame(rows, ", ".join(["case_id int", "y_var int", *[f"{n} int" for n in names]]))
+    shock = spark.createDataFrame([(i, i % 3 == 0 and 1 or 0) for i in range(20)], "case_id int, y_var int")
+    want = sorted(str((r.case_id, r.y, float(r.p), s)) for s in ("CURB", "MEDS", "REMS", "abbMEDS")
+                  for r in ev.score_dataset(data, shock, s).collect())
+    monkeypatch.setattr(ev, "JOIN_ROWS", 7)
+    got = ev.score_dataset(data, shock, ("CURB", "MEDS", "REMS", "abbMEDS"))
+    assert sorted(str((r.case_id, r.y, r.p, r.score)) for r in got.collect()) == want and len(want) == 160
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
