@@ -31,6 +31,8 @@ BLOCK = 2000
 #: Queries of a block that are measured together.
 QUERIES = 250
 MAX_CELLS = 256
+#: Rows that are compared with all centres together, and blocks of one task, about.
+PLACED, BLOCKS = 1024, 64
 EPSILON = 1e-6
 #: Distances that agree in so many places tie.
 PLACES = 9
@@ -88,9 +90,21 @@ def _nearest(points: DataFrame, queries: DataFrame, sizes: dict[int, int], asked
         return pd.DataFrame({"cid": cid[i], "rid": rid[j], "d": d})
 
     keys = ["cell", "salt", "chunk"]
+    # a task gets a bounded number of blocks, however many there are
+    n = -(-sum(-(-sizes[c] // BLOCK) * -(-asked[c] // BLOCK) for c in asked) // BLOCKS)
+    if n > 1:
+        n = max(n, points.sparkSession.sparkContext.defaultParallelism)
+        p, q = p.repartition(n, *keys), q.repartition(n, *keys)
     return p.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(block, "cid long, rid long, d double")
 
 
+def _pieces(batches):
+    """The batches in pieces of at most ``PLACED`` rows."""
+    for b in batches:
+        for at in range(0, len(b), PLACED):
+            yield b.iloc[at:at + PLACED]
+
+
 def nearest_rows(df: DataFrame, columns: Sequence[str], k: int) -> tuple[DataFrame, DataFrame]:
     """(rows: rid, cid, x; near: cid, ns) with ns the k + 1 nearest rows (d, rid, x) of each point that has a
     row with missing cells."""
@@ -105,10 +119,9 @@ def nearest_rows(df: DataFrame, columns: Sequence[str], k: int) -> tuple[DataFra
         centres = np.array(fit.clusterCenters())
 
     def place(batches):
-        for b in batches:
-            v = np.stack(b["v"].to_numpy()) if len(b) else np.zeros((0, len(columns)))
-            d = np.sqrt(((v[:, None, :] - centres[None]) ** 2).sum(axis=2))
-            yield b.assign(cell=d.argmin(axis=1), far=d.min(axis=1) if len(b) else [])
+        for b in _pieces(batches):
+            d = np.sqrt(((np.stack(b["v"].to_numpy())[:, None, :] - centres[None]) ** 2).sum(axis=2))
+            yield b.assign(cell=d.argmin(axis=1), far=d.min(axis=1))
 
     members = reliable_checkpoint(members.mapInPandas(place, "rid long, v array<double>, x array<double>, cid long, cell int, far double"))
     got = members.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r")).collect()   # a row per cell
@@ -125,8 +138,8 @@ def nearest_rows(df: DataFrame, columns: Sequence[str], k: int) -> tuple[DataFra
     reach = np.array([radius.get(c, -np.inf) for c in range(len(centres))])
 
     def widen(batches):
-        for b in batches:
-            v = np.stack(b["v"].to_numpy()) if len(b) else np.zeros((0, len(columns)))
+        for b in _pieces(batches):
+            v = np.stack(b["v"].to_numpy())
             own, top = b["cell"].to_numpy(), b["limit"].to_numpy(float)
             d = np.sqrt(((v[:, None, :] - centres[None]) ** 2).sum(axis=2))
             fits = np.isnan(top)[:, None] | (d - reach[None] <= top[:, None] + 10.0 ** -PLACES)

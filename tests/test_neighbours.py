@@ -35,6 +35,28 @@ def test_imputation(spark, monkeypatch, block):
     assert np.allclose(got, brute(values, 4), equal_nan=True)
 
 
+def test_rows_are_placed_in_pieces():
+    """However long a batch is, a bounded number of rows meets all centres."""
+    import pandas as pd
+    long = pd.DataFrame({"v": np.arange(5000)})
+    parts = list(ne._pieces([long, long[:0], long[:3]]))
+    assert max(map(len, parts)) <= ne.PLACED and pd.concat(parts)["v"].tolist() == [*range(5000), 0, 1, 2]
+
+
+def test_many_blocks(spark, monkeypatch):
+    """The blocks are dealt out over tasks by their number, with the same result."""
+    monkeypatch.setattr(ne, "BLOCK", 5)
+    monkeypatch.setattr(ne, "BLOCKS", 2)
+    values = np.random.default_rng(8).normal(size=(90, 2))
+    values[::4, 1] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(values)]
+    parts = []
+    whole = type(spark.range(1)).repartition
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda d, n, *c: (parts.append(n), whole(d, n, *c))[1])
+    got = ne.impute_knn(spark.createDataFrame(rows, "k int, a double, b double"), ["a", "b"], keys=["k"], k=3)
+    assert np.allclose(got.toPandas().sort_values("k")[["a", "b"]].to_numpy(float), brute(values, 3), equal_nan=True) and parts
+
+
 def test_indicators_first(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 5.0), (3, None, 7.0)], "k int, a double, b double")
     rows = {r.k: r for r in ne.impute_complex(df, ["a", "b"], keys=["k"], k=2).collect()}
