@@ -22,7 +22,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], make_estimator: Calla
     """E8 + E10 for one model: {'scored', 'fold_auc', 'band', 'summary', 'brier',
     'calibration'}.  ``make_estimator`` gets the number of training rows."""
     folded = stratified_kfold(df, label=label, order_by=[key], k=k)
-    data = le.spread(le.assemble(folded, features, label=label).select(key, "fold", "label", "features")).persist()
+    data = le.kept(le.assemble(folded, features, label=label).select(key, "fold", "label", "features"))
     scored = le.out_of_fold(data, make_estimator, name=name, key=key)
     data.unpersist()
     fold_auc, curve, summary = le.cv_roc(scored, band=band)

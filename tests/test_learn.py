@@ -174,3 +174,14 @@ def test_score_dataset_takes_shock_by_key(spark):
     d = q._cases_aged(spark, sf).select("case_id", meds().alias("m")).collect()
     low = {r.case_id for r in d if r.m <= 4}
     assert low and all(got[c] == 0.01 for c in low)
+
+
+def test_fit_table_lies_on_disk(spark, monkeypatch):
+    """The table of the fits is kept on disk: memory is for the copy that a fit makes of it."""
+    from edcohort.plans import queries as q
+    rows = [(i, i % 2, *[float((i * (j + 3)) % 11) for j in range(len(q.ML_FEATURES))]) for i in range(40)]
+    df = spark.createDataFrame(rows, ["case_id", "y_var", *q.ML_FEATURES])
+    monkeypatch.setattr(q, "_model", lambda *a: df)
+    data = q._ml_data(spark, "")
+    assert data.count() == 40 and data.storageLevel.useDisk and not data.storageLevel.useMemory
+    data.unpersist()
